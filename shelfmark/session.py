@@ -4,10 +4,31 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
 
+def ship(spark: SparkSession, *packages: str) -> None:
+    """Make this package, and others by name, importable in the Python workers.
+
+    Not needed where ``--py-files`` or an installation already does it.
+    """
+    context = spark.sparkContext
+    names = sorted({__package__, *packages})
+    archive_name = "-".join(names) + ".zip"
+    if any(str(f).endswith(archive_name) for f in context.listFiles):
+        return
+    archive = Path(tempfile.mkdtemp(prefix="shelfmark-")) / archive_name
+    with zipfile.ZipFile(archive, "w") as out:
+        for name in names:
+            folder = Path(__import__(name).__file__).parent
+            for source in sorted(folder.rglob("*.py")):
+                out.write(source, source.relative_to(folder.parent))
+    context.addPyFile(str(archive))
+
+
 def work_root(spark: SparkSession) -> str:
     """The shared folder for intermediate tables and checkpoints.
 

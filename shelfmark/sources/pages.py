@@ -32,13 +32,13 @@ def _null() -> Column:
 
 def parse_text(content: Column) -> Column:
     """UTF-8 text; a form feed separates pages."""
-    texts = F.split(F.decode(content, F.lit("UTF-8")), "\f", -1)
+    texts = F.split(F.decode(content, "UTF-8"), "\f", -1)
     return _parsed(texts, _null(), _null())
 
 
 def parse_html(content: Column) -> Column:
     """HTML; one page with the visible text."""
-    html = F.decode(content, F.lit("UTF-8"))
+    html = F.decode(content, "UTF-8")
     return _parsed(F.array(strip_html(html)), html_title(html), _null())
 
 
@@ -72,7 +72,7 @@ def load_pages(files: DataFrame, extractors: Mapping[str, Extractor] | None = No
     """
     extractors = dict(extractors or {})
     ext, content = F.col("ext"), F.col("content")
-    unreadable = _parsed(_null().cast("array<string>"), _null(), F.concat(F.lit("no extractor for type: "), ext))
+    unreadable = _parsed(F.lit(None).cast("array<string>"), _null(), F.concat(F.lit("no extractor for type: "), ext))
     parsed = unreadable
     if "html" not in extractors:
         parsed = F.when(ext == "html", parse_html(content)).otherwise(parsed)

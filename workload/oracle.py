@@ -155,7 +155,7 @@ dots as (
   select a.doc_id, a.pos, sum(a.c * z.c) as s
   from counts a join counts z on z.doc_id = a.doc_id and z.pos = a.pos + 1 and z.b = a.b group by all),
 dists as (
-  select w.doc_id, w.pos, round(1 - coalesce(s / sqrt(l.n2 * r.n2), 0), 9) as dist
+  select w.doc_id, w.pos, round(1 - coalesce(dots.s / sqrt(l.n2 * r.n2), 0), 9) as dist
   from wins w left join dots using (doc_id, pos)
   left join norms l on l.doc_id = w.doc_id and l.pos = w.pos
   left join norms r on r.doc_id = w.doc_id and r.pos = w.pos + 1
@@ -324,7 +324,7 @@ select conv_id, turn, b as bucket, round(w, 6) as weight from v"""
 with vectors as (select vec_id, label, embedding::double[] as e from embeddings),
 scaled as (select vec_id, list_transform(e, lambda x: x * (label + 2)) as e from vectors)
 select vec_id, unnest(range(0, len(e))) as at,
-  round(unnest(list_transform(e, lambda x: x / sqrt(list_sum(list_transform(e, lambda y: y * y))))), 5) as value
+  round(unnest(list_transform(e, lambda x: (x / sqrt(list_sum(list_transform(e, lambda y: y * y))))::float::double)), 6) as value
 from scaled"""
     q["knn_cosine"] = _knn("list_cosine_similarity(q.e, c.e)", "desc", 30)
     q["knn_dot"] = _knn("list_inner_product(q.e, c.e)", "desc", 30)

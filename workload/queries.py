@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Callable
 from datetime import datetime, timedelta, timezone
 
@@ -25,7 +26,7 @@ from shelfmark.plans.retrieve import retrieve
 from shelfmark.plans.run import incremental_run
 from shelfmark.plans.state import StateStore
 from shelfmark.schemas import DOC_KEYS, ChunkParams
-from shelfmark.session import new_work_path
+from shelfmark.session import new_work_path, ship
 from shelfmark.sources.graph import items_from_bindings
 from shelfmark.sources.objects import index_files, index_summary, indexed, list_components
 from shelfmark.sources.packages import package_entries
@@ -41,12 +42,21 @@ SEMANTIC = ChunkParams(min_chunk_size=300, target_max_chunk_size=1_000_000_000,
 
 
 def query(fn: Query) -> Query:
-    _REGISTRY[fn.__name__] = fn
+    """Register ``fn``; a trailing underscore keeps a query from hiding an imported name."""
+    _REGISTRY[fn.__name__.rstrip("_")] = fn
     return fn
 
 
 def registered() -> dict[str, Query]:
-    return dict(_REGISTRY)
+    def shipped(fn: Query) -> Query:
+        @functools.wraps(fn)
+        def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+            ship(spark, "workload")
+            return fn(spark, sf_dir.rstrip("/"))
+
+        return run
+
+    return {name: shipped(fn) for name, fn in _REGISTRY.items()}
 
 
 def _second(column: str):
@@ -78,7 +88,7 @@ def items_incremental_anti(spark, sf):
 
 
 @query
-def items_from_bindings_query(spark, sf):
+def items_from_bindings_(spark, sf):
     binding = F.array(F.struct(F.struct(F.concat(F.lit("Q"), F.col("c_custkey").cast("string")).alias("value")).alias("qid")))
     bodies = table(spark, sf, "customer").select(
         F.when(F.col("c_mktsegment") == "FURNITURE", F.lit('{"head": {}}'))
@@ -88,9 +98,6 @@ def items_from_bindings_query(spark, sf):
     return items_from_bindings(bodies)
 
 
-_REGISTRY["items_from_bindings"] = _REGISTRY.pop("items_from_bindings_query")
-
-
 # File index --------------------------------------------------------------
 
 
@@ -227,7 +234,7 @@ def state_publish(spark, sf):
 
 
 @query
-def table_fingerprint_query(spark, sf):
+def table_fingerprint_(spark, sf):
     status = views.status(spark, sf)
     base = table_fingerprint(status)
     moved = table_fingerprint(status.repartition(7, "component")).select(F.col("fingerprint").alias("moved"))
@@ -241,9 +248,6 @@ def table_fingerprint_query(spark, sf):
     )
 
 
-_REGISTRY["table_fingerprint"] = _REGISTRY.pop("table_fingerprint_query")
-
-
 # Pages and chunks --------------------------------------------------------
 
 
@@ -328,16 +332,13 @@ def points_upsert(spark, sf):
 
 
 @query
-def embedding_prefix_query(spark, sf):
+def embedding_prefix_(spark, sf):
     docs = points.add_metadata(views.document_pages(spark, sf), F.col("document_type"))
     fields = {name: F.col(name) for name in ("package", "qid", "title")}
     prefix = embedding_prefix(F.col("document_type"), fields, prefix_rules(views.GRAPH))
     return docs.select("doc_id", prefix.alias("prefix"), F.md5(F.concat(prefix, F.col("text"))).alias("embedded_md5"))
 
 
-_REGISTRY["embedding_prefix"] = _REGISTRY.pop("embedding_prefix_query")
-
-
 @query
 def hash_embedding(spark, sf):
     turns = table(spark, sf, "conversations")
@@ -358,7 +359,7 @@ def vector_normalize(spark, sf):
     scaled = F.transform("embedding", lambda x: (x.cast("double") * (F.col("label") + 2)))
     unit = vectors.normalize(scaled)
     rows = table(spark, sf, "embeddings").select("vec_id", F.posexplode(unit).alias("at", "value"))
-    return rows.withColumn("value", F.round(F.col("value").cast("double"), 5))
+    return rows.withColumn("value", F.round(F.col("value").cast("double"), 6))
 
 
 def _knn(spark, sf, metric, k=30, **options):
@@ -493,7 +494,7 @@ def _lines(content: bytes) -> list[str]:
 
 
 @query
-def embed_backlog_query(spark, sf):
+def embed_backlog_(spark, sf):
     stored = _stored_files(spark, sf)
     empty = views.status(spark, sf).limit(0)
     run = embed_backlog(
@@ -509,11 +510,8 @@ def embed_backlog_query(spark, sf):
     return run.status.select("qid", "status").unionByName(quarantined)
 
 
-_REGISTRY["embed_backlog"] = _REGISTRY.pop("embed_backlog_query")
-
-
 @query
-def incremental_run_query(spark, sf):
+def incremental_run_(spark, sf):
     root = new_work_path(spark, "run")
     stored = _stored_files(spark, sf)
     store, target = StateStore(spark, f"{root}/state"), Collection(spark, f"{root}/points")
@@ -532,9 +530,6 @@ def incremental_run_query(spark, sf):
     return counts.filter(F.col("table") != "points").select("table", "n")
 
 
-_REGISTRY["incremental_run"] = _REGISTRY.pop("incremental_run_query")
-
-
 # Streams -----------------------------------------------------------------
 
 
