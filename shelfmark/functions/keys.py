@@ -2,9 +2,8 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterable
-from functools import reduce
-from operator import or_
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -18,9 +17,8 @@ DNS_NAMESPACE_HEX = "6ba7b8109dad11d180b400c04fd430c8"
 
 def has_extension(key: Column, extensions: Iterable[str] = ALLOWED_EXTENSIONS) -> Column:
     """True when the key ends with one of the extensions, whatever the case."""
-    lowered = F.lower(key)
-    dotted = [e if e.startswith(".") else f".{e}" for e in extensions]
-    return reduce(or_, [lowered.endswith(e) for e in dotted])
+    dotted = [re.escape(e if e.startswith(".") else f".{e}") for e in extensions]
+    return key.rlike(f"(?i)(?:{'|'.join(dotted)})\\z")
 
 
 def extension(key: Column) -> Column:
@@ -30,8 +28,8 @@ def extension(key: Column) -> Column:
 
 def item_id(key: Column) -> Column:
     """Last path segment that is ``Q`` plus digits, or null."""
-    segments = F.filter(F.split(key, "/", -1), lambda part: part.rlike(r"^Q[0-9]+\z"))
-    return F.try_element_at(segments, F.lit(-1))
+    # The greedy lead takes as many segments as it can, so the last fitting one is left.
+    return F.nullif(F.regexp_extract(key, r"(?s)^(?:.*/)?(Q[0-9]+)(?:/.*)?\z", 1), F.lit(""))
 
 
 def file_name(key: Column) -> Column:

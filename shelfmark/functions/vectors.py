@@ -48,7 +48,9 @@ def score(metric: str, a: Column, b: Column) -> Column:
 
 def normalize(a: Column) -> Column:
     """Unit-length vector; a zero vector stays as it is."""
-    length = norm(a)
-    return F.when(
-        length > 0, F.transform(a, lambda x: (x.cast("double") / length).cast("float"))
-    ).otherwise(a.cast("array<float>"))
+
+    def scaled(length: Column) -> Column:
+        return F.transform(a, lambda x: F.when(length > 0, x.cast("double") / length).otherwise(x).cast("float"))
+
+    # Through a one-element array, so that the length is computed once and not per element.
+    return F.transform(F.array(norm(a)), scaled)[0]

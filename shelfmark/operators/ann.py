@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from shelfmark.functions.vectors import resolve_metric
 from shelfmark.operators import knn
+from shelfmark.operators.arrays import unnest
 
 
 def buckets(vector: Column, dim: int, bits: int, tables: int, seed: int) -> Column:
@@ -62,7 +63,7 @@ def approximate_top_k(
 
     def spread(df: DataFrame) -> DataFrame:
         code = buckets(F.col(vector_col), dim, bits, tables, seed)
-        return df.withColumn("_codes", code).select("*", F.posexplode("_codes").alias("_t", "_b")).drop("_codes")
+        return unnest(df.withColumn("_codes", code), F.col("_codes"), "_b", "_t").drop("_codes")
 
     left, right = spread(corpus), spread(queries)
     n_left = left.groupBy("_t", "_b").agg(F.count("*").alias("_n"))

@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shelfmark.functions.text import sentences
+from shelfmark.operators.arrays import unnest
 from shelfmark.operators.embedding import Embedder, HashedEmbedder
 from shelfmark.operators.ordinals import running_offset
 from shelfmark.schemas import DOC_KEYS, ChunkParams
@@ -37,6 +38,12 @@ def fixed_windows(text: Column, size: int, overlap: int) -> Column:
     )
 
 
+def window_count(length: Column, size: int, overlap: int) -> Column:
+    """How many fixed windows a text of this length has."""
+    further = F.ceil((length - size) / (size - overlap))
+    return F.when(length.isNotNull(), F.greatest(further, F.lit(0)) + 1)
+
+
 def window_distances(vectors: np.ndarray) -> np.ndarray:
     """Cosine distance between consecutive vectors."""
     left, right = vectors[:-1], vectors[1:]
@@ -143,11 +150,17 @@ def split_oversize(pieces: Column, params: ChunkParams) -> Column:
     return F.flatten(cut)
 
 
-def number_chunks(paged: DataFrame, pieces: str, doc: Sequence[str] = DOC_KEYS) -> DataFrame:
-    """One row per piece, with ``chunk_index`` running over the pages of a document from 0."""
-    placed = running_offset(paged, doc, "page", F.coalesce(F.size(pieces), F.lit(0)), "_offset")
+def number_chunks(
+    paged: DataFrame, pieces: str, doc: Sequence[str] = DOC_KEYS, count: Column | None = None
+) -> DataFrame:
+    """One row per piece, with ``chunk_index`` running over the pages of a document from 0.
+
+    ``count`` is a cheaper way to get at the number of pieces, if there is one.
+    """
+    size = F.coalesce(F.size(pieces) if count is None else count, F.lit(0))
+    placed = running_offset(paged, doc, "page", size, "_offset")
     kept = [c for c in paged.columns if c not in (pieces, "text")]
-    return placed.select(*kept, "_offset", F.posexplode(pieces).alias("_pos", "_piece")).select(
+    return unnest(placed, F.col(pieces), "_piece", "_pos").select(
         *kept,
         (F.col("_offset") + F.col("_pos")).cast("int").alias("chunk_index"),
         F.col("_piece.start_index").alias("start_index"),
@@ -171,7 +184,8 @@ def fixed_chunks(pages: DataFrame, params: ChunkParams = ChunkParams(), doc: Seq
     """Fixed windows over the whole page text, without looking at sentences."""
     whole = F.array(F.struct(F.col("text").alias("text"), F.lit(0).alias("start_index")))
     pieces = F.when(F.col("text").isNotNull(), split_oversize(whole, params))
-    return number_chunks(pages.withColumn("pieces", pieces), "pieces", doc)
+    count = window_count(F.length("text"), params.target_max_chunk_size, params.overlap)
+    return number_chunks(pages.withColumn("pieces", pieces), "pieces", doc, count)
 
 
 def is_outlier(text: Column, params: ChunkParams, min_length: int | None = None) -> Column:

@@ -5,6 +5,7 @@ from __future__ import annotations
 import hashlib
 import uuid
 from collections.abc import Callable, Iterator, Sequence
+from itertools import chain
 from typing import Protocol
 
 import numpy as np
@@ -62,12 +63,13 @@ class HashedEmbedder:
 
     def counts(self, texts: Sequence[str]) -> np.ndarray:
         """Word counts per bucket of prepared texts."""
-        result = np.zeros((len(texts), self.dim))
-        for row, text in enumerate(texts):
-            if text:
-                hits = [self._bucket(w) for w in text.split(" ") if w]
-                result[row] = np.bincount(hits, minlength=self.dim)
-        return result
+        bucket = self._bucket
+        hits = [[bucket(w) for w in text.split()] if text else [] for text in texts]
+        sizes = np.fromiter(map(len, hits), dtype=np.int64, count=len(hits))
+        rows = np.repeat(np.arange(len(hits)) * self.dim, sizes)
+        cells = np.fromiter(chain.from_iterable(hits), dtype=np.int64, count=int(sizes.sum()))
+        counted = np.bincount(rows + cells, minlength=len(hits) * self.dim)
+        return counted.reshape(len(hits), self.dim).astype(float)
 
     def embed(self, texts: Sequence[str]) -> np.ndarray:
         return _unit(self.counts(texts))

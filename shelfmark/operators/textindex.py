@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shelfmark.functions.text import words
+from shelfmark.operators.arrays import unnest
 
 TOKEN_BUCKETS = 64
 
@@ -15,7 +16,8 @@ def postings(corpus: DataFrame, text: str = "page_content", id_col: str = "id")
 
     A row-wise explode: the ids of a frequent token are never gathered.
     """
-    return corpus.select(F.explode(F.array_distinct(words(F.col(text)))).alias("token"), F.col(id_col))
+    found = unnest(corpus.select(id_col, text), F.array_distinct(words(F.col(text))), "token")
+    return found.select("token", id_col)
 
 
 def document_frequency(index: DataFrame) -> DataFrame:
@@ -54,9 +56,8 @@ def lexical_match(
     """
     if mode not in ("and", "or"):
         raise ValueError(f"unknown mode: {mode}")
-    wanted = queries.select(query_col, F.array_distinct(words(F.col("text"))).alias("_words")).select(
-        query_col, F.size("_words").alias("_n"), F.explode("_words").alias("token")
-    )
+    asked = queries.select(query_col, F.array_distinct(words(F.col("text"))).alias("_words"))
+    wanted = unnest(asked, F.col("_words"), "token").select(query_col, F.size("_words").alias("_n"), "token")
     matched = (
         index.select("token", id_col)
         .join(wanted, "token")

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from shelfmark.operators.arrays import unnest
 from shelfmark.schemas import BINDINGS
 
 
@@ -26,6 +27,4 @@ def items_from_bindings(bodies: DataFrame, column: str = "body") -> DataFrame:
     A body without bindings, or one that is not JSON, gives no rows.
     """
     parsed = bodies.select(F.from_json(F.col(column), BINDINGS).alias("data"))
-    return parsed.select(F.explode("data.results.bindings").alias("b")).select(
-        F.col("b.qid.value").alias("qid")
-    )
+    return unnest(parsed, F.col("data.results.bindings"), "b").select(F.col("b.qid.value").alias("qid"))

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from shelfmark.operators.arrays import unnest
 from shelfmark.schemas import PLAN
 from shelfmark.session import path_exists
 
@@ -29,8 +30,7 @@ def package_entries(bodies: DataFrame, column: str = "body") -> DataFrame:
     A body that is not JSON has no entries.
     """
     parsed = bodies.select(F.from_json(F.col(column), PLAN, {"mode": "PERMISSIVE"}).alias("plan"))
-    entries = parsed.select(F.explode("plan.entries").alias("e"))
-    return entries.select(
+    return unnest(parsed, F.col("plan.entries"), "e").select(
         "e.qid",
         "e.component",
         "e.document_type",

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from shelfmark.functions import keys
 from shelfmark.functions.text import html_title, strip_html
+from shelfmark.operators.arrays import unnest
 
 # bytes -> page texts, or (page texts, title)
 Extractor = Callable[[bytes], "list[str] | tuple[list[str], str | None]"]
@@ -86,15 +87,8 @@ def load_pages(files: DataFrame, extractors: Mapping[str, Extractor] | None = No
     rows = typed.select("qid", "component", parsed.alias("doc"))
     # A file without pages and without an error has nothing to show and gives no row.
     listed = F.coalesce("doc.texts", F.array(_null()))
-    return (
-        rows.select(
-            "qid",
-            "component",
-            F.col("doc.title").alias("title"),
-            F.col("doc.error").alias("error"),
-            F.posexplode(listed).alias("page", "text"),
-        )
-        .select("qid", "component", "page", "title", "text", "error")
+    return unnest(rows, listed, "text", "page").select(
+        "qid", "component", "page", F.col("doc.title").alias("title"), "text", F.col("doc.error").alias("error")
     )
 
 

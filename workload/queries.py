@@ -13,6 +13,7 @@ from shelfmark.functions import keys, vectors
 from shelfmark.functions.fingerprint import table_fingerprint
 from shelfmark.functions.text import embedding_prefix, html_title, prefix_rules, strip_html
 from shelfmark.operators import ann, chunking, context, knn, points, runlog, textindex
+from shelfmark.operators.arrays import unnest
 from shelfmark.operators.backlog import backlog, item_overlap
 from shelfmark.operators.counts import count_deltas, count_message, freshness, table_counts
 from shelfmark.operators.embedding import HashedEmbedder, embed_column, row_embedder
@@ -26,7 +27,7 @@ from shelfmark.plans.retrieve import retrieve
 from shelfmark.plans.run import incremental_run
 from shelfmark.plans.state import StateStore
 from shelfmark.schemas import DOC_KEYS, ChunkParams
-from shelfmark.session import new_work_path, ship
+from shelfmark.session import new_work_path, ship, stage
 from shelfmark.sources.graph import items_from_bindings
 from shelfmark.sources.objects import index_files, index_summary, indexed, list_components
 from shelfmark.sources.packages import package_entries
@@ -298,7 +299,7 @@ def default_chunks(spark, sf):
 def semantic_chunks(spark, sf):
     docs = table(spark, sf, "documents").select("doc_id", "text")
     pieces = chunking.semantic_pieces(docs, SEMANTIC, HashedEmbedder(DIM))
-    return pieces.select("doc_id", F.posexplode("pieces").alias("position", "piece")).select(
+    return unnest(pieces, F.col("pieces"), "piece", "position").select(
         "doc_id", "position", "piece.start_index", F.md5("piece.text").alias("text_md5")
     )
 
@@ -321,9 +322,8 @@ def points_upsert(spark, sf):
     """Points written in two overlapping parts: the second replaces what both hold."""
     target = Collection(spark, new_work_path(spark, "points"))
     target.ensure(DIM)
-    made = points.to_points(_document_chunks(spark, sf), HashedEmbedder(DIM))
-    german = F.col("payload")["package"].isin("src1", "src2", "src3")
-    target.upsert(made.filter(german))
+    made = stage(points.to_points(_document_chunks(spark, sf), HashedEmbedder(DIM)), "made")
+    target.upsert(made.filter(F.col("payload")["package"].isin("src1", "src2", "src3")))
     target.upsert(made)
     return target.points().select("id", "qid", F.md5("page_content").alias("text_md5"))
 
@@ -343,8 +343,8 @@ def embedding_prefix_(spark, sf):
 def hash_embedding(spark, sf):
     turns = table(spark, sf, "conversations")
     embedded = turns.select("conv_id", "turn", embed_column(F.col("text"), HashedEmbedder(DIM)).alias("v"))
-    entries = embedded.select("conv_id", "turn", F.posexplode("v").alias("bucket", "weight"))
-    return entries.filter("weight > 0").withColumn("weight", F.round(F.col("weight").cast("double"), 6))
+    entries = unnest(embedded, F.col("v"), "weight", "bucket").drop("v").filter("weight > 0")
+    return entries.withColumn("weight", F.round(F.col("weight").cast("double"), 6))
 
 
 @query
@@ -358,7 +358,7 @@ def embed_user_model(spark, sf):
 def vector_normalize(spark, sf):
     scaled = F.transform("embedding", lambda x: (x.cast("double") * (F.col("label") + 2)))
     unit = vectors.normalize(scaled)
-    rows = table(spark, sf, "embeddings").select("vec_id", F.posexplode(unit).alias("at", "value"))
+    rows = unnest(table(spark, sf, "embeddings"), unit, "value", "at").select("vec_id", "at", "value")
     return rows.withColumn("value", F.round(F.col("value").cast("double"), 6))
 
 

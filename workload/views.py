@@ -15,8 +15,20 @@ GRAPH = "Atlas"
 GRAPH_TYPE = "ATLAS_KG_ITEM"
 
 
+# Columns to spread a table by when it is a file of one piece.
+SPREAD_BY = {"orders": "o_orderkey", "documents": "doc_id", "pages": "page_id"}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """A given table. A small file that cannot be split is spread over the cores.
+
+    A table of many files, or of many row groups, is read as it is split already.
+    """
+    df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    cores = spark.sparkContext.defaultParallelism
+    if name in SPREAD_BY and df.rdd.getNumPartitions() < cores:
+        return df.repartition(cores, SPREAD_BY[name])
+    return df
 
 
 def _text(column: str) -> Column:
