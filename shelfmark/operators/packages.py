@@ -79,10 +79,14 @@ def package_json(documents: DataFrame) -> DataFrame:
 
 
 def write_packages(documents: DataFrame, root: str) -> None:
-    """One JSON document per package, below ``<root>/planned/package_id=…``."""
+    """One JSON document per package, below ``<root>/planned/package_id=…``.
+
+    Packages already there under other names stay.
+    """
     target = "/".join(p for p in (root.rstrip("/"), "planned") if p)
     bodies = package_json(documents).select(F.col("package_id"), F.col("body").alias("value"))
-    bodies.repartition("package_id").write.mode("overwrite").partitionBy("package_id").text(target)
+    writer = bodies.repartition("package_id").write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    writer.partitionBy("package_id").text(target)
 
 
 def reservations(packaged: DataFrame, planned_at: datetime | Column) -> DataFrame:

@@ -10,18 +10,22 @@ from shelfmark.schemas import PLAN
 from shelfmark.session import path_exists
 
 
-def package_path(root: str, name: str) -> str:
-    """``<root>/planned/<name>.json``; the suffix may be left out."""
-    file = name if name.endswith(".json") else f"{name}.json"
-    return "/".join(p for p in (root.rstrip("/"), "planned", file) if p)
+def package_paths(root: str, name: str) -> list[str]:
+    """Where a package may be: a single file, or the folder that ``write_packages`` makes.
+
+    The suffix ``.json`` may be left out of the name.
+    """
+    plain = name.removesuffix(".json")
+    folder = "/".join(p for p in (root.rstrip("/"), "planned") if p)
+    return [f"{folder}/{plain}.json", f"{folder}/package_id={plain}"]
 
 
 def read_package(spark: SparkSession, root: str, name: str) -> DataFrame | None:
-    """The text of one package file as ``body``, or None when there is no such file."""
-    path = package_path(root, name)
-    if not path_exists(spark, path):
-        return None
-    return spark.read.text(path, wholetext=True).withColumnRenamed("value", "body")
+    """The text of one package as ``body``, or None when there is no such package."""
+    for path in package_paths(root, name):
+        if path_exists(spark, path):
+            return spark.read.text(path, wholetext=True).withColumnRenamed("value", "body")
+    return None
 
 
 def package_entries(bodies: DataFrame, column: str = "body") -> DataFrame:
