@@ -15,6 +15,7 @@ from shelfmark.operators.arrays import unnest
 from shelfmark.operators.embedding import Embedder, HashedEmbedder
 from shelfmark.operators.ordinals import running_offset
 from shelfmark.schemas import DOC_KEYS, ChunkParams
+from shelfmark.session import stage
 
 # Distances are compared after rounding: equal windows must give exactly equal distances.
 DISTANCE_DIGITS = 9
@@ -174,10 +175,14 @@ def chunk_pages(
     embedder: Embedder | None = None,
     doc: Sequence[str] = DOC_KEYS,
 ) -> DataFrame:
-    """Semantic pieces, oversize split, running index: one row per chunk."""
+    """Semantic pieces, oversize split, running index: one row per chunk.
+
+    The pieces are written out before they are numbered: numbering reads their
+    counts and their texts, and embedding sentences twice costs more.
+    """
     split = semantic_pieces(pages, params, embedder).drop("seconds", "timed_out")
-    split = split.withColumn("pieces", split_oversize(F.col("pieces"), params))
-    return number_chunks(split, "pieces", doc)
+    split = split.withColumn("pieces", split_oversize(F.col("pieces"), params)).drop("text")
+    return number_chunks(stage(split, "pieces"), "pieces", doc)
 
 
 def fixed_chunks(pages: DataFrame, params: ChunkParams = ChunkParams(), doc: Sequence[str] = DOC_KEYS) -> DataFrame:

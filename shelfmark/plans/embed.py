@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 from datetime import datetime, timezone
 
@@ -20,6 +20,7 @@ from shelfmark.operators.upsert import upsert
 from shelfmark.plans.collection import Collection
 from shelfmark.schemas import CRAN_PACKAGE, DOC_KEYS, STATUS_OK, STATUS_TIMEOUT, ChunkParams
 from shelfmark.session import stage
+from shelfmark.sources.objects import fetch_contents, select_contents
 from shelfmark.sources.pages import Extractor, load_pages, split_errors
 
 
@@ -35,7 +36,7 @@ class EmbedRun:
 
 def embed_backlog(
     todo: DataFrame,
-    contents: DataFrame,
+    contents: DataFrame | Callable[[str], bytes],
     status: DataFrame,
     collection: Collection,
     embedder: Embedder,
@@ -52,8 +53,10 @@ def embed_backlog(
     replace_document: bool = False,
     now: datetime | None = None,
 ) -> EmbedRun:
-    """Embed the ``(qid, component)`` rows of ``todo`` whose bytes are in ``contents`` (``key, content``).
+    """Embed the ``(qid, component)`` rows of ``todo``.
 
+    ``contents`` is a ``(key, content)`` table, or a function that reads one
+    object by key inside the tasks, so that nothing but the wanted files is read.
     Files with a status row (or one of ``skip_statuses``) are left out. A file
     over the page or time limit gets a failure status; one that cannot be read
     goes to quarantine without a status, as does nothing for a file without
@@ -65,7 +68,10 @@ def embed_backlog(
     """
     moment = now or datetime.now(timezone.utc)
     wanted = without_status(todo.select(*DOC_KEYS).distinct(), status, skip_statuses)
-    files = contents.withColumnRenamed("key", "component").join(wanted, "component")
+    if isinstance(contents, DataFrame):
+        files = select_contents(contents, wanted)
+    else:
+        files = fetch_contents(wanted, contents)
     pages = stage(load_pages(files, extractors), "pages")
     good, quarantine = split_errors(pages)
 

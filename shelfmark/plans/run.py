@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 from datetime import datetime
 
@@ -29,7 +30,7 @@ def incremental_run(
     collection: Collection,
     source_items: DataFrame,
     objects: DataFrame,
-    contents: DataFrame,
+    contents: DataFrame | Callable[[str], bytes],
     embedder: Embedder,
     *,
     item_cap: int | None = None,
@@ -67,7 +68,7 @@ def run_package(
     collection: Collection,
     plan_root: str,
     name: str,
-    contents: DataFrame,
+    contents: DataFrame | Callable[[str], bytes],
     embedder: Embedder,
     *,
     now: datetime | None = None,

@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable, Iterator
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shelfmark.functions import keys
+from shelfmark.operators.joins import spread_join
 from shelfmark.schemas import ALLOWED_EXTENSIONS
 
 
@@ -46,9 +48,57 @@ def _relative(path: Column, root: str) -> Column:
     return F.substring_index(path, f"/{base}/", -1)
 
 
-def fetch(contents: DataFrame, wanted: DataFrame) -> DataFrame:
-    """Contents of the wanted ``(qid, component)`` rows."""
-    return wanted.join(contents.withColumnRenamed("key", "component"), "component")
+# Keys sent to every task at most; a key list of this length is some 100 MB.
+MAX_SHARED_KEYS = 500_000
+
+
+def select_contents(contents: DataFrame, wanted: DataFrame) -> DataFrame:
+    """Rows of a ``(key, content)`` table that are wanted: ``qid, component, content``.
+
+    File bytes are the bulk of the data. As long as the list of wanted files
+    is short, which is counted, it goes to the contents, and they stay where
+    they are.
+    """
+    listed = wanted.select("qid", "component")
+    if listed.limit(MAX_SHARED_KEYS + 1).count() <= MAX_SHARED_KEYS:
+        listed = F.broadcast(listed)
+    return contents.withColumnRenamed("key", "component").join(listed, "component").select("qid", "component", "content")
+
+
+def file_reader(root: str) -> Callable[[str], bytes]:
+    """Reads an object by key from a folder or store that every executor reaches."""
+
+    def read(key: str) -> bytes:
+        from pyarrow import fs
+
+        store, path = fs.FileSystem.from_uri(f"{root.rstrip('/')}/{key}")
+        with store.open_input_stream(path) as stream:
+            return stream.read()
+
+    return read
+
+
+def fetch_contents(wanted: DataFrame, read: Callable[[str], bytes]) -> DataFrame:
+    """Bytes of each wanted file, and of no other: ``qid, component, content, error``.
+
+    Fetching runs in the tasks, one file at a time; keys are spread evenly
+    first. A file that cannot be fetched has an error and no content.
+    """
+
+    def fetch(key: str) -> tuple:
+        try:
+            return read(key), None
+        except Exception as exc:  # one missing file must not stop the batch
+            return None, f"{type(exc).__name__}: {exc}"
+
+    @F.pandas_udf("struct<content: binary, error: string>")
+    def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            yield pd.DataFrame([fetch(key) for key in batch], columns=["content", "error"])
+
+    partitions = int(wanted.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    spread = wanted.select("qid", "component").repartition(partitions, "component")
+    return spread.withColumn("_got", run("component")).select("qid", "component", "_got.content", "_got.error")
 
 
 def index_files(
@@ -91,4 +141,5 @@ def list_components(objects: DataFrame, items: DataFrame, branch: str | None = N
     wanted = items.select(
         "qid", F.concat(F.lit(lead), keys.shard_path(F.col("qid"))).alias("folder")
     )
-    return listed.join(wanted, "folder").select("qid", "component_name")
+    found = spread_join(listed, wanted, ["folder"], ["component_name"])
+    return found.select("qid", "component_name")

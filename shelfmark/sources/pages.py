@@ -69,7 +69,8 @@ def load_pages(files: DataFrame, extractors: Mapping[str, Extractor] | None = No
     """Pages of ``(qid, component, content)`` files: ``qid, component, page, title, text, error``.
 
     A file that cannot be read gives one row with ``error`` set and no text;
-    it never stops the other files.
+    it never stops the other files. An ``error`` column of the input, from
+    fetching, is passed on.
     """
     extractors = dict(extractors or {})
     ext, content = F.col("ext"), F.col("content")
@@ -79,11 +80,16 @@ def load_pages(files: DataFrame, extractors: Mapping[str, Extractor] | None = No
         parsed = F.when(ext == "html", parse_html(content)).otherwise(parsed)
     if "txt" not in extractors:
         parsed = F.when(ext == "txt", parse_text(content)).otherwise(parsed)
-    typed = files.select("qid", "component", keys.extension(F.col("component")).alias("ext"), "content")
+    fetched = F.col("error") if "error" in files.columns else _null()
+    typed = files.select(
+        "qid", "component", keys.extension(F.col("component")).alias("ext"), "content", fetched.alias("fetch_error")
+    )
     if extractors:
-        chosen = ext.isin(*extractors)
+        chosen = ext.isin(*extractors) & content.isNotNull()
         typed = typed.withColumn("found", _extract(extractors)(ext, F.when(chosen, content)))
         parsed = F.when(chosen, F.col("found")).otherwise(parsed)
+    failed = F.col("fetch_error").isNotNull()
+    parsed = F.when(failed, _parsed(F.lit(None).cast("array<string>"), _null(), F.col("fetch_error"))).otherwise(parsed)
     rows = typed.select("qid", "component", parsed.alias("doc"))
     # A file without pages and without an error has nothing to show and gives no row.
     listed = F.coalesce("doc.texts", F.array(_null()))

@@ -15,6 +15,7 @@ from shelfmark.plans.run import incremental_run, run_package
 from shelfmark.plans.state import StateStore, state_name
 from shelfmark.schemas import FILES, ITEMS, STATUS, ChunkParams
 from shelfmark.session import empty
+from shelfmark.sources.objects import file_reader
 
 NOW = datetime(2024, 1, 1, 12, tzinfo=timezone.utc)
 POINT = "id string, qid string, component string, vector array<float>, page_content string, payload map<string,string>"
@@ -176,6 +177,14 @@ def test_outcomes(spark, collection):
     assert ("d/done.txt", "ok") in rows(retried.status, "component", "status")
 
 
+def test_files_fetched_by_key(spark, collection, tmp_path):
+    (tmp_path / "a.txt").write_text("Hello.")
+    todo = spark.createDataFrame([("Q1", "a.txt"), ("Q1", "gone.txt")], "qid string, component string")
+    run = embed_backlog(todo, file_reader(str(tmp_path)), empty(spark, STATUS), collection, HashedEmbedder(8), now=NOW)
+    assert rows(run.status, "component", "status") == [("a.txt", "ok")]
+    assert rows(run.quarantine, "component") == [("gone.txt",)]
+
+
 def test_rerun_after_lost_status(spark, collection):
     """Points stored, status lost: the next run ends with the same points."""
     for _ in range(2):

@@ -51,10 +51,22 @@ def test_folder_is_not_searched_below(spark, tree):
     assert column(objects.read_folder(spark, f"{tree}/main/raw/Q987"), "key") == []
 
 
-def test_fetch(spark, tree, table):
+def test_contents_of_wanted_files(spark, tree, table, monkeypatch):
     wanted = table([("Q5", "main/raw/Q5/two.txt")], "qid string, component string")
-    found = objects.fetch(objects.read_contents(spark, tree, ".txt"), wanted).collect()
-    assert [(r.qid, bytes(r.content)) for r in found] == [("Q5", b"page one\x0cpage two")]
+    contents = objects.read_contents(spark, tree, ".txt")
+    found = objects.select_contents(contents, wanted)
+    assert [(r.qid, bytes(r.content)) for r in found.collect()] == [("Q5", b"page one\x0cpage two")]
+    assert "BroadcastHashJoin" in found._jdf.queryExecution().executedPlan().toString()
+    monkeypatch.setattr(objects, "MAX_SHARED_KEYS", 0)
+    assert objects.select_contents(contents, wanted).count() == 1
+
+
+def test_fetch_reads_each_file_in_the_tasks(tree, table):
+    wanted = table([("Q5", "main/raw/Q5/two.txt"), ("Q6", "main/raw/Q6/gone.txt")], "qid string, component string")
+    fetched = objects.fetch_contents(wanted, objects.file_reader(tree))
+    good, bad = pages.split_errors(pages.load_pages(fetched))
+    assert rows(good, "qid", "page", "text") == [("Q5", 0, "page one"), ("Q5", 1, "page two")]
+    assert [(r.qid, "FileNotFoundError" in r.error) for r in bad.collect()] == [("Q6", True)]
 
 
 def test_list_components(table):
