@@ -89,11 +89,14 @@ _MODELS: dict[str, object] = {}
 class ModelEmbedder:
     """A user model: ``factory()`` gives a callable ``list[str] -> vectors``.
 
-    The factory runs once per Python worker, on first use.
+    The factory runs once per Python worker, on first use. Without ``dim`` it
+    also runs here, once, to find the vector size from one short text.
     """
 
-    def __init__(self, factory: Callable[[], Callable[[list[str]], object]], dim: int, batch_size: int = 256) -> None:
-        self.dim = dim
+    def __init__(
+        self, factory: Callable[[], Callable[[list[str]], object]], dim: int | None = None, batch_size: int = 256
+    ) -> None:
+        self.dim = len(np.asarray(factory()(["dimension probe"]))[0]) if dim is None else dim
         self.batch_size = batch_size
         self._factory = factory
         self._key = uuid.uuid4().hex
@@ -132,7 +135,7 @@ class ModelEmbedder:
         return np.concatenate(parts)
 
 
-def row_embedder(embed_one: Callable[[str], Sequence[float]], dim: int) -> ModelEmbedder:
+def row_embedder(embed_one: Callable[[str], Sequence[float]], dim: int | None = None) -> ModelEmbedder:
     """A model given as a function of one text."""
     return ModelEmbedder(lambda: lambda texts: [embed_one(t) for t in texts], dim)
 

@@ -6,6 +6,7 @@ Layout below one root, with a single writer:
     collection/            one row: vector size and distance
     commits/               one row per finished write; ``base`` is the first segment that counts
     data/segment=<n>/      points
+    text/segment=<n>/      full-text postings
     removed/segment=<n>/   ids whose points in earlier segments no longer count
 """
 
@@ -20,12 +21,14 @@ from pyspark.sql import types as T
 
 from shelfmark.functions.vectors import resolve_metric
 from shelfmark.operators.joins import spread_join
+from shelfmark.operators.textindex import postings, write_index
 from shelfmark.schemas import POINTS
 from shelfmark.session import drop_path, empty, path_exists
 
 _COLLECTION = "name string, vector_size int, distance string"
 _COMMITS = "segment bigint, base bigint, n_points bigint, n_removed bigint, created_at string"
 _REMOVED = "id string"
+_POSTINGS = "token string, id string, bucket int"
 
 
 class Collection:
@@ -89,7 +92,9 @@ class Collection:
 
     def _live(self, columns: Sequence[str]) -> DataFrame:
         totals = self._totals()
-        rows = self._stored("data", POINTS, totals).select(*columns, "segment")
+        return self._without_removed(self._stored("data", POINTS, totals).select(*columns, "segment"), totals)
+
+    def _without_removed(self, rows: DataFrame, totals: Row) -> DataFrame:
         if totals.n_removed == 0:
             return rows
         removed = self._stored("removed", _REMOVED, totals)
@@ -101,6 +106,20 @@ class Collection:
         """All current points."""
         return self._live(POINTS.fieldNames()).drop("segment")
 
+    def ensure_text_index(self) -> None:
+        """Index the texts of all segments that are not indexed yet."""
+        totals = self._totals()
+        for segment in range(totals.base, totals.last + 1):
+            path = f"{self.root}/text/segment={segment}"
+            if not path_exists(self.spark, f"{path}/_SUCCESS"):
+                texts = self.spark.read.schema(POINTS).parquet(f"{self.root}/data/segment={segment}")
+                write_index(postings(texts), path)
+
+    def text_index(self) -> DataFrame:
+        """Postings ``token, id, bucket`` of the current points, as far as they are indexed."""
+        totals = self._totals()
+        return self._without_removed(self._stored("text", _POSTINGS, totals), totals).drop("segment")
+
     def upsert(
         self, points: DataFrame, replace_by: Sequence[str] | None = None, now: datetime | None = None
     ) -> int:
@@ -160,7 +179,7 @@ class Collection:
         n_points = self.spark.read.schema(POINTS).parquet(data).count()
         # The commit moves the base; until then readers see the former segments.
         self._commit(segment, segment, n_points, 0)
-        for name in ("data", "removed"):
+        for name in ("data", "removed", "text"):
             for old in range(totals.base, segment):
                 drop_path(self.spark, f"{self.root}/{name}/segment={old}")
 

@@ -16,10 +16,12 @@ from shelfmark.session import stage
 
 
 def plan_packages(
-    store: StateStore, root: str, size: int = 10, packages: int = 1, now: datetime | None = None
+    store: StateStore, root: str, size: int = 10, packages: int | None = None, now: datetime | None = None
 ) -> tuple[DataFrame, Published | None]:
     """Write package files for pending work and publish the reservations.
 
+    Without ``packages`` the whole backlog is cut.
+
     Returns the packaged rows and the published state; without pending work
     nothing is written. The checksum in the files is that of the state before
     the reservations.

@@ -11,6 +11,7 @@ from __future__ import annotations
 from collections.abc import Mapping
 from dataclasses import dataclass
 from datetime import datetime, timezone
+from functools import reduce
 
 from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
@@ -120,15 +121,16 @@ class StateStore:
         version = (newest.version if newest else 0) + 1
         moment = now or datetime.now(timezone.utc)
         snapshot_id = f"{moment.strftime('%Y%m%dT%H%M%SZ')}-{version:06d}"
-        prints, counts = [], {}
+        written = []
         for name, (schema, keys) in self.tables.items():
             path = self.snapshot_path(snapshot_id, name)
             typed = tables[name].select(*[F.col(f.name).cast(f.dataType) for f in schema.fields])
             require_keys(typed, keys).write.mode("overwrite").parquet(path)
-            written = table_fingerprint(self.spark.read.schema(schema).parquet(path)).collect()[0]
-            prints.append(f"{name}={written.fingerprint}")
-            counts[name] = written.n
-        fingerprint = ";".join(prints)
+            stored = self.spark.read.schema(schema).parquet(path)
+            written.append(table_fingerprint(stored).withColumn("table", F.lit(name)))
+        found = {r.table: r for r in reduce(DataFrame.unionByName, written).collect()}
+        counts = {name: found[name].n for name in self.tables}
+        fingerprint = ";".join(f"{name}={found[name].fingerprint}" for name in self.tables)
         if newest is not None and newest.fingerprint == fingerprint:
             drop_path(self.spark, f"{self.root}/snap={snapshot_id}")
             return Published(False, newest.snapshot_id, None)

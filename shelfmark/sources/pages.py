@@ -10,12 +10,13 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator, Mapping
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shelfmark.functions import keys
 from shelfmark.functions.text import html_title, strip_html
 from shelfmark.operators.arrays import unnest
+from shelfmark.sources.objects import read_folder
 
 # bytes -> page texts, or (page texts, title)
 Extractor = Callable[[bytes], "list[str] | tuple[list[str], str | None]"]
@@ -98,6 +99,15 @@ def load_pages(files: DataFrame, extractors: Mapping[str, Extractor] | None = No
     )
 
 
+def load_folder(
+    spark: SparkSession, folder: str, suffix: str = ".pdf", extractors: Mapping[str, Extractor] | None = None
+) -> DataFrame:
+    """Pages of the files directly in ``folder`` whose name ends with ``suffix``; they belong to no item."""
+    files = read_folder(spark, folder, suffix)
+    named = files.select(_null().alias("qid"), F.col("key").alias("component"), "content")
+    return load_pages(named, extractors)
+
+
 def split_errors(pages: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Readable pages, and the quarantined files with their errors."""
     good = pages.filter(F.col("error").isNull()).drop("error")

@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from shelfmark.operators.embedding import HashedEmbedder, ModelEmbedder, row_embedder
+from shelfmark.operators.textindex import lookup
 from shelfmark.plans.collection import Collection, added_points
 from shelfmark.plans.embed import embed_backlog
 from shelfmark.plans.planning import plan_packages
@@ -102,6 +103,22 @@ def test_collection_upserts(spark, collection):
     assert added_points(2, 5) == 3 and added_points(None, 5) is None
 
 
+def test_text_index_follows_the_points(spark, collection):
+    collection.ensure(1)
+    collection.ensure_text_index()
+    assert collection.text_index().count() == 0
+    collection.upsert(points(spark, [("a", "Q1", "c", [1.0], "red fox"), ("b", "Q1", "c", [1.0], "red hen")]))
+    collection.ensure_text_index()
+    collection.ensure_text_index()
+    assert rows(collection.text_index(), "token", "id") == [("fox", "a"), ("hen", "b"), ("red", "a"), ("red", "b")]
+    collection.upsert(points(spark, [("a", "Q1", "c", [1.0], "blue fox")]))
+    collection.ensure_text_index()
+    assert rows(lookup(collection.text_index(), ["red", "blue"]), "token", "id") == [("blue", "a"), ("red", "b")]
+    collection.compact()
+    collection.ensure_text_index()
+    assert collection.text_index().count() == 4
+
+
 def test_collection_distance(spark, tmp_path):
     made = Collection(spark, str(tmp_path), "c", "manhattan")
     made.ensure(3)
@@ -212,7 +229,7 @@ def test_timeout_status(spark, collection):
 
 
 def test_two_pending_files_with_toy_embedder(spark, collection):
-    run = embed(spark, collection, [("file1.txt", b"x" * 300), ("file2.txt", b"y" * 5)], embedder=row_embedder(lambda t: [1.0, 2.0, 3.0], 3),
+    run = embed(spark, collection, [("file1.txt", b"x" * 300), ("file2.txt", b"y" * 5)], embedder=row_embedder(lambda t: [1.0, 2.0, 3.0]),
                 id_cols=("qid", "component"))
     assert rows(run.summary) == [("ok", 2)]
     assert collection.points().select("vector").distinct().collect()[0].vector == [1.0, 2.0, 3.0]

@@ -51,6 +51,11 @@ def test_folder_is_not_searched_below(spark, tree):
     assert column(objects.read_folder(spark, f"{tree}/main/raw/Q987"), "key") == []
 
 
+def test_folder_pages(spark, tree):
+    found = pages.load_folder(spark, f"{tree}/main/raw/Q5", ".txt")
+    assert rows(found, "component", "page", "text") == [("two.txt", 0, "page one"), ("two.txt", 1, "page two")]
+
+
 def test_contents_of_wanted_files(spark, tree, table, monkeypatch):
     wanted = table([("Q5", "main/raw/Q5/two.txt")], "qid string, component string")
     contents = objects.read_contents(spark, tree, ".txt")

@@ -203,6 +203,9 @@ def sql() -> dict[str, str]:
     q["item_list_page"] = f"with {_TRIPLES} select qid from items order by qid limit 50 offset 10"
     q["items_incremental_anti"] = f"with {_TRIPLES} select qid from items where not c_acctbal > 0"
     q["items_from_bindings"] = "select 'Q' || c_custkey as qid from customer where c_mktsegment <> 'FURNITURE'"
+    q["shard_paths"] = f"""with {_TRIPLES}
+select qid, substr(d, 1, 2) || '/' || substr(d, 3, 2) || '/' || substr(d, 5, 2) || '/' || qid as path
+from (select qid, lpad(substr(qid, 2), greatest(6, length(qid) - 1)::int, '0') as d from items)"""
     q["file_index"] = f"{_STATE} select qid, component from files"
     q["file_index_summary"] = (
         f"{_STATE} select count(qid) as n_indexed, count(*) - count(qid) as n_skipped from listed"
@@ -229,6 +232,7 @@ select 'plan_localworker_' || case when package < 9 then '0' else '' end || (pac
   || string_agg('{{"qid":"' || qid || '","component":"' || component || '","document_type":"CRAN_PACKAGE"}}', ',' order by position)
   || ']}}' as body
 from packaged group by package"""
+    q["plan_files"] = f"{_STATE} select qid, component from retry"
     q["plan_entries"] = f"""{_STATE}
 select qid, k as component, qid is not null as is_valid from listed"""
     q["status_upsert"] = f"""{_STATE}, {packaged},
@@ -335,6 +339,8 @@ from scaled"""
     q["knn_blocked"] = _knn("list_cosine_similarity(q.e, c.e)", "desc", 10)
     q["retrieve_text"] = f"""{_RETRIEVED}
 select query_id, id, score, rank, md5(text) as text_md5 from ranked join documents on doc_id = id where rank <= 30"""
+    q["retrieve_with_vectors"] = f"""{_RETRIEVED}
+select query_id, id, rank, 64 as vector_size, md5(text) as text_md5 from ranked join documents on doc_id = id where rank <= 5"""
     q["rag_context"] = f"{_RETRIEVED} select query_id, context from contexts"
     q["rag_prompt"] = f"""{_RETRIEVED}
 select query_id, {_prompt_sql()} as prompt from questions left join contexts using (query_id)"""
@@ -354,6 +360,7 @@ matched as (select item_id as query_id, doc_id as id, count(*) as n_matched from
     q["token_frequency"] = f"with {tokens} select tok as token, count(*) as n_docs from tokens group by 1"
     q["lexical_match_all"] = f"""with {tokens}, {wanted}
 select query_id, id, n_matched from matched join sizes on item_id = query_id where n_matched = n"""
+    q["text_index_lookup"] = q["lexical_match_all"]
     q["lexical_match_any"] = f"with {tokens}, {wanted} select query_id, id, n_matched from matched"
     q["semantic_chunks"] = f"""{_semantic(300, 0.8)}
 select doc_id, chunk as position, start_index, md5(text) as text_md5 from chunked"""
@@ -386,4 +393,8 @@ union all select 'component_index', count(*) from documents where lang <> 'de'
 union all select 'embeddings_index', count(*) from documents where lang <> 'de'"""
     q["stream_file_index"] = q["file_index"]
     q["stream_status_latest"] = latest
+    q["stream_embed"] = """
+select 'Q' || doc_id as qid, 'main/Q' || doc_id || '/components/' || source || '_1.' || doc_id || '.txt' as component,
+  'ok' as status
+from documents"""
     return q

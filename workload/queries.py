@@ -23,6 +23,7 @@ from shelfmark.operators.packages import cut_packages, package_documents, packag
 from shelfmark.operators.upsert import latest_by_key, upsert
 from shelfmark.plans.collection import Collection
 from shelfmark.plans.embed import embed_backlog
+from shelfmark.plans.planning import plan_packages
 from shelfmark.plans.retrieve import retrieve
 from shelfmark.plans.run import incremental_run
 from shelfmark.plans.state import StateStore
@@ -30,7 +31,7 @@ from shelfmark.schemas import DOC_KEYS, ChunkParams
 from shelfmark.session import new_work_path, ship, stage
 from shelfmark.sources.graph import items_from_bindings
 from shelfmark.sources.objects import index_files, index_summary, indexed, list_components
-from shelfmark.sources.packages import package_entries
+from shelfmark.sources.packages import package_entries, read_entries
 from shelfmark.streaming import jobs
 from workload import views
 from workload.views import table
@@ -102,6 +103,11 @@ def items_from_bindings_(spark, sf):
 # File index --------------------------------------------------------------
 
 
+@query
+def shard_paths(spark, sf):
+    return views.items(spark, sf).select("qid", keys.shard_path(F.col("qid")).alias("path"))
+
+
 @query
 def file_index(spark, sf):
     return indexed(index_files(views.objects(spark, sf)))
@@ -181,6 +187,19 @@ def plan_entries(spark, sf):
     return package_entries(bodies).drop("document_type")
 
 
+@query
+def plan_files(spark, sf):
+    """Package files for the whole backlog, written and read back."""
+    root = new_work_path(spark, "plans")
+    store = StateStore(spark, f"{root}/state")
+    tables = _state(spark, sf)
+    tables["software_index"] = tables["software_index"].withColumn("updated_at", F.lit(None).cast("timestamp"))
+    store.publish(tables)
+    plan_packages(store, root, size=100)
+    stored = spark.read.text(f"{root}/planned").select("package_id", F.col("value").alias("body"))
+    return read_entries(stored)[0]
+
+
 @query
 def status_upsert(spark, sf):
     planned = reservations(work_packages(spark, sf), datetime(2024, 1, 1, tzinfo=timezone.utc))
@@ -403,14 +422,14 @@ def knn_lsh(spark, sf):
     return ann.approximate_top_k(corpus, asked, 10, dim=64)
 
 
-def _retrieved(spark, sf, k):
+def _retrieved(spark, sf, k, **options):
     embedder = HashedEmbedder(DIM)
     corpus = table(spark, sf, "documents").select(
         F.col("doc_id").alias("id"),
         embed_column(F.col("text"), embedder).alias("vector"),
         F.create_map(F.lit("page_content"), F.col("text")).alias("payload"),
     )
-    return retrieve(corpus, views.user_questions(spark, sf), embedder, k)
+    return retrieve(corpus, views.user_questions(spark, sf), embedder, k, **options)
 
 
 @query
@@ -418,6 +437,13 @@ def retrieve_text(spark, sf):
     return _retrieved(spark, sf, 30).select("query_id", "id", "score", "rank", F.md5("page_content").alias("text_md5"))
 
 
+@query
+def retrieve_with_vectors(spark, sf):
+    hits = _retrieved(spark, sf, 5, with_vectors=True)
+    size = F.size("vector").alias("vector_size")
+    return hits.select("query_id", "id", "rank", size, F.md5(F.col("metadata")["page_content"]).alias("text_md5"))
+
+
 @query
 def rag_context(spark, sf):
     return context.contexts(_retrieved(spark, sf, 5))
@@ -461,6 +487,14 @@ def lexical_match_any(spark, sf):
     return textindex.lexical_match(_postings(spark, sf), _benchmark(spark, sf), "or")
 
 
+@query
+def text_index_lookup(spark, sf):
+    """Postings written by token bucket, matched from there."""
+    path = new_work_path(spark, "text")
+    textindex.write_index(_postings(spark, sf), path)
+    return textindex.lexical_match(spark.read.parquet(path), _benchmark(spark, sf), "and")
+
+
 # Runs --------------------------------------------------------------------
 
 
@@ -553,3 +587,16 @@ def stream_status_latest(spark, sf):
     jobs.status_stream(views.status_events(_stream(spark, sf, "events")), log, f"{root}/checkpoint").awaitTermination()
     newest = log.current()
     return newest.withColumn("updated_at", F.date_format("updated_at", "yyyy-MM-dd HH:mm:ss.SSSSSS"))
+
+
+@query
+def stream_embed(spark, sf):
+    root = new_work_path(spark, "stream")
+    store, target = StateStore(spark, f"{root}/state"), Collection(spark, f"{root}/points")
+    number = F.col("doc_id").cast("string")
+    key = F.concat(F.lit("main/Q"), number, F.lit("/components/"), F.col("source"), F.lit("_1."), number, F.lit(".txt"))
+    files = _stream(spark, sf, "documents").select(key.alias("key"), F.encode("text", "UTF-8").alias("content"))
+    jobs.embed_stream(
+        files, store, target, HashedEmbedder(DIM), f"{root}/checkpoint", known_only=False
+    ).awaitTermination()
+    return store.read()["embeddings_index"].select("qid", "component", "status")
