@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shelfmark.operators.joins import spread_join
+from shelfmark.operators.joins import narrow_join
 from shelfmark.schemas import DOC_KEYS, STATUS_TOO_LARGE
 
 
@@ -28,5 +28,9 @@ def oversized(pages: DataFrame, max_pages: int | None, doc: Sequence[str] = DOC_
 def within_limit(
     pages: DataFrame, too_large: DataFrame, doc: Sequence[str] = DOC_KEYS, order: str = "page"
 ) -> DataFrame:
-    """Pages of the other documents. The pages of a huge one are spread before they are dropped."""
-    return spread_join(pages, too_large.select(*doc), doc, [order], "left_anti")
+    """Pages of the other documents.
+
+    Usually few documents are too large, and the pages stay where they are;
+    else the pages of a huge document are spread before they are dropped.
+    """
+    return narrow_join(pages, too_large.select(*doc), doc, [order], "left_anti")

@@ -9,6 +9,14 @@ from pyspark.sql import functions as F
 
 SALTS = 16
 
+# Rows of a key list that is sent to every task; at some 200 bytes a row, 100 MB.
+MAX_BROADCAST_ROWS = 500_000
+
+
+def is_small(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> bool:
+    """Whether ``df`` has at most ``max_rows`` rows. Runs a job that stops counting there."""
+    return df.limit(max_rows + 1).count() <= max_rows
+
 
 def spread_join(
     left: DataFrame,
@@ -32,3 +40,16 @@ def spread_join(
     all_salts = F.explode(F.sequence(F.lit(0), F.lit(salts - 1)))
     salted_right = right.withColumn("_salt", all_salts).withColumn("_salt", F.col("_salt").cast("bigint"))
     return salted_left.join(salted_right, [*on, "_salt"], how).drop("_salt")
+
+
+def narrow_join(
+    left: DataFrame, right: DataFrame, on: Sequence[str], spread_by: Sequence[str], how: str = "inner"
+) -> DataFrame:
+    """Join a wide left side with a narrow key list, without moving the left side if that can be.
+
+    The key list is counted: a small one is broadcast, a large one is joined
+    with the left rows spread (``spread_join``).
+    """
+    if is_small(right):
+        return left.join(F.broadcast(right), list(on), how)
+    return spread_join(left, right, on, spread_by, how)

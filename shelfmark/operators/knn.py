@@ -27,6 +27,7 @@ BLOCK_QUERY_ROWS = 4_096
 
 SCORE_DIGITS = 6
 _QUERY_STEP = 512
+_PAIR_STEP = 500_000
 _MERGE_SALTS = 32
 
 
@@ -56,59 +57,98 @@ def _labels(column: pa.ChunkedArray | pa.Array) -> np.ndarray:
     return np.asarray(column.to_pylist(), dtype=str)
 
 
-def score_matrix(metric: str, corpus: np.ndarray, queries: np.ndarray) -> np.ndarray:
-    """Rounded scores, one row per corpus row and one column per query."""
-    if metric in ("COSINE", "DOT"):
-        scores = corpus @ queries.T
-        if metric == "COSINE":
-            scale = np.outer(np.linalg.norm(corpus, axis=1), np.linalg.norm(queries, axis=1))
-            scores = np.divide(scores, scale, out=np.zeros_like(scores), where=scale > 0)
-    else:
-        scores = np.empty((len(corpus), len(queries)))
-        for j, query in enumerate(queries):
-            gap = corpus - query
-            scores[:, j] = np.abs(gap).sum(axis=1) if metric == "MANHATTAN" else np.sqrt((gap * gap).sum(axis=1))
-    return np.round(scores, SCORE_DIGITS) + 0.0
+class Scorer:
+    """Costs (smaller is better) of corpus rows for a block of queries under one metric."""
+
+    def __init__(self, metric: str, queries: np.ndarray) -> None:
+        self.metric = metric
+        self.queries = _unit(queries) if metric == "COSINE" else queries
+        self.sign = -1.0 if METRICS[metric] else 1.0
+        self.squares = (self.queries * self.queries).sum(axis=1)
+
+    def prepare(self, corpus: np.ndarray) -> np.ndarray:
+        return _unit(corpus) if self.metric == "COSINE" else corpus
+
+    def rough(self, corpus: np.ndarray) -> np.ndarray:
+        """One row per query; in the order of the exact costs up to ``slack``. Squared for EUCLID."""
+        if self.metric == "MANHATTAN":
+            return np.stack([np.abs(corpus - q).sum(axis=1) for q in self.queries])
+        products = self.queries @ corpus.T
+        if self.metric == "EUCLID":
+            products *= -2.0
+            products += self.squares[:, None]
+            products += (corpus * corpus).sum(axis=1)
+            return products
+        return np.negative(products, out=products)
+
+    def rough_limit(self, cost: np.ndarray, corpus: np.ndarray) -> np.ndarray:
+        """Bound on rough costs that no row with an exact cost up to ``cost`` exceeds."""
+        limit = cost + 2 * 10.0**-SCORE_DIGITS
+        if self.metric == "EUCLID":
+            limit = limit * limit
+        size = self.squares + (corpus * corpus).sum(axis=1).max(initial=0.0)
+        return limit + 1e-9 * (1.0 + size)
+
+    def exact(self, corpus: np.ndarray, query: np.ndarray) -> np.ndarray:
+        """Rounded costs of (corpus row, query number) pairs."""
+        asked = self.queries[query]
+        if self.metric == "MANHATTAN":
+            cost = np.abs(corpus - asked).sum(axis=1)
+        elif self.metric == "EUCLID":
+            gap = corpus - asked
+            cost = np.sqrt((gap * gap).sum(axis=1))
+        else:
+            cost = -(corpus * asked).sum(axis=1)
+        return np.round(cost, SCORE_DIGITS) + 0.0
+
+
+def _unit(vectors: np.ndarray) -> np.ndarray:
+    lengths = np.linalg.norm(vectors, axis=1, keepdims=True)
+    return np.divide(vectors, lengths, out=np.zeros_like(vectors), where=lengths > 0)
 
 
 class BestK:
     """The best ``k`` rows seen so far for each of a block of queries; ties go to the smaller id."""
 
-    def __init__(self, n_queries: int, k: int, larger_is_better: bool) -> None:
+    def __init__(self, queries: np.ndarray, k: int, metric: str) -> None:
         self.k = k
-        self.sign = -1.0 if larger_is_better else 1.0
-        self.worst = np.full(n_queries, np.inf)
+        self.scorer = Scorer(metric, queries)
+        self.worst = np.full(len(queries), np.inf)
         self.query = np.zeros(0, dtype=np.int64)
         self.cost = np.zeros(0)
         self.id: np.ndarray | None = None
 
-    def add(self, ids: np.ndarray, scores: np.ndarray) -> None:
-        costs = self.sign * scores
-        if len(ids) > self.k:
-            # Nothing worse than the batch's own k-th row can survive.
-            limit = np.minimum(self.worst, np.partition(costs, self.k - 1, axis=0)[self.k - 1])
-        else:
-            limit = self.worst
-        row, query = np.nonzero(costs <= limit)
-        if not len(row):
-            return
-        self.query = np.concatenate([self.query, query])
-        self.cost = np.concatenate([self.cost, costs[row, query]])
-        self.id = ids[row] if self.id is None else np.concatenate([self.id, ids[row]])
-        self._cut()
-
-    def _cut(self) -> None:
-        order = np.lexsort((self.id, self.cost, self.query))
-        query = self.query[order]
+    def add(self, ids: np.ndarray, corpus: np.ndarray) -> None:
+        corpus = self.scorer.prepare(corpus)
+        rough = self.scorer.rough(corpus)
+        near = rough <= self.scorer.rough_limit(self.worst, corpus)[:, None]
+        if len(ids) > self.k and np.count_nonzero(near) > 4 * self.k * len(self.worst):
+            # Many rows would do so far: nothing worse than the batch's own k-th row can survive.
+            kth = np.partition(rough, self.k - 1, axis=1)[:, self.k - 1]
+            if self.scorer.metric == "EUCLID":
+                kth = np.sqrt(np.maximum(kth, 0.0)) + 1e-6 * (1.0 + np.sqrt(self.scorer.squares))
+            near &= rough <= self.scorer.rough_limit(kth, corpus)[:, None]
+        query, row = np.nonzero(near)
+        # Pairs go through in steps, so that very many ties do not blow up memory.
+        for at in range(0, len(row), _PAIR_STEP):
+            q, r = query[at : at + _PAIR_STEP], row[at : at + _PAIR_STEP]
+            self._merge(q, ids[r], self.scorer.exact(corpus[r], q))
+
+    def _merge(self, query: np.ndarray, ids: np.ndarray, cost: np.ndarray) -> None:
+        query = np.concatenate([self.query, query])
+        cost = np.concatenate([self.cost, cost])
+        ids = ids if self.id is None else np.concatenate([self.id, ids])
+        order = np.lexsort((ids, cost, query))
+        query = query[order]
         rank = np.arange(len(query)) - np.searchsorted(query, query, side="left")
         kept = order[rank < self.k]
-        self.query, self.cost, self.id = self.query[kept], self.cost[kept], self.id[kept]
+        self.query, self.cost, self.id = query[rank < self.k], cost[kept], ids[kept]
         full = np.nonzero(np.bincount(self.query, minlength=len(self.worst)) == self.k)[0]
         self.worst[full] = self.cost[np.searchsorted(self.query, full, side="right") - 1]
 
     def result(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         ids = np.zeros(0, dtype=np.int64) if self.id is None else self.id
-        return self.query, ids, self.sign * self.cost
+        return self.query, ids, self.scorer.sign * self.cost + 0.0
 
 
 def _best_of(
@@ -119,11 +159,11 @@ def _best_of(
     metric: str,
 ) -> list[tuple[np.ndarray, np.ndarray, np.ndarray]]:
     steps = range(0, len(query_ids), _QUERY_STEP)
-    best = [BestK(len(query_ids[at : at + _QUERY_STEP]), k, METRICS[metric]) for at in steps]
+    best = [BestK(query_vectors[at : at + _QUERY_STEP], k, metric) for at in steps]
     for ids, vectors in corpus_batches:
         if len(ids):
-            for at, keeper in zip(steps, best):
-                keeper.add(ids, score_matrix(metric, vectors, query_vectors[at : at + _QUERY_STEP]))
+            for keeper in best:
+                keeper.add(ids, vectors)
     found = []
     for at, keeper in zip(steps, best):
         query, ids, scores = keeper.result()

@@ -24,15 +24,15 @@ def document_frequency(index: DataFrame) -> DataFrame:
     return index.groupBy("token").agg(F.count("*").alias("n_docs"))
 
 
-def write_index(index: DataFrame, path: str, id_col: str = "id", files_per_bucket: int = 8) -> None:
+def write_index(index: DataFrame, path: str, id_col: str = "id") -> None:
     """Store postings by token bucket, sorted by token, so a lookup reads few files.
 
-    Rows of one token are spread over ``files_per_bucket`` writers.
+    Cut by ranges of (bucket, token, id): writers get equal shares, and the
+    rows of a frequent token go to as many of them as they need.
     """
     bucket = F.pmod(F.xxhash64("token"), F.lit(TOKEN_BUCKETS)).cast("int")
-    part = F.pmod(F.xxhash64(id_col), F.lit(files_per_bucket))
-    laid_out = index.withColumn("bucket", bucket).withColumn("_part", part)
-    laid_out = laid_out.repartition("bucket", "_part").sortWithinPartitions("bucket", "token").drop("_part")
+    laid_out = index.select("token", id_col, bucket.alias("bucket"))
+    laid_out = laid_out.repartitionByRange("bucket", "token", id_col).sortWithinPartitions("bucket", "token")
     laid_out.write.mode("overwrite").partitionBy("bucket").parquet(path)
 
 

@@ -13,7 +13,7 @@ from shelfmark.operators.backlog import without_status
 from shelfmark.operators.chunking import number_chunks, semantic_pieces, split_oversize
 from shelfmark.operators.embedding import Embedder
 from shelfmark.operators.guard import oversized, within_limit
-from shelfmark.operators.joins import spread_join
+from shelfmark.operators.joins import narrow_join
 from shelfmark.operators.points import add_metadata, to_points
 from shelfmark.operators.runlog import run_summary
 from shelfmark.operators.upsert import upsert
@@ -67,7 +67,7 @@ def embed_backlog(
     are deterministic, so a run that broke off can simply be started again.
     """
     moment = now or datetime.now(timezone.utc)
-    wanted = without_status(todo.select(*DOC_KEYS).distinct(), status, skip_statuses)
+    wanted = stage(without_status(todo.select(*DOC_KEYS).distinct(), status, skip_statuses), "wanted")
     if isinstance(contents, DataFrame):
         files = select_contents(contents, wanted)
     else:
@@ -75,12 +75,12 @@ def embed_backlog(
     pages = stage(load_pages(files, extractors), "pages")
     good, quarantine = split_errors(pages)
 
-    too_large = oversized(good, max_pages)
+    too_large = stage(oversized(good, max_pages), "oversized")
     kept = good if max_pages is None else within_limit(good, too_large)
     split = semantic_pieces(add_metadata(kept, document_type, source), params, embedder, timeout_seconds)
     split = stage(split.withColumn("pieces", split_oversize(F.col("pieces"), params)).drop("text"), "pieces")
     late = _timed_out(split, timeout_seconds)
-    in_time = split if late is None else spread_join(split, late, DOC_KEYS, ["page"], "left_anti")
+    in_time = split if late is None else narrow_join(split, late, DOC_KEYS, ["page"], "left_anti")
     chunks = stage(number_chunks(in_time.drop("seconds", "timed_out"), "pieces"), "chunks")
 
     before = collection.size() if collection.exists() else 0

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shelfmark.functions import keys
-from shelfmark.operators.joins import spread_join
+from shelfmark.operators.joins import narrow_join, spread_join
 from shelfmark.schemas import ALLOWED_EXTENSIONS
 
 
@@ -48,10 +48,6 @@ def _relative(path: Column, root: str) -> Column:
     return F.substring_index(path, f"/{base}/", -1)
 
 
-# Keys sent to every task at most; a key list of this length is some 100 MB.
-MAX_SHARED_KEYS = 500_000
-
-
 def select_contents(contents: DataFrame, wanted: DataFrame) -> DataFrame:
     """Rows of a ``(key, content)`` table that are wanted: ``qid, component, content``.
 
@@ -59,10 +55,9 @@ def select_contents(contents: DataFrame, wanted: DataFrame) -> DataFrame:
     is short, which is counted, it goes to the contents, and they stay where
     they are.
     """
-    listed = wanted.select("qid", "component")
-    if listed.limit(MAX_SHARED_KEYS + 1).count() <= MAX_SHARED_KEYS:
-        listed = F.broadcast(listed)
-    return contents.withColumnRenamed("key", "component").join(listed, "component").select("qid", "component", "content")
+    stored = contents.select(F.col("key").alias("component"), "content")
+    found = narrow_join(stored, wanted.select("qid", "component"), ["component"], ["component"])
+    return found.select("qid", "component", "content")
 
 
 def file_reader(root: str) -> Callable[[str], bytes]:

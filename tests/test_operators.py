@@ -7,7 +7,7 @@ from datetime import datetime, timedelta, timezone
 import pytest
 from pyspark.sql import functions as F
 
-from shelfmark.operators import context, counts, guard, items, ordinals, packages, runlog, textindex
+from shelfmark.operators import context, counts, guard, items, joins, ordinals, packages, runlog, textindex
 from shelfmark.operators.backlog import backlog, item_overlap, known_items, status_kind, without_status
 from shelfmark.operators.joins import spread_join
 from shelfmark.operators.upsert import latest_by_key, upsert
@@ -68,6 +68,11 @@ def test_spread_join_equals_plain_join(table, how):
     assert rows(spread_join(left, right, ["k"], ["i"], how).na.fill(-1)) == rows(left.join(right, "k", how).na.fill(-1))
 
 
+def test_is_small(table):
+    three = table([(1,), (2,), (3,)], "x int")
+    assert joins.is_small(three, 3) and not joins.is_small(three, 2)
+
+
 def test_latest_by_key(table):
     df = table([("a", 1, "x"), ("a", 2, "y"), ("b", 1, "z"), ("a", 2, "w"), ("b", None, "q")], "k string, t int, v string")
     assert rows(latest_by_key(df, ["k"], ["t"])) == [("a", 2, "y"), ("b", 1, "z")]
@@ -157,12 +162,14 @@ def test_freshness(table):
     assert fresh(59, 500) and not fresh(60) and not fresh()
 
 
-def test_page_guard(table):
+def test_page_guard(table, monkeypatch):
     pages = table([("Q1", "a", i, "x" * i) for i in range(4)] + [("Q2", "b", 0, "yy")], "qid string, component string, page int, text string")
     assert rows(guard.page_stats(pages)) == [("Q1", "a", 4, 6), ("Q2", "b", 1, 2)]
     too_large = guard.oversized(pages, 3)
     assert rows(too_large, "qid", "status") == [("Q1", "failed - PDF too large (4 pages)")]
     assert rows(guard.within_limit(pages, too_large), "qid") == [("Q2",)]
+    monkeypatch.setattr(joins, "is_small", lambda df: False)
+    assert rows(guard.within_limit(pages, too_large), "qid") == [("Q2",)]
     assert guard.oversized(pages, None).count() == 0
     assert guard.oversized(pages, 4).count() == 0
 

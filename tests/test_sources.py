@@ -3,6 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
+from shelfmark.operators import joins
 from shelfmark.sources import graph, objects, packages, pages
 from tests.conftest import column
 
@@ -62,7 +63,7 @@ def test_contents_of_wanted_files(spark, tree, table, monkeypatch):
     found = objects.select_contents(contents, wanted)
     assert [(r.qid, bytes(r.content)) for r in found.collect()] == [("Q5", b"page one\x0cpage two")]
     assert "BroadcastHashJoin" in found._jdf.queryExecution().executedPlan().toString()
-    monkeypatch.setattr(objects, "MAX_SHARED_KEYS", 0)
+    monkeypatch.setattr(joins, "is_small", lambda df: False)
     assert objects.select_contents(contents, wanted).count() == 1
 
 
