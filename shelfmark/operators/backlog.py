@@ -8,7 +8,7 @@ from datetime import datetime, timedelta
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from shelfmark.operators.joins import spread_join
+from shelfmark.operators.joins import narrow_join
 from shelfmark.schemas import DOC_KEYS, STATUS_OK, STATUS_PLANNED
 
 
@@ -24,7 +24,7 @@ def status_kind(status: Column) -> Column:
 
 def known_items(files: DataFrame, items: DataFrame) -> DataFrame:
     """Files whose item is in the item list. One item may own most files."""
-    return spread_join(files, items.select("qid"), ["qid"], ["component"], "left_semi")
+    return narrow_join(files, items.select("qid"), ["qid"], ["component"], "left_semi")
 
 
 def item_overlap(files: DataFrame, items: DataFrame) -> DataFrame:

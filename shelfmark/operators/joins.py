@@ -7,10 +7,17 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-SALTS = 16
+from shelfmark.session import stage
+
+JOIN_TYPES = ("inner", "left_semi", "left_anti", "left")
 
 # Rows of a key list that is sent to every task; at some 200 bytes a row, 100 MB.
 MAX_BROADCAST_ROWS = 500_000
+# A left key with more rows than this is kept out of the shuffle.
+HOT_ROWS = 1_000_000
+# The hottest keys only: whatever is left holds less than this fraction of all rows per key.
+MAX_HOT_KEYS = 10_000
+SALTS = 64
 
 
 def is_small(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> bool:
@@ -18,7 +25,50 @@ def is_small(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> bool:
     return df.limit(max_rows + 1).count() <= max_rows
 
 
-def spread_join(
+def narrow_join(
+    left: DataFrame, right: DataFrame, on: Sequence[str], spread_by: Sequence[str], how: str = "inner"
+) -> DataFrame:
+    """Join a wide left side with a narrow right side, without moving the left side if that can be.
+
+    The right side is counted: a small one is broadcast, a large one goes
+    through ``skew_join``.
+    """
+    if is_small(right):
+        return left.join(F.broadcast(right), list(on), how)
+    return skew_join(left, right, on, spread_by, how)
+
+
+def skew_join(
+    left: DataFrame, right: DataFrame, on: Sequence[str], spread_by: Sequence[str], how: str = "inner"
+) -> DataFrame:
+    """Equi-join of two large sides in which some left keys are hot.
+
+    Left rows are counted per key, from the key columns alone and combined
+    before the shuffle. Rows of hot keys stay in place and get the few right
+    rows of those keys by broadcast; all other rows are joined by shuffle.
+    Should the right side have very many rows for the hot keys, that part is
+    salted instead.
+    """
+    if how not in JOIN_TYPES:
+        raise ValueError(f"unsupported join type: {how}")
+    keys = list(on)
+    counted = left.select(*keys).groupBy(*keys).agg(F.count("*").alias("_n")).filter(F.col("_n") > HOT_ROWS)
+    # Written out: both parts below have to see the same keys.
+    hot = stage(counted.orderBy(F.col("_n").desc()).limit(MAX_HOT_KEYS).drop("_n"), "hot")
+    if hot.isEmpty():
+        return left.join(right, keys, how)
+    hot = F.broadcast(hot)
+    cold_part = left.join(hot, keys, "left_anti").join(right, keys, how)
+    hot_left = left.join(hot, keys, "left_semi")
+    hot_right = right.join(hot, keys, "left_semi")
+    if is_small(hot_right):
+        hot_part = hot_left.join(F.broadcast(hot_right), keys, how)
+    else:
+        hot_part = salted_join(hot_left, hot_right, keys, spread_by, how)
+    return cold_part.unionByName(hot_part)
+
+
+def salted_join(
     left: DataFrame,
     right: DataFrame,
     on: Sequence[str],
@@ -26,30 +76,15 @@ def spread_join(
     how: str = "inner",
     salts: int = SALTS,
 ) -> DataFrame:
-    """Equi-join with the rows of each left key spread over ``salts`` partitions.
+    """Equi-join with the rows of each left key spread over ``salts`` groups.
 
-    ``right`` must be narrow and hold each key once (a key list): it is
-    repeated once per salt, so the largest left group any task sees shrinks by
-    that factor. ``spread_by`` names left columns that differ within a key; the
-    salt is a hash of them, so a re-run task sends its rows to the same place.
-    Supports inner, left_semi, left_anti and left joins.
+    The right side is repeated once per salt. ``spread_by`` names left columns
+    that differ within a key; the salt is a hash of them, so a task that runs
+    again sends its rows to the same place.
     """
-    if how not in ("inner", "left_semi", "left_anti", "left"):
+    if how not in JOIN_TYPES:
         raise ValueError(f"unsupported join type: {how}")
     salted_left = left.withColumn("_salt", F.pmod(F.xxhash64(*spread_by), F.lit(salts)))
-    all_salts = F.explode(F.sequence(F.lit(0), F.lit(salts - 1)))
-    salted_right = right.withColumn("_salt", all_salts).withColumn("_salt", F.col("_salt").cast("bigint"))
+    all_salts = F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(salts - 1).cast("bigint")))
+    salted_right = right.withColumn("_salt", all_salts)
     return salted_left.join(salted_right, [*on, "_salt"], how).drop("_salt")
-
-
-def narrow_join(
-    left: DataFrame, right: DataFrame, on: Sequence[str], spread_by: Sequence[str], how: str = "inner"
-) -> DataFrame:
-    """Join a wide left side with a narrow key list, without moving the left side if that can be.
-
-    The key list is counted: a small one is broadcast, a large one is joined
-    with the left rows spread (``spread_join``).
-    """
-    if is_small(right):
-        return left.join(F.broadcast(right), list(on), how)
-    return spread_join(left, right, on, spread_by, how)

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from shelfmark.functions.text import words
 from shelfmark.operators.arrays import unnest
+from shelfmark.operators.joins import narrow_join
 
 TOKEN_BUCKETS = 64
 
@@ -50,17 +51,17 @@ def lexical_match(
 ) -> DataFrame:
     """``query, id, n_matched`` for texts holding all (``and``) or any (``or``) of a query's words.
 
-    ``queries`` has ``query_col`` and ``text``. The join is on the token; what
-    meets per (query, id) is at most one row per query word, already summed on
-    the map side. Adaptive execution splits the partition of a frequent token.
+    ``queries`` has ``query_col`` and ``text``. Few query words go to the
+    postings; many are joined by token, the rows of a frequent token spread by
+    id. What meets per (query, id) is at most one row per query word, already
+    summed on the map side.
     """
     if mode not in ("and", "or"):
         raise ValueError(f"unknown mode: {mode}")
     asked = queries.select(query_col, F.array_distinct(words(F.col("text"))).alias("_words"))
     wanted = unnest(asked, F.col("_words"), "token").select(query_col, F.size("_words").alias("_n"), "token")
     matched = (
-        index.select("token", id_col)
-        .join(wanted, "token")
+        narrow_join(index.select("token", id_col), wanted, ["token"], [id_col])
         .groupBy(query_col, id_col)
         .agg(F.count("*").alias("n_matched"), F.first("_n").alias("_n"))
     )

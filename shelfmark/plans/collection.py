@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from shelfmark.functions.vectors import resolve_metric
-from shelfmark.operators.joins import spread_join
+from shelfmark.operators.joins import narrow_join
 from shelfmark.operators.textindex import postings, write_index
 from shelfmark.schemas import POINTS
 from shelfmark.session import drop_path, empty, path_exists
@@ -157,7 +157,7 @@ class Collection:
         gone = live.join(written.select("id"), "id", "left_semi").select("id")
         if doc:
             documents = written.select(*doc).distinct()
-            gone = gone.union(spread_join(live, documents, doc, ["id"], "left_semi").select("id")).distinct()
+            gone = gone.union(narrow_join(live, documents, doc, ["id"], "left_semi").select("id")).distinct()
         return gone
 
     def ensure_ready(self) -> None:

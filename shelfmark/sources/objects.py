@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shelfmark.functions import keys
-from shelfmark.operators.joins import narrow_join, spread_join
+from shelfmark.operators.joins import narrow_join
 from shelfmark.schemas import ALLOWED_EXTENSIONS
 
 
@@ -136,5 +136,5 @@ def list_components(objects: DataFrame, items: DataFrame, branch: str | None = N
     wanted = items.select(
         "qid", F.concat(F.lit(lead), keys.shard_path(F.col("qid"))).alias("folder")
     )
-    found = spread_join(listed, wanted, ["folder"], ["component_name"])
+    found = narrow_join(listed, wanted, ["folder"], ["component_name"])
     return found.select("qid", "component_name")

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from shelfmark.operators import context, counts, guard, items, joins, ordinals, packages, runlog, textindex
 from shelfmark.operators.backlog import backlog, item_overlap, known_items, status_kind, without_status
-from shelfmark.operators.joins import spread_join
+from shelfmark.operators.joins import narrow_join, salted_join, skew_join
 from shelfmark.operators.upsert import latest_by_key, upsert
 from tests.conftest import column
 
@@ -59,13 +59,20 @@ def test_backlog_uses_anti_join(state):
 
 
 @pytest.mark.parametrize("how", ["inner", "left_semi", "left_anti", "left"])
-def test_spread_join_equals_plain_join(table, how):
+@pytest.mark.parametrize("hot_rows,small", [(10**6, 10**6), (50, 10**6), (50, 2), (0, 0)])
+def test_skew_join_equals_plain_join(table, monkeypatch, how, hot_rows, small):
+    monkeypatch.setattr(joins, "HOT_ROWS", hot_rows)
+    monkeypatch.setattr(joins, "is_small", lambda df: df.count() <= small)
     rng = random.Random(1)
     # A third of the left rows share one key.
     left = table([("hot" if rng.random() < 0.4 else f"k{rng.randint(0, 9)}", i) for i in range(300)], "k string, i int")
     right = table([("hot", 1), ("k1", 2), ("k2", 3), ("zz", 4)], "k string, v int")
     right = right if how in ("inner", "left") else right.select("k")
-    assert rows(spread_join(left, right, ["k"], ["i"], how).na.fill(-1)) == rows(left.join(right, "k", how).na.fill(-1))
+    expected = rows(left.join(right, "k", how).na.fill(-1))
+    for join in (skew_join, narrow_join, salted_join):
+        assert rows(join(left, right, ["k"], ["i"], how).na.fill(-1)) == expected
+    with pytest.raises(ValueError):
+        skew_join(left, right, ["k"], ["i"], "cross")
 
 
 def test_is_small(table):
@@ -174,13 +181,16 @@ def test_page_guard(table, monkeypatch):
     assert guard.oversized(pages, 4).count() == 0
 
 
-def test_lexical_match(spark, table, tmp_path):
+def test_lexical_match(spark, table, tmp_path, monkeypatch):
     docs = table([("d1", "The cat sat. The mat."), ("d2", "A dog sat"), ("d3", None), ("d4", "...")], "id string, page_content string")
     index = textindex.postings(docs)
     assert rows(index.filter("token = 'the'")) == [("the", "d1")]
     assert rows(textindex.document_frequency(index).filter("n_docs > 1")) == [("sat", 2)]
     queries = table([(1, "SAT cat"), (2, "sat"), (3, "bird")], "query_id int, text string")
     assert rows(textindex.lexical_match(index, queries, "and")) == [(1, "d1", 2), (2, "d1", 1), (2, "d2", 1)]
+    with monkeypatch.context() as m:
+        m.setattr(joins, "is_small", lambda df: False)
+        assert rows(textindex.lexical_match(index, queries, "and")) == [(1, "d1", 2), (2, "d1", 1), (2, "d2", 1)]
     assert rows(textindex.lexical_match(index, queries, "or")) == [(1, "d1", 2), (1, "d2", 1), (2, "d1", 1), (2, "d2", 1)]
     path = str(tmp_path / "index")
     textindex.write_index(index, path)
@@ -209,7 +219,13 @@ def test_run_log(table):
     assert rows(steps, "completed", "remaining", "eta") == [(2, 2, "1h 0m"), (3, 1, "40m 0s"), (4, 0, "unknown")]
 
 
-def test_known_items_spreads_hot_item(table):
+def test_known_items_spreads_hot_item(table, monkeypatch):
     files = table([("hot", f"c{i}") for i in range(100)] + [("cold", "x"), ("none", "y")], "qid string, component string")
     known = table([("hot",), ("cold",)], "qid string")
     assert known_items(files, known).count() == 101
+    # A long item list: the files of the hot item are joined where they are.
+    monkeypatch.setattr(joins, "HOT_ROWS", 50)
+    monkeypatch.setattr(joins, "is_small", lambda df: df.columns == ["qid"] and df.count() < 2)
+    spread = known_items(files, known)
+    plan = spread._jdf.queryExecution().executedPlan().toString()
+    assert spread.count() == 101 and "Union" in plan and "_salt" not in plan
