@@ -21,7 +21,7 @@ from shelfmark.session import stage
 DISTANCE_DIGITS = 9
 
 _SPAN = "struct<first: int, n: int, start_index: int>"
-_SPLIT = f"struct<spans: array<{_SPAN}>, seconds: double, timed_out: boolean>"
+_SPLIT = f"struct<spans: array<{_SPAN}>, seconds: double, timed_out: boolean, error: string>"
 
 
 def fixed_windows(text: Column, size: int, overlap: int) -> Column:
@@ -69,7 +69,12 @@ def merge_spans(lengths: Sequence[int], breaks: np.ndarray, min_size: int) -> li
 
 
 def _split_column(
-    found: Column, lengths: Column, embedder: Embedder, params: ChunkParams, timeout_seconds: float | None
+    found: Column,
+    lengths: Column,
+    embedder: Embedder,
+    params: ChunkParams,
+    timeout_seconds: float | None,
+    isolate: bool,
 ) -> Column:
     def split(parts: Sequence[str], sizes: Sequence[int]) -> tuple:
         began = time.monotonic()
@@ -86,12 +91,18 @@ def _split_column(
             rows = []
             for parts, counts in zip(texts, sizes):
                 if parts is None:
-                    rows.append((None, 0.0, False))
+                    rows.append((None, 0.0, False, None))
+                    continue
+                try:
+                    spans, spent, late = split(list(parts), counts.tolist())
+                except Exception as exc:
+                    if not isolate:
+                        raise
+                    rows.append((None, 0.0, False, f"{type(exc).__name__}: {exc}"))
                     continue
-                spans, spent, late = split(list(parts), counts.tolist())
                 named = [{"first": a, "n": n, "start_index": s} for a, n, s in spans]
-                rows.append((named, spent, late))
-            yield pd.DataFrame(rows, columns=["spans", "seconds", "timed_out"])
+                rows.append((named, spent, late, None))
+            yield pd.DataFrame(rows, columns=["spans", "seconds", "timed_out", "error"])
 
     prepared = F.transform(found, lambda s: embedder.prepare(s))
     return run(prepared, lengths)
@@ -102,8 +113,12 @@ def semantic_pieces(
     params: ChunkParams = ChunkParams(),
     embedder: Embedder | None = None,
     timeout_seconds: float | None = None,
+    isolate: bool = False,
 ) -> DataFrame:
-    """``pages`` with ``pieces`` (``array<struct<text, start_index>>``), ``seconds`` and ``timed_out``.
+    """``pages`` with ``pieces`` (``array<struct<text, start_index>>``), ``seconds``, ``timed_out``, ``error``.
+
+    With ``isolate``, a page the embedder fails on has an error and no pieces;
+    otherwise the job fails.
 
     Works inside each page, so it moves no data. A page of at most
     ``buffer_size + 1`` sentences has identical windows everywhere, hence no
@@ -120,6 +135,7 @@ def semantic_pieces(
             embedder,
             params,
             timeout_seconds,
+            isolate,
         ),
     )
     whole = F.array(F.struct(F.lit(0).alias("first"), F.size("_s").alias("n"), F.lit(0).alias("start_index")))
@@ -132,9 +148,10 @@ def semantic_pieces(
         ),
     )
     return (
-        split.withColumn("pieces", F.when(F.col("text").isNotNull(), pieces))
+        split.withColumn("pieces", F.when(F.col("text").isNotNull() & F.col("_split.error").isNull(), pieces))
         .withColumn("seconds", F.col("_split.seconds"))
         .withColumn("timed_out", F.col("_split.timed_out"))
+        .withColumn("error", F.col("_split.error"))
         .drop("_s", "_split")
     )
 
@@ -180,7 +197,7 @@ def chunk_pages(
     The pieces are written out before they are numbered: numbering reads their
     counts and their texts, and embedding sentences twice costs more.
     """
-    split = semantic_pieces(pages, params, embedder).drop("seconds", "timed_out")
+    split = semantic_pieces(pages, params, embedder).drop("seconds", "timed_out", "error")
     split = split.withColumn("pieces", split_oversize(F.col("pieces"), params)).drop("text")
     return number_chunks(stage(split, "pieces"), "pieces", doc)
 

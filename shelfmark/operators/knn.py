@@ -17,6 +17,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from shelfmark.functions.vectors import METRICS, resolve_metric
+from shelfmark.operators.joins import skew_join
+from shelfmark.session import stage
 
 # Queries go to every task only below both bounds; above, both sides are cut into blocks.
 MAX_SHARED_QUERIES = 16_384
@@ -289,9 +291,10 @@ def with_payload(found: Found, corpus: DataFrame, id_col: str = "id", broadcast_
     """Hits joined with the corpus columns of their ids.
 
     Hits are a few numbers each; when their count is known to be small they
-    are sent to the corpus, which is then read without being shuffled.
+    are sent to the corpus, which is then read without being shuffled. Else
+    they are written out, and rows that very many queries found are joined
+    apart from the others.
     """
-    hits = found.hits
     if found.max_rows is not None and found.max_rows <= broadcast_rows:
-        hits = F.broadcast(hits)
-    return corpus.join(hits, id_col)
+        return corpus.join(F.broadcast(found.hits), id_col)
+    return skew_join(stage(found.hits, "hits"), corpus, [id_col], ["score"])

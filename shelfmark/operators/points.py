@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from shelfmark.functions import keys
 from shelfmark.functions.text import embedding_prefix
-from shelfmark.operators.embedding import Embedder, embed_column
+from shelfmark.operators.embedding import Embedder, embed_column, embed_column_safely
 from shelfmark.operators.upsert import latest_by_key
 from shelfmark.schemas import CRAN_PACKAGE
 
@@ -78,22 +78,27 @@ def to_points(
     embedder: Embedder,
     id_cols: Sequence[str] = ("qid",),
     rules: Mapping[str, tuple[str, str]] | None = None,
+    isolate: bool = False,
 ) -> DataFrame:
     """``id, qid, component, vector, page_content, payload`` for every chunk.
 
     Ids are settled before embedding, so no text is embedded only to be
-    overwritten.
+    overwritten. With ``isolate`` there is also ``error``, set where the model
+    failed on a text; otherwise that fails the job.
     """
     settled = identify(chunks, id_cols)
     fields = {name: F.col(name) for name in BASE_FIELDS if name in settled.columns}
     if "title" in settled.columns:
         fields["title"] = F.col("title")
     extra = F.col("extra") if "extra" in settled.columns else None
-    return settled.select(
+    text = embedding_text(settled, rules)
+    embedded = settled.withColumn("_e", (embed_column_safely if isolate else embed_column)(text, embedder))
+    return embedded.select(
         "id",
         "qid",
         "component",
-        embed_column(embedding_text(settled, rules), embedder).alias("vector"),
+        F.col("_e.vector" if isolate else "_e").alias("vector"),
         F.col("text").alias("page_content"),
         payload(fields, F.col("text"), extra).alias("payload"),
+        *([F.col("_e.error").alias("error")] if isolate else []),
     )

@@ -19,19 +19,27 @@ from shelfmark.operators.runlog import run_summary
 from shelfmark.operators.upsert import upsert
 from shelfmark.plans.collection import Collection
 from shelfmark.schemas import CRAN_PACKAGE, DOC_KEYS, STATUS_OK, STATUS_TIMEOUT, ChunkParams
-from shelfmark.session import stage
+from shelfmark.session import Steps
 from shelfmark.sources.objects import fetch_contents, select_contents
 from shelfmark.sources.pages import Extractor, load_pages, split_errors
 
 
 @dataclass(frozen=True)
 class EmbedRun:
-    """What one run did: new status table, quarantined files, rows per kind, points added."""
+    """What one run did: new status table, quarantined files, rows per kind, points added.
+
+    The DataFrames read staged steps; ``release`` deletes those once the
+    results have been stored.
+    """
 
     status: DataFrame
     quarantine: DataFrame
     summary: DataFrame
     points_added: int
+    steps: Steps
+
+    def release(self) -> None:
+        self.steps.release()
 
 
 def embed_backlog(
@@ -58,49 +66,69 @@ def embed_backlog(
     ``contents`` is a ``(key, content)`` table, or a function that reads one
     object by key inside the tasks, so that nothing but the wanted files is read.
     Files with a status row (or one of ``skip_statuses``) are left out. A file
-    over the page or time limit gets a failure status; one that cannot be read
-    goes to quarantine without a status, as does nothing for a file without
-    chunks: both are tried again by the next run.
+    over the page or time limit gets a failure status. One that cannot be
+    read, split or embedded goes to quarantine without a status, and one
+    without any text gets no status either: both are tried again by the next
+    run.
 
     Pages and chunks are written to the work folder once each, since several
     later steps read them; points are stored before the status, and their ids
     are deterministic, so a run that broke off can simply be started again.
     """
     moment = now or datetime.now(timezone.utc)
+    steps = Steps()
+    stage = steps.stage
     wanted = stage(without_status(todo.select(*DOC_KEYS).distinct(), status, skip_statuses), "wanted")
     if isinstance(contents, DataFrame):
         files = select_contents(contents, wanted)
     else:
         files = fetch_contents(wanted, contents)
     pages = stage(load_pages(files, extractors), "pages")
-    good, quarantine = split_errors(pages)
+    good, unreadable = split_errors(pages)
 
     too_large = stage(oversized(good, max_pages), "oversized")
     kept = good if max_pages is None else within_limit(good, too_large)
-    split = semantic_pieces(add_metadata(kept, document_type, source), params, embedder, timeout_seconds)
+    split = semantic_pieces(add_metadata(kept, document_type, source), params, embedder, timeout_seconds, True)
     split = stage(split.withColumn("pieces", split_oversize(F.col("pieces"), params)).drop("text"), "pieces")
-    late = _timed_out(split, timeout_seconds)
-    in_time = split if late is None else narrow_join(split, late, DOC_KEYS, ["page"], "left_anti")
-    chunks = stage(number_chunks(in_time.drop("seconds", "timed_out"), "pieces"), "chunks")
+    unsplit = _failed(split)
+    sound = _without(split, unsplit, ["page"])
+    late = _timed_out(sound, timeout_seconds)
+    in_time = sound if late is None else narrow_join(sound, late, DOC_KEYS, ["page"], "left_anti")
+    chunks = stage(number_chunks(in_time.drop("seconds", "timed_out", "error"), "pieces"), "chunks")
 
     before = collection.size() if collection.exists() else 0
     collection.ensure(embedder.dim)
-    points = to_points(chunks, embedder, id_cols, prefix_rules)
+    points = stage(to_points(chunks, embedder, id_cols, prefix_rules, True), "points")
+    unembedded = _failed(points)
+    # A document gets all of its points or none.
+    points = _without(points, unembedded, ["id"]).drop("error")
     collection.upsert(points, id_cols if replace_document else None, moment)
 
-    done = chunks.select(*DOC_KEYS).distinct().withColumn("status", F.lit(STATUS_OK))
+    done = _without(chunks.select(*DOC_KEYS).distinct(), unembedded, DOC_KEYS).withColumn("status", F.lit(STATUS_OK))
     results = done.unionByName(too_large.select(*DOC_KEYS, "status"))
     if late is not None:
         results = results.unionByName(late.withColumn("status", F.lit(STATUS_TIMEOUT)))
     results = stage(results.withColumn("updated_at", F.lit(moment)), "results")
     return EmbedRun(
         status=upsert(status, results, DOC_KEYS),
-        quarantine=quarantine,
+        quarantine=unreadable.unionByName(unsplit).unionByName(unembedded),
         summary=run_summary(results),
         points_added=collection.size() - before,
+        steps=steps,
     )
 
 
+def _failed(rows: DataFrame) -> DataFrame:
+    """Documents with a failed row, and one of their errors."""
+    failed = rows.filter(F.col("error").isNotNull())
+    return failed.groupBy(*DOC_KEYS).agg(F.min("error").alias("error"))
+
+
+def _without(rows: DataFrame, failed: DataFrame, spread_by: Sequence[str]) -> DataFrame:
+    """Rows of the documents that did not fail."""
+    return rows if failed.isEmpty() else narrow_join(rows, failed.select(*DOC_KEYS), DOC_KEYS, spread_by, "left_anti")
+
+
 def _timed_out(split: DataFrame, timeout_seconds: float | None) -> DataFrame | None:
     """Documents whose pages together took longer to chunk than allowed."""
     if timeout_seconds is None:

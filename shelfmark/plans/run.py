@@ -15,12 +15,14 @@ from shelfmark.plans.collection import Collection
 from shelfmark.plans.embed import EmbedRun, embed_backlog
 from shelfmark.plans.refresh import refresh_files, refresh_items
 from shelfmark.plans.state import Published, StateStore
-from shelfmark.session import stage
+from shelfmark.session import Steps
 from shelfmark.sources.packages import read_entries, read_package
 
 
 @dataclass(frozen=True)
 class RunResult:
+    """The published state and the embedding run; call ``embedded.release()`` after looking at its tables."""
+
     published: Published
     embedded: EmbedRun
 
@@ -47,6 +49,8 @@ def incremental_run(
     baseline = store.counts()
     tables = store.read()
     # Staged: the backlog and the publication both read the refreshed tables.
+    steps = Steps()
+    stage = steps.stage
     items = stage(refresh_items(tables["software_index"], source_items, item_cap, now=now), "items")
     files = stage(refresh_files(tables["component_index"], objects, now), "files")
     todo = backlog(files, items, tables["embeddings_index"], "new")
@@ -59,6 +63,7 @@ def incremental_run(
     published = store.publish(
         {"software_index": items, "component_index": files, "embeddings_index": embedded.status}, baseline, now=now
     )
+    steps.release()
     return RunResult(published, embedded)
 
 

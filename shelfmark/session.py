@@ -58,7 +58,27 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     Cuts the lineage like a checkpoint, survives the loss of executors, and,
     being columnar, lets later steps read only the columns they need.
     """
-    path = new_work_path(df.sparkSession, label)
+    return _write_and_read(df, new_work_path(df.sparkSession, label))
+
+
+class Steps:
+    """The staged steps of one job, so that they can be dropped when it is over."""
+
+    def __init__(self) -> None:
+        self._staged: list[tuple[SparkSession, str]] = []
+
+    def stage(self, df: DataFrame, label: str) -> DataFrame:
+        path = new_work_path(df.sparkSession, label)
+        self._staged.append((df.sparkSession, path))
+        return _write_and_read(df, path)
+
+    def release(self) -> None:
+        """Delete the staged tables; DataFrames that read them cannot be used any more."""
+        while self._staged:
+            drop_path(*self._staged.pop())
+
+
+def _write_and_read(df: DataFrame, path: str) -> DataFrame:
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable
 from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
@@ -16,7 +16,7 @@ from shelfmark.plans.collection import Collection
 from shelfmark.plans.embed import embed_backlog
 from shelfmark.plans.state import StateStore
 from shelfmark.schemas import ALLOWED_EXTENSIONS, DOC_KEYS, FILES, STATUS
-from shelfmark.session import stage
+from shelfmark.session import Steps
 from shelfmark.sources.objects import _relative, index_files, indexed
 from shelfmark.streaming.log import KeyedLog
 
@@ -81,6 +81,7 @@ def embed_stream(
     checkpoint: str,
     once: bool = True,
     known_only: bool = True,
+    on_quarantine: Callable[[DataFrame, int], None] | None = None,
     **options: object,
 ) -> StreamingQuery:
     """Embed new files (``key, content``) and publish the state after every batch.
@@ -88,13 +89,15 @@ def embed_stream(
     A file with a status row is not embedded again, also after a restart; a
     batch that is delivered twice writes the same point ids twice. With
     ``known_only``, files of items that are not in the item list are indexed
-    but left to a later run.
+    but left to a later run. ``on_quarantine`` gets the unreadable files
+    (``qid, component, error``) and the batch number.
     """
 
     def handle(batch: DataFrame, batch_id: int) -> None:
         store.init()
         tables, baseline = store.read(), store.counts()
-        contents = stage(batch, "batch")
+        steps = Steps()
+        contents = steps.stage(batch, "batch")
         now = datetime.now(timezone.utc)
         files = indexed(index_files(contents)).withColumn("updated_at", F.lit(now))
         todo = known_items(files, tables["software_index"]) if known_only else files
@@ -105,5 +108,9 @@ def embed_stream(
         store.publish(
             {**tables, "component_index": component_index, "embeddings_index": run.status}, baseline, now=now
         )
+        if on_quarantine is not None:
+            on_quarantine(run.quarantine, batch_id)
+        run.release()
+        steps.release()
 
     return _start(files, handle, checkpoint, once)

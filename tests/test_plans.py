@@ -194,6 +194,25 @@ def test_outcomes(spark, collection):
     assert ("d/done.txt", "ok") in rows(retried.status, "component", "status")
 
 
+def test_documents_the_model_rejects(spark, collection):
+    def factory():
+        def model(texts):
+            if any("bad" in t for t in texts):
+                raise ValueError("rejected")
+            return np.ones((len(texts), 2))
+
+        return model
+
+    files = [("a.txt", b"good one\x0cbad page"), ("b.txt", b"good two"), ("c.txt", b"Some bad. Some good. More.")]
+    params = ChunkParams(buffer_size=1)
+    run = embed(spark, collection, files, embedder=ModelEmbedder(factory, 2), params=params, id_cols=("qid", "component"))
+    assert rows(run.status, "component", "status") == [("b.txt", "ok")]
+    assert rows(run.quarantine, "component", "error") == [("a.txt", "ValueError: rejected"), ("c.txt", "ValueError: rejected")]
+    assert rows(collection.points(), "page_content") == [("good two",)]
+    run.release()
+    assert collection.points().count() == 1
+
+
 def test_files_fetched_by_key(spark, collection, tmp_path):
     (tmp_path / "a.txt").write_text("Hello.")
     todo = spark.createDataFrame([("Q1", "a.txt"), ("Q1", "gone.txt")], "qid string, component string")

@@ -171,6 +171,17 @@ def test_payload(table):
     assert column(df, merge_metadata(F.col("extra"), F.create_map(F.lit("a"), F.lit("b")))) == [{"z": "kept", "a": "b"}]
 
 
+def test_payload_of_many_hits(table, data):
+    corpus, queries = data
+    left = table(corpus, VECTORS)
+    found = knn.top_k(left, table(queries, "query_id string, vector array<float>"), 3)
+    texts = left.select("id", F.concat(F.lit("text "), "id").alias("text"))
+    few, many = knn.with_payload(found, texts), knn.with_payload(found, texts, broadcast_rows=0)
+    columns = ["query_id", "rank", "id", "text"]
+    assert sorted(map(tuple, few.select(columns).collect())) == sorted(map(tuple, many.select(columns).collect()))
+    assert few.count() == 33
+
+
 def test_retrieval(table):
     texts = {"d1": "cats purr", "d2": "dogs bark", "d3": "cats and dogs", "d4": "rain falls"}
     embedder = HashedEmbedder(256)

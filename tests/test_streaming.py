@@ -71,6 +71,7 @@ def test_status_stream(spark, table, tmp_path):
 def test_embed_stream(spark, tmp_path):
     files = tmp_path / "files"
     store, target = StateStore(spark, str(tmp_path / "state")), Collection(spark, str(tmp_path / "points"))
+    quarantined: list[str] = []
     tables = store.read()
     tables["software_index"] = spark.createDataFrame([("Q1", NOW), ("Q2", NOW)], ITEMS)
     store.publish(tables)
@@ -78,15 +79,18 @@ def test_embed_stream(spark, tmp_path):
     def run():
         stream = jobs.stream_files(spark, str(files), with_content=True)
         query = jobs.embed_stream(
-            stream, store, target, HashedEmbedder(8), str(tmp_path / "checkpoint"), id_cols=("qid", "component")
+            stream, store, target, HashedEmbedder(8), str(tmp_path / "checkpoint"), id_cols=("qid", "component"),
+            on_quarantine=lambda bad, _: quarantined.extend(r.component for r in bad.collect()),
         )
         query.awaitTermination()
 
     put(files, "main/Q1/a.txt", "One.\fTwo.")
+    put(files, "main/Q2/no_reader.pdf", "?")
     put(files, "main/Q9/unknown.txt")
     run()
     assert rows(store.read()["embeddings_index"], "component", "status") == [("main/Q1/a.txt", "ok")]
-    assert store.read()["component_index"].count() == 2 and target.size() == 2
+    assert quarantined == ["main/Q2/no_reader.pdf"]
+    assert store.read()["component_index"].count() == 3 and target.size() == 2
     snapshots = store.manifest().count()
     run()
     assert store.manifest().count() == snapshots and target.size() == 2
