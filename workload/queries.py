@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import functools
 from collections.abc import Callable
-from datetime import datetime, timedelta, timezone
+from datetime import timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -202,7 +202,7 @@ def plan_files(spark, sf):
 
 @query
 def status_upsert(spark, sf):
-    planned = reservations(work_packages(spark, sf), datetime(2024, 1, 1, tzinfo=timezone.utc))
+    planned = reservations(work_packages(spark, sf), F.lit("2024-01-01 00:00:00").cast("timestamp"))
     return upsert(views.status(spark, sf), planned, DOC_KEYS).select(*DOC_KEYS, _second("updated_at"), "status")
 
 
@@ -240,7 +240,8 @@ def state_message(spark, sf):
 
 @query
 def max_updated_freshness(spark, sf):
-    now = datetime(2001, 8, 1, 0, 30, tzinfo=timezone.utc)
+    # Read in the session time zone, as the stored dates are.
+    now = F.lit("2001-08-01 00:30:00").cast("timestamp")
     return freshness(views.status(spark, sf), now, timedelta(hours=1)).select(_second("updated_at"), "is_fresh")
 
 
