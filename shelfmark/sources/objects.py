@@ -48,6 +48,10 @@ def _relative(path: Column, root: str) -> Column:
     return F.substring_index(path, f"/{base}/", -1)
 
 
+# Bytes of fetched files a task holds before it passes them on.
+FETCH_BYTES = 32 << 20
+
+
 def select_contents(contents: DataFrame, wanted: DataFrame) -> DataFrame:
     """Rows of a ``(key, content)`` table that are wanted: ``qid, component, content``.
 
@@ -86,14 +90,24 @@ def fetch_contents(wanted: DataFrame, read: Callable[[str], bytes]) -> DataFrame
         except Exception as exc:  # one missing file must not stop the batch
             return None, f"{type(exc).__name__}: {exc}"
 
-    @F.pandas_udf("struct<content: binary, error: string>")
-    def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        # Keys come in by the thousand, so results leave by their bytes, not batch by batch.
+        rows, held = [], 0
         for batch in batches:
-            yield pd.DataFrame([fetch(key) for key in batch], columns=["content", "error"])
-
+            for qid, key in zip(batch["qid"], batch["component"]):
+                content, error = fetch(key)
+                rows.append((qid, key, content, error))
+                held += len(content or b"")
+                if held > FETCH_BYTES:
+                    yield pd.DataFrame(rows, columns=columns)
+                    rows, held = [], 0
+        if rows:
+            yield pd.DataFrame(rows, columns=columns)
+
+    columns = ["qid", "component", "content", "error"]
     partitions = int(wanted.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     spread = wanted.select("qid", "component").repartition(partitions, "component")
-    return spread.withColumn("_got", run("component")).select("qid", "component", "_got.content", "_got.error")
+    return spread.mapInPandas(run, "qid string, component string, content binary, error string")
 
 
 def index_files(

@@ -67,7 +67,9 @@ def test_contents_of_wanted_files(spark, tree, table, monkeypatch):
     assert objects.select_contents(contents, wanted).count() == 1
 
 
-def test_fetch_reads_each_file_in_the_tasks(tree, table):
+@pytest.mark.parametrize("held", [0, 1 << 20])
+def test_fetch_reads_each_file_in_the_tasks(tree, table, monkeypatch, held):
+    monkeypatch.setattr(objects, "FETCH_BYTES", held)
     wanted = table([("Q5", "main/raw/Q5/two.txt"), ("Q6", "main/raw/Q6/gone.txt")], "qid string, component string")
     fetched = objects.fetch_contents(wanted, objects.file_reader(tree))
     good, bad = pages.split_errors(pages.load_pages(fetched))
