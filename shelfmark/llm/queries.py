@@ -7,14 +7,17 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from shelfmark.llm import exact_dedup, packing, secrets, simhash
+from shelfmark.llm import exact_dedup, mixing, packing, quality, secrets, simhash, toxicity
 from shelfmark.session import ship
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 QUERIES: tuple[Query, ...] = (
+    quality.op1_quality,
     exact_dedup.op2_exact_dedup,
+    toxicity.op3_toxicity,
     packing.op5_packing,
+    mixing.op7_mixing,
     simhash.op9_simhash,
     secrets.op10_secret_scan,
 )
