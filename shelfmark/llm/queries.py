@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from shelfmark.llm import exact_dedup, mixing, packing, quality, secrets, simhash, toxicity
+from shelfmark.llm import exact_dedup, mixing, packing, quality, secrets, simhash, stable_ann, toxicity
 from shelfmark.session import ship
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -16,6 +16,7 @@ QUERIES: tuple[Query, ...] = (
     quality.op1_quality,
     exact_dedup.op2_exact_dedup,
     toxicity.op3_toxicity,
+    stable_ann.op4_nearest,
     packing.op5_packing,
     mixing.op7_mixing,
     simhash.op9_simhash,
