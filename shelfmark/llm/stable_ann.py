@@ -1,7 +1,7 @@
 """Nearest neighbours by inner product through low-dimensional stable projections and a kd-tree.
 
-One more component turns the largest inner product into the smallest Euclidean
-distance. A Gaussian matrix projects vectors to a few dimensions; the squared
+One more component puts all vectors on a sphere, and queries are stretched to
+it, so that the largest inner product is the smallest Euclidean distance. A Gaussian matrix projects vectors to a few dimensions; the squared
 ratio of a projected to a true distance is chi-square distributed. A kd-tree
 over the projections, fitted on a bounded sample, gives cells that partition
 all vectors. A query takes projected neighbours in growing projected distance,
@@ -109,7 +109,7 @@ def _matrix(column: pa.Array) -> np.ndarray:
 
 @dataclass(frozen=True)
 class Projection:
-    """Projection of vectors with their extra component, which makes all norms ``top``."""
+    """Projection of vectors with their extra component, which makes all norms ``top``, and of stretched queries."""
 
     matrix: np.ndarray
     top: float
@@ -119,14 +119,31 @@ class Projection:
         return vectors @ self.matrix[:-1] + rest[:, None] * self.matrix[-1]
 
     def queries(self, vectors: np.ndarray) -> np.ndarray:
-        return vectors @ self.matrix[:-1]
+        return (vectors * (self.top / _lengths(vectors))[:, None]) @ self.matrix[:-1]
+
+
+def gaussian(dim: int, projected: int) -> np.ndarray:
+    """A Gaussian matrix. Its last row, along which the differences of all long and short vectors lie, has the
+    expected length, so that one draw cannot put off the test for most queries alike."""
+    matrix = np.random.default_rng(SEED).standard_normal((dim + 1, projected))
+    matrix[-1] *= math.sqrt(projected) / np.linalg.norm(matrix[-1])
+    return matrix
+
+
+def _lengths(vectors: np.ndarray) -> np.ndarray:
+    return np.sqrt((vectors * vectors).sum(axis=1))
+
+
+def distance(score, length, top):
+    """Squared distance between a stretched query and a vector on the sphere."""
+    return np.maximum(2.0 * top * (top - score / length), 0.0)
 
 
 class Best:
     """The best ``k`` of one query: largest score first, then smallest id."""
 
-    def __init__(self, k: int, size: float, top: float, floor: float) -> None:
-        self.k, self.base, self.floor = k, size + top * top, floor
+    def __init__(self, k: int, length: float, top: float, floor: float) -> None:
+        self.k, self.length, self.top, self.floor = k, length, top, floor
         self.score, self.tie, self.row = np.zeros(0), np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64)
 
     def add(self, score: np.ndarray, tie: np.ndarray, row: np.ndarray) -> None:
@@ -137,7 +154,7 @@ class Best:
     def distance(self) -> float:
         """Squared distance of the k-th best so far, by what this or an earlier search found."""
         kth = self.score[-1] if len(self.score) == self.k else -np.inf
-        return max(self.base - 2.0 * max(kth, self.floor), 0.0)
+        return distance(max(kth, self.floor), self.length, self.top)
 
 
 def search_block(
@@ -202,7 +219,7 @@ def nearest(
     count = distinct.count()
     norm = F.sqrt(F.aggregate("v", F.lit(0.0), lambda a, x: a + x * x))
     top = float(distinct.agg(F.max(norm)).first()[0])
-    projection = Projection(np.random.default_rng(SEED).standard_normal((dim + 1, projected)), top)
+    projection = Projection(gaussian(dim, projected), top)
     share = min(1.0, MAX_SAMPLE / count)
     hashed = F.pmod(F.xxhash64("row"), F.lit(1 << 30)) / F.lit(float(1 << 30))
     sample = distinct.filter(hashed < share).select("v").limit(2 * MAX_SAMPLE).toArrow()
@@ -245,8 +262,7 @@ def nearest(
             gaps = tree.distances(projection.queries(v))
             home = gaps.argmin(axis=1)
             first = np.isnan(floor)
-            reach = (v * v).sum(axis=1) + top * top - 2.0 * floor
-            wanted = gaps < limit * np.maximum(reach, 0.0)[:, None]
+            wanted = gaps < limit * distance(floor, _lengths(v), top)[:, None]
             wanted[np.arange(len(v)), home] = False  # done in the first round
             wanted[first] = False
             wanted[first, home[first]] = True
@@ -283,9 +299,9 @@ def nearest(
                 all_v, ties, rows, points_ = ready
                 floors = part.column("floor").to_numpy()
                 out: list[tuple[np.ndarray, Best]] = []
-                asked_points = projection.queries(v)
+                asked_points, lengths = projection.queries(v), _lengths(v)
                 for i in range(len(v)):
-                    best = Best(k + 1, float((v[i] * v[i]).sum()), top, float(floors[i]))
+                    best = Best(k + 1, float(lengths[i]), top, float(floors[i]))
                     gap = points_ - asked_points[i]
                     search_block(best, v[i], (gap * gap).sum(axis=1), all_v, ties, rows, limit)
                     out.append((row[i], best))
