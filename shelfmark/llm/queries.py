@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from shelfmark.llm import exact_dedup, mixing, packing, quality, secrets, simhash, stable_ann, toxicity
+from shelfmark.llm import exact_dedup, mixing, packing, quality, secrets, simhash, stable_ann, suffixes, toxicity
 from shelfmark.session import ship
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -18,6 +18,7 @@ QUERIES: tuple[Query, ...] = (
     toxicity.op3_toxicity,
     stable_ann.op4_nearest,
     packing.op5_packing,
+    suffixes.op6_suffix_dedup,
     mixing.op7_mixing,
     simhash.op9_simhash,
     secrets.op10_secret_scan,
