@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from shelfmark.llm import exact_dedup, mixing, packing, quality, secrets, simhash, stable_ann, suffixes, toxicity
+from shelfmark.llm import exact_dedup, mixing, packing, quality, secrets, simhash, stable_ann, suffixes, toxicity, warc
 from shelfmark.session import ship
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -20,10 +20,11 @@ QUERIES: tuple[Query, ...] = (
     packing.op5_packing,
     suffixes.op6_suffix_dedup,
     mixing.op7_mixing,
+    warc.op8_warc,
     simhash.op9_simhash,
     secrets.op10_secret_scan,
 )
-SQL = {"op2_exact_dedup": exact_dedup.SQL}
+SQL = {"op2_exact_dedup": exact_dedup.SQL, "op8_warc": warc.SQL}
 
 
 def registered() -> dict[str, Query]:
