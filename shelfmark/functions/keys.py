@@ -14,6 +14,9 @@ from shelfmark.schemas import ALLOWED_EXTENSIONS, UNKNOWN
 # Fixed value: the DNS name space of RFC 4122.
 DNS_NAMESPACE_HEX = "6ba7b8109dad11d180b400c04fd430c8"
 
+# The forms of worker and package names in plans.
+WORKER_FORM, PACKAGE_PREFIX = "localworker_%02d", "plan_"
+
 
 def has_extension(key: Column, extensions: Iterable[str] = ALLOWED_EXTENSIONS) -> Column:
     """True when the key ends with one of the extensions, whatever the case."""
@@ -44,7 +47,7 @@ def file_stem(key: Column) -> Column:
 def shard_path(qid: Column) -> Column:
     """``NN/NN/NN/Q…`` from the first six digits of the zero-padded number."""
     name = F.upper(strip(qid))
-    digits = F.substring(name, 2, 1_000_000)
+    digits = F.substr(name, F.lit(2))
     padded = F.when(F.length(digits) < 6, F.lpad(digits, 6, "0")).otherwise(digits)
     parts = [F.substring(padded, at, 2) for at in (1, 3, 5)]
     return F.concat_ws("/", *parts, name)
@@ -98,11 +101,11 @@ def join_path(*parts: Column) -> Column:
 
 def worker_id(package: Column) -> Column:
     """``localworker_01`` for package 0, and so on."""
-    return F.format_string("localworker_%02d", package + 1)
+    return F.format_string(WORKER_FORM, package + 1)
 
 
 def package_id(package: Column) -> Column:
-    return F.concat(F.lit("plan_"), worker_id(package))
+    return F.concat(F.lit(PACKAGE_PREFIX), worker_id(package))
 
 
 def duration(seconds: Column) -> Column:

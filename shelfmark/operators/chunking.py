@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from shelfmark.functions.text import sentences
 from shelfmark.operators.arrays import unnest
 from shelfmark.operators.embedding import Embedder, HashedEmbedder
+from shelfmark.operators.joins import narrow_join
 from shelfmark.operators.ordinals import running_offset
 from shelfmark.schemas import DOC_KEYS, ChunkParams
 from shelfmark.session import stage
@@ -68,6 +69,10 @@ def merge_spans(lengths: Sequence[int], breaks: np.ndarray, min_size: int) -> li
     return spans
 
 
+class _Late(Exception):
+    """The time limit of a page is over."""
+
+
 def _split_column(
     found: Column,
     lengths: Column,
@@ -78,7 +83,15 @@ def _split_column(
 ) -> Column:
     def split(parts: Sequence[str], sizes: Sequence[int]) -> tuple:
         began = time.monotonic()
-        distances = window_distances(embedder.embed_windows(parts, params.buffer_size))
+
+        def check() -> None:
+            if timeout_seconds is not None and time.monotonic() - began > timeout_seconds:
+                raise _Late
+
+        try:
+            distances = window_distances(embedder.embed_windows(parts, params.buffer_size, check))
+        except _Late:
+            return None, time.monotonic() - began, True
         limit = np.round(np.percentile(distances, params.breakpoint_percentile), DISTANCE_DIGITS)
         breaks = np.append(distances > limit, False)
         spans = merge_spans(sizes, breaks, params.min_chunk_size)
@@ -100,7 +113,7 @@ def _split_column(
                         raise
                     rows.append((None, 0.0, False, f"{type(exc).__name__}: {exc}"))
                     continue
-                named = [{"first": a, "n": n, "start_index": s} for a, n, s in spans]
+                named = spans and [{"first": a, "n": n, "start_index": s} for a, n, s in spans]
                 rows.append((named, spent, late, None))
             yield pd.DataFrame(rows, columns=["spans", "seconds", "timed_out", "error"])
 
@@ -120,6 +133,9 @@ def semantic_pieces(
     With ``isolate``, a page the embedder fails on has an error and no pieces;
     otherwise the job fails.
 
+    With ``timeout_seconds`` a page is given up after the model batch in which
+    its time ran out; it is then one piece and marked ``timed_out``.
+
     Works inside each page, so it moves no data. A page of at most
     ``buffer_size + 1`` sentences has identical windows everywhere, hence no
     break: it is one piece and its text never leaves the JVM.
@@ -156,12 +172,15 @@ def semantic_pieces(
     )
 
 
-def split_oversize(pieces: Column, params: ChunkParams) -> Column:
-    """Pieces above the maximum cut into fixed windows, which keep the start index of their piece."""
+def split_oversize(pieces: Column, params: ChunkParams, min_length: int | None = None) -> Column:
+    """Pieces above the maximum cut into fixed windows, which keep the start index of their piece.
+
+    ``min_length`` takes the place of the minimum in the size of the overlap.
+    """
     cut = F.transform(
         pieces,
         lambda p: F.transform(
-            fixed_windows(p["text"], params.target_max_chunk_size, params.overlap),
+            fixed_windows(p["text"], params.target_max_chunk_size, params.overlap_for(min_length)),
             lambda w: F.struct(w.alias("text"), p["start_index"].alias("start_index")),
         ),
     )
@@ -176,7 +195,10 @@ def number_chunks(
     ``count`` is a cheaper way to get at the number of pieces, if there is one.
     """
     size = F.coalesce(F.size(pieces) if count is None else count, F.lit(0))
-    placed = running_offset(paged, doc, "page", size, "_offset")
+    # Offsets come from keys and counts alone; a list that fits goes to the pages, so that no text is moved.
+    counts = paged.select(*doc, "page", size.alias("_size"))
+    offsets = running_offset(counts, doc, "page", F.col("_size"), "_offset").drop("_size")
+    placed = narrow_join(paged, offsets, [*doc, "page"], ["page"])
     kept = [c for c in paged.columns if c not in (pieces, "text")]
     return unnest(placed, F.col(pieces), "_piece", "_pos").select(
         *kept,
@@ -191,22 +213,32 @@ def chunk_pages(
     params: ChunkParams = ChunkParams(),
     embedder: Embedder | None = None,
     doc: Sequence[str] = DOC_KEYS,
+    min_length: int | None = None,
 ) -> DataFrame:
     """Semantic pieces, oversize split, running index: one row per chunk.
 
+    ``min_length`` is the least length that is expected of a chunk: it sets the
+    overlap of cut pieces (and what ``is_outlier`` flags), not where sentences
+    are joined.
+
     The pieces are written out before they are numbered: numbering reads their
     counts and their texts, and embedding sentences twice costs more.
     """
     split = semantic_pieces(pages, params, embedder).drop("seconds", "timed_out", "error")
-    split = split.withColumn("pieces", split_oversize(F.col("pieces"), params)).drop("text")
+    split = split.withColumn("pieces", split_oversize(F.col("pieces"), params, min_length)).drop("text")
     return number_chunks(stage(split, "pieces"), "pieces", doc)
 
 
-def fixed_chunks(pages: DataFrame, params: ChunkParams = ChunkParams(), doc: Sequence[str] = DOC_KEYS) -> DataFrame:
+def fixed_chunks(
+    pages: DataFrame,
+    params: ChunkParams = ChunkParams(),
+    doc: Sequence[str] = DOC_KEYS,
+    min_length: int | None = None,
+) -> DataFrame:
     """Fixed windows over the whole page text, without looking at sentences."""
     whole = F.array(F.struct(F.col("text").alias("text"), F.lit(0).alias("start_index")))
-    pieces = F.when(F.col("text").isNotNull(), split_oversize(whole, params))
-    count = window_count(F.length("text"), params.target_max_chunk_size, params.overlap)
+    pieces = F.when(F.col("text").isNotNull(), split_oversize(whole, params, min_length))
+    count = window_count(F.length("text"), params.target_max_chunk_size, params.overlap_for(min_length))
     return number_chunks(pages.withColumn("pieces", pieces), "pieces", doc, count)
 
 

@@ -27,8 +27,10 @@ class Embedder(Protocol):
     def embed(self, texts: Sequence[str]) -> np.ndarray:
         """Vectors of shape ``(len(texts), dim)``."""
 
-    def embed_windows(self, sentences: Sequence[str], buffer_size: int) -> np.ndarray:
-        """Vectors of every sentence taken together with its neighbours."""
+    def embed_windows(
+        self, sentences: Sequence[str], buffer_size: int, check: Callable[[], None] = lambda: None
+    ) -> np.ndarray:
+        """Vectors of every sentence taken together with its neighbours; ``check`` may break off between batches."""
 
 
 def windows(sentences: Sequence[str], buffer_size: int) -> Iterator[str]:
@@ -74,7 +76,9 @@ class HashedEmbedder:
     def embed(self, texts: Sequence[str]) -> np.ndarray:
         return _unit(self.counts(texts))
 
-    def embed_windows(self, sentences: Sequence[str], buffer_size: int) -> np.ndarray:
+    def embed_windows(
+        self, sentences: Sequence[str], buffer_size: int, check: Callable[[], None] = lambda: None
+    ) -> np.ndarray:
         # Counts add up, so a window is a difference of running sums.
         n = len(sentences)
         running = np.zeros((n + 1, self.dim))
@@ -122,7 +126,9 @@ class ModelEmbedder:
             raise ValueError(f"model gave vectors of size {vectors.shape[1]}, expected {self.dim}")
         return vectors
 
-    def embed_windows(self, sentences: Sequence[str], buffer_size: int) -> np.ndarray:
+    def embed_windows(
+        self, sentences: Sequence[str], buffer_size: int, check: Callable[[], None] = lambda: None
+    ) -> np.ndarray:
         # Window texts overlap, so only one model batch of them is held at a time.
         parts, batch = [], []
         for text in windows(sentences, buffer_size):
@@ -130,6 +136,7 @@ class ModelEmbedder:
             if len(batch) == self.batch_size:
                 parts.append(self.embed(batch))
                 batch = []
+                check()
         if batch or not parts:
             parts.append(self.embed(batch))
         return np.concatenate(parts)
@@ -160,20 +167,19 @@ def embed_column(text: Column, embedder: Embedder) -> Column:
 def embed_column_safely(text: Column, embedder: Embedder) -> Column:
     """``struct<vector, error>``: a text the model rejects gets an error instead of failing the job."""
 
-    def one(text: str) -> tuple:
+    def isolated(texts: list[str]) -> list[tuple]:
+        """Halves a batch until the offending texts stand alone."""
         try:
-            return embedder.embed([text])[0].astype(np.float32), None
-        except Exception as exc:  # isolated per row
-            return None, f"{type(exc).__name__}: {exc}"
+            return [(v, None) for v in embedder.embed(texts).astype(np.float32)]
+        except Exception as exc:
+            if len(texts) == 1:
+                return [(None, f"{type(exc).__name__}: {exc}")]
+        half = len(texts) // 2
+        return isolated(texts[:half]) + isolated(texts[half:])
 
     @F.pandas_udf("struct<vector: array<float>, error: string>")
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         for texts in batches:
-            values = texts.fillna("").tolist()
-            try:
-                rows = [(v, None) for v in embedder.embed(values).astype(np.float32)]
-            except Exception:  # find the offending rows
-                rows = [one(v) for v in values]
-            yield pd.DataFrame(rows, columns=["vector", "error"])
+            yield pd.DataFrame(isolated(texts.fillna("").tolist()) if len(texts) else [], columns=["vector", "error"])
 
     return run(embedder.prepare(text))

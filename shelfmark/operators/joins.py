@@ -3,26 +3,30 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from shelfmark.session import stage
-
 JOIN_TYPES = ("inner", "left_semi", "left_anti", "left")
 
-# Rows of a key list that is sent to every task; at some 200 bytes a row, 100 MB.
-MAX_BROADCAST_ROWS = 500_000
-# A left key with more rows than this is kept out of the shuffle.
-HOT_ROWS = 1_000_000
-# The hottest keys only: whatever is left holds less than this fraction of all rows per key.
-MAX_HOT_KEYS = 10_000
+# Bytes of a key list that is sent to every task, as its values take up.
+MAX_BROADCAST_BYTES = 64 << 20
 SALTS = 64
 
 
-def is_small(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> bool:
-    """Whether ``df`` has at most ``max_rows`` rows. Runs a job that stops counting there."""
-    return df.limit(max_rows + 1).count() <= max_rows
+def _width(df: DataFrame) -> Column:
+    """About the bytes of a row: the length of strings and binaries, and 8 for any other column."""
+    sized = [
+        F.coalesce(F.octet_length(F.col(f"`{name}`")), F.lit(0)) if kind in ("string", "binary") else F.lit(8)
+        for name, kind in df.dtypes
+    ]
+    return reduce(lambda a, b: a + b, sized, F.lit(8)).cast("bigint")
+
+
+def is_small(df: DataFrame, max_bytes: int = MAX_BROADCAST_BYTES) -> bool:
+    """Whether ``df`` takes up at most ``max_bytes``. Every task sends one number."""
+    return (df.agg(F.sum(_width(df))).first()[0] or 0) <= max_bytes
 
 
 def narrow_join(
@@ -30,7 +34,7 @@ def narrow_join(
 ) -> DataFrame:
     """Join a wide left side with a narrow right side, without moving the left side if that can be.
 
-    The right side is counted: a small one is broadcast, a large one goes
+    The right side is measured: a small one is broadcast, a large one goes
     through ``skew_join``.
     """
     if is_small(right):
@@ -43,29 +47,20 @@ def skew_join(
 ) -> DataFrame:
     """Equi-join of two large sides in which some left keys are hot.
 
-    Left rows are counted per key, from the key columns alone and combined
-    before the shuffle. Rows of hot keys stay in place and get the few right
-    rows of those keys by broadcast; all other rows are joined by shuffle.
-    Should the right side have very many rows for the hot keys, that part is
-    salted instead.
+    Spark splits a large partition of the left side as it finds it (adaptive
+    skew join), for all the join types here. What it cannot do is tell apart
+    rows whose key is null: they match nothing, but would meet in one task when
+    the join keeps them. They are spread by a hash of ``spread_by``.
     """
     if how not in JOIN_TYPES:
         raise ValueError(f"unsupported join type: {how}")
     keys = list(on)
-    counted = left.select(*keys).groupBy(*keys).agg(F.count("*").alias("_n")).filter(F.col("_n") > HOT_ROWS)
-    # Written out: both parts below have to see the same keys.
-    hot = stage(counted.orderBy(F.col("_n").desc()).limit(MAX_HOT_KEYS).drop("_n"), "hot")
-    if hot.isEmpty():
+    if how in ("inner", "left_semi"):
         return left.join(right, keys, how)
-    hot = F.broadcast(hot)
-    cold_part = left.join(hot, keys, "left_anti").join(right, keys, how)
-    hot_left = left.join(hot, keys, "left_semi")
-    hot_right = right.join(hot, keys, "left_semi")
-    if is_small(hot_right):
-        hot_part = hot_left.join(F.broadcast(hot_right), keys, how)
-    else:
-        hot_part = salted_join(hot_left, hot_right, keys, spread_by, how)
-    return cold_part.unionByName(hot_part)
+    no_key = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
+    spread = F.when(no_key, F.xxhash64(*spread_by)).otherwise(F.lit(0).cast("bigint"))
+    salted_right = right.withColumn("_spread", F.lit(0).cast("bigint"))
+    return left.withColumn("_spread", spread).join(salted_right, [*keys, "_spread"], how).drop("_spread")
 
 
 def salted_join(

@@ -16,9 +16,6 @@ from shelfmark.schemas import CRAN_PACKAGE, DOC_KEYS, STATUS_PLANNED
 # Fixed value: version field of package files.
 PLANNER_VERSION = "1.0"
 
-# Entries one package may hold: a package becomes one row.
-MAX_PACKAGE_SIZE = 1_000_000
-
 
 def cut_packages(
     backlog: DataFrame, size: int, packages: int | None = None, order: Sequence[str] = DOC_KEYS
@@ -51,7 +48,7 @@ def package_documents(
 ) -> DataFrame:
     """One row per package with the fields of a package file.
 
-    The list of entries is bounded by the package size that cut it.
+    A row holds a whole package, as its reader does: it is as large as the size that cut it.
     """
     kind = F.lit(CRAN_PACKAGE) if document_type is None else document_type
     entry = F.struct("position", "qid", "component", kind.alias("document_type"))

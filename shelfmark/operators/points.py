@@ -10,14 +10,18 @@ from pyspark.sql import functions as F
 from shelfmark.functions import keys
 from shelfmark.functions.text import embedding_prefix
 from shelfmark.operators.embedding import Embedder, embed_column, embed_column_safely
-from shelfmark.operators.upsert import latest_by_key
+from shelfmark.operators.joins import narrow_join
 from shelfmark.schemas import CRAN_PACKAGE
 
-# Payload fields that describe a chunk; they win over fields of the same name from the file.
+# Payload fields that describe a chunk, as stored points have them. They win over fields of the same name from the file.
 BASE_FIELDS = ("qid", "source", "package", "version", "document_type", "page", "chunk_index", "start_index")
 
 
-def add_metadata(pages: DataFrame, document_type: str | Column = CRAN_PACKAGE, source: str = "CRAN") -> DataFrame:
+# Fixed value: the source that points name by default.
+SOURCE = "CRAN"
+
+
+def add_metadata(pages: DataFrame, document_type: str | Column = CRAN_PACKAGE, source: str = SOURCE) -> DataFrame:
     """Pages with the document's ``source, package, version, document_type``.
 
     The title is the one of the document's first page; ``load_pages`` puts the
@@ -32,13 +36,15 @@ def add_metadata(pages: DataFrame, document_type: str | Column = CRAN_PACKAGE, s
 
 def merge_metadata(extra: Column, base: Column) -> Column:
     """Union of two maps; fields of ``base`` win."""
+    extra = F.coalesce(extra, F.create_map().cast("map<string,string>"))
     return F.map_concat(F.map_filter(extra, lambda k, _: ~F.array_contains(F.map_keys(base), k)), base)
 
 
-def payload(fields: Mapping[str, Column], page_content: Column, extra: Column | None = None) -> Column:
-    """Metadata plus ``page_content`` as one map; null fields are left out."""
+def payload(fields: Mapping[str, Column], page_content: Column | None, extra: Column | None = None) -> Column:
+    """Metadata plus ``page_content``, if given, as one map; null fields are left out."""
     pairs = [F.struct(F.lit(k).alias("k"), v.cast("string").alias("v")) for k, v in fields.items()]
-    pairs.append(F.struct(F.lit("page_content").alias("k"), page_content.alias("v")))
+    if page_content is not None:
+        pairs.append(F.struct(F.lit("page_content").alias("k"), page_content.alias("v")))
     base = F.map_from_entries(F.filter(F.array(*pairs), lambda p: p["v"].isNotNull()))
     return base if extra is None else merge_metadata(extra, base)
 
@@ -49,6 +55,13 @@ def split_payload(stored: Column) -> tuple[Column, Column]:
     return content, F.map_filter(stored, lambda k, _: k != "page_content")
 
 
+def with_content(stored: Column, page_content: Column) -> Column:
+    """A payload with ``page_content`` put back."""
+    bare = F.map_filter(F.coalesce(stored, F.create_map().cast("map<string,string>")), lambda k, _: k != "page_content")
+    pair = F.create_map(F.lit("page_content"), page_content)
+    return F.when(page_content.isNull(), bare).otherwise(F.map_concat(bare, pair))
+
+
 def identify(chunks: DataFrame, id_cols: Sequence[str] = ("qid",)) -> DataFrame:
     """Chunks with their point ``id``.
 
@@ -60,7 +73,13 @@ def identify(chunks: DataFrame, id_cols: Sequence[str] = ("qid",)) -> DataFrame:
     identified = chunks.withColumn("id", keys.point_id(F.col("chunk_index"), prefix))
     if "component" in id_cols:
         return identified
-    return latest_by_key(identified, ["id"], ["component"])
+    # Only items with several files have rivals for an id; which file wins is settled on keys alone.
+    narrow = identified.select("id", "qid", "component")
+    several = narrow.groupBy("qid").agg(F.min("component").alias("_a"), F.max("component").alias("_b")).filter("_a <> _b")
+    rivals = narrow_join(narrow, several.select("qid"), ["qid"], ["id"], "left_semi")
+    best = rivals.groupBy("id").agg(F.max("component").alias("_best"))
+    losers = rivals.join(best, "id").filter(F.col("component") < F.col("_best")).select("id", "component").distinct()
+    return narrow_join(identified, losers, ["id", "component"], ["id"], "left_anti")
 
 
 def embedding_text(
@@ -79,9 +98,13 @@ def to_points(
     id_cols: Sequence[str] = ("qid",),
     rules: Mapping[str, tuple[str, str]] | None = None,
     isolate: bool = False,
+    content_in_payload: bool = True,
 ) -> DataFrame:
     """``id, qid, component, vector, page_content, payload`` for every chunk.
 
+    Without ``content_in_payload`` the text is there once; a collection puts it
+    into the payload of the points that it gives out.
+
     Ids are settled before embedding, so no text is embedded only to be
     overwritten. With ``isolate`` there is also ``error``, set where the model
     failed on a text; otherwise that fails the job.
@@ -99,6 +122,6 @@ def to_points(
         "component",
         F.col("_e.vector" if isolate else "_e").alias("vector"),
         F.col("text").alias("page_content"),
-        payload(fields, F.col("text"), extra).alias("payload"),
+        payload(fields, F.col("text") if content_in_payload else None, extra).alias("payload"),
         *([F.col("_e.error").alias("error")] if isolate else []),
     )

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from shelfmark.functions.text import words
@@ -10,6 +10,7 @@ from shelfmark.operators.arrays import unnest
 from shelfmark.operators.joins import narrow_join
 
 TOKEN_BUCKETS = 64
+SCORE_DIGITS = 9
 
 
 def postings(corpus: DataFrame, text: str = "page_content", id_col: str = "id") -> DataFrame:
@@ -47,24 +48,61 @@ def lookup(index: DataFrame, tokens: list[str]) -> DataFrame:
 
 
 def lexical_match(
-    index: DataFrame, queries: DataFrame, mode: str = "and", id_col: str = "id", query_col: str = "query_id"
+    index: DataFrame,
+    queries: DataFrame,
+    mode: str = "and",
+    id_col: str = "id",
+    query_col: str = "query_id",
+    k: int | None = None,
 ) -> DataFrame:
-    """``query, id, n_matched`` for texts holding all (``and``) or any (``or``) of a query's words.
+    """Texts that hold all (``and``) or any (``or``) of a query's words.
 
-    ``queries`` has ``query_col`` and ``text``. Few query words go to the
-    postings; many are joined by token, the rows of a frequent token spread by
-    id. What meets per (query, id) is at most one row per query word, already
-    summed on the map side.
+    ``queries`` has ``query_col`` and ``text``. The result has ``query, id,
+    n_matched`` and, with ``k``, the ``score`` and ``rank`` of the ``k`` best
+    texts of each query: a matched word counts the less the more texts have it,
+    and ties go to the smaller id.
+
+    All words are only looked for in texts that hold the query's rarest one.
     """
     if mode not in ("and", "or"):
         raise ValueError(f"unknown mode: {mode}")
     asked = queries.select(query_col, F.array_distinct(words(F.col("text"))).alias("_words"))
     wanted = unnest(asked, F.col("_words"), "token").select(query_col, F.size("_words").alias("_n"), "token")
-    matched = (
-        narrow_join(index.select("token", id_col), wanted, ["token"], [id_col])
-        .groupBy(query_col, id_col)
-        .agg(F.count("*").alias("n_matched"), F.first("_n").alias("_n"))
+    held = narrow_join(index.select("token", id_col), wanted.select("token").distinct(), ["token"], [id_col], "left_semi")
+    wanted = wanted.join(document_frequency(held), "token", "left")
+    matched = _all_words(held, wanted, id_col, query_col) if mode == "and" else _any_word(held, wanted, id_col, query_col)
+    if k is None:
+        return matched.select(query_col, id_col, "n_matched")
+    best = Window.partitionBy(query_col).orderBy(F.desc("score"), id_col)
+    ranked = matched.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= k)
+    return ranked.select(query_col, id_col, "n_matched", "score", "rank")
+
+
+def _score(of: Column) -> Column:
+    return F.round(F.sum(F.lit(1.0) / of), SCORE_DIGITS)
+
+
+def _any_word(held: DataFrame, wanted: DataFrame, id_col: str, query_col: str) -> DataFrame:
+    """What meets per (query, id) is one row per query word at most, already summed on the map side."""
+    found = narrow_join(held, wanted.filter("n_docs is not null"), ["token"], [id_col])
+    return found.groupBy(query_col, id_col).agg(F.count("*").alias("n_matched"), _score(F.col("n_docs")).alias("score"))
+
+
+def _all_words(held: DataFrame, wanted: DataFrame, id_col: str, query_col: str) -> DataFrame:
+    # A query has few words: its window is small.
+    whole = Window.partitionBy(query_col)
+    rarest = whole.orderBy("n_docs", "token")
+    possible = (
+        wanted.withColumn("_score", F.round(F.sum(F.lit(1.0) / F.col("n_docs")).over(whole), SCORE_DIGITS))
+        .withColumn("_known", F.count("n_docs").over(whole))
+        .withColumn("_place", F.row_number().over(rarest))
+        .filter(F.col("_known") == F.col("_n"))
     )
-    if mode == "and":
-        matched = matched.filter(F.col("n_matched") == F.col("_n"))
-    return matched.drop("_n")
+    first = possible.filter("_place = 1").select("token", query_col, "_n", "_score")
+    candidates = narrow_join(held, first, ["token"], [id_col]).select(query_col, id_col, "_n", "_score")
+    others = possible.filter("_place > 1").select(query_col, "token")
+    rest = candidates.filter("_n > 1").join(others, query_col).join(held, ["token", id_col], "left_semi")
+    complete = rest.groupBy(query_col, id_col, "_n", "_score").agg(F.count("*").alias("_found"))
+    complete = complete.filter(F.col("_found") == F.col("_n") - 1).select(query_col, id_col, "_n", "_score")
+    both = candidates.filter("_n = 1").unionByName(complete)
+    return both.select(query_col, id_col, F.col("_n").cast("bigint").alias("n_matched"), F.col("_score").alias("score"))

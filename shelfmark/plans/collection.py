@@ -21,7 +21,8 @@ from pyspark.sql import types as T
 
 from shelfmark.functions.vectors import resolve_metric
 from shelfmark.operators.joins import narrow_join
-from shelfmark.operators.textindex import postings, write_index
+from shelfmark.operators.points import with_content
+from shelfmark.operators.textindex import lexical_match, postings, write_index
 from shelfmark.schemas import POINTS
 from shelfmark.session import drop_path, empty, path_exists
 
@@ -99,27 +100,25 @@ class Collection:
             return rows
         removed = self._stored("removed", _REMOVED, totals)
         newest = removed.groupBy("id").agg(F.max("segment").alias("_removed_at"))
-        still = F.col("_removed_at").isNull() | (F.col("segment") >= F.col("_removed_at"))
-        return rows.join(newest, "id", "left").filter(still).drop("_removed_at")
+        # Which (id, segment) pairs are gone is settled on ids alone; a list that fits is sent to the points.
+        segments = self._stored("data", POINTS, totals).select("id", "segment")
+        gone = segments.join(newest, "id").filter(F.col("segment") < F.col("_removed_at")).select("id", "segment")
+        return narrow_join(rows, gone.distinct(), ["id", "segment"], ["id"], "left_anti")
 
     def points(self) -> DataFrame:
-        """All current points."""
-        return self._live(POINTS.fieldNames()).drop("segment")
-
-    def ensure_text_index(self) -> None:
-        """Index the texts of all segments that are not indexed yet."""
-        totals = self._totals()
-        for segment in range(totals.base, totals.last + 1):
-            path = f"{self.root}/text/segment={segment}"
-            if not path_exists(self.spark, f"{path}/_SUCCESS"):
-                texts = self.spark.read.schema(POINTS).parquet(f"{self.root}/data/segment={segment}")
-                write_index(postings(texts), path)
+        """All current points. The text is stored once and put into the payload here."""
+        live = self._live(POINTS.fieldNames()).drop("segment")
+        return live.withColumn("payload", with_content(F.col("payload"), F.col("page_content")))
 
     def text_index(self) -> DataFrame:
-        """Postings ``token, id, bucket`` of the current points, as far as they are indexed."""
+        """Postings ``token, id, bucket`` of all current points; every write indexes what it brings."""
         totals = self._totals()
         return self._without_removed(self._stored("text", _POSTINGS, totals), totals).drop("segment")
 
+    def search_text(self, queries: DataFrame, mode: str = "and", k: int | None = None) -> DataFrame:
+        """Lexical matches among the current points, see ``lexical_match``."""
+        return lexical_match(self.text_index(), queries, mode, k=k)
+
     def upsert(
         self, points: DataFrame, replace_by: Sequence[str] | None = None, now: datetime | None = None
     ) -> int:
@@ -134,9 +133,13 @@ class Collection:
         segment = totals.last + 1
         checked = points.select(*[F.col(f.name).cast(f.dataType) for f in POINTS.fields])
         checked = checked.withColumn("vector", self._checked_vector(F.col("vector")))
+        bare = F.map_filter("payload", lambda key, _: key != "page_content")
+        checked = checked.withColumn("payload", bare)
         data = f"{self.root}/data/segment={segment}"
         checked.write.mode("overwrite").parquet(data)
         written = self.spark.read.schema(POINTS).parquet(data)
+        # The commit comes last: a reader sees points and postings of a segment together.
+        write_index(postings(written), f"{self.root}/text/segment={segment}")
         n_points = written.count()
         n_removed = 0
         if totals.last >= 0:
@@ -175,8 +178,10 @@ class Collection:
         totals = self._totals()
         segment = totals.last + 1
         data = f"{self.root}/data/segment={segment}"
-        self.points().write.mode("overwrite").parquet(data)
-        n_points = self.spark.read.schema(POINTS).parquet(data).count()
+        self._live(POINTS.fieldNames()).drop("segment").write.mode("overwrite").parquet(data)
+        written = self.spark.read.schema(POINTS).parquet(data)
+        write_index(postings(written), f"{self.root}/text/segment={segment}")
+        n_points = written.count()
         # The commit moves the base; until then readers see the former segments.
         self._commit(segment, segment, n_points, 0)
         for name in ("data", "removed", "text"):

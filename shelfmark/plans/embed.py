@@ -14,7 +14,7 @@ from shelfmark.operators.chunking import number_chunks, semantic_pieces, split_o
 from shelfmark.operators.embedding import Embedder
 from shelfmark.operators.guard import oversized, within_limit
 from shelfmark.operators.joins import narrow_join
-from shelfmark.operators.points import add_metadata, to_points
+from shelfmark.operators.points import SOURCE, add_metadata, to_points
 from shelfmark.operators.runlog import run_summary
 from shelfmark.operators.upsert import upsert
 from shelfmark.plans.collection import Collection
@@ -52,7 +52,7 @@ def embed_backlog(
     params: ChunkParams = ChunkParams(),
     extractors: Mapping[str, Extractor] | None = None,
     document_type: str = CRAN_PACKAGE,
-    source: str = "CRAN",
+    source: str = SOURCE,
     max_pages: int | None = 75,
     timeout_seconds: float | None = None,
     id_cols: Sequence[str] = ("qid",),
@@ -71,8 +71,8 @@ def embed_backlog(
     without any text gets no status either: both are tried again by the next
     run.
 
-    Pages and chunks are written to the work folder once each, since several
-    later steps read them; points are stored before the status, and their ids
+    Pages, their pieces and the points are written to the work folder once
+    each, since several later steps read them; points are stored before the status, and their ids
     are deterministic, so a run that broke off can simply be started again.
     """
     moment = now or datetime.now(timezone.utc)
@@ -94,17 +94,18 @@ def embed_backlog(
     sound = _without(split, unsplit, ["page"])
     late = _timed_out(sound, timeout_seconds)
     in_time = sound if late is None else narrow_join(sound, late, DOC_KEYS, ["page"], "left_anti")
-    chunks = stage(number_chunks(in_time.drop("seconds", "timed_out", "error"), "pieces"), "chunks")
+    chunks = number_chunks(in_time.drop("seconds", "timed_out", "error"), "pieces")
 
     before = collection.size() if collection.exists() else 0
     collection.ensure(embedder.dim)
-    points = stage(to_points(chunks, embedder, id_cols, prefix_rules, True), "points")
+    points = stage(to_points(chunks, embedder, id_cols, prefix_rules, True, False), "points")
     unembedded = _failed(points)
     # A document gets all of its points or none.
     points = _without(points, unembedded, ["id"]).drop("error")
     collection.upsert(points, id_cols if replace_document else None, moment)
 
-    done = _without(chunks.select(*DOC_KEYS).distinct(), unembedded, DOC_KEYS).withColumn("status", F.lit(STATUS_OK))
+    chunked = in_time.filter(F.size("pieces") > 0).select(*DOC_KEYS).distinct()
+    done = _without(chunked, unembedded, DOC_KEYS).withColumn("status", F.lit(STATUS_OK))
     results = done.unionByName(too_large.select(*DOC_KEYS, "status"))
     if late is not None:
         results = results.unionByName(late.withColumn("status", F.lit(STATUS_TIMEOUT)))

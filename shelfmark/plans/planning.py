@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 
 from shelfmark.operators.backlog import backlog
 from shelfmark.operators.packages import (
-    MAX_PACKAGE_SIZE,
     cut_packages,
     package_documents,
     reservations,
@@ -32,8 +31,6 @@ def plan_packages(
     nothing is written. The checksum in the files is that of the state before
     the reservations.
     """
-    if size > MAX_PACKAGE_SIZE:
-        raise ValueError(f"a package holds at most {MAX_PACKAGE_SIZE} entries")
     if not store.exists():
         raise FileNotFoundError(f"no state snapshot below {store.root}")
     moment = now or datetime.now(timezone.utc)

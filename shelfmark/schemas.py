@@ -103,5 +103,9 @@ class ChunkParams:
     def overlap(self) -> int:
         return min(self.max_overlap, self.min_chunk_size // 4)
 
+    def overlap_for(self, min_length: int | None) -> int:
+        """The overlap if ``min_length`` is expected of a chunk; 0 or none means the default."""
+        return min(self.max_overlap, min_length // 4) if min_length else self.overlap
+
     def override(self, **changes: object) -> "ChunkParams":
         return replace(self, **changes)

@@ -18,14 +18,15 @@ from shelfmark.functions.text import html_title, strip_html
 from shelfmark.operators.arrays import unnest
 from shelfmark.sources.objects import read_folder
 
-# bytes -> page texts, or (page texts, title)
-Extractor = Callable[[bytes], "list[str] | tuple[list[str], str | None]"]
+# bytes -> page texts, or (page texts, title), or (page texts, title, metadata): a dict for the file, or one for each page
+Extractor = Callable[[bytes], "list[str] | tuple"]
 
-_PARSED = "struct<texts: array<string>, title: string, error: string>"
+_PARSED = "struct<texts: array<string>, title: string, error: string, extra: array<map<string,string>>>"
 
 
 def _parsed(texts: Column, title: Column, error: Column) -> Column:
-    return F.struct(texts.alias("texts"), title.alias("title"), error.alias("error")).cast(_PARSED)
+    none = F.lit(None).cast("array<map<string,string>>")
+    return F.struct(texts.alias("texts"), title.alias("title"), error.alias("error"), none.alias("extra")).cast(_PARSED)
 
 
 def _null() -> Column:
@@ -44,30 +45,43 @@ def parse_html(content: Column) -> Column:
     return _parsed(F.array(strip_html(html)), html_title(html), _null())
 
 
+def _by_page(extra: Mapping | list[Mapping] | None, pages: int) -> list[dict[str, str]] | None:
+    """Metadata as text, a map for each page; fields without a value are left out."""
+    if not extra:
+        return None
+    each = [extra] * pages if isinstance(extra, Mapping) else list(extra)
+    if len(each) != pages:
+        raise ValueError(f"metadata for {len(each)} pages, but {pages} pages")
+    return [{str(k): str(v) for k, v in (m or {}).items() if v is not None} for m in each]
+
+
 def _extract(extractors: Mapping[str, Extractor]):
     by_extension = dict(extractors)
 
     def parse(ext: str, content: bytes | None) -> tuple:
         if content is None:
-            return None, None, None
+            return None, None, None, None
         try:
             found = by_extension[ext](bytes(content))
-            texts, title = found if isinstance(found, tuple) else (found, None)
-            return list(texts), title, None
+            texts, title, extra = (*found, None, None)[:3] if isinstance(found, tuple) else (found, None, None)
+            texts = list(texts)
+            return texts, title, None, _by_page(extra, len(texts))
         except Exception as exc:  # one bad file must not stop the batch
-            return None, None, f"{type(exc).__name__}: {exc}"
+            return None, None, f"{type(exc).__name__}: {exc}", None
 
     @F.pandas_udf(_PARSED)
     def run(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
         for exts, contents in batches:
             rows = [parse(e, c) for e, c in zip(exts, contents)]
-            yield pd.DataFrame(rows, columns=["texts", "title", "error"])
+            yield pd.DataFrame(rows, columns=["texts", "title", "error", "extra"])
 
     return run
 
 
 def load_pages(files: DataFrame, extractors: Mapping[str, Extractor] | None = None) -> DataFrame:
-    """Pages of ``(qid, component, content)`` files: ``qid, component, page, title, text, error``.
+    """Pages of ``(qid, component, content)`` files: ``qid, component, page, title, text, error, extra``.
+
+    ``extra`` holds what an extractor found besides: author, dates, producer and the like.
 
     A file that cannot be read gives one row with ``error`` set and no text;
     it never stops the other files. An ``error`` column of the input, from
@@ -95,7 +109,8 @@ def load_pages(files: DataFrame, extractors: Mapping[str, Extractor] | None = No
     # A file without pages and without an error has nothing to show and gives no row.
     listed = F.coalesce("doc.texts", F.array(_null()))
     return unnest(rows, listed, "text", "page").select(
-        "qid", "component", "page", F.col("doc.title").alias("title"), "text", F.col("doc.error").alias("error")
+        "qid", "component", "page", F.col("doc.title").alias("title"), "text", F.col("doc.error").alias("error"),
+        F.try_element_at(F.col("doc.extra"), F.col("page") + 1).alias("extra"),
     )
 
 

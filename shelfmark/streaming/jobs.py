@@ -11,12 +11,13 @@ from pyspark.sql.streaming import StreamingQuery
 
 from shelfmark.operators.backlog import known_items
 from shelfmark.operators.embedding import Embedder
+from shelfmark.operators.joins import narrow_join
 from shelfmark.operators.upsert import upsert
 from shelfmark.plans.collection import Collection
 from shelfmark.plans.embed import embed_backlog
 from shelfmark.plans.state import StateStore
 from shelfmark.schemas import ALLOWED_EXTENSIONS, DOC_KEYS, FILES, STATUS
-from shelfmark.session import Steps
+from shelfmark.session import Steps, drop_path, path_exists
 from shelfmark.sources.objects import _relative, index_files, indexed
 from shelfmark.streaming.log import KeyedLog
 
@@ -87,17 +88,32 @@ def embed_stream(
     """Embed new files (``key, content``) and publish the state after every batch.
 
     A file with a status row is not embedded again, also after a restart; a
-    batch that is delivered twice writes the same point ids twice. With
-    ``known_only``, files of items that are not in the item list are indexed
-    but left to a later run. ``on_quarantine`` gets the unreadable files
-    (``qid, component, error``) and the batch number.
+    batch that is delivered twice writes the same point ids twice. Files that
+    get no status row, because their item is not in the item list
+    (``known_only``) or because they are in quarantine, wait beside the
+    checkpoint with their contents and are tried again with every later batch.
+    ``on_quarantine`` gets the unreadable files (``qid, component, error``) and
+    the batch number.
     """
+    spark = files.sparkSession
+    waiting = f"{checkpoint.rstrip('/')}-waiting"
+
+    def folder(batch_id: int) -> str:
+        return f"{waiting}/batch={batch_id}"
+
+    def with_waiting(batch: DataFrame, batch_id: int) -> DataFrame:
+        left = folder(batch_id - 1)
+        if not path_exists(spark, f"{left}/_SUCCESS"):
+            return batch
+        former = spark.read.schema(batch.schema).parquet(left)
+        # A file that came again replaces what waited.
+        return batch.unionByName(narrow_join(former, batch.select("key"), ["key"], ["key"], "left_anti"))
 
     def handle(batch: DataFrame, batch_id: int) -> None:
         store.init()
         tables, baseline = store.read(), store.counts()
         steps = Steps()
-        contents = steps.stage(batch, "batch")
+        contents = steps.stage(with_waiting(batch.select("key", "content"), batch_id), "batch")
         now = datetime.now(timezone.utc)
         files = indexed(index_files(contents)).withColumn("updated_at", F.lit(now))
         todo = known_items(files, tables["software_index"]) if known_only else files
@@ -108,6 +124,11 @@ def embed_stream(
         store.publish(
             {**tables, "component_index": component_index, "embeddings_index": run.status}, baseline, now=now
         )
+        open_files = narrow_join(files.select(*DOC_KEYS), run.status.select(*DOC_KEYS), DOC_KEYS, DOC_KEYS, "left_anti")
+        keys = open_files.select(F.col("component").alias("key")).distinct()
+        narrow_join(contents, keys, ["key"], ["key"], "left_semi").write.mode("overwrite").parquet(folder(batch_id))
+        # The last batch may be delivered again, so what it started from stays.
+        drop_path(spark, folder(batch_id - 2))
         if on_quarantine is not None:
             on_quarantine(run.quarantine, batch_id)
         run.release()

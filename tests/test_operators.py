@@ -59,25 +59,33 @@ def test_backlog_uses_anti_join(state):
 
 
 @pytest.mark.parametrize("how", ["inner", "left_semi", "left_anti", "left"])
-@pytest.mark.parametrize("hot_rows,small", [(10**6, 10**6), (50, 10**6), (50, 2), (0, 0)])
-def test_skew_join_equals_plain_join(table, monkeypatch, how, hot_rows, small):
-    monkeypatch.setattr(joins, "HOT_ROWS", hot_rows)
-    monkeypatch.setattr(joins, "is_small", lambda df: df.count() <= small)
+@pytest.mark.parametrize("small", [True, False])
+def test_skew_join_equals_plain_join(table, monkeypatch, how, small):
+    monkeypatch.setattr(joins, "is_small", lambda df: small)
     rng = random.Random(1)
     # A third of the left rows share one key.
-    left = table([("hot" if rng.random() < 0.4 else f"k{rng.randint(0, 9)}", i) for i in range(300)], "k string, i int")
-    right = table([("hot", 1), ("k1", 2), ("k2", 3), ("zz", 4)], "k string, v int")
+    keys = [None if x < 0.2 else "hot" if x < 0.5 else f"k{rng.randint(0, 9)}" for x in (rng.random() for _ in range(300))]
+    left = table([(k, i) for i, k in enumerate(keys)], "k string, i int")
+    right = table([("hot", 1), ("k1", 2), ("k2", 3), ("zz", 4), (None, 5)], "k string, v int")
     right = right if how in ("inner", "left") else right.select("k")
-    expected = rows(left.join(right, "k", how).na.fill(-1))
+    expected = rows(left.join(right, "k", how).na.fill(-1).na.fill("-"))
     for join in (skew_join, narrow_join, salted_join):
-        assert rows(join(left, right, ["k"], ["i"], how).na.fill(-1)) == expected
+        assert rows(join(left, right, ["k"], ["i"], how).na.fill(-1).na.fill("-")) == expected
     with pytest.raises(ValueError):
         skew_join(left, right, ["k"], ["i"], "cross")
 
 
 def test_is_small(table):
-    three = table([(1,), (2,), (3,)], "x int")
-    assert joins.is_small(three, 3) and not joins.is_small(three, 2)
+    three = table([(1, "abc"), (2, "é"), (3, None)], "x int, s string")
+    assert joins.is_small(three, 53) and not joins.is_small(three, 52) and joins.is_small(three.limit(0), 0)
+
+
+def test_rows_without_a_key_are_spread(table):
+    left = table([(None, i) for i in range(50)], "k string, i int")
+    right = table([("a",)], "k string")
+    spread = joins.skew_join(left, right, ["k"], ["i"], "left_anti")
+    assert spread.count() == 50 and spread.columns == ["k", "i"]
+    assert "_spread" in spread._jdf.queryExecution().optimizedPlan().toString()
 
 
 def test_latest_by_key(table):
@@ -223,9 +231,5 @@ def test_known_items_spreads_hot_item(table, monkeypatch):
     files = table([("hot", f"c{i}") for i in range(100)] + [("cold", "x"), ("none", "y")], "qid string, component string")
     known = table([("hot",), ("cold",)], "qid string")
     assert known_items(files, known).count() == 101
-    # A long item list: the files of the hot item are joined where they are.
-    monkeypatch.setattr(joins, "HOT_ROWS", 50)
-    monkeypatch.setattr(joins, "is_small", lambda df: df.columns == ["qid"] and df.count() < 2)
-    spread = known_items(files, known)
-    plan = spread._jdf.queryExecution().executedPlan().toString()
-    assert spread.count() == 101 and "Union" in plan and "_salt" not in plan
+    monkeypatch.setattr(joins, "is_small", lambda df: False)
+    assert known_items(files, known).count() == 101

@@ -105,18 +105,16 @@ def test_collection_upserts(spark, collection):
 
 def test_text_index_follows_the_points(spark, collection):
     collection.ensure(1)
-    collection.ensure_text_index()
     assert collection.text_index().count() == 0
     collection.upsert(points(spark, [("a", "Q1", "c", [1.0], "red fox"), ("b", "Q1", "c", [1.0], "red hen")]))
-    collection.ensure_text_index()
-    collection.ensure_text_index()
     assert rows(collection.text_index(), "token", "id") == [("fox", "a"), ("hen", "b"), ("red", "a"), ("red", "b")]
     collection.upsert(points(spark, [("a", "Q1", "c", [1.0], "blue fox")]))
-    collection.ensure_text_index()
     assert rows(lookup(collection.text_index(), ["red", "blue"]), "token", "id") == [("blue", "a"), ("red", "b")]
     collection.compact()
-    collection.ensure_text_index()
     assert collection.text_index().count() == 4
+    asked = spark.createDataFrame([(1, "fox blue"), (2, "red")], "query_id int, text string")
+    assert rows(collection.search_text(asked), "query_id", "id") == [(1, "a"), (2, "b")]
+    assert rows(collection.search_text(asked, "or", 1), "query_id", "id", "rank") == [(1, "a", 1), (2, "b", 1)]
 
 
 def test_collection_distance(spark, tmp_path):
@@ -167,8 +165,8 @@ def embed(spark, collection, files, status=None, embedder=None, **options):
 
 
 def test_one_pending_file(spark, collection):
-    run = embed(spark, collection, [("path/to/file.txt", b"Hello there.")])
-    assert rows(run.status, "qid", "component", "status") == [("Q1", "path/to/file.txt", "ok")]
+    run = embed(spark, collection, [("attic/moss.txt", b"Moss grows on the north side.")])
+    assert rows(run.status, "qid", "component", "status") == [("Q1", "attic/moss.txt", "ok")]
     assert rows(run.summary) == [("ok", 1)] and run.points_added == 1
     payload = collection.points().collect()[0].payload
     assert payload["qid"] == "Q1" and payload["chunk_index"] == "0" and payload["package"] == "unknown"
@@ -235,6 +233,39 @@ def test_replace_document(spark, collection):
     assert rows(collection.points(), "page_content") == [("other",), ("short",)]
 
 
+def test_metadata_of_extractors(spark, collection):
+    def extract(content):
+        pages = content.decode().split("|")
+        extra = {"author": "Ada", "page": "not this one", "empty": None}
+        return pages, "pkg: title", [{**extra, "sheet": i} for i in range(len(pages))] if len(pages) > 1 else extra
+
+    run = embed(spark, collection, [("a.pdf", b"one|two"), ("b.pdf", b"three")], extractors={"pdf": extract}, id_cols=("qid", "component"))
+    assert rows(run.summary) == [("ok", 2)]
+    found = {r.page_content: r.payload for r in collection.points().collect()}
+    assert found["two"]["author"] == "Ada" and found["two"]["page"] == "1" and found["two"]["sheet"] == "1"
+    assert "sheet" not in found["three"] and "empty" not in found["three"] and found["three"]["page_content"] == "three"
+
+
+def test_text_is_stored_once(spark, collection):
+    embed(spark, collection, [("a.txt", b"one")])
+    stored = spark.read.parquet(f"{collection.root}/data").collect()[0]
+    assert stored.page_content == "one" and "page_content" not in stored.payload
+
+
+def test_a_slow_model_is_stopped_near_the_limit(spark, collection):
+    import time
+
+    def slow():
+        return lambda texts: (time.sleep(0.2), np.ones((len(texts), 2)))[1]
+
+    model = ModelEmbedder(slow, 2, batch_size=1)
+    began = time.monotonic()
+    run = embed(spark, collection, [("slow.txt", b"So slow. " * 150)], embedder=model, params=ChunkParams(buffer_size=0), timeout_seconds=0.5)
+    assert rows(run.status, "component", "status") == [("slow.txt", "failed - TimeoutError")]
+    # All sentences would take thirty seconds.
+    assert time.monotonic() - began < 25
+
+
 def test_timeout_status(spark, collection):
     def slow():
         import time
@@ -247,12 +278,12 @@ def test_timeout_status(spark, collection):
     assert rows(run.status, "component", "status") == [("fast.txt", "ok"), ("slow.txt", "failed - TimeoutError")]
 
 
-def test_two_pending_files_with_toy_embedder(spark, collection):
-    run = embed(spark, collection, [("file1.txt", b"x" * 300), ("file2.txt", b"y" * 5)], embedder=row_embedder(lambda t: [1.0, 2.0, 3.0]),
-                id_cols=("qid", "component"))
-    assert rows(run.summary) == [("ok", 2)]
-    assert collection.points().select("vector").distinct().collect()[0].vector == [1.0, 2.0, 3.0]
-    assert collection.describe().vector_size == 3
+def test_two_files_with_a_function_as_model(spark, collection):
+    files = [("attic/fern.txt", b"Ferns unroll. " * 9), ("attic/ivy.txt", b"Ivy")]
+    model = row_embedder(lambda t: [float("Ivy" in t), 0.25])
+    run = embed(spark, collection, files, embedder=model, id_cols=("qid", "component"))
+    assert rows(run.summary) == [("ok", 2)] and collection.describe().vector_size == 2
+    assert rows(collection.points(), "component", "vector") == [("attic/fern.txt", [0.0, 0.25]), ("attic/ivy.txt", [1.0, 0.25])]
 
 
 @pytest.fixture

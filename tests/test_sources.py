@@ -15,12 +15,12 @@ def rows(df, *cols):
 @pytest.fixture
 def tree(tmp_path):
     for name, body in {
-        "main/raw/Q123/doc1.html": "<p>Hi</p>",
-        "main/raw/Q987/doc2.PDF": "%PDF",
-        "main/other/no_item.txt": "x",
-        "main/raw/Q5/skip.csv": "x",
-        "main/raw/Q5/two.txt": "page one\fpage two",
-        "top.pdf": "a",
+        "north/leaves/Q41/birch.html": "<p>Hi</p>",
+        "north/leaves/Q306/alder.TXT": "bark",
+        "north/loose.txt": "x",
+        "south/Q88/figures.csv": "x",
+        "south/Q88/two.txt": "page one\fpage two",
+        "cover.pdf": "a",
     }.items():
         path = tmp_path / name
         path.parent.mkdir(parents=True, exist_ok=True)
@@ -30,12 +30,12 @@ def tree(tmp_path):
 
 def test_listing_and_index(spark, tree):
     listed = objects.list_objects(spark, tree)
-    assert "main/raw/Q123/doc1.html" in column(listed, "key")
+    assert "north/leaves/Q41/birch.html" in column(listed, "key")
     files = objects.index_files(listed)
     assert rows(objects.indexed(files)) == [
-        ("Q123", "main/raw/Q123/doc1.html"),
-        ("Q5", "main/raw/Q5/two.txt"),
-        ("Q987", "main/raw/Q987/doc2.PDF"),
+        ("Q306", "north/leaves/Q306/alder.TXT"),
+        ("Q41", "north/leaves/Q41/birch.html"),
+        ("Q88", "south/Q88/two.txt"),
     ]
     assert tuple(objects.index_summary(files).collect()[0]) == (3, 2)
     again = objects.index_files(listed.union(listed))
@@ -48,20 +48,20 @@ def test_listing_reads_no_content(spark, tree):
 
 
 def test_folder_is_not_searched_below(spark, tree):
-    assert column(objects.read_folder(spark, tree), "key") == ["top.pdf"]
-    assert column(objects.read_folder(spark, f"{tree}/main/raw/Q987"), "key") == []
+    assert column(objects.read_folder(spark, tree), "key") == ["cover.pdf"]
+    assert column(objects.read_folder(spark, f"{tree}/north/leaves/Q306"), "key") == []
 
 
 def test_folder_pages(spark, tree):
-    found = pages.load_folder(spark, f"{tree}/main/raw/Q5", ".txt")
+    found = pages.load_folder(spark, f"{tree}/south/Q88", ".txt")
     assert rows(found, "component", "page", "text") == [("two.txt", 0, "page one"), ("two.txt", 1, "page two")]
 
 
 def test_contents_of_wanted_files(spark, tree, table, monkeypatch):
-    wanted = table([("Q5", "main/raw/Q5/two.txt")], "qid string, component string")
+    wanted = table([("Q88", "south/Q88/two.txt")], "qid string, component string")
     contents = objects.read_contents(spark, tree, ".txt")
     found = objects.select_contents(contents, wanted)
-    assert [(r.qid, bytes(r.content)) for r in found.collect()] == [("Q5", b"page one\x0cpage two")]
+    assert [(r.qid, bytes(r.content)) for r in found.collect()] == [("Q88", b"page one\x0cpage two")]
     assert "BroadcastHashJoin" in found._jdf.queryExecution().executedPlan().toString()
     monkeypatch.setattr(joins, "is_small", lambda df: False)
     assert objects.select_contents(contents, wanted).count() == 1
@@ -70,11 +70,11 @@ def test_contents_of_wanted_files(spark, tree, table, monkeypatch):
 @pytest.mark.parametrize("held", [0, 1 << 20])
 def test_fetch_reads_each_file_in_the_tasks(tree, table, monkeypatch, held):
     monkeypatch.setattr(objects, "FETCH_BYTES", held)
-    wanted = table([("Q5", "main/raw/Q5/two.txt"), ("Q6", "main/raw/Q6/gone.txt")], "qid string, component string")
+    wanted = table([("Q88", "south/Q88/two.txt"), ("Q89", "south/Q89/gone.txt")], "qid string, component string")
     fetched = objects.fetch_contents(wanted, objects.file_reader(tree))
     good, bad = pages.split_errors(pages.load_pages(fetched))
-    assert rows(good, "qid", "page", "text") == [("Q5", 0, "page one"), ("Q5", 1, "page two")]
-    assert [(r.qid, "FileNotFoundError" in r.error) for r in bad.collect()] == [("Q6", True)]
+    assert rows(good, "qid", "page", "text") == [("Q88", 0, "page one"), ("Q88", 1, "page two")]
+    assert [(r.qid, "FileNotFoundError" in r.error) for r in bad.collect()] == [("Q89", True)]
 
 
 def test_list_components(table):

@@ -97,6 +97,15 @@ def test_embed_stream(spark, tmp_path):
     put(files, "main/Q2/b.html", "<p>Three</p>")
     run()
     assert target.size() == 3 and store.manifest().count() == snapshots + 1
+    # The item of a file that came long ago is known now, and the unreadable file was tried again.
+    assert quarantined == ["main/Q2/no_reader.pdf"] * 2
+    tables = store.read()
+    tables["software_index"] = spark.createDataFrame([("Q1", NOW), ("Q2", NOW), ("Q9", NOW)], ITEMS)
+    store.publish(tables)
+    put(files, "main/Q1/c.txt", "Four")
+    run()
+    assert ("main/Q9/unknown.txt", "ok") in rows(store.read()["embeddings_index"], "component", "status")
+    assert target.size() == 5
 
 
 def test_rate_limit_must_be_positive(spark, tmp_path):
