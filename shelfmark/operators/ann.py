@@ -1,36 +1,43 @@
-"""Approximate top-k: random-hyperplane buckets, exact scores inside them."""
+"""Approximate top-k: random-hyperplane codes, exact scores where a code agrees.
+
+The planes have components +1 and -1 taken from a hash, so that any engine can
+work out the codes. The corpus stays in place: every task gets the queries and
+their codes, works out the codes of its own rows and scores those that share
+one with a query.
+"""
 
 from __future__ import annotations
 
+import hashlib
+import math
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shelfmark.functions.vectors import resolve_metric
 from shelfmark.operators import knn
-from shelfmark.operators.arrays import unnest
+from shelfmark.operators.knn import BestK
+from shelfmark.session import Steps
+
+# Corpus rows that a code should stand for, when the number of bits is left open.
+ROWS_PER_CODE = 64
 
 
-def buckets(vector: Column, dim: int, bits: int, tables: int, seed: int) -> Column:
-    """``array<int>``: the side of ``bits`` random planes a vector is on, for each of ``tables`` sets of planes."""
+def planes(tables: int, bits: int, dim: int) -> np.ndarray:
+    """Signs of plane ``bit`` of a table: +1 where md5('table:bit:dimension') begins with 8 or more."""
+    names = (f"{t}:{b}:{d}" for t in range(tables) for b in range(bits) for d in range(dim))
+    signs = [1.0 if int(hashlib.md5(n.encode()).hexdigest()[0], 16) >= 8 else -1.0 for n in names]
+    return np.array(signs).reshape(tables * bits, dim)
 
-    @F.pandas_udf("array<int>")
-    def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        planes = np.random.default_rng(seed).standard_normal((tables * bits, dim))
-        weights = 1 << np.arange(bits)
-        for vectors in batches:
-            if not len(vectors):
-                yield pd.Series([], dtype=object)
-                continue
-            sides = np.stack(vectors.to_numpy()).astype(float) @ planes.T > 0
-            codes = (sides.reshape(len(vectors), tables, bits) * weights).sum(axis=2)
-            yield pd.Series(list(codes.astype(np.int32)))
 
-    return run(vector)
+def codes(vectors: np.ndarray, sides: np.ndarray, tables: int) -> np.ndarray:
+    """``(rows, tables)``: the side of each plane of a table a vector is on, as bits."""
+    bits = len(sides) // tables
+    above = (vectors @ sides.T > 0).reshape(len(vectors), tables, bits)
+    return (above * (np.int64(1) << np.arange(bits, dtype=np.int64))).sum(axis=2)
 
 
 def approximate_top_k(
@@ -40,65 +47,79 @@ def approximate_top_k(
     metric: str = "COSINE",
     *,
     dim: int,
-    bits: int = 6,
+    bits: int | None = None,
     tables: int = 8,
-    seed: int = 7,
     id_col: str = "id",
     query_col: str = "query_id",
     vector_col: str = "vector",
+    block: int = knn.MAX_SHARED_QUERIES,
 ) -> DataFrame:
-    """``query_col, id_col, score, rank`` among the corpus rows that share a bucket with the query.
+    """``query_col, id_col, score, rank`` among the corpus rows that share the code of some table with the query.
 
-    Recall grows with ``tables`` and falls with ``bits``; the scores are exact.
-    A bucket is cut into parts by its measured size, on both sides, so a bucket
-    that holds a large share of the corpus is many bounded groups. Every row of
-    a bucket is scored; pairs stay inside the matrix product.
+    Recall grows with ``tables`` and falls with ``bits``, which follow from the
+    number of corpus rows unless given; the scores are exact. Queries are sent
+    to the tasks in blocks of ``block``, each with one pass over the corpus.
     """
-    if not 1 <= bits <= 16 or tables < 1:
-        raise ValueError("bits must be within 1..16 and tables positive")
+    if tables < 1 or (bits is not None and not 1 <= bits <= 62):
+        raise ValueError("bits must be within 1..62 and tables positive")
     metric = resolve_metric(metric)
     corpus, queries = corpus.select(id_col, vector_col), queries.select(query_col, vector_col)
     schema = knn._hit_schema(corpus, queries, id_col, query_col)
     arrow_schema = knn._arrow_schema(schema)
-
-    def spread(df: DataFrame) -> DataFrame:
-        code = buckets(F.col(vector_col), dim, bits, tables, seed)
-        return unnest(df.withColumn("_codes", code), F.col("_codes"), "_b", "_t").drop("_codes")
-
-    left, right = spread(corpus), spread(queries)
-    n_left = left.groupBy("_t", "_b").agg(F.count("*").alias("_n"))
-    n_right = right.groupBy("_t", "_b").agg(F.count("*").alias("_m"))
-    # Only buckets both sides have; at most tables * 2^bits rows, so safe to broadcast.
-    parts = F.broadcast(
-        n_left.join(n_right, ["_t", "_b"]).select(
-            "_t",
-            "_b",
-            F.ceil(F.col("_n") / knn.BLOCK_CORPUS_ROWS).cast("int").alias("_cs"),
-            F.ceil(F.col("_m") / knn.BLOCK_QUERY_ROWS).cast("int").alias("_qs"),
-        )
-    )
-
-    def cut(df: DataFrame, key: str, own: str, size: str, other: str, other_size: str) -> DataFrame:
-        return (
-            df.join(parts, ["_t", "_b"])
-            .withColumn(own, F.pmod(F.xxhash64(key), F.col(size)).cast("int"))
-            .withColumn(other, F.explode(F.sequence(F.lit(0), F.col(other_size) - 1)))
-            .drop("_cs", "_qs")
-        )
-
-    group = ["_t", "_b", "_c", "_q"]
-    left = cut(left, id_col, "_c", "_cs", "_q", "_qs")
-    right = cut(right, query_col, "_q", "_qs", "_c", "_cs")
-
-    def run(c: pa.Table, q: pa.Table) -> pa.Table:
-        found = []
-        if c.num_rows and q.num_rows:
-            rows = (
-                (knn._labels(part[id_col]), knn._matrix(part[vector_col]))
-                for part in (c.slice(at, 10_000) for at in range(0, c.num_rows, 10_000))
-            )
-            found = knn._best_of(rows, knn._labels(q[query_col]), knn._matrix(q[vector_col]), k, metric)
-        return pa.Table.from_batches(list(knn._hit_batches(found, arrow_schema)), schema=arrow_schema)
-
-    hits = left.groupBy(*group).cogroup(right.groupBy(*group)).applyInArrow(run, schema)
-    return knn.keep_best(hits.dropDuplicates([query_col, id_col]), k, metric, id_col, query_col)
+    if bits is None:
+        bits = min(62, max(1, math.ceil(math.log2(max(2, corpus.count() / ROWS_PER_CODE)))))
+    sides = planes(tables, bits, dim)
+
+    def search(asked: pa.Table) -> DataFrame:
+        ids, vectors = knn._labels(asked.column(0)), knn._matrix(asked.column(1))
+        sent = corpus.sparkSession.sparkContext.broadcast((ids, vectors, codes(vectors, sides, tables)))
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            query_ids, query_vectors, asked_codes = sent.value
+            best = BestK(query_vectors, k, metric)
+            # Queries by (table, code), so that a row meets only those it shares a code with.
+            held: list[dict[int, np.ndarray]] = [_by_code(asked_codes[:, t]) for t in range(tables)]
+            for batch in batches:
+                row_ids, rows = knn._labels(batch.column(0)), knn._matrix(batch.column(1))
+                if len(row_ids):
+                    query, row = _matches(codes(rows, sides, tables), held, len(query_ids))
+                    best.add_pairs(row_ids, rows, query, row)
+            query, found, scores = best.result()
+            yield from knn._hit_batches([(query_ids[query], found, scores)], arrow_schema)
+
+        return corpus.mapInArrow(run, schema)
+
+    steps = Steps()
+    first = queries.limit(block + 1).toArrow()
+    if first.num_rows == 0:
+        return corpus.sparkSession.createDataFrame([], schema).withColumn("rank", F.lit(0))
+    if first.num_rows <= block and first.nbytes <= knn.MAX_SHARED_BYTES:
+        return knn.keep_best(search(first), k, metric, id_col, query_col)
+    # Blocks by a hash of the id; each is read from the shared folder when its turn comes.
+    n = 2 * -(-queries.count() // block)
+    cut = steps.stage(queries.withColumn("_b", F.pmod(F.xxhash64(query_col), F.lit(n)).cast("int")), "queries")
+    hits = None
+    for b in range(n):
+        asked = cut.filter(F.col("_b") == b).drop("_b").toArrow()
+        if asked.num_rows:
+            part = knn.keep_best(search(asked), k, metric, id_col, query_col)
+            hits = part if hits is None else hits.unionByName(part)
+    return hits
+
+
+def _by_code(column: np.ndarray) -> dict[int, np.ndarray]:
+    order = np.argsort(column, kind="stable")
+    edges = np.flatnonzero(np.r_[True, column[order][1:] != column[order][:-1]])
+    return {int(column[part[0]]): part for part in np.split(order, edges[1:])} if len(column) else {}
+
+
+def _matches(rows: np.ndarray, held: list[dict[int, np.ndarray]], n_queries: int) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs (query, row) that agree on the code of some table, each once."""
+    found = []
+    for t, by_code in enumerate(held):
+        for code, part in _by_code(rows[:, t]).items():
+            asked = by_code.get(code)
+            if asked is not None:
+                found.append((np.repeat(part, len(asked)) * n_queries + np.tile(asked, len(part))))
+    pairs = np.unique(np.concatenate(found)) if found else np.zeros(0, dtype=np.int64)
+    return pairs % n_queries, pairs // n_queries

@@ -136,6 +136,13 @@ class BestK:
             q, r = query[at : at + _PAIR_STEP], row[at : at + _PAIR_STEP]
             self._merge(q, ids[r], self.scorer.exact(corpus[r], q))
 
+    def add_pairs(self, ids: np.ndarray, corpus: np.ndarray, query: np.ndarray, row: np.ndarray) -> None:
+        """The same for chosen pairs (query, row) only; no pair may come twice."""
+        corpus = self.scorer.prepare(corpus)
+        for at in range(0, len(row), _PAIR_STEP):
+            q, r = query[at : at + _PAIR_STEP], row[at : at + _PAIR_STEP]
+            self._merge(q, ids[r], self.scorer.exact(corpus[r], q))
+
     def _merge(self, query: np.ndarray, ids: np.ndarray, cost: np.ndarray) -> None:
         query = np.concatenate([self.query, query])
         cost = np.concatenate([self.cost, cost])

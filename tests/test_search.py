@@ -73,8 +73,8 @@ def test_top_k_never_pairs_rows(table, data):
     assert "CartesianProduct" not in plan and "NestedLoop" not in plan and "WindowGroupLimit" in plan
 
 
-def test_approximate_recall(table, monkeypatch):
-    monkeypatch.setattr(knn, "BLOCK_CORPUS_ROWS", 50)
+@pytest.mark.parametrize("block", [1000, 6])
+def test_approximate_recall(table, block):
     rng = np.random.default_rng(4)
     centers = rng.standard_normal((20, 16))
     corpus = [(i, (centers[i % 20] + 0.2 * rng.standard_normal(16)).tolist()) for i in range(600)]
@@ -82,7 +82,8 @@ def test_approximate_recall(table, monkeypatch):
     left = table(corpus, "id int, vector array<float>")
     right = table(queries, "query_id int, vector array<float>")
     exact = {(r.query_id, r.id) for r in knn.top_k(left, right, 10).hits.collect()}
-    rows = ann.approximate_top_k(left, right, 10, dim=16, bits=4, tables=8).collect()
+    rows = ann.approximate_top_k(left, right, 10, dim=16, bits=4, tables=8, block=block).collect()
+    assert "Exchange" not in ann.approximate_top_k(left, right, 10, dim=16)._jdf.queryExecution().executedPlan().toString().split("MapInArrow")[-1]
     assert len({(r.query_id, r.id) for r in rows} & exact) / len(exact) > 0.9
     assert len({(r.query_id, r.id) for r in rows}) == len(rows)
     truth = {(r.query_id, r.id): r.score for r in knn.top_k(left, right, 600).hits.collect()}

@@ -296,12 +296,17 @@ from (select length(piece) as n from pieces)"""
   select * replace (regexp_replace(text, '([.?!]){_SPACE}+', '\\1 ', 'g') as text) from talks)"""
     q["default_chunks"] = f"""with {_TALKS}, {normal}, {_windows("normal", "qid, component, page", 1600, 100)}, {numbered}
 select qid, component, page, chunk_index, md5(piece) as text_md5 from numbered"""
-    q["chunk_points"] = f"""with {_DOCS}, {_windows("docs", "qid, component, package, version, document_type", 1600, 100)}
-select {_uuid5("qid || '-' || pos")} as id, qid, pos::varchar as chunk_index, package, version, document_type,
-  md5(piece) as text_md5
-from pieces"""
-    q["points_upsert"] = f"""with {_DOCS}, {_windows("docs", "qid, component", 1600, 100)}
-select {_uuid5("qid || '-' || pos")} as id, qid, md5(piece) as text_md5 from pieces"""
+    summed = f"""embedded as (select *, {_PREFIX} || piece as text, qid || '-' || pos as point from pieces),
+{_hashed("v", "embedded", "point")},
+sums as (select point, round(sum(w * (b + 1)), 4) as vector_sum from v group by point)"""
+    pieces = _windows("docs", "qid, component, package, version, document_type, title", 1600, 100)
+    q["chunk_points"] = f"""with {_DOCS}, {pieces}, {summed}
+select {_uuid5("point")} as id, qid, pos::varchar as chunk_index, package, version, document_type, md5(piece) as text_md5,
+  coalesce(vector_sum, 0) as vector_sum
+from embedded left join sums using (point)"""
+    q["points_upsert"] = f"""with {_DOCS}, {pieces}, {summed}
+select {_uuid5("point")} as id, qid, md5(piece) as text_md5, coalesce(vector_sum, 0) as vector_sum
+from embedded left join sums using (point)"""
     q["embedding_prefix"] = f"""with {_DOCS}
 select doc_id, {_PREFIX} as prefix, md5({_PREFIX} || text) as embedded_md5 from docs"""
     q["html_pages"] = f"""
@@ -361,7 +366,57 @@ matched as (select item_id as query_id, doc_id as id, count(*) as n_matched from
     q["lexical_match_all"] = f"""with {tokens}, {wanted}
 select query_id, id, n_matched from matched join sizes on item_id = query_id where n_matched = n"""
     q["text_index_lookup"] = q["lexical_match_all"]
-    q["lexical_match_any"] = f"with {tokens}, {wanted} select query_id, id, n_matched from matched"
+    q["lexical_match_any"] = f"""with {tokens}, {wanted},
+frequency as (select tok, count(*) as df from tokens group by 1),
+scored as (
+  select item_id as query_id, doc_id as id, count(*) as n_matched, round(sum(1.0::double / df), 9) as score
+  from wanted join tokens using (tok) join frequency using (tok) group by all),
+best as (select *, row_number() over (partition by query_id order by score desc, id) as rank from scored)
+select query_id, id, n_matched, score, rank from best where rank <= 20"""
+    q["collection_lexical"] = """
+with texts as (
+  select doc_id::varchar as id, case when doc_id % 3 = 0 then 'rewritten ' || substr(text, 1, 40) else text end as t from documents),
+words as (select distinct id, unnest(regexp_split_to_array(lower(t), '[^\\p{L}\\p{N}]+')) as tok from texts)
+select 1 as query_id, id, 1::bigint as n_matched from words where tok = 'rewritten'
+union all select 2, id, 2 from words where tok in ('the', 'of') group by id having count(*) = 2"""
+    q["knn_lsh"] = """
+with e as (select vec_id, embedding::double[] as e from embeddings),
+planes as (
+  select t, b, list(case when md5(t || ':' || b || ':' || d)[1] >= '8' then 1.0::double else -1.0::double end order by d) as s
+  from range(8) a(t), range(6) x(b), range(64) y(d) group by t, b),
+codes as (
+  select vec_id, t, sum(case when list_inner_product(e, s) > 0 then 1 << b::int else 0 end) as code
+  from e, planes group by vec_id, t),
+near as (select distinct q.vec_id as query_id, c.vec_id as id from codes q join codes c on q.t = c.t and q.code = c.code),
+scored as (
+  select query_id, id, round(list_cosine_similarity(a.e, c.e), 6) as score
+  from near join e a on a.vec_id = query_id join e c on c.vec_id = id),
+ranked as (select *, row_number() over (partition by query_id order by score desc, id) as rank from scored)
+select query_id, id, score, rank from ranked where rank <= 10"""
+    q["collection_retrieve"] = """
+with c as (
+  select vec_id::varchar as id, label, case when vec_id % 2 = 0 then list_transform(embedding::double[], lambda x: -x)
+    else embedding::double[] end as e from embeddings),
+q as (select vec_id::varchar as query_id, embedding::double[] as e from embeddings where vec_id < 20),
+pairs as (select query_id, id, label, round(list_cosine_similarity(q.e, c.e), 6) as score from q, c),
+ranked as (select *, row_number() over (partition by query_id order by score desc, id) as rank from pairs)
+select query_id, id, score, rank, 'text ' || id as page_content, label::varchar as label from ranked where rank <= 10"""
+    q["payload_metadata"] = """
+with lines as (select doc_id, string_split(text, chr(10)) as l from documents where lang <> 'en'),
+pages as (select doc_id, len(l) as n, unnest(range(0, len(l))) as page from lines)
+select 'Q' || doc_id as qid, n::varchar as lines, page::varchar as page, 'line ' || page as producer from pages"""
+    q["chunk_min_length"] = f"""with {_DOCS}, {_windows("docs", "qid, component", 1600, 30)}
+select qid, component, pos as chunk_index, md5(piece) as text_md5, length(piece) < 120 or length(piece) > 1600 as is_outlier
+from pieces"""
+    q["embed_second_run"] = """
+select 'Q' || doc_id as qid, 'ok' as status, case when doc_id % 2 = 0 then '2024-01-01' else '2024-01-02' end as run_day
+from documents where lang <> 'de'"""
+    q["publish_twice"] = f"""{_STATE}
+select step, step <> 'same' as changed, (select count(*) from status) as n_former,
+  (select count(*) from status where status like 'failed%') as n_now
+from (values ('first'), ('same'), ('changed')) v(step)"""
+    q["collection_recreate"] = f"""with {_DOCS}, {_windows("docs", "qid, component, package", 1600, 100)}
+select {_uuid5("qid || '-' || pos")} as id, qid from pieces where package = 'src1'"""
     q["semantic_chunks"] = f"""{_semantic(300, 0.8)}
 select doc_id, chunk as position, start_index, md5(text) as text_md5 from chunked"""
     q["run_summary"] = f"""{_EVENTS}
@@ -388,9 +443,10 @@ select 'Q' || doc_id as qid,
        else 'ok' end as status
 from documents"""
     q["incremental_run"] = """
-select 'software_index' as "table", count(*) as n from documents
-union all select 'component_index', count(*) from documents where lang <> 'de'
-union all select 'embeddings_index', count(*) from documents where lang <> 'de'"""
+select 'Q' || doc_id as qid, case when lang <> 'de' then 'ok' end as status, case when lang <> 'de' then true end as has_points,
+  case when lang <> 'de' then 'main/Q' || doc_id || '/components/' || source || '_1.' || doc_id || '.'
+    || case when lang = 'en' then 'txt' else 'pdf' end end as component
+from documents"""
     q["stream_file_index"] = q["file_index"]
     q["stream_status_latest"] = latest
     q["stream_embed"] = """

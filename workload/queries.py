@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import functools
 from collections.abc import Callable
-from datetime import timedelta
+from datetime import datetime, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -329,12 +329,19 @@ def _document_chunks(spark, sf):
     return chunking.fixed_chunks(pages.select(*DOC_KEYS, "page", "text", "title", "source", "package", "version", "document_type"))
 
 
+def _vector_sum():
+    """The weights of a vector, each times its place from 1, in sum: differs if any weight does."""
+    weighted = F.transform("vector", lambda x, i: x.cast("double") * (i + 1))
+    return F.round(F.aggregate(weighted, F.lit(0.0), lambda a, x: a + x), 4)
+
+
 @query
 def chunk_points(spark, sf):
     made = points.to_points(_document_chunks(spark, sf), HashedEmbedder(DIM), rules=prefix_rules(views.GRAPH))
     content, rest = points.split_payload(F.col("payload"))
     fields = [F.col("rest")[name].alias(name) for name in ("qid", "chunk_index", "package", "version", "document_type")]
-    return made.select("id", rest.alias("rest"), F.md5(content).alias("text_md5")).select("id", *fields, "text_md5")
+    made = made.select("id", rest.alias("rest"), F.md5(content).alias("text_md5"), _vector_sum().alias("vector_sum"))
+    return made.select("id", *fields, "text_md5", "vector_sum")
 
 
 @query
@@ -342,10 +349,12 @@ def points_upsert(spark, sf):
     """Points written in two overlapping parts: the second replaces what both hold."""
     target = Collection(spark, new_work_path(spark, "points"))
     target.ensure(DIM)
-    made = stage(points.to_points(_document_chunks(spark, sf), HashedEmbedder(DIM)), "made")
+    made = stage(points.to_points(_document_chunks(spark, sf), HashedEmbedder(DIM), rules=prefix_rules(views.GRAPH)), "made")
     target.upsert(made.filter(F.col("payload")["package"].isin("src1", "src2", "src3")))
     target.upsert(made)
-    return target.points().select("id", "qid", F.md5("page_content").alias("text_md5"))
+    return target.points().select(
+        "id", "qid", F.md5(F.col("payload")["page_content"]).alias("text_md5"), _vector_sum().alias("vector_sum")
+    )
 
 
 # Embedding and search ----------------------------------------------------
@@ -420,7 +429,7 @@ def knn_lsh(spark, sf):
     stored = table(spark, sf, "embeddings")
     corpus = stored.select(F.col("vec_id").alias("id"), F.col("embedding").alias("vector"))
     asked = stored.select(F.col("vec_id").alias("query_id"), F.col("embedding").alias("vector"))
-    return ann.approximate_top_k(corpus, asked, 10, dim=64)
+    return ann.approximate_top_k(corpus, asked, 10, dim=64, bits=6)
 
 
 def _retrieved(spark, sf, k, **options):
@@ -485,7 +494,124 @@ def lexical_match_all(spark, sf):
 
 @query
 def lexical_match_any(spark, sf):
-    return textindex.lexical_match(_postings(spark, sf), _benchmark(spark, sf), "or")
+    return textindex.lexical_match(_postings(spark, sf), _benchmark(spark, sf), "or", k=20)
+
+
+@query
+def collection_lexical(spark, sf):
+    """Texts written twice, the second time with other texts for every third id; the index follows by itself."""
+    docs = table(spark, sf, "documents").select(F.col("doc_id").cast("string").alias("id"), "text")
+    target = Collection(spark, new_work_path(spark, "points"))
+    target.ensure(1)
+    none = F.lit(None).cast("string")
+
+    def stored(rows):
+        vector, payload = F.array(F.lit(1.0)), F.create_map(F.lit("k"), F.lit("v"))
+        return rows.select(
+            "id", none.alias("qid"), none.alias("component"), vector.alias("vector"),
+            F.col("text").alias("page_content"), payload.alias("payload"),
+        )
+
+    target.upsert(stored(docs))
+    third = F.col("id").cast("bigint") % 3 == 0
+    target.upsert(stored(docs.filter(third).withColumn("text", F.concat(F.lit("rewritten "), F.substring("text", 1, 40)))))
+    asked = spark.createDataFrame([(1, "rewritten"), (2, "the of"), (3, "nowhere")], "query_id int, text string")
+    return target.search_text(asked)
+
+
+@query
+def collection_retrieve(spark, sf):
+    """A collection of which a part was replaced, searched over its current points."""
+    made = stage(
+        table(spark, sf, "embeddings").select(
+            F.col("vec_id").cast("string").alias("id"), F.lit(None).cast("string").alias("qid"),
+            F.lit(None).cast("string").alias("component"), F.col("embedding").alias("vector"),
+            F.concat(F.lit("text "), F.col("vec_id")).alias("page_content"),
+            F.create_map(F.lit("label"), F.col("label").cast("string")).alias("payload"),
+        ), "made",
+    )
+    target = Collection(spark, new_work_path(spark, "points"))
+    target.ensure(64)
+    target.upsert(made)
+    half = made.filter(F.col("id").cast("bigint") % 2 == 0)
+    target.upsert(half.withColumn("vector", F.transform("vector", lambda x: -x)))
+    asked = made.filter(F.col("id").cast("bigint") < 20).select(F.col("id").alias("query_id"), "vector")
+    found = knn.top_k(target.points(), asked, 10)
+    hits = knn.with_payload(found, target.points().select("id", "payload"))
+    content, rest = points.split_payload(F.col("payload"))
+    return hits.select("query_id", "id", "score", "rank", content.alias("page_content"), rest["label"].alias("label"))
+
+
+@query
+def payload_metadata(spark, sf):
+    """What an extractor finds besides the text reaches the payload; fields of the chunk win."""
+
+    def extract(content):
+        pages = content.decode("utf-8").split("\n")
+        return pages, None, [{"lines": len(pages), "page": "hidden", "producer": f"line {i}"} for i in range(len(pages))]
+
+    stored = _stored_files(spark, sf)
+    target = Collection(spark, new_work_path(spark, "points"))
+    embed_backlog(
+        stored.select("qid", F.col("key").alias("component")), stored.select("key", "content"),
+        views.status(spark, sf).limit(0), target, HashedEmbedder(DIM), extractors={"pdf": extract, "bin": extract},
+        max_pages=None, id_cols=("qid", "component"),
+    )
+    stored_pages = target.points().select("qid", "payload").filter(F.col("payload")["producer"].isNotNull())
+    of = lambda name: F.col("payload")[name]
+    per_page = stored_pages.select("qid", *[of(n).alias(n) for n in ("lines", "page", "producer")]).distinct()
+    return per_page
+
+
+@query
+def chunk_min_length(spark, sf):
+    """Overlap and outliers by another least length than that of the sentence joiner."""
+    made = chunking.fixed_chunks(views.document_pages(spark, sf), min_length=120)
+    odd = chunking.is_outlier(F.col("text"), ChunkParams(), 120)
+    return made.select(*DOC_KEYS, "chunk_index", F.md5("text").alias("text_md5"), odd.alias("is_outlier"))
+
+
+@query
+def embed_second_run(spark, sf):
+    """Half of the files, then all of them: what has a status is not embedded again, and only the rest adds points."""
+    stored = _stored_files(spark, sf).filter("key not like '%.bin'")
+    todo = stored.select("qid", F.col("key").alias("component"))
+    target = Collection(spark, new_work_path(spark, "points"))
+    even = F.substring("qid", 2, 20).cast("bigint") % 2 == 0
+    options = {"extractors": {"pdf": _lines}, "max_pages": None, "now": datetime(2024, 1, 1)}
+    contents = stored.select("key", "content")
+    first = embed_backlog(todo.filter(even), contents, views.status(spark, sf).limit(0), target, HashedEmbedder(DIM), **options)
+    second = embed_backlog(todo, contents, first.status, target, HashedEmbedder(DIM), **{**options, "now": datetime(2024, 1, 2)})
+    return second.status.select("qid", "status", F.date_format("updated_at", "yyyy-MM-dd").alias("run_day"))
+
+
+@query
+def publish_twice(spark, sf):
+    """An unchanged state is not published again; a changed one is, and the former stays readable."""
+    store = StateStore(spark, f"{new_work_path(spark, 'state')}")
+    tables = store.read()
+    tables["embeddings_index"] = stage(views.status(spark, sf), "status")
+    first = store.publish(tables)
+    same = store.publish(tables)
+    failed = tables["embeddings_index"].filter("status like 'failed%'")
+    changed = store.publish({**tables, "embeddings_index": failed})
+    former = store.read(first.snapshot_id)["embeddings_index"]
+    rows = [("first", first.changed), ("same", same.changed), ("changed", changed.changed)]
+    said = spark.createDataFrame(rows, "step string, changed boolean")
+    counts = former.agg(F.count("*").alias("n_former")).crossJoin(failed.agg(F.count("*").alias("n_now")))
+    return said.join(counts)
+
+
+@query
+def collection_recreate(spark, sf):
+    """A collection that is dropped and filled anew holds the new points alone."""
+    target = Collection(spark, new_work_path(spark, "points"))
+    made = stage(points.to_points(_document_chunks(spark, sf), HashedEmbedder(8)), "made")
+    target.ensure(8)
+    target.upsert(made)
+    target.recreate(8)
+    target.upsert(made.filter(F.col("payload")["package"] == "src1"))
+    return target.points().select("id", "qid")
 
 
 @query
@@ -561,8 +687,13 @@ def incremental_run_(spark, sf):
         max_pages=None,
     )
     tables = store.read()
-    counts = table_counts({**tables, "points": target.points()})
-    return counts.filter(F.col("table") != "points").select("table", "n")
+    per_item = target.points().groupBy("qid").agg(F.count("*").alias("n_points"))
+    return (
+        tables["software_index"].select("qid")
+        .join(tables["component_index"].select("qid", "component"), "qid", "left")
+        .join(tables["embeddings_index"].select("qid", "status"), "qid", "left")
+        .join(per_item.select("qid", (F.col("n_points") > 0).alias("has_points")), "qid", "left")
+    )
 
 
 # Streams -----------------------------------------------------------------
