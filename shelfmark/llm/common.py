@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -11,6 +14,21 @@ def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+# Rows of an Arrow batch that are Python objects at a time.
+_SLICE = 256
+
+
+def values(column: pa.Array) -> Iterator:
+    """The values of a column, one after the other; a batch of long texts is never there twice."""
+    for at in range(0, len(column), _SLICE):
+        yield from column.slice(at, _SLICE).to_pylist()
+
+
+def rows_of(batch: pa.RecordBatch) -> Iterator[dict]:
+    for at in range(0, len(batch), _SLICE):
+        yield from batch.slice(at, _SLICE).to_pylist()
+
+
 def fresh(df: DataFrame, name: str) -> str:
     """``name``, with underscores in front until no column of ``df`` has it (case does not count)."""
     taken = {c.lower() for c in df.columns}

@@ -12,15 +12,16 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from string import ascii_lowercase, ascii_uppercase
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from shelfmark.llm.common import fresh, keep_rows, read
+from shelfmark.llm.common import fresh, keep_rows, read, values
 from shelfmark.session import stage
 
 # Slots of one block. A block is what one merging task holds: as many fingerprints as slots, on average.
@@ -35,17 +36,16 @@ def normalise(text: str | None) -> bytes:
 
 @F.arrow_udf(_DIGEST)
 def digest(texts: pa.Array) -> pa.Array:
-    normal = [normalise(t) for t in texts.to_pylist()]
-    prints = np.array([xxhash.xxh3_64_intdigest(t) for t in normal], dtype=np.uint64)
+    found = [(xxhash.xxh3_64_intdigest(t), hashlib.sha256(t).hexdigest()) for t in map(normalise, values(texts))]
+    prints = np.array([p for p, _ in found], dtype=np.uint64)
     return pa.StructArray.from_arrays(
-        [pa.array(prints.view(np.int64)), pa.array([hashlib.sha256(t).hexdigest() for t in normal], pa.string())],
-        names=["fp", "sha256"],
+        [pa.array(prints.view(np.int64)), pa.array([s for _, s in found], pa.string())], names=["fp", "sha256"]
     )
 
 
-@F.arrow_udf(T.BinaryType())
-def normal_bytes(texts: pa.Array) -> pa.Array:
-    return pa.array([normalise(t) for t in texts.to_pylist()], pa.binary())
+def normal_text(text: Column) -> Column:
+    """The normalised text itself, without leaving the JVM."""
+    return F.translate(F.coalesce(text, F.lit("")), ascii_uppercase, ascii_lowercase)
 
 
 def _sorted_counts(quotient, remainder, count):
@@ -134,13 +134,11 @@ def exact_dedup(
     suspects = docs.select(digest(F.col(text_col)).alias("_d"), F.col(text_col).alias("_t"))
     suspects = suspects.select(F.col("_d.fp").alias("fp"), F.col("_d.sha256").alias("text_sha256"), "_t")
     suspects = suspects.join(several, "fp", "left_semi")
-    verified = suspects.groupBy("text_sha256", normal_bytes("_t").alias("_bytes")).agg(F.count("*").alias("n"))
+    verified = suspects.groupBy("text_sha256", normal_text(F.col("_t")).alias("_bytes")).agg(F.count("*").alias("n"))
     verified = stage(verified.filter("n > 1").select("text_sha256"), "verified")
-    groups = (
-        narrow.join(verified, "text_sha256", "left_semi")
-        .groupBy("text_sha256")
-        .agg(F.max(F.struct("doc_id", "row")).alias("best"), F.count("*").alias("size"))
-    )
+    # Tasks sum up a group before it is shuffled, however many copies it has.
+    groups = narrow.groupBy("text_sha256").agg(F.max(F.struct("doc_id", "row")).alias("best"), F.count("*").alias("size"))
+    groups = groups.filter("size > 1").join(verified, "text_sha256", "left_semi")
     groups = groups.select(
         "text_sha256", F.col("best.doc_id").alias("best_id"), F.col("best.row").alias("best_row"), "size"
     )
