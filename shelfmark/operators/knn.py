@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -18,14 +19,13 @@ from pyspark.sql import types as T
 
 from shelfmark.functions.vectors import METRICS, resolve_metric
 from shelfmark.operators.joins import skew_join
-from shelfmark.session import stage
+from shelfmark.session import Steps, stage
 
-# Queries go to every task only below both bounds; above, both sides are cut into blocks.
+# Queries go to every task only below both bounds; above, they go in blocks.
 MAX_SHARED_QUERIES = 16_384
 MAX_SHARED_BYTES = 128 << 20
-# Rows per block of the blocked way.
-BLOCK_CORPUS_ROWS = 200_000
-BLOCK_QUERY_ROWS = 4_096
+# Queries of a block beyond those bounds, at most.
+BLOCK_QUERY_ROWS = 16_384
 
 SCORE_DIGITS = 6
 _QUERY_STEP = 512
@@ -267,31 +267,17 @@ def _shared_queries(corpus: DataFrame, shared: pa.Table, k: int, metric: str, sc
 
 
 def _blocked(corpus: DataFrame, queries: DataFrame, k: int, metric: str, schema: T.StructType) -> DataFrame:
-    """Both sides cut into blocks by a hash of the id; every pair of blocks is one group of bounded size."""
-    id_col, query_col, vector_col = corpus.columns[0], queries.columns[0], corpus.columns[1]
-    n_corpus = max(1, -(-corpus.count() // BLOCK_CORPUS_ROWS))
-    n_query = max(1, -(-queries.count() // BLOCK_QUERY_ROWS))
-
-    def blocks(df: DataFrame, name: str, key: str, own: int, other_name: str, other: int) -> DataFrame:
-        return df.withColumn(name, F.pmod(F.xxhash64(key), F.lit(own)).cast("int")).withColumn(
-            other_name, F.explode(F.sequence(F.lit(0), F.lit(other - 1)))
-        )
-
-    left = blocks(corpus, "_c", id_col, n_corpus, "_q", n_query)
-    right = blocks(queries, "_q", query_col, n_query, "_c", n_corpus)
-    arrow_schema = _arrow_schema(schema)
-
-    def run(c: pa.Table, q: pa.Table) -> pa.Table:
-        found = []
-        if c.num_rows and q.num_rows:
-            rows = (
-                (_labels(part[id_col]), _matrix(part[vector_col]))
-                for part in (c.slice(at, 10_000) for at in range(0, c.num_rows, 10_000))
-            )
-            found = _best_of(rows, _labels(q[query_col]), _matrix(q[vector_col]), k, metric)
-        return pa.Table.from_batches(list(_hit_batches(found, arrow_schema)), schema=arrow_schema)
-
-    return left.groupBy("_c", "_q").cogroup(right.groupBy("_c", "_q")).applyInArrow(run, schema)
+    """Queries in blocks of bounded size, one pass over the corpus for each; no corpus row is moved."""
+    query_col, vector_col = queries.columns
+    widest = queries.agg(F.max(F.size(vector_col))).first()[0] or 1
+    rows = max(1, min(BLOCK_QUERY_ROWS, MAX_SHARED_BYTES // (2 * (8 * widest + 64))))
+    steps = Steps()
+    n = max(1, -(-queries.count() // rows))
+    cut = steps.stage(queries.withColumn("_b", F.pmod(F.xxhash64(query_col), F.lit(n)).cast("int")), "queries")
+    blocks = (cut.filter(F.col("_b") == b).drop("_b").toArrow() for b in range(n))
+    hits = [_shared_queries(corpus, block, k, metric, schema) for block in blocks if block.num_rows]
+    steps.release()
+    return reduce(DataFrame.unionByName, hits) if hits else corpus.sparkSession.createDataFrame([], schema)
 
 
 def with_payload(found: Found, corpus: DataFrame, id_col: str = "id", broadcast_rows: int = 500_000) -> DataFrame:

@@ -141,3 +141,13 @@ class StateStore:
         row = (version, snapshot_id, moment.isoformat(), fingerprint, message, counts)
         self.spark.createDataFrame([row], _MANIFEST).coalesce(1).write.mode("append").parquet(self._manifest_path())
         return Published(True, snapshot_id, message)
+
+    def prune(self, keep: int) -> int:
+        """Delete the tables of all but the newest ``keep`` snapshots; the manifest still lists them. Returns how many went."""
+        if keep < 1:
+            raise ValueError("at least the newest snapshot stays")
+        old = [r.snapshot_id for r in self.manifest().orderBy(F.col("version").desc()).select("snapshot_id").collect()[keep:]]
+        gone = [i for i in old if path_exists(self.spark, f"{self.root}/snap={i}")]
+        for snapshot_id in gone:
+            drop_path(self.spark, f"{self.root}/snap={snapshot_id}")
+        return len(gone)

@@ -93,6 +93,12 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(hadoop_path)
 
 
+def list_names(spark: SparkSession, path: str) -> list[str]:
+    """Names directly below a folder; none if it does not exist."""
+    hadoop_path, fs = _hadoop_path(spark, path)
+    return [s.getPath().getName() for s in fs.listStatus(hadoop_path)] if fs.exists(hadoop_path) else []
+
+
 def drop_path(spark: SparkSession, path: str) -> None:
     hadoop_path, fs = _hadoop_path(spark, path)
     fs.delete(hadoop_path, True)

@@ -50,6 +50,8 @@ def _relative(path: Column, root: str) -> Column:
 
 # Bytes of fetched files a task holds before it passes them on.
 FETCH_BYTES = 32 << 20
+# Files that one task fetches, about: what is fetched again if the task is lost.
+FETCH_FILES = 256
 
 
 def select_contents(contents: DataFrame, wanted: DataFrame) -> DataFrame:
@@ -80,8 +82,8 @@ def file_reader(root: str) -> Callable[[str], bytes]:
 def fetch_contents(wanted: DataFrame, read: Callable[[str], bytes]) -> DataFrame:
     """Bytes of each wanted file, and of no other: ``qid, component, content, error``.
 
-    Fetching runs in the tasks, one file at a time; keys are spread evenly
-    first. A file that cannot be fetched has an error and no content.
+    Fetching runs in the tasks, one file at a time; keys are spread evenly over
+    as many tasks as there are files for. A file that cannot be fetched has an error and no content.
     """
 
     def fetch(key: str) -> tuple:
@@ -105,7 +107,8 @@ def fetch_contents(wanted: DataFrame, read: Callable[[str], bytes]) -> DataFrame
             yield pd.DataFrame(rows, columns=columns)
 
     columns = ["qid", "component", "content", "error"]
-    partitions = int(wanted.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    least = int(wanted.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    partitions = max(least, -(-wanted.count() // FETCH_FILES))
     spread = wanted.select("qid", "component").repartition(partitions, "component")
     return spread.mapInPandas(run, "qid string, component string, content binary, error string")
 

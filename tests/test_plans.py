@@ -304,6 +304,18 @@ def test_incremental_run_twice(store, collection, world):
     assert store.manifest().count() == 2
 
 
+def test_former_snapshots_go(spark, store):
+    tables = store.read()
+    made = []
+    for n in range(1, 4):
+        tables["software_index"] = spark.createDataFrame([(f"Q{n}", NOW)], "qid string, updated_at timestamp")
+        made.append(store.publish(tables, now=NOW).snapshot_id)
+    assert store.prune(2) == 1 and store.prune(2) == 0 and store.manifest().count() == 3
+    assert rows(store.read()["software_index"], "qid") == [("Q3",)] and rows(store.read(made[1])["software_index"], "qid") == [("Q2",)]
+    with pytest.raises(ValueError):
+        store.prune(0)
+
+
 def test_bounded_runs(store, collection, world):
     source, listing, contents = world
     for n in (2, 4):

@@ -46,7 +46,6 @@ def data():
 @pytest.mark.parametrize("way", ["shared", "blocked"])
 def test_top_k(table, data, metric, way, monkeypatch):
     corpus, queries = data
-    monkeypatch.setattr(knn, "BLOCK_CORPUS_ROWS", 100)
     monkeypatch.setattr(knn, "BLOCK_QUERY_ROWS", 4)
     left = table(corpus, VECTORS).repartition(5)
     right = table(queries, "query_id string, vector array<float>")
@@ -70,6 +69,9 @@ def test_top_k_never_pairs_rows(table, data):
     corpus, queries = data
     hits = knn.top_k(table(corpus, VECTORS), table(queries, "query_id string, vector array<float>"), 3).hits
     plan = hits._jdf.queryExecution().executedPlan().toString()
+    blocked = knn.top_k(table(corpus, VECTORS), table(queries, "query_id string, vector array<float>"), 3, max_shared_queries=0).hits
+    below = blocked._jdf.queryExecution().executedPlan().toString().split("MapInArrow", 1)[1]
+    assert "Exchange" not in below
     assert "CartesianProduct" not in plan and "NestedLoop" not in plan and "WindowGroupLimit" in plan
 
 

@@ -53,6 +53,21 @@ def test_log_is_idempotent_and_keeps_the_latest(spark, table, tmp_path):
     assert log.rows().count() == 3
 
 
+def test_compaction_of_a_log(spark, table, tmp_path):
+    log = jobs.status_log(spark, str(tmp_path / "log"))
+    for batch in range(4):
+        log.append(table([("Q1", "c", NOW.replace(hour=batch), f"s{batch}"), (f"Q{batch + 5}", "c", NOW, "ok")], STATUS), batch)
+        if batch in (1, 2):
+            before = rows(log.current(), "qid", "status")
+            log.compact()
+            assert rows(log.current(), "qid", "status") == before
+    assert rows(log.current(), "qid", "status") == [("Q1", "s3"), ("Q5", "ok"), ("Q6", "ok"), ("Q7", "ok"), ("Q8", "ok")]
+    assert log.rows().count() == 6 and not (tmp_path / "log" / "batch=0").exists()
+    log.compact()
+    log.compact()
+    assert log.rows().count() == 5
+
+
 def test_status_stream(spark, table, tmp_path):
     source = str(tmp_path / "events")
     log = jobs.status_log(spark, str(tmp_path / "log"))

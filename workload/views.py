@@ -20,14 +20,10 @@ SPREAD_BY = {"orders": "o_orderkey", "documents": "doc_id", "pages": "page_id"}
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A given table. A small file that cannot be split is spread over the cores.
-
-    A table of many files, or of many row groups, is read as it is split already.
-    """
+    """A given table. A single file is spread over the cores; a table of many files is read as it is split already."""
     df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
-    cores = spark.sparkContext.defaultParallelism
-    if name in SPREAD_BY and df.rdd.getNumPartitions() < cores:
-        return df.repartition(cores, SPREAD_BY[name])
+    if name in SPREAD_BY and len(df.inputFiles()) == 1:
+        return df.repartition(spark.sparkContext.defaultParallelism, SPREAD_BY[name])
     return df
 
 
