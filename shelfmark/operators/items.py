@@ -32,7 +32,7 @@ def page(df: DataFrame, order: str, offset: int = 0, limit: int | None = None) -
 def new_items(
     source: DataFrame, known: DataFrame, cap: int | None = None, mode: str = "anti"
 ) -> DataFrame:
-    """Items of ``source`` still to be stored, at most ``cap`` of them, in ``qid`` order.
+    """Items of ``source`` still to be stored, at most the ``cap`` first of them in ``qid`` order.
 
     ``anti`` takes the items that are not known. ``offset`` skips as many
     ordered items as are known, which misses ids that sort before the position
@@ -40,7 +40,7 @@ def new_items(
     """
     if mode == "anti":
         fresh = source.select("qid").join(known.select("qid"), "qid", "left_anti")
-        return page(fresh, "qid", 0, cap)
+        return fresh if cap is None else page(fresh, "qid", 0, cap)
     if mode == "offset":
         return page(source.select("qid"), "qid", known.count(), cap)
     raise ValueError(f"unknown mode: {mode}")

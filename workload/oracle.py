@@ -202,6 +202,8 @@ def sql() -> dict[str, str]:
     q["item_list_from_triples"] = f"with {_TRIPLES} select qid from items order by qid"
     q["item_list_page"] = f"with {_TRIPLES} select qid from items order by qid limit 50 offset 10"
     q["items_incremental_anti"] = f"with {_TRIPLES} select qid from items where not c_acctbal > 0"
+    q["items_offset"] = f"""with {_TRIPLES}
+select qid from items order by qid offset (select count(*) from items where c_acctbal > 0)"""
     q["items_from_bindings"] = "select 'Q' || c_custkey as qid from customer where c_mktsegment <> 'FURNITURE'"
     q["shard_paths"] = f"""with {_TRIPLES}
 select qid, substr(d, 1, 2) || '/' || substr(d, 3, 2) || '/' || substr(d, 5, 2) || '/' || qid as path
@@ -232,7 +234,10 @@ select 'plan_localworker_' || case when package < 9 then '0' else '' end || (pac
   || string_agg('{{"qid":"' || qid || '","component":"' || component || '","document_type":"CRAN_PACKAGE"}}', ',' order by position)
   || ']}}' as body
 from packaged group by package"""
-    q["plan_files"] = f"{_STATE} select qid, component from retry"
+    q["plan_files"] = f"""{_STATE},
+placed as (select qid, component, row_number() over (order by qid, component) - 1 as n from retry)
+select 'plan_localworker_' || case when n // 100 < 9 then '0' else '' end || (n // 100 + 1) as package_id,
+  n % 100 as position, qid, component from placed"""
     q["plan_entries"] = f"""{_STATE}
 select qid, k as component, qid is not null as is_valid from listed"""
     q["status_upsert"] = f"""{_STATE}, {packaged},
@@ -411,6 +416,18 @@ from pieces"""
     q["embed_second_run"] = """
 select 'Q' || doc_id as qid, 'ok' as status, case when doc_id % 2 = 0 then '2024-01-01' else '2024-01-02' end as run_day
 from documents where lang <> 'de'"""
+    q["run_from_package"] = """
+with files as (
+  select 'Q' || doc_id as qid, 'main/Q' || doc_id || '/components/' || source || '_1.' || doc_id || '.'
+    || case when lang = 'en' then 'txt' else 'pdf' end as component from documents where lang <> 'de'),
+placed as (select *, row_number() over (order by qid, component) - 1 as n from files)
+select qid, component, case when n between 50 and 99 then 'ok' else 'planned' end as status,
+  case when n between 50 and 99 then true end as has_points
+from placed where n < 150"""
+    q["stream_embed_two_batches"] = """
+select 'Q' || doc_id as qid, 'main/Q' || doc_id || '/components/' || source || '_1.' || doc_id || '.txt' as component,
+  'ok' as status, true as has_points
+from documents where lang = 'en'"""
     q["publish_twice"] = f"""{_STATE}
 select step, step <> 'same' as changed, (select count(*) from status) as n_former,
   (select count(*) from status where status like 'failed%') as n_now

@@ -25,9 +25,9 @@ from shelfmark.plans.collection import Collection
 from shelfmark.plans.embed import embed_backlog
 from shelfmark.plans.planning import plan_packages
 from shelfmark.plans.retrieve import retrieve
-from shelfmark.plans.run import incremental_run
+from shelfmark.plans.run import incremental_run, run_package
 from shelfmark.plans.state import StateStore
-from shelfmark.schemas import DOC_KEYS, ChunkParams
+from shelfmark.schemas import DOC_KEYS, PLAN, ChunkParams
 from shelfmark.session import new_work_path, ship, stage
 from shelfmark.sources.graph import items_from_bindings
 from shelfmark.sources.objects import index_files, index_summary, indexed, list_components
@@ -89,6 +89,12 @@ def items_incremental_anti(spark, sf):
     return new_items(views.items(spark, sf), _known_items(spark, sf))
 
 
+@query
+def items_offset(spark, sf):
+    """The pull that skips as many items as are known."""
+    return new_items(views.items(spark, sf), _known_items(spark, sf), mode="offset")
+
+
 @query
 def items_from_bindings_(spark, sf):
     binding = F.array(F.struct(F.struct(F.concat(F.lit("Q"), F.col("c_custkey").cast("string")).alias("value")).alias("qid")))
@@ -196,8 +202,9 @@ def plan_files(spark, sf):
     tables["software_index"] = tables["software_index"].withColumn("updated_at", F.lit(None).cast("timestamp"))
     store.publish(tables)
     plan_packages(store, root, size=100)
-    stored = spark.read.text(f"{root}/planned").select("package_id", F.col("value").alias("body"))
-    return read_entries(stored)[0]
+    entries = F.from_json("value", PLAN)["entries"]
+    stored = spark.read.text(f"{root}/planned").select("package_id", F.posexplode(entries).alias("position", "entry"))
+    return stored.select("package_id", "position", "entry.qid", "entry.component")
 
 
 @query
@@ -696,6 +703,25 @@ def incremental_run_(spark, sf):
     )
 
 
+@query
+def run_from_package(spark, sf):
+    """Three packages are planned, one of them is run: its files are done, the others stay reserved."""
+    root = new_work_path(spark, "run")
+    stored = _stored_files(spark, sf).filter("key not like '%.bin'")
+    store, target = StateStore(spark, f"{root}/state"), Collection(spark, f"{root}/points")
+    tables, never = store.read(), F.lit(None).cast("timestamp").alias("updated_at")
+    tables["software_index"] = stored.select("qid", never)
+    tables["component_index"] = stored.select("qid", F.col("key").alias("component"), never)
+    store.publish(tables)
+    plan_packages(store, f"{root}/plans", size=50, packages=3)
+    run_package(
+        spark, store, target, f"{root}/plans", "plan_localworker_02", stored.select("key", "content"), HashedEmbedder(DIM),
+        extractors={"pdf": _lines}, max_pages=None,
+    )
+    embedded = target.points().select("qid", F.lit(True).alias("has_points")).distinct()
+    return store.read()["embeddings_index"].select(*DOC_KEYS, "status").join(embedded, "qid", "left")
+
+
 # Streams -----------------------------------------------------------------
 
 
@@ -732,3 +758,22 @@ def stream_embed(spark, sf):
         files, store, target, HashedEmbedder(DIM), f"{root}/checkpoint", known_only=False
     ).awaitTermination()
     return store.read()["embeddings_index"].select("qid", "component", "status")
+
+
+@query
+def stream_embed_two_batches(spark, sf):
+    """Items that become known after their files came: the files wait, and the next batch embeds them."""
+    root = new_work_path(spark, "stream")
+    store, target = StateStore(spark, f"{root}/state"), Collection(spark, f"{root}/points")
+    stored = stage(_stored_files(spark, sf).filter("key like '%.txt'"), "stored")
+    number = F.substring("qid", 2, 20).cast("bigint")
+    never = F.lit(None).cast("timestamp").alias("updated_at")
+    for came, known in ((number % 2 == 0, number % 3 == 0), (number % 2 == 1, F.lit(True))):
+        stored.filter(came).select("key", "content").write.mode("append").parquet(f"{root}/files")
+        tables = store.read()
+        tables["software_index"] = stored.filter(known).select("qid", never)
+        store.publish(tables)
+        files = spark.readStream.schema("key string, content binary").parquet(f"{root}/files")
+        jobs.embed_stream(files, store, target, HashedEmbedder(DIM), f"{root}/checkpoint").awaitTermination()
+    embedded = target.points().select("qid", F.lit(True).alias("has_points")).distinct()
+    return store.read()["embeddings_index"].select(*DOC_KEYS, "status").join(embedded, "qid", "left")
