@@ -1,6 +1,7 @@
 from collections import Counter, defaultdict
 
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline as c
 from shelfmark.llm.mixing import mix
@@ -62,10 +63,19 @@ def test_packing_stage(kept):
     check(rows(kept[4]), kept[5])
 
 
-def test_run_equals_the_stages(spark, kept):
-    columns = ["doc_id", "start", "length", "ids_crc32", "doc_tokens"]
-    got = c.run(spark, "/root/testdata/sf0.01").select(*columns)
-    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, kept[5].select(*columns).collect()))
+def test_run_passes_every_stage_what_the_one_before_kept(spark, monkeypatch):
+    seen = []
+
+    def stage(name, last=False):
+        def run(spark, docs, sf_dir):
+            seen.append((name, docs.count(), sf_dir))
+            return docs.limit(1) if last else docs.filter(F.col("doc_id") % (len(seen) + 1) == 0)
+
+        return name, run
+
+    monkeypatch.setattr(c, "STAGES", [stage("a b"), stage("c"), stage("d", True)])
+    assert c.run(spark, "/root/testdata/sf0.001").count() == 1
+    assert seen == [("a b", 200, "/root/testdata/sf0.001"), ("c", 100, "/root/testdata/sf0.001"), ("d", 34, "/root/testdata/sf0.001")]
 
 
 def test_edge_cases(spark):

@@ -70,7 +70,7 @@ def test_given_documents(given):
     assert found(s.simhash_groups(given)) == expected(rows)
 
 
-@pytest.mark.parametrize(("blocks", "crowded"), [(4, 64), (4, 2), (5, 64), (6, 3)])
+@pytest.mark.parametrize(("blocks", "crowded"), [(4, 64), (4, 2), (5, 3)])
 def test_links_find_every_component(spark, blocks, crowded):
     rng = random.Random(blocks * 100 + crowded)
     prints = {rng.getrandbits(64) for _ in range(60)}
@@ -93,7 +93,7 @@ def test_links_find_every_component(spark, blocks, crowded):
 
 
 def test_components_of_a_long_chain(spark):
-    edges = spark.createDataFrame([(i, i + 1) for i in range(70)] + [(200, 300), (5, 5)], "u long, v long")
+    edges = spark.createDataFrame([(i, i + 1) for i in range(20)] + [(200, 300), (5, 5)], "u long, v long")
     steps = Steps()
     roots = {r.node: r.root for r in components(edges, steps).collect()}
-    assert roots == {**dict.fromkeys(range(1, 71), 0), 300: 200}
+    assert roots == {**dict.fromkeys(range(1, 21), 0), 300: 200}
