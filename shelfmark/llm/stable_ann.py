@@ -227,23 +227,27 @@ def nearest(
     leaves = 1 << max(0, min(math.ceil(math.log2(max(1, count / cell_rows))), int(math.log2(MAX_SAMPLE / 16))))
     tree = fit_tree(points, leaves)
     limit = chi_square_limit(confidence, projected)
-    # Cells above the block size are cut by a hash of the row.
-    cuts = max(1, math.ceil(2 * count / leaves / block_rows))
-
     def cell_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             v = _matrix(b.column("v"))
             cells = tree.cells(projection.data(v)) if len(v) else np.zeros(0, dtype=np.int64)
-            row = b.column("row").to_numpy()
             yield pa.RecordBatch.from_arrays(
-                [pa.array(cells), pa.array(row % cuts), b.column("row"), b.column("tie"), b.column("v"), pa.nulls(len(b), pa.float64())],
-                names=["cell", "cut", "row", "tie", "v", "floor"],
+                [pa.array(cells), b.column("row"), b.column("tie"), b.column("v")], names=["cell", "row", "tie", "v"]
             )
 
+    placed = distinct.select("row", F.col("ids")[0].alias("tie"), "v")
+    placed = steps.stage(placed.mapInArrow(cell_of, "cell long, row long, tie long, v array<double>"), "cells")
+    # A cell above the block size is cut by the row number, however uneven the cells are. At most a row per cell.
+    sizes = placed.groupBy("cell").agg(F.ceil(F.count("*") / block_rows).cast("bigint").alias("cuts"))
+    cuts = np.ones(leaves, dtype=np.int64)
+    for cell in sizes.collect():
+        cuts[cell["cell"]] = cell["cuts"]
+    of_cell = F.broadcast(spark.createDataFrame([(i, int(n)) for i, n in enumerate(cuts)], "cell long, cuts long"))
+    data = placed.join(of_cell, "cell").select(
+        "cell", F.pmod("row", "cuts").alias("cut"), "row", "tie", "v", F.lit(None).cast("double").alias("floor"),
+        F.lit(0).alias("kind"),
+    )
     shape = "cell long, cut long, row long, tie long, v array<double>, floor double"
-    data = steps.stage(
-        distinct.select("row", F.col("ids")[0].alias("tie"), "v").mapInArrow(cell_of, shape).withColumn("kind", F.lit(0)), "cells"
-    )
     asked = steps.stage(valid.filter("q").select("id", "v").distinct(), "asked")
     asked_rows = steps.stage(
         asked.withColumn("h", F.xxhash64("v")).join(
@@ -267,7 +271,9 @@ def nearest(
             wanted[first] = False
             wanted[first, home[first]] = True
             q, cell = np.nonzero(wanted)
-            q, cell, cut = np.repeat(q, cuts), np.repeat(cell, cuts), np.tile(np.arange(cuts), len(q))
+            times = cuts[cell]
+            cut = np.arange(times.sum()) - np.repeat(np.cumsum(times) - times, times)
+            q, cell = np.repeat(q, times), np.repeat(cell, times)
             yield pa.RecordBatch.from_arrays(
                 [pa.array(cell), pa.array(cut), *[b.column(c).take(pa.array(q)) for c in ("row", "tie", "v")],
                  pa.array(np.where(first, -np.inf, floor)[q])],
@@ -317,7 +323,7 @@ def nearest(
     def round_(asked_: DataFrame, label: str) -> DataFrame:
         to = asked_.select("row", F.lit(0).cast("bigint").alias("tie"), "v", "floor").mapInArrow(route, shape)
         both = data.unionByName(to.withColumn("kind", F.lit(1)))
-        parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), min(leaves * cuts, 100_000))
+        parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), min(int(cuts.sum()), 100_000))
         dealt = both.repartition(parts, "cell", "cut").sortWithinPartitions("cell", "cut", "kind")
         dealt = dealt.select("cell", "cut", "kind", "row", "tie", "v", "floor")
         hits = dealt.mapInArrow(search, "asked long, row long, tie long, score double")
