@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 import zipfile
@@ -20,7 +22,7 @@ def ship(spark: SparkSession, *packages: str) -> None:
     archive_name = "-".join(names) + ".zip"
     if any(str(f).endswith(archive_name) for f in context.listFiles):
         return
-    archive = Path(tempfile.mkdtemp(prefix="shelfmark-")) / archive_name
+    archive = Path(_own_folder()) / archive_name
     with zipfile.ZipFile(archive, "w") as out:
         for name in names:
             folder = Path(__import__(name).__file__).parent
@@ -29,6 +31,13 @@ def ship(spark: SparkSession, *packages: str) -> None:
     context.addPyFile(str(archive))
 
 
+def _own_folder() -> str:
+    """A folder on this machine that goes when the process ends."""
+    folder = tempfile.mkdtemp(prefix="shelfmark-")
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    return folder
+
+
 def work_root(spark: SparkSession) -> str:
     """The shared folder for intermediate tables and checkpoints.
 
@@ -43,7 +52,7 @@ def work_root(spark: SparkSession) -> str:
         return configured.rstrip("/")
     if not context.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
-    folder = tempfile.mkdtemp(prefix="shelfmark-")
+    folder = _own_folder()
     context.setCheckpointDir(folder)
     return folder
 
@@ -52,13 +61,25 @@ def new_work_path(spark: SparkSession, label: str) -> str:
     return f"{work_root(spark)}/{label}-{uuid.uuid4().hex}"
 
 
+_STAGED: list[tuple[SparkSession, str]] = []
+
+
 def stage(df: DataFrame, label: str) -> DataFrame:
     """Write a step to the shared folder and read it back.
 
     Cuts the lineage like a checkpoint, survives the loss of executors, and,
-    being columnar, lets later steps read only the columns they need.
+    being columnar, lets later steps read only the columns they need. It stays
+    as long as results may read it: until ``release_staged``.
     """
-    return _write_and_read(df, new_work_path(df.sparkSession, label))
+    path = new_work_path(df.sparkSession, label)
+    _STAGED.append((df.sparkSession, path))
+    return _write_and_read(df, path)
+
+
+def release_staged() -> None:
+    """Delete what ``stage`` has written so far; results that were not stored elsewhere cannot be read any more."""
+    while _STAGED:
+        drop_path(*_STAGED.pop())
 
 
 class Steps:

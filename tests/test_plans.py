@@ -304,6 +304,17 @@ def test_incremental_run_twice(store, collection, world):
     assert store.manifest().count() == 2
 
 
+def test_staged_steps_can_be_dropped(spark, monkeypatch):
+    from shelfmark import session
+
+    monkeypatch.setattr(session, "_STAGED", [])
+    session.stage(spark.range(3), "some")
+    (_, path), = session._STAGED
+    assert session.path_exists(spark, path)
+    session.release_staged()
+    assert not session.path_exists(spark, path) and session._STAGED == []
+
+
 def test_former_snapshots_go(spark, store):
     tables = store.read()
     made = []
