@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from shelfmark.llm.common import read
+from shelfmark.llm.common import read, values
 from shelfmark.operators.ordinals import with_ordinal
 from shelfmark.session import stage
 
@@ -34,7 +34,7 @@ END = 2
 VOCABULARY = "word_bpe_49k.json"
 
 # Words whose pieces are remembered by a Python worker.
-_REMEMBERED = 300_000
+_REMEMBERED = 150_000
 # Latin-1 letters, then ASCII punctuation: the pieces of such a word are those of its two parts.
 _PLAIN = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]*)([!-/:-@\[-`{-~]*)")
 
@@ -111,7 +111,7 @@ def pieces(
         tokenizer = _tokenizer(vocabulary)
         for batch in batches:
             out: list[tuple] = []
-            for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+            for doc_id, text in zip(values(batch.column(0)), values(batch.column(1)), strict=True):
                 ids = tokenizer.ids(text or "") + stop
                 total = len(ids) // 4
                 for start in range(0, total, size):

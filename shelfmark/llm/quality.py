@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from shelfmark.llm.common import fresh, read
+from shelfmark.llm.common import fresh, read, values
 from shelfmark.session import stage
 
 # Labelled documents that the regression is fitted on, at most.
@@ -67,7 +67,7 @@ def text_figures(text: str | None) -> list[float]:
 
 @F.arrow_udf(T.ArrayType(T.DoubleType()))
 def figures(texts: pa.Array) -> pa.Array:
-    found = [text_figures(t) for t in texts.to_pylist()]
+    found = [text_figures(t) for t in values(texts)]
     flat = np.array(found, dtype=np.float64).reshape(-1)
     return pa.ListArray.from_arrays(pa.array(np.arange(len(found) + 1) * len(FIGURES), pa.int32()), pa.array(flat))
 

@@ -1,7 +1,7 @@
 """Secret scans with a trigram inverted index.
 
 Each rule's regular expression gives a Boolean query over trigrams that every
-match must contain. The texts of an Arrow batch are a segment of the index: a
+match must contain. A run of texts of one task is a segment of the index: a
 postings list per trigram that some rule asks for, the lists of a query
 intersected and united, and the rule's expression run on the candidates only.
 Rules without mandatory trigrams scan the whole segment. A segment needs
@@ -31,6 +31,8 @@ except ImportError:  # pragma: no cover
 
 # A query is None (no condition), a trigram, or ("and" | "or", parts).
 Query = None | str | tuple
+# Texts of a segment of the index.
+SEGMENT = 1024
 # Larger sets of alternatives are not followed.
 _MAX_STRINGS = 64
 
@@ -202,8 +204,10 @@ def find_secrets(
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = [t or "" for t in batch.column(1).to_pylist()]
-            found = scan_segment(texts, rules, queries)
+            found: list[list[tuple[int, int, int]]] = []
+            for at in range(0, len(batch), SEGMENT):
+                texts = [t or "" for t in batch.column(1).slice(at, SEGMENT).to_pylist()]
+                found += scan_segment(texts, rules, queries)
             flat = [s for spans in found for s in spans]
             items = pa.StructArray.from_arrays(
                 [

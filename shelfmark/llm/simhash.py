@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from shelfmark.llm.common import fresh, keep_rows, read
+from shelfmark.llm.common import fresh, keep_rows, read, values
 from shelfmark.llm.components import components
 from shelfmark.session import Steps, stage
 
@@ -58,7 +58,7 @@ def simhash(text: str | None, shingle: int = SHINGLE, seed: int = SEED) -> int:
 
 @F.arrow_udf(T.LongType())
 def fingerprint(texts: pa.Array) -> pa.Array:
-    return pa.array(np.array([simhash(t) for t in texts.to_pylist()], dtype=np.uint64).view(np.int64))
+    return pa.array(np.array([simhash(t) for t in values(texts)], dtype=np.uint64).view(np.int64))
 
 
 def _signed(value: int) -> int:

@@ -28,7 +28,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfmark.llm.common import read
+from shelfmark.llm.common import read, rows_of, values
 from shelfmark.session import Steps, stage
 
 LENGTH = 200
@@ -134,7 +134,7 @@ def _scan(length: int, token: int):
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ids, sums, parts = [], [], []
-            for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+            for doc_id, text in zip(values(batch.column(0)), values(batch.column(1)), strict=True):
                 raw = _text_bytes(text)
                 place, first, count, hash_ = anchors(raw, length, token)
                 if len(place):
@@ -188,6 +188,9 @@ def shared_anchors(docs: DataFrame, length: int = LENGTH, token: int = TOKEN) ->
     return dealt.mapInArrow(_shared_tokens, _ANCHORS)
 
 
+# Rows of windows and instances that a task holds.
+_TOGETHER = 40_000
+
 _WINDOWS = (
     "doc_id long, crc long, first int, lead long, token long, c1 long, c2 long, left smallint, count smallint, copies long,"
     " bytes binary"
@@ -199,13 +202,22 @@ def _signed(raw: bytes) -> int:
 
 
 def _cut_windows(length: int):
-    """Instances (doc_id, crc, first, c1, c2) and, once per batch, the different windows with their bytes."""
+    """Instances (doc_id, crc, first, c1, c2) and, once for some of them, the different windows with their bytes."""
+    kinds = (pa.int64(), pa.int64(), pa.int32(), *[pa.int64()] * 4, pa.int16(), pa.int16(), pa.int64(), pa.binary())
+    names = [f.strip().split()[0] for f in _WINDOWS.split(",")]
+
+    def columns(out: list[tuple], windows: dict[tuple[int, int], list]) -> pa.RecordBatch:
+        by_column = zip(*out, *map(tuple, windows.values()), strict=True)
+        return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(by_column, kinds, strict=True)], names=names)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out: list[tuple] = []
             windows: dict[tuple[int, int], list] = {}
-            for row in batch.to_pylist():
+            for row in rows_of(batch):
+                if len(out) + len(windows) >= _TOGETHER:
+                    yield columns(out, windows)
+                    out, windows = [], {}
                 raw = _text_bytes(row["text"])
                 for spot in row["spots"]:
                     first, count, left = spot["first"], spot["count"], spot["left"]
@@ -218,12 +230,8 @@ def _cut_windows(length: int):
                     else:
                         lead = int.from_bytes(part[left : left + 8], "big") >> 1
                         windows[key] = [None, None, None, lead, spot["token"], *key, left, count, 1, part]
-            out += map(tuple, windows.values())
-            kinds = (pa.int64(), pa.int64(), pa.int32(), *[pa.int64()] * 4, pa.int16(), pa.int16(), pa.int64(), pa.binary())
-            names = [f.strip().split()[0] for f in _WINDOWS.split(",")]
-            for at in range(0, len(out), 20_000):
-                columns = zip(*out[at : at + 20_000], strict=True)
-                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=names)
+            if out:
+                yield columns(out, windows)
 
     return cut
 
@@ -273,7 +281,7 @@ def _sort_buckets(length: int, together: int):
     def sort(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[dict] = []
         for batch in batches:
-            for row in batch.to_pylist():
+            for row in rows_of(batch):
                 if len(held) >= together and row["token"] != held[-1]["token"]:
                     out = _sort_windows(held, length)
                     if out is not None:
@@ -291,7 +299,7 @@ def _sort_buckets(length: int, together: int):
 def _hash_strings(length: int):
     def strings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for row in batch.to_pylist():
+            for row in rows_of(batch):
                 n, raw = row["count"], row["bytes"]
                 digests = [xxhash.xxh3_128_digest(raw[i : i + length]) for i in range(n)]
                 yield pa.RecordBatch.from_pydict(
@@ -389,7 +397,7 @@ def remove_repeats(
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out = []
-            for doc_id, text, starts, ends in zip(*[c.to_pylist() for c in batch.columns], strict=True):
+            for doc_id, text, starts, ends in zip(*map(values, batch.columns), strict=True):
                 raw = _text_bytes(text)
                 kept, spans = _without(raw, starts, ends)
                 row = (doc_id, len(raw), len(raw) - len(kept), spans, hashlib.sha256(kept).hexdigest())

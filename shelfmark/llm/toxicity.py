@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from shelfmark.llm.common import read
+from shelfmark.llm.common import read, values
 from shelfmark.llm.quality import bounded, labelled
 from shelfmark.session import stage
 
@@ -92,7 +92,7 @@ def learn_lexicon(sample: DataFrame, most: int = MAX_LEXICON) -> Lexicon:
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen = {0: Counter(), 1: Counter()}
         for batch in batches:
-            for text, label in zip(batch.column("text").to_pylist(), batch.column("label").to_pylist(), strict=True):
+            for text, label in zip(values(batch.column("text")), values(batch.column("label")), strict=True):
                 seen[int(label >= 0.5)].update({u for w in set(plain_words(text or "")) if w for u in units(w)})
         names = list(seen[1])
         # Units of clean texts alone are no entries, but may be counted as toxic by other tasks.
@@ -175,7 +175,7 @@ def text_features(text: str | None, lexicon: dict[str, float], known: dict[str,
 _CAPITALS = bytes(range(65, 91))
 _MARKS = b"#$%&*@^~|"
 # Words that a worker remembers.
-_REMEMBERED = 300_000
+_REMEMBERED = 150_000
 
 
 def _array(found: list[list[float]]) -> pa.Array:
@@ -190,7 +190,7 @@ def features(lexicon: Lexicon):
     def of(texts: pa.Array) -> pa.Array:
         known: dict[str, float] = {}
         found = []
-        for text in texts.to_pylist():
+        for text in values(texts):
             if len(known) > _REMEMBERED:
                 known.clear()
             found.append(text_features(text, lexicon.general, known))
@@ -207,7 +207,7 @@ def sample_features(lexicon: Lexicon):
         known: tuple[dict, dict] = ({}, {})
         side = [int(v >= 0.5) for v in labels.to_pylist()]
         return _array(
-            [text_features(t, lexicon.own[i], known[i]) for t, i in zip(texts.to_pylist(), side, strict=True)]
+            [text_features(t, lexicon.own[i], known[i]) for t, i in zip(values(texts), side, strict=True)]
         )
 
     return of

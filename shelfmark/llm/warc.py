@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from shelfmark.llm.common import read
+from shelfmark.llm.common import read, values
 from shelfmark.session import new_work_path, stage
 
 # Payloads below this size are stored each time.
@@ -36,9 +36,10 @@ _DIGEST = T.StructType([T.StructField("sha1", T.StringType()), T.StructField("by
 
 @F.arrow_udf(_DIGEST)
 def payload_digest(payloads: pa.Array) -> pa.Array:
-    raw = [(p or "").encode() for p in payloads.to_pylist()]
-    sha1 = pa.array([hashlib.sha1(p).hexdigest() for p in raw], pa.string())
-    return pa.StructArray.from_arrays([sha1, pa.array(map(len, raw), pa.int64())], names=["sha1", "bytes"])
+    found = [(hashlib.sha1(p).hexdigest(), len(p)) for p in ((v or "").encode() for v in values(payloads))]
+    return pa.StructArray.from_arrays(
+        [pa.array([s for s, _ in found], pa.string()), pa.array([n for _, n in found], pa.int64())], names=["sha1", "bytes"]
+    )
 
 
 def record_id(page_id: int | None, copy: int, kind: str) -> str:
@@ -141,7 +142,7 @@ def write_archives(
         for batch in batches:
             out: list[bytes] = []
             held = 0
-            for row in zip(*[batch.column(c).to_pylist() for c in ("page_id", "copy", "url", "html", "refers_to")], strict=True):
+            for row in zip(*[values(batch.column(c)) for c in ("page_id", "copy", "url", "html", "refers_to")], strict=True):
                 page_id, copy, url, html, refers_to = row
                 payload = (html or "").encode()
                 out += capture_records(page_id, copy, url, payload, refers_to, refers_to is not None)
