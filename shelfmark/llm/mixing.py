@@ -185,7 +185,9 @@ def mixed(
     by_id = Window.partitionBy("doc_id", "source").orderBy("position")
     places = stage(places.select("doc_id", "source", "position", F.row_number().over(by_id).alias("copy")), "places")
     source = F.col(source_col).cast("string")
-    same = Window.partitionBy(F.col(id_col), source).orderBy(F.xxhash64(*[F.col(f"`{c}`") for c in docs.columns]))
+    # Rows that agree on both are numbered in an order that a second run repeats. Maps have no hash.
+    hashed = [F.col(f"`{c}`") for c, kind in docs.dtypes if "map<" not in kind and kind != "variant"]
+    same = Window.partitionBy(F.col(id_col), source).orderBy(F.xxhash64(*hashed))
     numbered = docs.withColumn(copy, F.row_number().over(same))
     i, s, c = (fresh(numbered, name) for name in ("_i", "_s", "_c"))
     renamed = places.toDF(i, s, at, c)

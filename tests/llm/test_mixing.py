@@ -2,6 +2,7 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from shelfmark.llm import mixing as m
 
@@ -61,11 +62,11 @@ def test_every_row_has_one_place(spark):
 
 
 def test_mixed_keeps_rows_and_columns_in_order(spark):
-    rows = [(i % 40, f"s{i % 3}", f"t{i}") for i in range(90)] + [(1, "s1", "t1")] * 2 + [(None, None, None)] * 2
+    rows = [(i % 40, f"s{i % 3}", f"t{i}") for i in range(90)] + [(1, "s1", "t1")] * 2 + [(None, "s2", None)] * 2
     df = spark.createDataFrame(rows, SCHEMA).withColumnRenamed("text", "_position").repartition(3)
-    got = m.mixed(df, {"s0": 2, "s1": 1, "s2": 1, None: 1}, block=2)
-    assert got.columns == df.columns
-    listed = [tuple(r) for r in got.collect()]
+    got = m.mixed(df.withColumn("copy", F.create_map("source", "doc_id")), {"s0": 2, "s1": 1, "s2": 1, None: 1}, block=2)
+    assert got.columns == [*df.columns, "copy"]
+    listed = [tuple(r)[:3] for r in got.collect()]
     assert Counter(listed) == Counter(map(tuple, rows))
     shares = Counter(s for _, s, _ in listed[:40])
     assert abs(shares["s0"] - 16) <= 2 * 2 + 2 and shares["s1"] >= 6
