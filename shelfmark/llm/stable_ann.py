@@ -5,8 +5,8 @@ it, so that the largest inner product is the smallest Euclidean distance. A Gaus
 ratio of a projected to a true distance is chi-square distributed. A kd-tree
 over the projections, fitted on a bounded sample, gives cells that partition
 all vectors. A query takes projected neighbours in growing projected distance,
-first in its own cell, then in the others, verifies each on the original
-vectors, and stops once a closer vector would, with the given chance, have had
+first in its own cell, then round by round in more and more others, verifies each
+on the original vectors, and stops once a closer vector would, with the given chance, have had
 a projection nearer than the next one.
 """
 
@@ -30,9 +30,13 @@ PROJECTED = 8
 # Chance with which each true neighbour is among the verified ones.
 CONFIDENCE = 0.96
 SEED = 20
+# Queries whose cells are worked out at a time.
+_ROUTED = 256
 # Vectors that the kd-tree is fitted on, at most, and vectors that a cell should hold.
 MAX_SAMPLE = 65_536
 CELL_ROWS = 2048
+# By how much the number of cells that a query has been to may grow in a round.
+GROWTH = 8
 # Vectors of a cell that a task holds at a time; larger cells are cut by a hash.
 BLOCK_ROWS = 16_384
 
@@ -151,6 +155,11 @@ class Best:
         order = np.lexsort((tie, -score))[: self.k]
         self.score, self.tie, self.row = score[order], tie[order], row[order]
 
+    def leave(self, floor: float) -> None:
+        """Only what is not worse than the k-th of an earlier search."""
+        kept = self.score >= floor
+        self.score, self.tie, self.row = self.score[kept], self.tie[kept], self.row[kept]
+
     def distance(self) -> float:
         """Squared distance of the k-th best so far, by what this or an earlier search found."""
         kth = self.score[-1] if len(self.score) == self.k else -np.inf
@@ -256,29 +265,28 @@ def nearest(
     )
     searched = distinct.select("row", "v").join(asked_rows.select("row").distinct(), "row")
 
-    def route(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Queries with the k-th score so far (or none: own cell only), to the cells that the test does not rule out."""
-        for b in batches:
-            v = _matrix(b.column("v"))
-            if not len(v):
-                continue
-            floor = b.column("floor").to_numpy(zero_copy_only=False)
-            gaps = tree.distances(projection.queries(v))
-            home = gaps.argmin(axis=1)
-            first = np.isnan(floor)
-            wanted = gaps < limit * distance(floor, _lengths(v), top)[:, None]
-            wanted[np.arange(len(v)), home] = False  # done in the first round
-            wanted[first] = False
-            wanted[first, home[first]] = True
-            q, cell = np.nonzero(wanted)
-            times = cuts[cell]
-            cut = np.arange(times.sum()) - np.repeat(np.cumsum(times) - times, times)
-            q, cell = np.repeat(q, times), np.repeat(cell, times)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(cell), pa.array(cut), *[b.column(c).take(pa.array(q)) for c in ("row", "tie", "v")],
-                 pa.array(np.where(first, -np.inf, floor)[q])],
-                names=["cell", "cut", "row", "tie", "v", "floor"],
-            )
+    def route(low: int, high: int):
+        """Queries, with the k-th score so far, to those of their ``low``-th to ``high``-th cells that the test leaves."""
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for whole in batches:
+                for at in range(0, len(whole), _ROUTED):
+                    b = whole.slice(at, _ROUTED)
+                    v, floor = _matrix(b.column("v")), b.column("floor").to_numpy(zero_copy_only=False)
+                    gaps = tree.distances(projection.queries(v))
+                    chosen = np.argsort(gaps, axis=1, kind="stable")[:, low:high]
+                    near = np.take_along_axis(gaps, chosen, axis=1) < limit * distance(floor, _lengths(v), top)[:, None]
+                    q, place = np.nonzero(near | (low == 0))
+                    cell = chosen[q, place]
+                    times = cuts[cell]
+                    cut = np.arange(times.sum()) - np.repeat(np.cumsum(times) - times, times)
+                    q, cell = np.repeat(q, times), np.repeat(cell, times)
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(cell), pa.array(cut), *[b.column(c).take(pa.array(q)) for c in ("row", "tie", "v", "floor")]],
+                        names=["cell", "cut", "row", "tie", "v", "floor"],
+                    )
+
+        return run
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Rows of a cell's block first, then the queries for it."""
@@ -310,6 +318,7 @@ def nearest(
                     best = Best(k + 1, float(lengths[i]), top, float(floors[i]))
                     gap = points_ - asked_points[i]
                     search_block(best, v[i], (gap * gap).sum(axis=1), all_v, ties, rows, limit)
+                    best.leave(float(floors[i]))
                     out.append((row[i], best))
                 yield pa.RecordBatch.from_pydict(
                     {
@@ -320,23 +329,33 @@ def nearest(
                     }
                 )
 
-    def round_(asked_: DataFrame, label: str) -> DataFrame:
-        to = asked_.select("row", F.lit(0).cast("bigint").alias("tie"), "v", "floor").mapInArrow(route, shape)
-        both = data.unionByName(to.withColumn("kind", F.lit(1)))
-        parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), min(int(cuts.sum()), 100_000))
-        dealt = both.repartition(parts, "cell", "cut").sortWithinPartitions("cell", "cut", "kind")
-        dealt = dealt.select("cell", "cut", "kind", "row", "tie", "v", "floor")
-        hits = dealt.mapInArrow(search, "asked long, row long, tie long, score double")
-        return steps.stage(hits, label)
+    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), min(int(cuts.sum()), 100_000))
+
+    def hits_of(routed: DataFrame) -> DataFrame:
+        dealt = data.unionByName(routed.withColumn("kind", F.lit(1))).repartition(parts, "cell", "cut")
+        dealt = dealt.sortWithinPartitions("cell", "cut", "kind").select("cell", "cut", "kind", "row", "tie", "v", "floor")
+        return dealt.mapInArrow(search, "asked long, row long, tie long, score double")
 
     order = Window.partitionBy("asked").orderBy(F.desc("score"), "tie")
-    first = round_(searched.withColumn("floor", F.lit(None).cast("double")), "own-cell")
-    floors = first.withColumn("n", F.row_number().over(order)).filter(F.col("n") == k + 1).select(
-        F.col("asked").alias("row"), F.col("score").alias("floor")
-    )
-    known = searched.join(floors, "row", "left").withColumn("floor", F.coalesce("floor", F.lit(float("-inf"))))
-    found = first.union(round_(known, "other-cells"))
-    chosen = found.withColumn("n", F.row_number().over(order)).filter(F.col("n") <= k + 1).drop("n")
+    chosen: DataFrame | None = None
+    low, high = 0, 1
+    while low < leaves:
+        # The k-th score of each round bounds what the next one hands on: some hits per query, however many cells.
+        floor = F.lit(float("-inf"))
+        if chosen is None:
+            known = searched.withColumn("floor", floor)
+        else:
+            floors = chosen.filter(F.col("n") == k + 1).select(F.col("asked").alias("row"), F.col("score").alias("floor"))
+            known = searched.join(floors, "row", "left").withColumn("floor", F.coalesce("floor", floor))
+        routed = known.select("row", F.lit(0).cast("bigint").alias("tie"), "v", "floor").mapInArrow(route(low, high), shape)
+        if routed.isEmpty():  # cells further away are ruled out as well
+            break
+        hits = hits_of(routed)
+        hits = hits if chosen is None else hits.unionByName(chosen.drop("n"))
+        chosen = steps.stage(hits.withColumn("n", F.row_number().over(order)).filter(F.col("n") <= k + 1), "hits")
+        low, high = high, min(leaves, high * GROWTH)
+    if chosen is None:
+        return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
     ids = chosen.join(distinct.select("row", "ids"), "row").select("asked", "score", F.explode("ids").alias("vec_id"))
     by_id = Window.partitionBy("asked").orderBy(F.desc("score"), "vec_id")
     ranked = ids.withColumn("n", F.row_number().over(by_id)).filter(F.col("n") <= k + 1)
