@@ -26,7 +26,7 @@ from shelfmark.session import new_work_path, stage
 # Payloads below this size are stored each time.
 LEAST_REVISIT = 1000
 # Bytes of a file, about; a file is parsed in one piece.
-FILE_BYTES = 32 << 20
+FILE_BYTES = 12 << 20
 DATE = "2024-01-01T00:00:00Z"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 
