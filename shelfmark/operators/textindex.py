@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from shelfmark.functions.text import words
+from shelfmark.operators import joins
 from shelfmark.operators.arrays import unnest
-from shelfmark.operators.joins import narrow_join
 
 TOKEN_BUCKETS = 64
 SCORE_DIGITS = 9
@@ -68,9 +70,18 @@ def lexical_match(
         raise ValueError(f"unknown mode: {mode}")
     asked = queries.select(query_col, F.array_distinct(words(F.col("text"))).alias("_words"))
     wanted = unnest(asked, F.col("_words"), "token").select(query_col, F.size("_words").alias("_n"), "token")
-    held = narrow_join(index.select("token", id_col), wanted.select("token").distinct(), ["token"], [id_col], "left_semi")
+    small = joins.is_small(wanted)
+
+    def meet(rows: DataFrame, right: DataFrame, how: str = "inner") -> DataFrame:
+        """Postings with (a part of) the wanted words, which were measured once."""
+        if small:
+            return rows.join(F.broadcast(right), ["token"], how)
+        return joins.skew_join(rows, right, ["token"], [id_col], how)
+
+    held = meet(index.select("token", id_col), wanted.select("token").distinct(), "left_semi")
     wanted = wanted.join(document_frequency(held), "token", "left")
-    matched = _all_words(held, wanted, id_col, query_col) if mode == "and" else _any_word(held, wanted, id_col, query_col)
+    match = _all_words if mode == "and" else _any_word
+    matched = match(held, wanted, meet, id_col, query_col)
     if k is None:
         return matched.select(query_col, id_col, "n_matched")
     best = Window.partitionBy(query_col).orderBy(F.desc("score"), id_col)
@@ -82,13 +93,13 @@ def _score(of: Column) -> Column:
     return F.round(F.sum(F.lit(1.0) / of), SCORE_DIGITS)
 
 
-def _any_word(held: DataFrame, wanted: DataFrame, id_col: str, query_col: str) -> DataFrame:
+def _any_word(held: DataFrame, wanted: DataFrame, meet: Callable[..., DataFrame], id_col: str, query_col: str) -> DataFrame:
     """What meets per (query, id) is one row per query word at most, already summed on the map side."""
-    found = narrow_join(held, wanted.filter("n_docs is not null"), ["token"], [id_col])
+    found = meet(held, wanted.filter("n_docs is not null"))
     return found.groupBy(query_col, id_col).agg(F.count("*").alias("n_matched"), _score(F.col("n_docs")).alias("score"))
 
 
-def _all_words(held: DataFrame, wanted: DataFrame, id_col: str, query_col: str) -> DataFrame:
+def _all_words(held: DataFrame, wanted: DataFrame, meet: Callable[..., DataFrame], id_col: str, query_col: str) -> DataFrame:
     # A query has few words: its window is small.
     whole = Window.partitionBy(query_col)
     rarest = whole.orderBy("n_docs", "token")
@@ -99,7 +110,7 @@ def _all_words(held: DataFrame, wanted: DataFrame, id_col: str, query_col: str)
         .filter(F.col("_known") == F.col("_n"))
     )
     first = possible.filter("_place = 1").select("token", query_col, "_n", "_score")
-    candidates = narrow_join(held, first, ["token"], [id_col]).select(query_col, id_col, "_n", "_score")
+    candidates = meet(held, first).select(query_col, id_col, "_n", "_score")
     others = possible.filter("_place > 1").select(query_col, "token")
     rest = candidates.filter("_n > 1").join(others, query_col).join(held, ["token", id_col], "left_semi")
     complete = rest.groupBy(query_col, id_col, "_n", "_score").agg(F.count("*").alias("_found"))
