@@ -6,20 +6,22 @@ problem of bounded size whatever the number of documents: its linear program is
 solved by column generation, where a knapsack over the classes prices the next
 pattern. Pattern counts are rounded down, and the few items left are packed
 first-fit decreasing, as further patterns. Documents are then ranked within
-their class, and the rank gives the sequence by arithmetic alone.
+their class, and the rank gives the sequence by arithmetic alone. Where the
+order of the documents is to be kept, every pattern's sequences are spread
+evenly over the numbers, and each class fills them in the order given.
 """
 
 from __future__ import annotations
 
 import re
 import zlib
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
@@ -103,27 +105,36 @@ def pieces(
     vocabulary: str = VOCABULARY,
     end: int = END,
     size: int = SEQUENCE,
+    order: Sequence[Column] = (),
 ) -> DataFrame:
-    """(doc_id, start, length, ids_crc32, doc_tokens): documents cut into whole sequences and a rest."""
+    """(doc_id, start, length, ids_crc32, doc_tokens): documents cut into whole sequences and a rest.
+
+    The values of ``order`` follow as ``order_0`` and so on.
+    """
     stop = np.array([end], dtype="<u4").tobytes()
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokenizer = _tokenizer(vocabulary)
         for batch in batches:
             out: list[tuple] = []
-            for doc_id, text in zip(values(batch.column(0)), values(batch.column(1)), strict=True):
+            of: list[int] = []
+            for at, (doc_id, text) in enumerate(zip(values(batch.column(0)), values(batch.column(1)), strict=True)):
                 ids = tokenizer.ids(text or "") + stop
                 total = len(ids) // 4
                 for start in range(0, total, size):
                     part = ids[4 * start : 4 * (start + size)]
                     out.append((doc_id, start, len(part) // 4, zlib.crc32(part), total))
+                    of.append(at)
+            carried = [batch.column(c).take(pa.array(of, pa.int64())) for c in range(2, batch.num_columns)]
             yield pa.RecordBatch.from_arrays(
-                [pa.array(c, pa.int64()) for c in (zip(*out, strict=True) if out else [[]] * 5)],
-                names=["doc_id", "start", "length", "ids_crc32", "doc_tokens"],
+                [*[pa.array(c, pa.int64()) for c in (zip(*out, strict=True) if out else [[]] * 5)], *carried],
+                names=["doc_id", "start", "length", "ids_crc32", "doc_tokens", *batch.schema.names[2:]],
             )
 
-    wanted = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col))
-    return wanted.mapInArrow(cut, "doc_id long, start long, length long, ids_crc32 long, doc_tokens long")
+    keys = [c.alias(f"order_{i}") for i, c in enumerate(order)]
+    wanted = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col), *keys)
+    schema = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long"
+    return wanted.mapInArrow(cut, ", ".join([schema, *[f"{f.name} {f.dataType.simpleString()}" for f in wanted.schema[2:]]]))
 
 
 @dataclass(frozen=True)
@@ -233,6 +244,7 @@ def pack(
     end: int = END,
     size: int = SEQUENCE,
     unit: int = UNIT,
+    order: Sequence[Column] = (),
 ) -> DataFrame:
     """A row per piece: (doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset).
 
@@ -240,12 +252,15 @@ def pack(
     a sequence holds at most ``size`` tokens, gapless from offset 0. Null and
     empty texts are the end id alone. Repeated rows and rows with equal or null
     ids are packed each on its own. An empty table gives an empty result. The
+    With ``order``, columns of ``docs`` to sort by, the sequences follow that
+    order: each class is ranked by it and spread evenly over ``sequence_id``.
+    Ties, and everything without it, go by id. The
     histogram has ``size / unit`` classes, so the linear program and the table
     of patterns do not grow with the documents.
     """
     if size % unit:
         raise ValueError("the sequence must be a whole number of classes")
-    cut = stage(pieces(docs, id_col, text_col, vocabulary, end, size), "pieces")
+    cut = stage(pieces(docs, id_col, text_col, vocabulary, end, size, order), "pieces")
     sized = cut.withColumn("class", F.ceil(F.col("length") / unit).cast("int")).withColumn(
         "row", F.monotonically_increasing_id()
     )
@@ -253,8 +268,9 @@ def pack(
     counted = {r["class"]: r["n"] for r in sized.groupBy("class").agg(F.count("*").alias("n")).collect()}
     demand = np.array([counted.get(c, 0) for c in range(1, classes + 1)], dtype=np.int64)
     found = cutting_stock(np.arange(1, classes + 1), demand, classes)
-    ranked = with_ordinal(sized, ["class", "doc_id", "start", "row"])
-    placed = _assign(ranked, found, demand)
+    keys = [f"order_{i}" for i in range(len(order))]
+    ranked = with_ordinal(sized, ["class", *keys, "doc_id", "start", "row"])
+    placed = ranked.join(_slots(docs.sparkSession, found), "ordinal") if keys else _assign(ranked, found, demand)
     # A sequence holds at most ``size`` pieces.
     inside = Window.partitionBy("sequence_id").orderBy("ordinal")
     before = F.sum("length").over(inside.rowsBetween(Window.unboundedPreceding, -1))
@@ -292,5 +308,35 @@ def _assign(ranked: DataFrame, found: Patterns, demand: np.ndarray) -> DataFrame
     return kept.mapInArrow(place, schema)
 
 
+def _slots(spark: SparkSession, found: Patterns) -> DataFrame:
+    """(ordinal, sequence_id): the places of all pieces, by class and then by sequence.
+
+    Sequence t of the n of a pattern stands at (t + 1/2) / n of the whole, so
+    that a class comes at an even pace.
+    """
+    first_sequence = np.r_[0, np.cumsum(found.counts)]
+
+    def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            number = batch.column(0).to_numpy()
+            pattern = np.searchsorted(first_sequence, number, side="right") - 1
+            at = (number - first_sequence[pattern] + 0.5) / found.counts[pattern]
+            yield pa.RecordBatch.from_arrays([pa.array(number), pa.array(pattern), pa.array(at)], names=["number", "pattern", "at"])
+
+    def unfold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            uses = found.uses[batch.column("pattern").to_numpy()]
+            row, c = np.nonzero(uses)
+            times = uses[row, c]
+            sequence = np.repeat(batch.column("sequence_id").to_numpy()[row], times)
+            copy = np.arange(len(sequence)) - np.repeat(np.cumsum(times) - times, times)
+            yield pa.RecordBatch.from_arrays([pa.array(np.repeat(c, times)), pa.array(sequence), pa.array(copy)], names=["class", "sequence_id", "copy"])
+
+    numbers = spark.range(int(first_sequence[-1])).mapInArrow(spread, "number long, pattern long, at double")
+    sequences = with_ordinal(numbers, ["at", "number"], "sequence_id").select("pattern", "sequence_id")
+    places = sequences.mapInArrow(unfold, "class long, sequence_id long, copy long")
+    return with_ordinal(places, ["class", "sequence_id", "copy"]).select("ordinal", "sequence_id")
+
+
 def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(read(spark, sf_dir, "documents"))
