@@ -4,10 +4,9 @@ Every source is cut into blocks of documents. In a schedule with one slot per
 block, block k of a source with share w is released at slot floor(k / w) and due
 by ceil((k + 1) / w). Taking the earliest deadline among the released blocks
 meets every deadline, so at any slot a source has had less than one block more
-or less than its share. Shares are rounded to whole blocks of a hyperperiod, so
-the schedule repeats: it is worked out once for one period, and the slot of any
-block follows by arithmetic. When a source has no blocks left, a new phase with
-the shares of the others begins.
+or less than its share. Shares are the given weights as exact fractions, however
+long the schedule is. When a source has no blocks left, a new phase with the
+shares of the others begins.
 """
 
 from __future__ import annotations
@@ -15,6 +14,9 @@ from __future__ import annotations
 import heapq
 from collections.abc import Iterator, Mapping
 from dataclasses import dataclass
+from fractions import Fraction
+from itertools import count
+from math import lcm
 
 import numpy as np
 import pyarrow as pa
@@ -27,8 +29,6 @@ from shelfmark.session import stage
 
 # Documents of a block.
 BLOCK = 32
-# Slots of a period, at least, and for each source.
-PERIOD, PERIOD_PER_SOURCE = 1024, 16
 # Exponent of a source's number of documents in its default weight.
 SMOOTHING = 0.7
 
@@ -64,35 +64,51 @@ def pfair_period(shares: np.ndarray) -> np.ndarray:
 
 @dataclass(frozen=True)
 class Phase:
-    """From ``slot`` on, the sources with a share take turns as in ``table``; ``first`` is each one's first block."""
+    """From ``slot`` on, the sources with a share take turns; ``first`` is each one's first block."""
 
     slot: int
     first: np.ndarray
-    shares: np.ndarray
-    places: list[np.ndarray]  # per source the slots of a period
+    shares: np.ndarray  # the weights of the sources that have blocks left, 0 for the others
+    places: list[np.ndarray]  # per source the slots of its blocks of this phase, in order
+
+
+def _whole(weights: np.ndarray) -> list[int]:
+    """The weights times a common factor that makes whole numbers of them; nothing is rounded."""
+    fractions = [Fraction(w) for w in weights.tolist()]
+    factor = lcm(*[f.denominator for f in fractions])
+    return [int(f * factor) for f in fractions]
 
 
 def pfair_phases(weights: np.ndarray, blocks: np.ndarray) -> list[Phase]:
     """The schedule of all blocks, in phases that end when a source runs out."""
-    left, done, slot = blocks.astype(np.int64).copy(), np.zeros(len(blocks), dtype=np.int64), 0
+    whole = _whole(weights)
+    left, done, slot = blocks.astype(np.int64).tolist(), np.zeros(len(blocks), dtype=np.int64), 0
     phases: list[Phase] = []
-    while (left > 0).any():
-        live = np.flatnonzero(left > 0)
-        period = max(PERIOD, 1 << (PERIOD_PER_SOURCE * len(live) - 1).bit_length())
-        shares = np.zeros(len(blocks), dtype=np.int64)
-        shares[live] = whole_shares(weights[live], period)
-        table = live[pfair_period(shares[live])]
-        phases.append(Phase(slot, done.copy(), shares, [np.flatnonzero(table == s) for s in range(len(blocks))]))
-        periods = int((left[live] // shares[live]).min())
-        took = shares * periods
-        slots = periods * period
-        if not (left[live] == took[live]).any():
-            # The first source to need a block it does not have ends the phase with its last one.
-            last = {s: phases[-1].places[s][left[s] - took[s] - 1] for s in live if left[s] - took[s] <= shares[s]}
-            end = min(last.values()) + 1
-            took = took + np.bincount(table[:end], minlength=len(blocks))
-            slots += int(end)
-        left, done, slot = left - took, done + took, slot + slots
+    live = [s for s, n in enumerate(left) if n > 0]
+    while live:
+        total = sum(whole[s] for s in live)
+        places: dict[int, list[int]] = {s: [] for s in live}
+        # The next block of every source waits for its release, or is ready and due by its deadline.
+        waiting: list[tuple[int, int]] = []
+        ready = [(-(-total // whole[s]), s) for s in live]
+        heapq.heapify(ready)
+        for turn in count():
+            while waiting and waiting[0][0] <= turn:
+                s = heapq.heappop(waiting)[1]
+                heapq.heappush(ready, (-(-(len(places[s]) + 1) * total // whole[s]), s))
+            deadline, s = heapq.heappop(ready)
+            assert deadline > turn
+            places[s].append(slot + turn)
+            if len(places[s]) == left[s]:
+                break
+            heapq.heappush(waiting, (len(places[s]) * total // whole[s], s))
+        shares = np.zeros(len(blocks))
+        shares[live] = weights[live]
+        phases.append(Phase(slot, done.copy(), shares, [np.array(places.get(i, []), np.int64) for i in range(len(blocks))]))
+        for i in live:
+            left[i] -= len(places[i])
+            done[i] += len(places[i])
+        live, slot = [i for i in live if left[i]], slot + turn + 1
     return phases
 
 
@@ -100,14 +116,8 @@ def block_slots(phases: list[Phase], source: np.ndarray, block: np.ndarray) -> n
     """The slot of each (source, block)."""
     out = np.zeros(len(block), dtype=np.int64)
     for s in np.unique(source):
-        own = [p for p in phases if p.shares[s]]
-        mine = np.flatnonzero(source == s)
-        at = np.searchsorted([p.first[s] for p in own], block[mine], side="right") - 1
-        for i in np.unique(at):
-            phase, rows = own[i], mine[at == i]
-            turn = block[rows] - phase.first[s]
-            period = int(phase.shares.sum())
-            out[rows] = phase.slot + turn // phase.shares[s] * period + phase.places[s][turn % phase.shares[s]]
+        mine = source == s
+        out[mine] = np.concatenate([p.places[s] for p in phases])[block[mine]]
     return out
 
 
@@ -127,8 +137,8 @@ def mix(
     the start of the phase, and a new phase begins when a source runs out.
     Every document has its place exactly once; repeated rows and null ids have
     one each. Within a source the order is that of a hash of the id. An empty
-    table gives an empty result. The driver holds one row per source and the
-    schedule of one period per phase, whatever the number of documents.
+    table gives an empty result. The driver works out the schedule, eight bytes
+    per block of documents, and every executor has a copy.
     """
     narrow = stage(
         docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(source_col).cast("string").alias("source"))
@@ -147,9 +157,14 @@ def mix(
     target = np.array([weights[s] for s in names], dtype=float) if weights is not None else sizes**SMOOTHING
     blocks = -(-sizes // block)
     phases = pfair_phases(target, blocks)
+    # Slots of all blocks, source after source.
+    schedule = np.concatenate([np.zeros(0, np.int64), *[p.places[i] for i in range(len(names)) for p in phases]])
+    first_block = np.r_[0, np.cumsum(blocks)]
     starts = np.r_[0, np.cumsum(sizes)]
     # A source's last block may be short; later positions move up by what it lacks.
-    ends = block_slots(phases, np.arange(len(sizes)), blocks - 1)
+    ends = schedule[first_block[1:] - 1] if len(sizes) else schedule
+    # Eight bytes per block: sent to each executor once.
+    sent = docs.sparkSession.sparkContext.broadcast(schedule)
     by_end = np.argsort(ends)
     lacks = np.r_[0, np.cumsum((blocks * block - sizes)[by_end])]
 
@@ -160,7 +175,7 @@ def mix(
             codes = np.array([number[s] for s in coded.dictionary.to_pylist()], dtype=np.int64)
             source = codes[coded.indices.to_numpy()] if len(codes) else np.zeros(0, dtype=np.int64)
             rank = batch.column("ordinal").to_numpy() - starts[source]
-            slot = block_slots(phases, source, rank // block)
+            slot = sent.value[first_block[source] + rank // block]
             position = slot * block + rank % block - lacks[np.searchsorted(ends[by_end], slot)]
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), batch.column("source"), *map(pa.array, (rank, rank // block, slot, position))],
