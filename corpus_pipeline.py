@@ -5,8 +5,8 @@ Each stage gets the documents that the one before it kept, with the columns of
 
 1. quality: documents that the quality classifier rejects go.
 2. exact dedup: of equal texts, the document with the largest id stays.
-3. near-dedup: of each group of documents linked by near copies (five-word shingles with a Jaccard similarity of
-   0.8 or more, which is verified for every link), the one with the smallest id stays.
+3. SimHash near-dedup: of each component of linked fingerprints (three-word shingles, at most two differing bits),
+   the document with the smallest id stays.
 4. mixing: documents are put in an order in which every source keeps its share.
 5. packing: documents are cut and packed into sequences, which follow the order of the fourth stage.
 
@@ -25,9 +25,9 @@ from pyspark.sql import functions as F
 from shelfmark.llm.common import read
 from shelfmark.llm.exact_dedup import deduplicated
 from shelfmark.llm.mixing import mixed
-from shelfmark.llm.near import near_distinct
 from shelfmark.llm.packing import pack
 from shelfmark.llm.quality import good_documents
+from shelfmark.llm.simhash import near_deduplicated
 from shelfmark.session import new_work_path, ship
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
@@ -45,7 +45,7 @@ def exact_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def simhash_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     ship(spark)
-    return near_distinct(docs)
+    return near_deduplicated(docs)
 
 
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -71,12 +71,12 @@ def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 STAGES: list[tuple[str, Stage]] = [
     ("quality classifier", quality_stage),
     ("exact dedup", exact_dedup_stage),
-    ("near-dedup", simhash_stage),
+    ("SimHash near-dedup", simhash_stage),
     ("mixing", mixing_stage),
     ("packing", packing_stage),
 ]
 
-# The classifier, the near-dedup and the linear program are beyond SQL; tests compare the stages with brute force.
+# The classifier, the fingerprints and the linear program are beyond SQL; tests compare the stages with brute force.
 ORACLE_SQL = None
 
 
