@@ -129,7 +129,7 @@ def test_item_pages(table, monkeypatch):
     ordered = ["Q1", "Q2", "Q3", "Q4"]
     assert column(items.new_items(source, table([], "qid string"), 3), "qid") == ordered[:3]
     known = table([("Q1",), ("Q3",)], "qid string")
-    assert column(items.new_items(source, known), "qid") == ["Q2", "Q4"]
+    assert sorted(column(items.new_items(source, known), "qid")) == ["Q2", "Q4"]
     assert column(items.new_items(source, known, 1), "qid") == ["Q2"]
     assert column(items.new_items(source, known, 1, "offset"), "qid") == ["Q3"]
     monkeypatch.setattr(items, "IN_TASK_ROWS", 0)
