@@ -88,10 +88,14 @@ class Steps:
     def __init__(self) -> None:
         self._staged: list[tuple[SparkSession, str]] = []
 
+    def new_path(self, spark: SparkSession, label: str) -> str:
+        """A folder in the shared one that goes with these steps."""
+        path = new_work_path(spark, label)
+        self._staged.append((spark, path))
+        return path
+
     def stage(self, df: DataFrame, label: str) -> DataFrame:
-        path = new_work_path(df.sparkSession, label)
-        self._staged.append((df.sparkSession, path))
-        return _write_and_read(df, path)
+        return _write_and_read(df, self.new_path(df.sparkSession, label))
 
     def release(self) -> None:
         """Delete the staged tables; DataFrames that read them cannot be used any more."""
