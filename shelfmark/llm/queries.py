@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from shelfmark.llm import exact_dedup, mixing, packing, quality, secrets, simhash, stable_ann, suffixes, toxicity, warc
+from shelfmark.llm import exact_dedup, lloyd, mixing, packing, quality, secrets, simhash, stable_ann, suffixes, toxicity, warc
 from shelfmark.session import ship
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -23,8 +23,9 @@ QUERIES: tuple[Query, ...] = (
     warc.op8_warc,
     simhash.op9_simhash,
     secrets.op10_secret_scan,
+    lloyd.op11_vector_codes,
 )
-SQL = {"op2_exact_dedup": exact_dedup.SQL, "op8_warc": warc.SQL}
+SQL = {"op2_exact_dedup": exact_dedup.SQL, "op8_warc": warc.SQL, "op11_vector_codes": lloyd.SQL}
 
 
 def registered() -> dict[str, Query]:
