@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -29,6 +31,16 @@ def rows_of(batch: pa.RecordBatch) -> Iterator[dict]:
         yield from batch.slice(at, _SLICE).to_pylist()
 
 
+def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """The UTF-8 bytes of all texts side by side, and where each begins (one more than texts); null counts as empty."""
+    filled = pc.fill_null(column.cast(pa.large_string()), "")
+    _, ends, data = filled.buffers()
+    edges = np.frombuffer(ends, dtype=np.int64)[filled.offset : filled.offset + len(filled) + 1]
+    if not len(filled) or data is None:
+        return np.zeros(0, dtype=np.uint8), np.zeros(len(filled) + 1, dtype=np.int64)
+    return np.frombuffer(data, dtype=np.uint8)[edges[0] : edges[-1]], edges - edges[0]
+
+
 def fresh(df: DataFrame, name: str) -> str:
     """``name``, with underscores in front until no column of ``df`` has it (case does not count)."""
     taken = {c.lower() for c in df.columns}

@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from shelfmark.llm import exact_dedup, lloyd, mixing, packing, quality, secrets, simhash, stable_ann, suffixes, toxicity, warc
+from shelfmark.llm import exact_dedup, lloyd, mixing, packing, quality, resampling, secrets, simhash, stable_ann, suffixes, toxicity, warc
 from shelfmark.session import ship
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -24,8 +24,9 @@ QUERIES: tuple[Query, ...] = (
     simhash.op9_simhash,
     secrets.op10_secret_scan,
     lloyd.op11_vector_codes,
+    resampling.op12_resampling,
 )
-SQL = {"op2_exact_dedup": exact_dedup.SQL, "op8_warc": warc.SQL, "op11_vector_codes": lloyd.SQL}
+SQL = {"op2_exact_dedup": exact_dedup.SQL, "op8_warc": warc.SQL, "op11_vector_codes": lloyd.SQL, "op12_resampling": resampling.SQL}
 
 
 def registered() -> dict[str, Query]:
