@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from shelfmark.llm import exact_dedup, lloyd, mixing, packing, quality, resampling, secrets, simhash, stable_ann, suffixes, toxicity, warc
+from shelfmark.llm import exact_dedup, language, lloyd, mixing, packing, quality, resampling, secrets, simhash, stable_ann, suffixes, toxicity, warc
 from shelfmark.session import ship
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -25,6 +25,7 @@ QUERIES: tuple[Query, ...] = (
     secrets.op10_secret_scan,
     lloyd.op11_vector_codes,
     resampling.op12_resampling,
+    language.op13_language,
 )
 SQL = {"op2_exact_dedup": exact_dedup.SQL, "op8_warc": warc.SQL, "op11_vector_codes": lloyd.SQL, "op12_resampling": resampling.SQL}
 
