@@ -14,8 +14,9 @@ evenly over the numbers, and each class fills them in the order given.
 from __future__ import annotations
 
 import re
+import struct
 import zlib
-from collections.abc import Iterator, Sequence
+from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass
 
 import numpy as np
@@ -35,8 +36,8 @@ UNIT = 16
 END = 2
 VOCABULARY = "word_bpe_49k.json"
 
-# Words whose pieces are remembered by a Python worker.
-_REMEMBERED = 150_000
+# What a Python worker remembers: ids of words, which are cheap to put together again, and of their parts, which are not.
+_WORDS, _PARTS = 250_000, 500_000
 # Latin-1 letters, then ASCII punctuation: the pieces of such a word are those of its two parts.
 _PLAIN = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]*)([!-/:-@\[-`{-~]*)")
 
@@ -48,6 +49,18 @@ def _byte_letters() -> dict[int, str]:
     return {b: chr(b) for b in shown} | {b: chr(256 + i) for i, b in enumerate(hidden)}
 
 
+class _Remembered(dict):
+    """What ``find`` has found for a key."""
+
+    def __init__(self, find: Callable) -> None:
+        super().__init__()
+        self.find = find
+
+    def __missing__(self, key):
+        found = self[key] = self.find(key)
+        return found
+
+
 class WordTokenizer:
     """Ids of texts by a vocabulary that never joins across white space, word by word.
 
@@ -59,34 +72,30 @@ class WordTokenizer:
 
     def __init__(self, path: str) -> None:
         self.whole = Tokenizer.from_file(path)
+        self.model = self.whole.model
         self.letters = _byte_letters()
-        self.words: dict[bytes, bytes] = {}
-        self.parts: dict[str, bytes] = {"": b""}
+        self.words = _Remembered(self._word)
+        self.parts = _Remembered(self._part)
 
     def _part(self, part: str) -> bytes:
-        ids = self.parts.get(part)
-        if ids is None:
-            found = self.whole.model.tokenize(part.encode().decode("latin-1").translate(self.letters))
-            ids = self.parts[part] = np.array([t.id for t in found], dtype="<u4").tobytes()
-        return ids
+        found = self.model.tokenize(part.encode().decode("latin-1").translate(self.letters)) if part else ()
+        return struct.pack(f"<{len(found)}I", *[t.id for t in found])
 
     def _word(self, word: bytes) -> bytes:
         text = word.decode()
         plain = _PLAIN.fullmatch(text)
         if plain:
-            return self._part(plain[1].lower()) + self._part(plain[2])
-        return np.array(self.whole.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
+            return self.parts[plain[1].lower()] + self.parts[plain[2]] if plain[2] else self.parts[plain[1].lower()]
+        ids = self.whole.encode(text, add_special_tokens=False).ids
+        return struct.pack(f"<{len(ids)}I", *ids)
 
     def ids(self, text: str) -> bytes:
         """Little-endian unsigned 32-bit ids of ``text``."""
-        words, known = text.encode().split(), self.words
-        if len(known) > _REMEMBERED:
-            known.clear()
-            self.parts = {"": b""}
-        for w in set(words):
-            if w not in known:
-                known[w] = self._word(w)
-        return b"".join([known[w] for w in words])
+        if len(self.words) > _WORDS:
+            self.words.clear()
+        if len(self.parts) > _PARTS:
+            self.parts.clear()
+        return b"".join(map(self.words.__getitem__, text.encode().split()))
 
 
 _LOADED: dict[str, WordTokenizer] = {}
@@ -251,12 +260,13 @@ def pack(
     Every id of every document, its end id included, lies in exactly one piece;
     a sequence holds at most ``size`` tokens, gapless from offset 0. Null and
     empty texts are the end id alone. Repeated rows and rows with equal or null
-    ids are packed each on its own. An empty table gives an empty result. The
+    ids are packed each on its own. An empty table gives an empty result.
+
     With ``order``, columns of ``docs`` to sort by, the sequences follow that
     order: each class is ranked by it and spread evenly over ``sequence_id``.
-    Ties, and everything without it, go by id. The
-    histogram has ``size / unit`` classes, so the linear program and the table
-    of patterns do not grow with the documents.
+    Ties, and everything without it, go by id. The histogram has ``size / unit``
+    classes, so the linear program and the table of patterns do not grow with
+    the documents.
     """
     if size % unit:
         raise ValueError("the sequence must be a whole number of classes")
