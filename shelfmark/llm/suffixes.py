@@ -19,7 +19,6 @@ the bytes before and behind that strings with this anchor cover: a window.
 from __future__ import annotations
 
 import hashlib
-import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -133,27 +132,27 @@ def _text_bytes(value: str | None) -> bytes:
 def _scan(length: int, token: int):
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids, sums, parts = [], [], []
-            for doc_id, text in zip(values(batch.column(0)), values(batch.column(1)), strict=True):
+            ids, kinds, parts = [], [], []
+            for key, kind, text in zip(*map(values, batch.columns), strict=True):
                 raw = _text_bytes(text)
                 place, first, count, hash_ = anchors(raw, length, token)
                 if len(place):
                     parts.append((first, count, place - first, hash_))
-                    ids += [doc_id] * len(place)
-                    sums.append(np.full(len(place), zlib.crc32(raw)))
+                    ids.append(np.full(len(place), key, dtype=np.int64))
+                    kinds.append(np.full(len(place), kind, dtype=np.int8))
             if not parts:
                 continue
             first, count, left, hash_ = (np.concatenate(c) for c in zip(*parts, strict=True))
             yield pa.RecordBatch.from_arrays(
-                [pa.array(ids, pa.int64()), pa.array(np.concatenate(sums), pa.int64()), pa.array(first.astype(np.int32)),
+                [pa.array(np.concatenate(ids)), pa.array(np.concatenate(kinds)), pa.array(first.astype(np.int32)),
                  pa.array(count.astype(np.int16)), pa.array(left.astype(np.int16)), pa.array(hash_)],
-                names=["doc_id", "crc", "first", "count", "left", "token"],
+                names=["key", "kind", "first", "count", "left", "token"],
             )
 
     return scan
 
 
-_ANCHORS = "doc_id long, crc long, first int, count smallint, left smallint, token long"
+_ANCHORS = "key long, kind tinyint, first int, count smallint, left smallint, token long"
 
 
 def _shared_tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -181,8 +180,8 @@ def _shared_tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
 
 
 def shared_anchors(docs: DataFrame, length: int = LENGTH, token: int = TOKEN) -> DataFrame:
-    """Anchors of (doc_id, text) rows that share their token with another one, as (doc_id, crc, first, count, left, token)."""
-    found = docs.select("doc_id", "text").mapInArrow(_scan(length, token), _ANCHORS)
+    """Anchors of (key, kind, text) rows that share their token with another one, as (key, kind, first, count, left, token)."""
+    found = docs.select("key", "kind", "text").mapInArrow(_scan(length, token), _ANCHORS)
     parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     dealt = found.repartitionByRange(parts, "token", "first").sortWithinPartitions("token")
     return dealt.mapInArrow(_shared_tokens, _ANCHORS)
@@ -192,7 +191,7 @@ def shared_anchors(docs: DataFrame, length: int = LENGTH, token: int = TOKEN) ->
 _TOGETHER = 40_000
 
 _WINDOWS = (
-    "doc_id long, crc long, first int, lead long, token long, c1 long, c2 long, left smallint, count smallint, copies long,"
+    "key long, kind tinyint, first int, lead long, token long, c1 long, c2 long, left smallint, count smallint, copies long,"
     " bytes binary"
 )
 
@@ -202,8 +201,8 @@ def _signed(raw: bytes) -> int:
 
 
 def _cut_windows(length: int):
-    """Instances (doc_id, crc, first, c1, c2) and, once for some of them, the different windows with their bytes."""
-    kinds = (pa.int64(), pa.int64(), pa.int32(), *[pa.int64()] * 4, pa.int16(), pa.int16(), pa.int64(), pa.binary())
+    """Instances (key, kind, first, c1, c2) and, once for some of them, the different windows with their bytes."""
+    kinds = (pa.int64(), pa.int8(), pa.int32(), *[pa.int64()] * 4, pa.int16(), pa.int16(), pa.int64(), pa.binary())
     names = [f.strip().split()[0] for f in _WINDOWS.split(",")]
 
     def columns(out: list[tuple], windows: dict[tuple[int, int], list]) -> pa.RecordBatch:
@@ -224,7 +223,7 @@ def _cut_windows(length: int):
                     part = raw[first : first + count + length - 1]
                     digest = xxhash.xxh3_128_digest(part + left.to_bytes(2, "little"))
                     key = _signed(digest[:8]), _signed(digest[8:])
-                    out.append((row["doc_id"], row["crc"], first, None, None, *key, None, None, None, None))
+                    out.append((row["key"], row["kind"], first, None, None, *key, None, None, None, None))
                     if key in windows:
                         windows[key][-2] += 1
                     else:
@@ -316,19 +315,29 @@ def _hash_strings(length: int):
     return strings
 
 
+def numbered(docs: DataFrame) -> DataFrame:
+    """(doc_id, text) rows with a (key, kind) of their own: the id where it is unique, else the number of a staged row."""
+    often = docs.groupBy("doc_id").agg(F.count("*").alias("n")).filter((F.col("n") > 1) | F.isnull("doc_id"))
+    often = stage(often.select(F.col("doc_id").alias("_id")), "repeated-ids")
+    named = docs.withColumns({"key": F.col("doc_id"), "kind": F.lit(0).cast("tinyint")})
+    if often.isEmpty():
+        return named
+    same = F.col("doc_id").eqNullSafe(F.col("_id"))
+    rows = stage(docs.join(often, same, "left_semi").withColumn("key", F.monotonically_increasing_id()), "rows-by-number")
+    return named.join(often, same, "left_anti").unionByName(rows.withColumn("kind", F.lit(1).cast("tinyint")))
+
+
 def repeats(docs: DataFrame, steps: Steps, length: int, token: int, crowded: int, together: int) -> DataFrame:
-    """(doc_id, crc, starts, ends): repeated byte ranges of each document that has any; ranges may overlap."""
-    crc = F.crc32(F.coalesce(F.col("text"), F.lit("")).cast("binary")).alias("crc")
+    """(key, kind, starts, ends): repeated byte ranges of each of ``numbered`` rows that has any; ranges may overlap."""
     spots = steps.stage(shared_anchors(docs, length, token), "anchors")
-    by_doc = spots.groupBy(F.col("doc_id").alias("_id"), F.col("crc").alias("_crc")).agg(
+    by_doc = spots.groupBy("key", "kind").agg(
         F.collect_set(F.struct("first", "count", "left", "token")).alias("spots")
     )
-    texts = docs.select("doc_id", crc, "text")
-    joined = texts.join(by_doc, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("crc") == F.col("_crc")))
+    joined = docs.join(by_doc, ["key", "kind"])
     cut = steps.stage(
-        joined.select("doc_id", "crc", "text", "spots").mapInArrow(_cut_windows(length), _WINDOWS), "windows"
+        joined.select("key", "kind", "text", "spots").mapInArrow(_cut_windows(length), _WINDOWS), "windows"
     )
-    instances = cut.filter("bytes is null").select("doc_id", "crc", "first", "c1", "c2")
+    instances = cut.filter("bytes is null").select("key", "kind", "first", "c1", "c2")
     windows = cut.filter("bytes is not null").select("lead", "token", "c1", "c2", "left", "count", "copies", "bytes")
     large = steps.stage(
         windows.groupBy("token").agg(F.count("*").alias("n")).filter(F.col("n") > crowded).select("token"), "crowded"
@@ -347,8 +356,8 @@ def repeats(docs: DataFrame, steps: Steps, length: int, token: int, crowded: int
         ranges = ranges.unionByName(marked.withColumn("ends", F.transform("starts", lambda x: x + F.lit(length))))
     ranges = steps.stage(ranges, "ranges")
     shift = lambda name: F.transform(name, lambda x: x + F.col("first"))
-    found = instances.join(ranges, ["c1", "c2"]).select("doc_id", "crc", shift("starts").alias("s"), shift("ends").alias("e"))
-    return found.groupBy("doc_id", "crc").agg(
+    found = instances.join(ranges, ["c1", "c2"]).select("key", "kind", shift("starts").alias("s"), shift("ends").alias("e"))
+    return found.groupBy("key", "kind").agg(
         F.flatten(F.collect_list("s")).alias("starts"), F.flatten(F.collect_list("e")).alias("ends")
     )
 
@@ -386,13 +395,10 @@ def remove_repeats(
     """
     if not 8 <= token <= length:
         raise ValueError("a token has at least 8 bytes and fits into a string")
-    narrow = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+    narrow = numbered(docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).cast("string").alias("text")))
     steps = Steps()
     found = stage(repeats(narrow, steps, length, token, crowded, together), "repeats")
     steps.release()
-    found = found.toDF("_id", "_crc", "starts", "ends")
-    crc = F.crc32(F.coalesce(F.col("text"), F.lit("")).cast("binary"))
-    on = F.col("doc_id").eqNullSafe(F.col("_id")) & (crc == F.col("_crc"))
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -407,7 +413,7 @@ def remove_repeats(
             columns = zip(*out, strict=True) if out else [[]] * len(kinds)
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=names)
 
-    joined = narrow.join(found, on, "left").select("doc_id", "text", "starts", "ends")
+    joined = narrow.join(found, ["key", "kind"], "left").select("doc_id", "text", "starts", "ends")
     return joined.mapInArrow(cut, _RESULT + ", kept binary" * content)
 
 

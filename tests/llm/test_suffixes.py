@@ -1,5 +1,7 @@
 import hashlib
 import random
+import string
+import zlib
 from collections import Counter
 
 import numpy as np
@@ -70,6 +72,18 @@ def test_empty_table_and_content(spark, docs):
     assert {i: bytes(k) for i, k in got.items()} == {1: b"", 2: b"b c"}
 
 
+def test_equal_checksums_without_ids(docs):
+    """Texts of other lengths with one CRC-32, null or repeated ids, and parts that other documents repeat."""
+    rng = random.Random(8)
+    word = lambda n: "".join(rng.choices(string.ascii_letters + string.digits, k=n))
+    shared, lead = word(150), (word(90), word(700))
+    seen = {zlib.crc32((t := lead[0] + shared + word(9)).encode()): t for _ in range(150_000)}
+    pairs = [(seen[c], t) for t in (lead[1] + word(9) for _ in range(150_000)) if (c := zlib.crc32(t.encode())) in seen]
+    a, b = pairs[0]
+    rows = [(None, a), (None, b), (1, "x" + shared + "y"), (2, lead[1][300:500]), (None, None), (None, ""), (3, a), (3, b), (4, word(80))]
+    assert found(s.remove_repeats(docs(rows), length=40, token=8)) == brute(rows, 40)
+
+
 @pytest.mark.parametrize("n", [39, 40, 41, 500, 5000])
 def test_anchors_are_the_least_tokens(n):
     rng = np.random.default_rng(n)
