@@ -8,6 +8,7 @@ Layout below one root, with a single writer:
     data/segment=<n>/      points
     text/segment=<n>/      full-text postings
     removed/segment=<n>/   ids whose points in earlier segments no longer count
+    cells/at=<n>/          vector index of the points that counted after segment n
 """
 
 from __future__ import annotations
@@ -21,10 +22,12 @@ from pyspark.sql import types as T
 
 from shelfmark.functions.vectors import resolve_metric
 from shelfmark.operators.joins import narrow_join
+from shelfmark.operators.knn import keep_best, top_k
 from shelfmark.operators.points import with_content
 from shelfmark.operators.textindex import lexical_match, postings, write_index
+from shelfmark.plans.vectorindex import RECALL, VectorIndex
 from shelfmark.schemas import POINTS
-from shelfmark.session import drop_path, empty, path_exists
+from shelfmark.session import drop_path, empty, list_names, path_exists
 
 _COLLECTION = "name string, vector_size int, distance string"
 _COMMITS = "segment bigint, base bigint, n_points bigint, n_removed bigint, created_at string"
@@ -119,6 +122,33 @@ class Collection:
         """Lexical matches among the current points, see ``lexical_match``."""
         return lexical_match(self.text_index(), queries, mode, k=k)
 
+    def index_vectors(self, cells: int | None = None, recall: float = RECALL) -> None:
+        """Build the vector index of the current points; later writes are searched beside it until the next one."""
+        totals = self._totals()
+        index = VectorIndex(self.spark, f"{self.root}/cells/at={totals.last}")
+        if not index.exists():
+            drop_path(self.spark, index.root)  # left over from a build that did not finish
+            index.build(self._live(["id", "vector"]).drop("segment"), self.describe().distance, cells, recall)
+
+    def search_vectors(self, queries: DataFrame, k: int = 30, probes: int | None = None) -> DataFrame:
+        """``query_id, id, score, rank`` among the current points, through the vector index where there is one.
+
+        Points that came after the index are searched exactly; indexed points
+        that have been replaced since are left out. Without an index, or after
+        ``compact``, the search is exact.
+        """
+        totals, metric = self._totals(), self.describe().distance
+        at = max((int(n.removeprefix("at=")) for n in list_names(self.spark, f"{self.root}/cells")), default=-1)
+        index = VectorIndex(self.spark, f"{self.root}/cells/at={at}")
+        if at < totals.base or not index.exists():
+            return top_k(self._live(["id", "vector"]), queries, k, metric).hits
+        if at == totals.last:
+            return index.search(queries, k, probes)
+        removed = self._stored("removed", _REMOVED, totals).filter(F.col("segment") > at)
+        found = index.search(queries, k, probes, without=removed.select("id").distinct())
+        later = top_k(self._live(["id", "vector"]).filter(F.col("segment") > at), queries, k, metric).hits
+        return keep_best(found.drop("rank").unionByName(later.drop("rank")), k, metric, "id", "query_id")
+
     def upsert(
         self, points: DataFrame, replace_by: Sequence[str] | None = None, now: datetime | None = None
     ) -> int:

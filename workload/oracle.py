@@ -350,7 +350,9 @@ from scaled"""
     q["retrieve_text"] = f"""{_RETRIEVED}
 select query_id, id, score, rank, md5(text) as text_md5 from ranked join documents on doc_id = id where rank <= 30"""
     q["retrieve_with_vectors"] = f"""{_RETRIEVED}
-select query_id, id, rank, 64 as vector_size, md5(text) as text_md5 from ranked join documents on doc_id = id where rank <= 5"""
+select query_id, id, rank, coalesce(total, 0) as vector_sum, md5(text) as text_md5
+from ranked join documents on doc_id = id left join (select doc_id as of, round(sum(w * (b + 1)), 4) as total from d group by 1) on of = id
+where rank <= 5"""
     q["rag_context"] = f"{_RETRIEVED} select query_id, context from contexts"
     q["rag_prompt"] = f"""{_RETRIEVED}
 select query_id, {_prompt_sql()} as prompt from questions left join contexts using (query_id)"""
@@ -380,7 +382,7 @@ best as (select *, row_number() over (partition by query_id order by score desc,
 select query_id, id, n_matched, score, rank from best where rank <= 20"""
     q["collection_lexical"] = """
 with texts as (
-  select doc_id::varchar as id, case when doc_id % 3 = 0 then 'rewritten ' || substr(text, 1, 40) else text end as t from documents),
+  select doc_id::varchar as id, case when doc_id % 3 = 0 then 'rewritten ' || text else text end as t from documents),
 words as (select distinct id, unnest(regexp_split_to_array(lower(t), '[^\\p{L}\\p{N}]+')) as tok from texts)
 select 1 as query_id, id, 1::bigint as n_matched from words where tok = 'rewritten'
 union all select 2, id, 2 from words where tok in ('the', 'of') group by id having count(*) = 2"""
@@ -402,7 +404,7 @@ select query_id, id, score, rank from ranked where rank <= 10"""
 with c as (
   select vec_id::varchar as id, label, case when vec_id % 2 = 0 then list_transform(embedding::double[], lambda x: -x)
     else embedding::double[] end as e from embeddings),
-q as (select vec_id::varchar as query_id, embedding::double[] as e from embeddings where vec_id < 20),
+q as (select vec_id::varchar as query_id, embedding::double[] as e from embeddings where vec_id % 50 = 0),
 pairs as (select query_id, id, label, round(list_cosine_similarity(q.e, c.e), 6) as score from q, c),
 ranked as (select *, row_number() over (partition by query_id order by score desc, id) as rank from pairs)
 select query_id, id, score, rank, 'text ' || id as page_content, label::varchar as label from ranked where rank <= 10"""
@@ -414,20 +416,21 @@ select 'Q' || doc_id as qid, n::varchar as lines, page::varchar as page, 'line '
 select qid, component, pos as chunk_index, md5(piece) as text_md5, length(piece) < 120 or length(piece) > 1600 as is_outlier
 from pieces"""
     q["embed_second_run"] = """
-select 'Q' || doc_id as qid, 'ok' as status, case when doc_id % 2 = 0 then '2024-01-01' else '2024-01-02' end as run_day
-from documents where lang <> 'de'"""
+select 'Q' || doc_id as qid, case when lang = 'de' then 'quarantined' else 'ok' end as status,
+  case when lang = 'de' then null when doc_id % 2 = 0 then '2024-01-01' else '2024-01-02' end as run_day
+from documents"""
     q["run_from_package"] = """
 with files as (
   select 'Q' || doc_id as qid, 'main/Q' || doc_id || '/components/' || source || '_1.' || doc_id || '.'
-    || case when lang = 'en' then 'txt' else 'pdf' end as component from documents where lang <> 'de'),
+    || case lang when 'en' then 'txt' when 'de' then 'bin' else 'pdf' end as component, lang = 'de' as unread from documents),
 placed as (select *, row_number() over (order by qid, component) - 1 as n from files)
-select qid, component, case when n between 50 and 99 then 'ok' else 'planned' end as status,
-  case when n between 50 and 99 then true end as has_points
+select qid, component, case when n between 50 and 99 and not unread then 'ok' else 'planned' end as status,
+  case when n between 50 and 99 and not unread then true end as has_points
 from placed where n < 150"""
     q["stream_embed_two_batches"] = """
 select 'Q' || doc_id as qid, 'main/Q' || doc_id || '/components/' || source || '_1.' || doc_id || '.txt' as component,
   'ok' as status, true as has_points
-from documents where lang = 'en'"""
+from documents"""
     q["publish_twice"] = f"""{_STATE}
 select step, step <> 'same' as changed, (select count(*) from status) as n_former,
   (select count(*) from status where status like 'failed%') as n_now

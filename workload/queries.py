@@ -457,8 +457,10 @@ def retrieve_text(spark, sf):
 @query
 def retrieve_with_vectors(spark, sf):
     hits = _retrieved(spark, sf, 5, with_vectors=True)
-    size = F.size("vector").alias("vector_size")
-    return hits.select("query_id", "id", "rank", size, F.md5(F.col("metadata")["page_content"]).alias("text_md5"))
+    # Each component of a unit vector by its place: the sum tells vectors apart, whatever their order of magnitude.
+    placed = F.transform("vector", lambda x, i: x.cast("double") * (i + 1))
+    total = F.round(F.aggregate(placed, F.lit(0.0), lambda a, x: a + x), 4).alias("vector_sum")
+    return hits.select("query_id", "id", "rank", total, F.md5(F.col("metadata")["page_content"]).alias("text_md5"))
 
 
 @query
@@ -521,15 +523,13 @@ def collection_lexical(spark, sf):
 
     target.upsert(stored(docs))
     third = F.col("id").cast("bigint") % 3 == 0
-    target.upsert(stored(docs.filter(third).withColumn("text", F.concat(F.lit("rewritten "), F.substring("text", 1, 40)))))
+    target.upsert(stored(docs.filter(third).withColumn("text", F.concat(F.lit("rewritten "), "text"))))
     asked = spark.createDataFrame([(1, "rewritten"), (2, "the of"), (3, "nowhere")], "query_id int, text string")
     return target.search_text(asked)
 
 
-@query
-def collection_retrieve(spark, sf):
-    """A collection of which a part was replaced, searched over its current points."""
-    made = stage(
+def _points(spark, sf):
+    return stage(
         table(spark, sf, "embeddings").select(
             F.col("vec_id").cast("string").alias("id"), F.lit(None).cast("string").alias("qid"),
             F.lit(None).cast("string").alias("component"), F.col("embedding").alias("vector"),
@@ -537,13 +537,35 @@ def collection_retrieve(spark, sf):
             F.create_map(F.lit("label"), F.col("label").cast("string")).alias("payload"),
         ), "made",
     )
+
+
+def _asked(made):
+    return made.filter(F.col("id").cast("bigint") % 50 == 0).select(F.col("id").alias("query_id"), "vector")
+
+
+@query
+def collection_ann(spark, sf):
+    """The vector index of a collection, a part of which was replaced after the index was built."""
+    made = _points(spark, sf)
+    target = Collection(spark, new_work_path(spark, "points"))
+    target.ensure(64)
+    target.upsert(made)
+    target.index_vectors()
+    tenth = made.filter(F.col("id").cast("bigint") % 10 == 0)
+    target.upsert(tenth.withColumn("vector", F.transform("vector", lambda x: -x)))
+    return target.search_vectors(_asked(made), 10)
+
+
+@query
+def collection_retrieve(spark, sf):
+    """A collection of which a part was replaced, searched over its current points."""
+    made = _points(spark, sf)
     target = Collection(spark, new_work_path(spark, "points"))
     target.ensure(64)
     target.upsert(made)
     half = made.filter(F.col("id").cast("bigint") % 2 == 0)
     target.upsert(half.withColumn("vector", F.transform("vector", lambda x: -x)))
-    asked = made.filter(F.col("id").cast("bigint") < 20).select(F.col("id").alias("query_id"), "vector")
-    found = knn.top_k(target.points(), asked, 10)
+    found = knn.top_k(target.points(), _asked(made), 10)
     hits = knn.with_payload(found, target.points().select("id", "payload"))
     content, rest = points.split_payload(F.col("payload"))
     return hits.select("query_id", "id", "score", "rank", content.alias("page_content"), rest["label"].alias("label"))
@@ -581,7 +603,7 @@ def chunk_min_length(spark, sf):
 @query
 def embed_second_run(spark, sf):
     """Half of the files, then all of them: what has a status is not embedded again, and only the rest adds points."""
-    stored = _stored_files(spark, sf).filter("key not like '%.bin'")
+    stored = _stored_files(spark, sf)
     todo = stored.select("qid", F.col("key").alias("component"))
     target = Collection(spark, new_work_path(spark, "points"))
     even = F.substring("qid", 2, 20).cast("bigint") % 2 == 0
@@ -589,7 +611,8 @@ def embed_second_run(spark, sf):
     contents = stored.select("key", "content")
     first = embed_backlog(todo.filter(even), contents, views.status(spark, sf).limit(0), target, HashedEmbedder(DIM), **options)
     second = embed_backlog(todo, contents, first.status, target, HashedEmbedder(DIM), **{**options, "now": datetime(2024, 1, 2)})
-    return second.status.select("qid", "status", F.date_format("updated_at", "yyyy-MM-dd").alias("run_day"))
+    unread = second.quarantine.select("qid", F.lit("quarantined").alias("status"), F.lit(None).cast("string").alias("run_day"))
+    return second.status.select("qid", "status", F.date_format("updated_at", "yyyy-MM-dd").alias("run_day")).unionByName(unread)
 
 
 @query
@@ -603,10 +626,9 @@ def publish_twice(spark, sf):
     failed = tables["embeddings_index"].filter("status like 'failed%'")
     changed = store.publish({**tables, "embeddings_index": failed})
     former = store.read(first.snapshot_id)["embeddings_index"]
-    rows = [("first", first.changed), ("same", same.changed), ("changed", changed.changed)]
-    said = spark.createDataFrame(rows, "step string, changed boolean")
-    counts = former.agg(F.count("*").alias("n_former")).crossJoin(failed.agg(F.count("*").alias("n_now")))
-    return said.join(counts)
+    n_former, n_now = former.count(), failed.count()
+    rows = [(step, done.changed, n_former, n_now) for step, done in (("first", first), ("same", same), ("changed", changed))]
+    return spark.createDataFrame(rows, "step string, changed boolean, n_former bigint, n_now bigint")
 
 
 @query
@@ -707,7 +729,7 @@ def incremental_run_(spark, sf):
 def run_from_package(spark, sf):
     """Three packages are planned, one of them is run: its files are done, the others stay reserved."""
     root = new_work_path(spark, "run")
-    stored = _stored_files(spark, sf).filter("key not like '%.bin'")
+    stored = _stored_files(spark, sf)
     store, target = StateStore(spark, f"{root}/state"), Collection(spark, f"{root}/points")
     tables, never = store.read(), F.lit(None).cast("timestamp").alias("updated_at")
     tables["software_index"] = stored.select("qid", never)
@@ -765,7 +787,8 @@ def stream_embed_two_batches(spark, sf):
     """Items that become known after their files came: the files wait, and the next batch embeds them."""
     root = new_work_path(spark, "stream")
     store, target = StateStore(spark, f"{root}/state"), Collection(spark, f"{root}/points")
-    stored = stage(_stored_files(spark, sf).filter("key like '%.txt'"), "stored")
+    as_text = F.regexp_replace("key", "[.][a-z]+$", ".txt").alias("key")
+    stored = stage(_stored_files(spark, sf).select("qid", as_text, "content"), "stored")
     number = F.substring("qid", 2, 20).cast("bigint")
     never = F.lit(None).cast("timestamp").alias("updated_at")
     for came, known in ((number % 2 == 0, number % 3 == 0), (number % 2 == 1, F.lit(True))):
