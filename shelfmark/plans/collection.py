@@ -9,6 +9,7 @@ Layout below one root, with a single writer:
     text/segment=<n>/      full-text postings
     removed/segment=<n>/   ids whose points in earlier segments no longer count
     cells/at=<n>/          vector index of the points that counted after segment n
+    ranked/at=<n>/         ranked text index of the same
 """
 
 from __future__ import annotations
@@ -25,6 +26,7 @@ from shelfmark.operators.joins import narrow_join
 from shelfmark.operators.knn import keep_best, top_k
 from shelfmark.operators.points import with_content
 from shelfmark.operators.textindex import lexical_match, postings, write_index
+from shelfmark.plans.rankedindex import RankedIndex, fused
 from shelfmark.plans.vectorindex import RECALL, VectorIndex
 from shelfmark.schemas import POINTS
 from shelfmark.session import drop_path, empty, list_names, path_exists
@@ -149,6 +151,20 @@ class Collection:
         later = top_k(self._live(["id", "vector"]).filter(F.col("segment") > at), queries, k, metric).hits
         return keep_best(found.drop("rank").unionByName(later.drop("rank")), k, metric, "id", "query_id")
 
+    def search_ranked(self, queries: DataFrame, k: int = 30) -> DataFrame:
+        """``query_id, id, score, rank`` of the texts that fit a query's words best; the first search after a write indexes."""
+        totals = self._totals()
+        index = RankedIndex(self.spark, f"{self.root}/ranked/at={totals.last}")
+        if not index.exists():
+            index.build(self._live(["id", "page_content"]))
+        return index.search(queries, k).hits
+
+    def search_hybrid(self, queries: DataFrame, k: int = 30, depth: int = 100) -> DataFrame:
+        """Text and vector search together, for queries (query_id, text, vector): the best of both lists by reciprocal ranks."""
+        by_text = self.search_ranked(queries.select("query_id", "text"), depth)
+        by_vector = self.search_vectors(queries.select("query_id", "vector"), depth)
+        return fused([by_text, by_vector], k)
+
     def upsert(
         self, points: DataFrame, replace_by: Sequence[str] | None = None, now: datetime | None = None
     ) -> int:

@@ -94,6 +94,23 @@ def _hashed(name: str, source: str, keys: str, dim: int = 64) -> str:
 {name} as (select {keys}, b, (c / n)::float::double as w from {name}_counts join {name}_norms using ({keys}))"""
 
 
+def _bm25(k: int) -> str:
+    """BM25 of the words of each benchmark item over all documents, every posting read."""
+    split = "unnest(regexp_split_to_array(lower(text), '[^\\p{L}\\p{N}]+'))"
+    return f"""
+b_words as (select doc_id, tok, count(*) as tf from (select doc_id, {split} as tok from documents) where tok <> '' group by all),
+b_asked as (select distinct item_id, tok from (select item_id, {split} as tok from benchmark) where tok <> ''),
+b_len as (select doc_id, sum(tf) as len from b_words group by 1),
+b_all as (select (select count(*) from documents) as n, (select sum(len) from b_len) / (select count(*) from documents) as avg),
+b_df as (select tok, count(*) as df from b_words group by 1),
+b_scored as (
+  select item_id as query_id, doc_id as id,
+    round(sum(ln(1 + (n - df + 0.5::double) / (df + 0.5::double)) * (tf * 2.2::double) / (tf + 1.2::double * (0.25::double + 0.75::double * len / avg))), 6) as score
+  from b_asked join b_words using (tok) join b_len using (doc_id) join b_df using (tok), b_all group by all),
+b_ranked as (
+  select *, row_number() over (partition by query_id order by score desc, id) as rank from b_scored qualify rank <= {k})"""
+
+
 def _uuid5(name: str) -> str:
     digest = f"sha1(unhex('6ba7b8109dad11d180b400c04fd430c8') || encode({name}))"
     return (
@@ -380,6 +397,27 @@ scored as (
   from wanted join tokens using (tok) join frequency using (tok) group by all),
 best as (select *, row_number() over (partition by query_id order by score desc, id) as rank from scored)
 select query_id, id, n_matched, score, rank from best where rank <= 20"""
+    q["lexical_bm25"] = f"with {_bm25(20)} select query_id, id, score, rank from b_ranked"
+    q["hybrid_search"] = f"""
+with items as (select item_id as query_id, text from benchmark),
+{_hashed("q", "items", "query_id")}, {_hashed("d", "documents", "doc_id")},
+q_len as (select query_id, sqrt(sum(w * w)) as n from q group by 1),
+d_len as (select doc_id, sqrt(sum(w * w)) as n from d group by 1),
+dots as (select query_id, doc_id, sum(q.w * d.w) as s from q join d using (b) group by all),
+near as (
+  select i.query_id, dd.doc_id as id, round(coalesce(s / (ql.n * dl.n), 0), 6) as score
+  from items i cross join documents dd
+  left join dots on dots.query_id = i.query_id and dots.doc_id = dd.doc_id
+  left join q_len ql on ql.query_id = i.query_id left join d_len dl on dl.doc_id = dd.doc_id),
+both_ranks as (
+  select query_id, id::varchar as id, row_number() over (partition by query_id order by score desc, id::varchar) as rank from near qualify rank <= 30
+  union all
+  select query_id, id::varchar, row_number() over (partition by query_id order by score desc, id::varchar) as rank
+  from ({{bm}}) qualify rank <= 30),
+summed as (select query_id, id, round(sum(1.0::double / (rank + 60)), 9) as score from both_ranks group by all)
+select *, row_number() over (partition by query_id order by score desc, id) as rank from summed qualify rank <= 10""".replace(
+        "{bm}", f"with {_bm25(1_000_000)} select * from b_scored"
+    )
     q["collection_lexical"] = """
 with texts as (
   select doc_id::varchar as id, case when doc_id % 3 = 0 then 'rewritten ' || text else text end as t from documents),

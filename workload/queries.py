@@ -24,6 +24,7 @@ from shelfmark.operators.upsert import latest_by_key, upsert
 from shelfmark.plans.collection import Collection
 from shelfmark.plans.embed import embed_backlog
 from shelfmark.plans.planning import plan_packages
+from shelfmark.plans.rankedindex import RankedIndex
 from shelfmark.plans.retrieve import retrieve
 from shelfmark.plans.run import incremental_run, run_package
 from shelfmark.plans.state import StateStore
@@ -506,6 +507,30 @@ def lexical_match_any(spark, sf):
     return textindex.lexical_match(_postings(spark, sf), _benchmark(spark, sf), "or", k=20)
 
 
+@query
+def lexical_bm25(spark, sf):
+    docs = table(spark, sf, "documents").select(F.col("doc_id").alias("id"), F.col("text").alias("page_content"))
+    index = RankedIndex(spark, new_work_path(spark, "ranked"))
+    index.build(docs, window=64)
+    return index.search(_benchmark(spark, sf), 20).hits
+
+
+@query
+def hybrid_search(spark, sf):
+    """Questions looked up by their words and by their vectors in one collection."""
+    embedder = HashedEmbedder(DIM)
+    docs = table(spark, sf, "documents").select(
+        F.col("doc_id").cast("string").alias("id"), F.lit(None).cast("string").alias("qid"),
+        F.lit(None).cast("string").alias("component"), embed_column(F.col("text"), embedder).alias("vector"),
+        F.col("text").alias("page_content"), F.create_map(F.lit("lang"), "lang").alias("payload"),
+    )
+    target = Collection(spark, new_work_path(spark, "points"))
+    target.ensure(DIM)
+    target.upsert(docs)
+    asked = _benchmark(spark, sf).withColumn("vector", embed_column(F.col("text"), embedder))
+    return target.search_hybrid(asked, 10, depth=30)
+
+
 @query
 def collection_lexical(spark, sf):
     """Texts written twice, the second time with other texts for every third id; the index follows by itself."""
