@@ -33,6 +33,7 @@ class EmbedRun:
     """
 
     status: DataFrame
+    results: DataFrame
     quarantine: DataFrame
     summary: DataFrame
     points_added: int
@@ -112,6 +113,7 @@ def embed_backlog(
     results = stage(results.withColumn("updated_at", F.lit(moment)), "results")
     return EmbedRun(
         status=upsert(status, results, DOC_KEYS),
+        results=results,
         quarantine=unreadable.unionByName(unsplit).unionByName(unembedded),
         summary=run_summary(results),
         points_added=collection.size() - before,

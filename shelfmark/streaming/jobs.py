@@ -12,7 +12,6 @@ from pyspark.sql.streaming import StreamingQuery
 from shelfmark.operators.backlog import known_items
 from shelfmark.operators.embedding import Embedder
 from shelfmark.operators.joins import narrow_join
-from shelfmark.operators.upsert import upsert
 from shelfmark.plans.collection import Collection
 from shelfmark.plans.embed import embed_backlog
 from shelfmark.plans.state import StateStore
@@ -120,10 +119,7 @@ def embed_stream(
         run = embed_backlog(
             todo, contents, tables["embeddings_index"], collection, embedder, now=now, **options
         )
-        component_index = upsert(tables["component_index"], files, DOC_KEYS)
-        store.publish(
-            {**tables, "component_index": component_index, "embeddings_index": run.status}, baseline, now=now
-        )
+        store.update({"component_index": files, "embeddings_index": run.results}, baseline, now=now)
         open_files = narrow_join(files.select(*DOC_KEYS), run.status.select(*DOC_KEYS), DOC_KEYS, DOC_KEYS, "left_anti")
         keys = open_files.select(F.col("component").alias("key")).distinct()
         narrow_join(contents, keys, ["key"], ["key"], "left_semi").write.mode("overwrite").parquet(folder(batch_id))

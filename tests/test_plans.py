@@ -13,9 +13,9 @@ from shelfmark.plans.embed import embed_backlog
 from shelfmark.plans.planning import plan_packages
 from shelfmark.plans.refresh import refresh_files, refresh_items
 from shelfmark.plans.run import incremental_run, run_package
-from shelfmark.plans.state import StateStore, state_name
+from shelfmark.plans.state import StateStore, Tree, state_name
 from shelfmark.schemas import FILES, ITEMS, STATUS, ChunkParams
-from shelfmark.session import empty
+from shelfmark.session import empty, list_names
 from shelfmark.sources.objects import file_reader
 
 NOW = datetime(2024, 1, 1, 12, tzinfo=timezone.utc)
@@ -327,6 +327,42 @@ def test_former_snapshots_go(spark, store):
         store.prune(0)
 
 
+def written(store, table, version):
+    """Buckets that a snapshot wrote."""
+    return {n for n in list_names(store.spark, store._part(table, version)) if n.startswith("bucket=")}
+
+
+def test_only_changed_buckets_are_written(spark, tmp_path):
+    store = StateStore(spark, str(tmp_path / "state"), bucket_rows=10)
+    table = lambda xs: spark.createDataFrame([(f"Q{i}", NOW if t else None) for i, t in xs], ITEMS)
+    first = {i: False for i in range(300)}
+    tables = {**store.read(), "software_index": table(first.items())}
+    one = store.publish(tables, now=NOW)
+    tree = Tree.of(store.latest(), "software_index")
+    assert tree.buckets == 32 and tree.n == 300 and len(written(store, "software_index", 1)) == len(tree.written) == 32
+    # One row in a hundred changes.
+    second = first | {7: True, 70: True, 170: True}
+    two = store.publish({**tables, "software_index": table(second.items())}, now=NOW)
+    assert 1 <= len(written(store, "software_index", 2)) <= 3
+    third = {i: t for i, t in second.items() if i != 9} | {8: True, 1000: False}
+    assert not store.update({"software_index": table([(7, True)])}, now=NOW).changed
+    three = store.update({"software_index": table([(8, True), (1000, False)])}, now=NOW)
+    four = store.publish({**store.read(), "software_index": table(third.items())}, now=NOW)
+    assert len(written(store, "software_index", 3)) <= 2 and len(written(store, "software_index", 4)) == 1
+    assert rows(store.read()["software_index"]) == rows(table(third.items()))
+    assert rows(store.read(two.snapshot_id)["software_index"]) == rows(table(second.items()))
+    assert rows(store.diff("software_index", one.snapshot_id, two.snapshot_id)) == [("Q170", "changed"), ("Q7", "changed"), ("Q70", "changed")]
+    assert rows(store.diff("software_index", two.snapshot_id)) == [("Q1000", "added"), ("Q8", "changed"), ("Q9", "removed")]
+    assert rows(store.diff("software_index", four.snapshot_id)) == [] and three.changed
+    # More rows need more buckets, and all of them are dealt anew.
+    store.update({"software_index": table([(i, False) for i in range(2000, 2200)])}, now=NOW)
+    assert Tree.of(store.latest(), "software_index").buckets == 64 and store.read()["software_index"].count() == 500
+    assert rows(store.diff("software_index", four.snapshot_id), "change") == [("added",)] * 200
+    assert store.prune(1) == 4 and store.read()["software_index"].count() == 500
+    with pytest.raises(ValueError):
+        store.read("nothing")
+
+
 def test_bounded_runs(store, collection, world):
     source, listing, contents = world
     for n in (2, 4):

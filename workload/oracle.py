@@ -473,6 +473,10 @@ from documents"""
 select step, step <> 'same' as changed, (select count(*) from status) as n_former,
   (select count(*) from status where status like 'failed%') as n_now
 from (values ('first'), ('same'), ('changed')) v(step)"""
+    q["state_diff"] = f"""{_STATE}
+select qid, component, case when status = 'planned' then 'removed' else 'changed' end as change from status
+  where status = 'planned' or status like 'failed%'
+union all select qid, component || '.new', 'added' from status where status = 'ok'"""
     q["collection_recreate"] = f"""with {_DOCS}, {_windows("docs", "qid, component, package", 1600, 100)}
 select {_uuid5("qid || '-' || pos")} as id, qid from pieces where package = 'src1'"""
     q["semantic_chunks"] = f"""{_semantic(300, 0.8)}

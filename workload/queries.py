@@ -656,6 +656,23 @@ def publish_twice(spark, sf):
     return spark.createDataFrame(rows, "step string, changed boolean, n_former bigint, n_now bigint")
 
 
+@query
+def state_diff(spark, sf):
+    """What differs between two snapshots of which the second was made by an update of some keys."""
+    store = StateStore(spark, new_work_path(spark, "state"), bucket_rows=500)
+    tables = store.read()
+    status = stage(views.status(spark, sf), "status")
+    tables["embeddings_index"] = status
+    first = store.publish(tables)
+    failed = status.filter("status like 'failed%'").withColumn("status", F.lit("ok"))
+    new = status.filter("status = 'ok'").withColumn("component", F.concat("component", F.lit(".new")))
+    store.update({"embeddings_index": failed.unionByName(new)})
+    second = store.read()
+    second["embeddings_index"] = second["embeddings_index"].filter("status <> 'planned'")
+    store.publish(second)
+    return store.diff("embeddings_index", first.snapshot_id)
+
+
 @query
 def collection_recreate(spark, sf):
     """A collection that is dropped and filled anew holds the new points alone."""
