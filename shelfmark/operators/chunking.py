@@ -14,6 +14,7 @@ from shelfmark.functions.text import sentences
 from shelfmark.operators.arrays import unnest
 from shelfmark.operators.embedding import Embedder, HashedEmbedder
 from shelfmark.operators.joins import narrow_join
+from shelfmark.operators.limits import LimitedCalls, OverTime
 from shelfmark.operators.ordinals import running_offset
 from shelfmark.schemas import DOC_KEYS, ChunkParams
 from shelfmark.session import stage
@@ -69,10 +70,6 @@ def merge_spans(lengths: Sequence[int], breaks: np.ndarray, min_size: int) -> li
     return spans
 
 
-class _Late(Exception):
-    """The time limit of a page is over."""
-
-
 def _split_column(
     found: Column,
     lengths: Column,
@@ -81,41 +78,42 @@ def _split_column(
     timeout_seconds: float | None,
     isolate: bool,
 ) -> Column:
-    def split(parts: Sequence[str], sizes: Sequence[int]) -> tuple:
-        began = time.monotonic()
-
-        def check() -> None:
-            if timeout_seconds is not None and time.monotonic() - began > timeout_seconds:
-                raise _Late
+    def distances_of(parts: Sequence[str]) -> np.ndarray:
+        return window_distances(embedder.embed_windows(parts, params.buffer_size))
 
+    def split(parts: Sequence[str], sizes: Sequence[int], limited: LimitedCalls) -> tuple:
+        began = time.monotonic()
         try:
-            distances = window_distances(embedder.embed_windows(parts, params.buffer_size, check))
-        except _Late:
-            return None, time.monotonic() - began, True
+            distances = distances_of(parts) if timeout_seconds is None else limited(timeout_seconds, parts)
+        except OverTime:
+            return None, max(timeout_seconds, time.monotonic() - began), True
         limit = np.round(np.percentile(distances, params.breakpoint_percentile), DISTANCE_DIGITS)
         breaks = np.append(distances > limit, False)
-        spans = merge_spans(sizes, breaks, params.min_chunk_size)
-        spent = time.monotonic() - began
-        return spans, spent, timeout_seconds is not None and spent > timeout_seconds
+        return merge_spans(sizes, breaks, params.min_chunk_size), time.monotonic() - began, False
 
     @F.pandas_udf(_SPLIT)
     def run(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
-        for texts, sizes in batches:
-            rows = []
-            for parts, counts in zip(texts, sizes):
-                if parts is None:
-                    rows.append((None, 0.0, False, None))
-                    continue
-                try:
-                    spans, spent, late = split(list(parts), counts.tolist())
-                except Exception as exc:
-                    if not isolate:
-                        raise
-                    rows.append((None, 0.0, False, f"{type(exc).__name__}: {exc}"))
-                    continue
-                named = spans and [{"first": a, "n": n, "start_index": s} for a, n, s in spans]
-                rows.append((named, spent, late, None))
-            yield pd.DataFrame(rows, columns=["spans", "seconds", "timed_out", "error"])
+        # With a limit, the model runs in a process of its own, which can be ended.
+        limited = LimitedCalls(distances_of, getattr(embedder, "load", lambda: None))
+        try:
+            for texts, sizes in batches:
+                rows = []
+                for parts, counts in zip(texts, sizes):
+                    if parts is None:
+                        rows.append((None, 0.0, False, None))
+                        continue
+                    try:
+                        spans, spent, late = split(list(parts), counts.tolist(), limited)
+                    except Exception as exc:
+                        if not isolate:
+                            raise
+                        rows.append((None, 0.0, False, f"{type(exc).__name__}: {exc}"))
+                        continue
+                    named = spans and [{"first": a, "n": n, "start_index": s} for a, n, s in spans]
+                    rows.append((named, spent, late, None))
+                yield pd.DataFrame(rows, columns=["spans", "seconds", "timed_out", "error"])
+        finally:
+            limited.close()
 
     prepared = F.transform(found, lambda s: embedder.prepare(s))
     return run(prepared, lengths)

@@ -27,10 +27,8 @@ class Embedder(Protocol):
     def embed(self, texts: Sequence[str]) -> np.ndarray:
         """Vectors of shape ``(len(texts), dim)``."""
 
-    def embed_windows(
-        self, sentences: Sequence[str], buffer_size: int, check: Callable[[], None] = lambda: None
-    ) -> np.ndarray:
-        """Vectors of every sentence taken together with its neighbours; ``check`` may break off between batches."""
+    def embed_windows(self, sentences: Sequence[str], buffer_size: int) -> np.ndarray:
+        """Vectors of every sentence taken together with its neighbours."""
 
 
 def windows(sentences: Sequence[str], buffer_size: int) -> Iterator[str]:
@@ -76,9 +74,7 @@ class HashedEmbedder:
     def embed(self, texts: Sequence[str]) -> np.ndarray:
         return _unit(self.counts(texts))
 
-    def embed_windows(
-        self, sentences: Sequence[str], buffer_size: int, check: Callable[[], None] = lambda: None
-    ) -> np.ndarray:
+    def embed_windows(self, sentences: Sequence[str], buffer_size: int) -> np.ndarray:
         # Counts add up, so a window is a difference of running sums.
         n = len(sentences)
         running = np.zeros((n + 1, self.dim))
@@ -108,6 +104,10 @@ class ModelEmbedder:
     def prepare(self, text: Column) -> Column:
         return text
 
+    def load(self) -> None:
+        """Build the model, if this worker has not yet."""
+        self._model()
+
     def _model(self):
         if self._key not in _MODELS:
             _MODELS[self._key] = self._factory()
@@ -126,9 +126,7 @@ class ModelEmbedder:
             raise ValueError(f"model gave vectors of size {vectors.shape[1]}, expected {self.dim}")
         return vectors
 
-    def embed_windows(
-        self, sentences: Sequence[str], buffer_size: int, check: Callable[[], None] = lambda: None
-    ) -> np.ndarray:
+    def embed_windows(self, sentences: Sequence[str], buffer_size: int) -> np.ndarray:
         # Window texts overlap, so only one model batch of them is held at a time.
         parts, batch = [], []
         for text in windows(sentences, buffer_size):
@@ -136,7 +134,6 @@ class ModelEmbedder:
             if len(batch) == self.batch_size:
                 parts.append(self.embed(batch))
                 batch = []
-                check()
         if batch or not parts:
             parts.append(self.embed(batch))
         return np.concatenate(parts)

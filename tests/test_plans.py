@@ -1,5 +1,7 @@
 """Snapshots, collections and whole runs."""
 
+import os
+import time
 from datetime import datetime, timedelta, timezone
 
 import numpy as np
@@ -7,6 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from shelfmark.operators.embedding import HashedEmbedder, ModelEmbedder, row_embedder
+from shelfmark.operators.limits import LimitedCalls, OverTime
 from shelfmark.operators.textindex import lookup
 from shelfmark.plans.collection import Collection, added_points
 from shelfmark.plans.embed import embed_backlog
@@ -266,6 +269,38 @@ def test_a_slow_model_is_stopped_near_the_limit(spark, collection):
     assert time.monotonic() - began < 25
 
 
+def test_a_call_that_never_returns_is_ended(spark, collection):
+    def stuck(texts):
+        while any("hang" in t for t in texts):
+            time.sleep(3600)
+        return [[float(len(t)), 1.0] for t in texts]
+
+    files = [("good.txt", b"All is well. " * 60), ("bad.txt", b"This will hang. " * 60), ("fine.txt", b"It goes on. " * 60)]
+    began = time.monotonic()
+    run = embed(spark, collection, files, embedder=ModelEmbedder(lambda: stuck, 2), params=ChunkParams(buffer_size=1), timeout_seconds=1.0)
+    statuses = {r.component: r.status for r in run.status.collect()}
+    assert time.monotonic() - began < 60
+    assert statuses == {"good.txt": "ok", "bad.txt": "failed - TimeoutError", "fine.txt": "ok"}
+
+
+def test_limited_calls():
+    calls = LimitedCalls(lambda how: {"wait": lambda: time.sleep(99), "fail": lambda: 1 / 0, "die": lambda: os._exit(3)}.get(how, lambda: how)())
+    assert calls(5.0, "a") == "a"
+    with pytest.raises(ZeroDivisionError):
+        calls(5.0, "fail")
+    began = time.monotonic()
+    with pytest.raises(OverTime):
+        calls(0.3, "wait")
+    assert time.monotonic() - began < 2.3 and calls(5.0, "b") == "b"
+    with pytest.raises(RuntimeError):
+        calls(5.0, "die")
+    assert calls(5.0, "c") == "c"
+    calls.close()
+    unloadable = LimitedCalls(lambda: 1, lambda: {}["missing"])
+    with pytest.raises(KeyError):
+        unloadable(1.0)
+
+
 def test_timeout_status(spark, collection):
     def slow():
         import time
