@@ -9,7 +9,6 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
-from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -18,27 +17,39 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from shelfmark.functions.vectors import METRICS, resolve_metric
+from shelfmark.operators.blocks import Blocks, learn_centres, nearest, spread, unit
 from shelfmark.operators.joins import skew_join
 from shelfmark.session import Steps, stage
 
 # Queries go to every task only below both bounds; above, they go in blocks.
 MAX_SHARED_QUERIES = 16_384
 MAX_SHARED_BYTES = 128 << 20
-# Queries of a block beyond those bounds, at most.
-BLOCK_QUERY_ROWS = 16_384
+# Beyond them: vectors that blocks are learned from, blocks, and rows per block, about.
+BLOCK_SAMPLE = 16_384
+MAX_BLOCKS = 2_048
+BLOCK_ROWS = 512
+# Rows of a block that a task holds, and visits to a block that one copy of them serves, about.
+PIECE_ROWS = 65_536
+GROUP_QUERIES = 131_072
 
 SCORE_DIGITS = 6
 _QUERY_STEP = 512
 _PAIR_STEP = 500_000
+_ROUTE_STEP = 8_192
+_ROW_STEP = 8_192
 _MERGE_SALTS = 32
 
 
 @dataclass(frozen=True)
 class Found:
-    """Search result, with the bound on its rows when it is known."""
+    """Search result, with the bound on its rows when it is known.
+
+    ``compared`` counts the (query, row) pairs that were scored, where bounds chose them.
+    """
 
     hits: DataFrame
     max_rows: int | None
+    compared: int | None = None
 
 
 def _matrix(column: pa.ChunkedArray | pa.Array) -> np.ndarray:
@@ -64,12 +75,12 @@ class Scorer:
 
     def __init__(self, metric: str, queries: np.ndarray) -> None:
         self.metric = metric
-        self.queries = _unit(queries) if metric == "COSINE" else queries
+        self.queries = unit(queries) if metric == "COSINE" else queries
         self.sign = -1.0 if METRICS[metric] else 1.0
         self.squares = (self.queries * self.queries).sum(axis=1)
 
     def prepare(self, corpus: np.ndarray) -> np.ndarray:
-        return _unit(corpus) if self.metric == "COSINE" else corpus
+        return unit(corpus) if self.metric == "COSINE" else corpus
 
     def rough(self, corpus: np.ndarray) -> np.ndarray:
         """One row per query; in the order of the exact costs up to ``slack``. Squared for EUCLID."""
@@ -104,11 +115,6 @@ class Scorer:
         return np.round(cost, SCORE_DIGITS) + 0.0
 
 
-def _unit(vectors: np.ndarray) -> np.ndarray:
-    lengths = np.linalg.norm(vectors, axis=1, keepdims=True)
-    return np.divide(vectors, lengths, out=np.zeros_like(vectors), where=lengths > 0)
-
-
 class BestK:
     """The best ``k`` rows seen so far for each of a block of queries; ties go to the smaller id."""
 
@@ -246,8 +252,8 @@ def top_k(
         hits = _shared_queries(corpus, shared, k, metric, schema)
         max_rows = shared.num_rows * k
     else:
-        hits = _blocked(corpus, queries, k, metric, schema)
-        max_rows = None
+        hits, compared = _blocked(corpus, queries, k, metric, schema)
+        return Found(keep_best(hits, k, metric, id_col, query_col), None, compared)
     return Found(keep_best(hits, k, metric, id_col, query_col), max_rows)
 
 
@@ -266,18 +272,172 @@ def _shared_queries(corpus: DataFrame, shared: pa.Table, k: int, metric: str, sc
     return corpus.mapInArrow(run, schema)
 
 
-def _blocked(corpus: DataFrame, queries: DataFrame, k: int, metric: str, schema: T.StructType) -> DataFrame:
-    """Queries in blocks of bounded size, one pass over the corpus for each; no corpus row is moved."""
-    query_col, vector_col = queries.columns
-    widest = queries.agg(F.max(F.size(vector_col))).first()[0] or 1
-    rows = max(1, min(BLOCK_QUERY_ROWS, MAX_SHARED_BYTES // (2 * (8 * widest + 64))))
+def _blocked(corpus: DataFrame, queries: DataFrame, k: int, metric: str, schema: T.StructType) -> tuple[DataFrame, int]:
+    """Any number of queries: dealt to those blocks of the corpus that their bounds do not rule out.
+
+    The corpus goes into blocks around centres learned from a sample, and every
+    block's radius and largest norm are measured on all of its rows. Queries
+    visit the blocks that come first for them; what they find there bounds
+    their k-th cost, and only blocks that may go below it are visited then.
+    Only the sample and one row per block pass through the driver.
+    """
+    session = corpus.sparkSession
     steps = Steps()
-    n = max(1, -(-queries.count() // rows))
-    cut = steps.stage(queries.withColumn("_b", F.pmod(F.xxhash64(query_col), F.lit(n)).cast("int")), "queries")
-    blocks = (cut.filter(F.col("_b") == b).drop("_b").toArrow() for b in range(n))
-    hits = [_shared_queries(corpus, block, k, metric, schema) for block in blocks if block.num_rows]
+    blocks, dealt = _deal(corpus, metric, steps)
+    if blocks is None:
+        return session.createDataFrame([], schema), 0
+    query_col, id_col = schema.names[:2]
+    asked = steps.stage(queries.toDF(query_col, "vector"), "queries").withColumn("worst", F.lit(float("inf")))
+    found, compared = _visit(dealt, asked, blocks, k, False, schema)
+    first = steps.stage(found, "first")
+    best = steps.stage(keep_best(first, k, metric, id_col, query_col), "best")
+    sign = -1.0 if METRICS[metric] else 1.0
+    reached = best.filter(F.col("rank") == k).select(query_col, (F.col("score") * sign).alias("worst"))
+    bounded = asked.drop("worst").join(reached, query_col)
+    rest, more = _visit(dealt, steps.stage(bounded, "bounded"), blocks, k, True, schema)
+    hits = stage(best.drop("rank").unionByName(rest), "hits")
     steps.release()
-    return reduce(DataFrame.unionByName, hits) if hits else corpus.sparkSession.createDataFrame([], schema)
+    return hits, compared + more
+
+
+def _deal(corpus: DataFrame, metric: str, steps: Steps) -> tuple[Blocks | None, DataFrame]:
+    """The blocks, and the corpus as ``block, piece, id, vector``: a piece is what one task holds at a time."""
+    id_col, vector_col = corpus.columns
+    n = corpus.count()
+    if n == 0:
+        return None, corpus
+    # By a hash of the id, so that a run that is repeated learns the same.
+    share = F.pmod(F.xxhash64(id_col), F.lit(1 << 30)) / F.lit(float(1 << 30))
+    sample = corpus.filter(share < BLOCK_SAMPLE / n).select(vector_col).limit(2 * BLOCK_SAMPLE).toArrow()
+    if sample.num_rows == 0:
+        sample = corpus.select(vector_col).limit(1).toArrow()
+    rows = _prepared(_matrix(sample.column(0)), metric)
+    centres = learn_centres(rows, max(1, min(MAX_BLOCKS, n // BLOCK_ROWS)))
+    sent = corpus.sparkSession.sparkContext.broadcast(centres)
+
+    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows:
+                vectors = _prepared(_matrix(batch.column(1)), metric)
+                of = nearest(vectors, sent.value)
+                sizes = np.linalg.norm(vectors, axis=1), spread(metric, vectors, sent.value, of)
+                columns = [pa.array(of.astype(np.int32)), batch.column(0), batch.column(1), *map(pa.array, sizes)]
+                yield pa.RecordBatch.from_arrays(columns, names=["block", "id", "vector", "norm", "away"])
+
+    kinds = [corpus.schema[c].dataType.simpleString() for c in corpus.columns]
+    schema = f"block int, id {kinds[0]}, vector {kinds[1]}, norm double, away double"
+    made = steps.stage(corpus.mapInArrow(deal, schema), "dealt")
+    per_block = made.groupBy("block").agg(F.count("*").alias("n"), F.max("away").alias("radius"), F.max("norm").alias("norm"))
+    held, radius, norm = np.zeros(len(centres), np.int64), np.zeros(len(centres)), np.zeros(len(centres))
+    for r in per_block.collect():
+        held[r["block"]], radius[r["block"]], norm[r["block"]] = r["n"], r["radius"], r["norm"]
+    blocks = Blocks(metric, centres, held, radius, norm)
+    pieces = F.lit([int(p) for p in _pieces(held)])[F.col("block")]
+    piece = F.pmod(F.xxhash64("id"), pieces).cast("int")
+    return blocks, made.select("block", piece.alias("piece"), "id", "vector")
+
+
+def _pieces(rows: np.ndarray) -> np.ndarray:
+    """A block with very many rows, such as one of equal vectors, is held piece by piece."""
+    return np.maximum(1, -(-rows // PIECE_ROWS))
+
+
+def _prepared(vectors: np.ndarray, metric: str) -> np.ndarray:
+    return unit(vectors) if metric == "COSINE" else vectors
+
+
+def _visit(dealt: DataFrame, asked: DataFrame, blocks: Blocks, k: int, later: bool, schema: T.StructType) -> tuple[DataFrame, int]:
+    """Hits of the queries (id, vector, worst) in the blocks they visit first, or later on, and the pairs scored for it.
+
+    Pieces and the queries sent to them meet by a shuffle. A task holds one
+    piece, and the queries stream by; a block that very many queries ask has
+    copies of its pieces for groups of them.
+    """
+    query_col, id_col = schema.names[:2]
+    sent = asked.sparkSession.sparkContext.broadcast(blocks)
+    metric = blocks.metric
+    arrow_schema = _arrow_schema(schema)
+    id_kind, query_kind = schema[id_col].dataType, schema[query_col].dataType
+
+    def routes(batch: pa.RecordBatch) -> Iterator[tuple[pa.RecordBatch, np.ndarray]]:
+        for at in range(0, batch.num_rows, _QUERY_STEP):
+            part = batch.slice(at, _QUERY_STEP)
+            vectors = _prepared(_matrix(part.column(1)), metric)
+            known = sent.value
+            go = known.rest(vectors, k, part.column(2).to_numpy()) if later else known.first(vectors, k)
+            yield part, go
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(len(sent.value.rows), np.int64)
+        for batch in batches:
+            for _, go in routes(batch):
+                total += go.sum(axis=0)
+        at = np.nonzero(total)[0]
+        yield pa.RecordBatch.from_arrays([pa.array(at.astype(np.int32)), pa.array(total[at])], names=["block", "n"])
+
+    visits = np.zeros(len(blocks.rows), np.int64)
+    for r in asked.mapInArrow(count, "block int, n bigint").groupBy("block").agg(F.sum("n").alias("n")).collect():
+        visits[r["block"]] = r["n"]
+    if not visits.any():
+        return asked.sparkSession.createDataFrame([], schema), 0
+
+    def route(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part, go in routes(batch):
+                query, block = np.nonzero(go)
+                for at in range(0, len(query), _ROUTE_STEP):
+                    q, b = pa.array(query[at : at + _ROUTE_STEP]), block[at : at + _ROUTE_STEP].astype(np.int32)
+                    columns = [pa.array(b), *(c.take(q) for c in part.columns)]
+                    yield pa.RecordBatch.from_arrays(columns, names=["block", "query", "vector", "worst"])
+
+    vector_kind = "array<double>"
+    routed = asked.select(query_col, F.col("vector").cast(vector_kind), "worst").mapInArrow(
+        route, f"block int, query {query_kind.simpleString()}, vector {vector_kind}, worst double"
+    )
+    groups = F.lit([int(g) for g in np.maximum(1, -(-visits // GROUP_QUERIES))])[F.col("block")]
+    pieces = F.lit([int(p) for p in _pieces(blocks.rows)])[F.col("block")]
+    queries = routed.select(
+        "block", F.explode(F.sequence(F.lit(0), pieces - 1)).alias("piece"),
+        F.pmod(F.xxhash64("query"), groups).cast("int").alias("group"), F.lit(1).alias("kind"),
+        F.lit(None).cast(id_kind).alias("id"), "query", "vector", "worst",
+    )
+    wanted = F.lit([bool(v) for v in visits])[F.col("block")]
+    held = dealt.filter(wanted).select(
+        "block", "piece", F.explode(F.sequence(F.lit(0), groups - 1)).alias("group"), F.lit(0).alias("kind"),
+        "id", F.lit(None).cast(query_kind).alias("query"), F.col("vector").cast(vector_kind), F.lit(None).cast("double").alias("worst"),
+    )
+    key = ["block", "piece", "group"]
+    # The rows of a piece come first, so that they are held when its queries come by.
+    together = held.unionByName(queries).repartition(*key).sortWithinPartitions(*key, "kind")
+
+    def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        current, parts, piece = None, [], None
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            keys = np.stack([batch.column(i).to_numpy() for i in range(4)], axis=1)
+            edges = np.r_[0, np.nonzero((keys[1:] != keys[:-1]).any(axis=1))[0] + 1, len(keys)]
+            for start, stop in zip(edges[:-1], edges[1:]):
+                part, at = batch.slice(start, stop - start), tuple(keys[start])
+                if at[:3] != current:
+                    current, parts, piece = at[:3], [], None
+                if at[3] == 0:
+                    parts.append((_labels(part.column(4)), _matrix(part.column(6))))
+                    continue
+                if not parts and piece is None:
+                    continue  # by chance no row of the block fell into this piece
+                if piece is None:
+                    piece, parts = tuple(map(np.concatenate, zip(*parts))), []
+                for first in range(0, part.num_rows, _QUERY_STEP):
+                    some = part.slice(first, _QUERY_STEP)
+                    keeper = BestK(_matrix(some.column(6)), k, metric)
+                    keeper.worst = some.column(7).to_numpy().copy()
+                    for row in range(0, len(piece[0]), _ROW_STEP):
+                        keeper.add(piece[0][row : row + _ROW_STEP], piece[1][row : row + _ROW_STEP])
+                    query, ids, scores = keeper.result()
+                    yield from _hit_batches([(_labels(some.column(5))[query], ids, scores)], arrow_schema)
+
+    return together.mapInArrow(meet, schema), int((visits * blocks.rows).sum())
 
 
 def with_payload(found: Found, corpus: DataFrame, id_col: str = "id", broadcast_rows: int = 500_000) -> DataFrame:

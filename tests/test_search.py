@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from shelfmark.functions.vectors import METRICS
-from shelfmark.operators import ann, knn
+from shelfmark.operators import ann, blocks, knn
 from shelfmark.operators.embedding import HashedEmbedder, ModelEmbedder, embed_column, embed_column_safely, row_embedder
 from shelfmark.operators.points import embedding_text, identify, merge_metadata, payload, split_payload, to_points
 from shelfmark.plans.retrieve import retrieve, retrieve_prompts
@@ -46,7 +46,9 @@ def data():
 @pytest.mark.parametrize("way", ["shared", "blocked"])
 def test_top_k(table, data, metric, way, monkeypatch):
     corpus, queries = data
-    monkeypatch.setattr(knn, "BLOCK_QUERY_ROWS", 4)
+    monkeypatch.setattr(knn, "BLOCK_ROWS", 30)
+    monkeypatch.setattr(knn, "PIECE_ROWS", 64)
+    monkeypatch.setattr(knn, "GROUP_QUERIES", 2)
     left = table(corpus, VECTORS).repartition(5)
     right = table(queries, "query_id string, vector array<float>")
     found = knn.top_k(left, right, 7, metric, max_shared_queries=100 if way == "shared" else 3)
@@ -69,12 +71,54 @@ def test_top_k_never_pairs_rows(table, data):
     corpus, queries = data
     hits = knn.top_k(table(corpus, VECTORS), table(queries, "query_id string, vector array<float>"), 3).hits
     plan = hits._jdf.queryExecution().executedPlan().toString()
-    blocked = knn.top_k(table(corpus, VECTORS), table(queries, "query_id string, vector array<float>"), 3, max_shared_queries=0).hits
-    below = blocked._jdf.queryExecution().executedPlan().toString().split("MapInArrow", 1)[1]
-    assert "Exchange" not in below
     assert "CartesianProduct" not in plan and "NestedLoop" not in plan and "WindowGroupLimit" in plan
 
 
+@pytest.mark.parametrize("metric", list(METRICS))
+def test_blocks_bound_their_rows(metric):
+    rng = np.random.default_rng(8)
+    groups = rng.standard_normal((40, 12)) * 4
+    rows = np.concatenate([groups[rng.integers(0, 40, 4000)] + 0.1 * rng.standard_normal((4000, 12)), np.zeros((3, 12))])
+    asked = np.concatenate([rows[::100], rng.standard_normal((20, 12)) * 9, np.zeros((1, 12))])
+    rows, asked = (knn._prepared(v, metric) for v in (rows, asked))
+    centres = blocks.learn_centres(rows, 60)
+    of = blocks.nearest(rows, centres)
+    away, norm = blocks.spread(metric, rows, centres, of), np.linalg.norm(rows, axis=1)
+    at = [of == b for b in range(len(centres))]
+    known = blocks.Blocks(
+        metric, centres, np.array([m.sum() for m in at]),
+        np.array([away[m].max(initial=0) for m in at]), np.array([norm[m].max(initial=0) for m in at]),
+    )
+    scorer = knn.Scorer(metric, asked)
+    cost = np.stack([scorer.exact(rows, np.full(len(rows), q)) for q in range(len(asked))])
+    bounds, first = known.bounds(asked), known.first(asked, 7)
+    for b, mine in enumerate(at):
+        if mine.any():
+            assert (bounds[:, b] <= cost[:, mine].min(axis=1) + blocks.SLACK).all()
+    assert (first @ known.rows >= 7).all()
+    seen = np.where(first[:, of], cost, np.inf)
+    worst = np.sort(seen, axis=1)[:, 6]
+    rest = known.rest(asked, 7, worst)
+    assert not (rest & first).any()
+    seen = np.where((first | rest)[:, of], cost, np.inf)
+    assert (np.sort(seen, axis=1)[:, :7] == np.sort(cost, axis=1)[:, :7]).all()
+    assert (first | rest)[:40].mean() < 0.3
+
+
+def test_blocked_search_skips_blocks(table, monkeypatch):
+    monkeypatch.setattr(knn, "BLOCK_ROWS", 20)
+    rng = np.random.default_rng(9)
+    groups = rng.standard_normal((30, 8)) * 5
+    corpus = [(i, (groups[i % 30] + 0.05 * rng.standard_normal(8)).tolist()) for i in range(1500)]
+    queries = [(i, corpus[i][1]) for i in range(0, 1500, 50)]
+    left, right = table(corpus, "id int, vector array<float>"), table(queries, "query_id int, vector array<float>")
+    found = knn.top_k(left, right, 5, max_shared_queries=0)
+    assert found.compared < 0.2 * len(corpus) * len(queries)
+    assert sorted(found.hits.collect()) == sorted(knn.top_k(left, right, 5).hits.collect())
+    for empty in (knn.top_k(left.limit(0), right, 5, max_shared_queries=0), knn.top_k(left, right, 2000, max_shared_queries=0)):
+        assert empty.hits.count() in (0, len(corpus) * len(queries))
+
+
 @pytest.mark.parametrize("block", [1000, 6])
 def test_approximate_recall(table, block):
     rng = np.random.default_rng(4)
