@@ -27,7 +27,7 @@ MAX_SHARED_BYTES = 128 << 20
 # Beyond them: vectors that blocks are learned from, blocks, and rows per block, about.
 BLOCK_SAMPLE = 16_384
 MAX_BLOCKS = 2_048
-BLOCK_ROWS = 512
+BLOCK_ROWS = 2_048
 # Rows of a block that a task holds, and visits to a block that one copy of them serves, about.
 PIECE_ROWS = 65_536
 GROUP_QUERIES = 131_072
@@ -289,8 +289,7 @@ def _blocked(corpus: DataFrame, queries: DataFrame, k: int, metric: str, schema:
     query_col, id_col = schema.names[:2]
     asked = steps.stage(queries.toDF(query_col, "vector"), "queries").withColumn("worst", F.lit(float("inf")))
     found, compared = _visit(dealt, asked, blocks, k, False, schema)
-    first = steps.stage(found, "first")
-    best = steps.stage(keep_best(first, k, metric, id_col, query_col), "best")
+    best = steps.stage(keep_best(found, k, metric, id_col, query_col), "best")
     sign = -1.0 if METRICS[metric] else 1.0
     reached = best.filter(F.col("rank") == k).select(query_col, (F.col("score") * sign).alias("worst"))
     bounded = asked.drop("worst").join(reached, query_col)
