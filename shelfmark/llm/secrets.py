@@ -12,7 +12,7 @@ from __future__ import annotations
 
 import hashlib
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -39,19 +39,55 @@ _MAX_STRINGS = 64
 
 @dataclass(frozen=True)
 class Rule:
-    """A kind of secret: its expression, and the least length of a group of it."""
+    """A kind of secret: its expression, and the least length of a group of it.
+
+    ``finder`` gives the matches of an expression that would look at a long run
+    of letters again from each of them; it reads every run once.
+    """
 
     kind: str
     pattern: str
     group: int = 0
     least: int = 0
     query: Query = field(default=None, compare=False)
+    finder: Callable[[str], list[tuple[int, int]]] | None = None
 
     def spans(self, text: str) -> list[tuple[int, int]]:
+        if self.finder is not None:
+            return self.finder(text)
         found = re.finditer(self.pattern, text)
         return [m.span() for m in found if m.end(self.group) - m.start(self.group) >= self.least]
 
 
+# What comes before "://", from the start of the run on, and what must follow it.
+_SCHEME = re.compile(r"(?<![a-z0-9+.-])[a-z0-9+.-]+://")
+_LETTER = re.compile(r"[a-z]")
+_LOGIN = re.compile(r"[^\s/:@]+:[^\s/@]+@")
+# A whole run that two more parts of a token follow.
+_PARTS = re.compile(r"(?<![A-Za-z0-9_-])[A-Za-z0-9_-]{11,}(?=(\.eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}))")
+
+
+def _url_spans(text: str) -> list[tuple[int, int]]:
+    """A match begins at the first letter of the run before "://"; neither a run nor what follows reaches another one."""
+    found = []
+    for run in _SCHEME.finditer(text):
+        letter, login = _LETTER.search(text, run.start(), run.end() - 3), _LOGIN.match(text, run.end())
+        if letter and login:
+            found.append((letter.start(), login.end()))
+    return found
+
+
+def _jwt_spans(text: str) -> list[tuple[int, int]]:
+    """A match begins at the first "eyJ" of a run that enough letters follow, and ends with the second run after it."""
+    found, done = [], 0
+    for run in _PARTS.finditer(text):
+        at = text.find("eyJ", run.start(), run.end() - 8)
+        if at >= 0 and run.start() >= done:
+            done = run.end(1)
+            found.append((at, done))
+    return found
+
+
 BASE_KINDS = ("assign", "access", "hex")
 # The expressions and least lengths of the three base kinds. The last two hold their least length as
 # a repeat count: a run is matched whole, so that is the same as matching any run and dropping the short ones.
@@ -68,10 +104,10 @@ BASE_RULES = (
 # What this scan finds beyond the base kinds.
 ADDED_RULES = (
     Rule("pem", r"-----BEGIN [A-Z ]*PRIVATE KEY-----"),
-    Rule("jwt", r"eyJ[A-Za-z0-9_-]{8,}\.eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}"),
+    Rule("jwt", r"eyJ[A-Za-z0-9_-]{8,}\.eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}", finder=_jwt_spans),
     Rule("hub", r"gh[pousr]_[A-Za-z0-9]{36,}"),
     Rule("bearer", r"(?ai:authorization)\x20*:\x20*(?ai:bearer)\x20+([A-Za-z0-9+/_.=-]+)", group=1, least=16),
-    Rule("url", r"[a-z][a-z0-9+.-]*://[^\s/:@]+:([^\s/@]+)@", group=1, least=1),
+    Rule("url", r"[a-z][a-z0-9+.-]*://[^\s/:@]+:([^\s/@]+)@", group=1, least=1, finder=_url_spans),
 )
 RULES = BASE_RULES + ADDED_RULES
 

@@ -1,5 +1,9 @@
 import hashlib
 import re
+import time
+
+from hypothesis import given, settings
+from hypothesis import strategies as st
 
 from shelfmark.llm import secrets as s
 
@@ -67,5 +71,26 @@ def test_trigram_queries():
     assert s.trigram_query("[0-9]{3}abc[^x]") == "abc" and s.trigram_query("ab+cde") == "cde"
 
 
+@given(st.text("ey1J.:/@h- ", max_size=60) | st.lists(st.sampled_from(["eyJ", "a" * 8, "x", ".", "-", "1", "://", ":", "@", " ", "é"]), max_size=24).map("".join))
+@settings(max_examples=3000, deadline=None)
+def test_finders_equal_their_expressions(text):
+    for rule in s.RULES:
+        if rule.finder:
+            assert rule.finder(text) == [m.span() for m in re.finditer(rule.pattern, text)], (rule.kind, text)
+
+
+def test_long_runs_are_read_once():
+    n = 1_000_000
+    odd = ["a" * n + " x://", "eyJ" * (n // 3) + ".eyJ", "a" * n + "://" + "b" * n, "x://" * (n // 4), "password " + " " * n,
+           "eyJaaaaaaaa." * (n // 12), "-----BEGIN " + "A " * (n // 2), "AKIA" * (n // 4), "token" * (n // 5), "a://b:" + ":" * n]
+    for text in odd:
+        start = time.perf_counter()
+        s.scan_segment([text], s.RULES, [s.trigram_query(r.pattern) for r in s.RULES])
+        assert time.perf_counter() - start < 3, text[:20]
+    # Digits before the scheme, and a run whose first letters are not of the token.
+    assert s._url_spans("1http://u:p@h") == [(1, 12)]
+    assert s._jwt_spans("zzeyJ" + "a" * 8 + ".eyJ" + "b" * 8 + "." + "c" * 8) == [(2, 34)]
+
+
 def test_empty_table(docs):
     assert s.find_secrets(docs([])).collect() == []
