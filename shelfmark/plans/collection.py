@@ -8,6 +8,7 @@ Layout below one root, with a single writer:
     data/segment=<n>/      points
     text/segment=<n>/      full-text postings
     removed/segment=<n>/   ids whose points in earlier segments no longer count
+    members/segment=<n>/   filters of its ids and items, so that a write opens only segments that may hold what it replaces
     cells/at=<n>/          vector index of the points that counted after segment n
     ranked/at=<n>/         ranked text index of the same
 """
@@ -26,14 +27,17 @@ from shelfmark.operators.joins import narrow_join
 from shelfmark.operators.knn import keep_best, top_k
 from shelfmark.operators.points import with_content
 from shelfmark.operators.textindex import lexical_match, postings, write_index
+from shelfmark.plans.membership import FILTER, build_filter, may_hold
 from shelfmark.plans.rankedindex import RankedIndex, fused
 from shelfmark.plans.vectorindex import RECALL, VectorIndex
 from shelfmark.schemas import POINTS
 from shelfmark.session import drop_path, empty, list_names, path_exists
 
 _COLLECTION = "name string, vector_size int, distance string"
-_COMMITS = "segment bigint, base bigint, n_points bigint, n_removed bigint, created_at string"
+_COMMITS = "segment bigint, base bigint, n_points bigint, n_removed bigint, created_at string, filtered boolean"
 _REMOVED = "id string"
+# Columns with a membership filter.
+_MEMBERS = ("id", "qid")
 _POSTINGS = "token string, id string, bucket int"
 
 
@@ -96,17 +100,24 @@ class Collection:
         stored = self.spark.read.schema(with_segment).parquet(path)
         return stored.filter(F.col("segment").between(totals.base, totals.last))
 
-    def _live(self, columns: Sequence[str]) -> DataFrame:
+    def _live(self, columns: Sequence[str], within: Sequence[int] | None = None) -> DataFrame:
+        """Points that count, with ``within`` those of some segments alone; other segments are not opened."""
         totals = self._totals()
-        return self._without_removed(self._stored("data", POINTS, totals).select(*columns, "segment"), totals)
+        rows = self._within(self._stored("data", POINTS, totals).select(*columns, "segment"), within)
+        return self._without_removed(rows, totals, within)
 
-    def _without_removed(self, rows: DataFrame, totals: Row) -> DataFrame:
-        if totals.n_removed == 0:
+    def _within(self, rows: DataFrame, segments: Sequence[int] | None) -> DataFrame:
+        return rows if segments is None else rows.filter(F.col("segment").isin(*segments))
+
+    def _without_removed(self, rows: DataFrame, totals: Row, within: Sequence[int] | None = None) -> DataFrame:
+        if totals.n_removed == 0 or within == []:
             return rows
         removed = self._stored("removed", _REMOVED, totals)
+        if within is not None:
+            removed = removed.filter(F.col("segment") > min(within))
         newest = removed.groupBy("id").agg(F.max("segment").alias("_removed_at"))
         # Which (id, segment) pairs are gone is settled on ids alone; a list that fits is sent to the points.
-        segments = self._stored("data", POINTS, totals).select("id", "segment")
+        segments = self._within(self._stored("data", POINTS, totals).select("id", "segment"), within)
         gone = segments.join(newest, "id").filter(F.col("segment") < F.col("_removed_at")).select("id", "segment")
         return narrow_join(rows, gone.distinct(), ["id", "segment"], ["id"], "left_anti")
 
@@ -187,22 +198,46 @@ class Collection:
         # The commit comes last: a reader sees points and postings of a segment together.
         write_index(postings(written), f"{self.root}/text/segment={segment}")
         n_points = written.count()
+        self._write_members(written, segment, n_points)
         n_removed = 0
         if totals.last >= 0:
             gone = f"{self.root}/removed/segment={segment}"
-            self._replaced(written, replace_by).write.mode("overwrite").parquet(gone)
+            # A write as large as all that is held meets most of it anyway.
+            within = self.may_replace(written, replace_by) if n_points < totals.n_points else None
+            self._replaced(written, replace_by, within).write.mode("overwrite").parquet(gone)
             n_removed = self.spark.read.schema(_REMOVED).parquet(gone).count()
         self._commit(segment, totals.base, n_points, n_removed, now)
         return n_points
 
     def _commit(self, segment: int, base: int, n_points: int, n_removed: int, now: datetime | None = None) -> None:
-        row = (segment, base, n_points, n_removed, (now or datetime.now(timezone.utc)).isoformat())
+        row = (segment, base, n_points, n_removed, (now or datetime.now(timezone.utc)).isoformat(), True)
         self.spark.createDataFrame([row], _COMMITS).coalesce(1).write.mode("append").parquet(f"{self.root}/commits")
 
-    def _replaced(self, written: DataFrame, replace_by: Sequence[str] | None) -> DataFrame:
+    def _write_members(self, written: DataFrame, segment: int, n_points: int) -> None:
+        members = build_filter(written, _MEMBERS, n_points)
+        members.write.mode("overwrite").parquet(f"{self.root}/members/segment={segment}")
+
+    def may_replace(self, written: DataFrame, replace_by: Sequence[str] | None = None) -> list[int] | None:
+        """The segments that may hold points which ``written`` replaces, by their filters; None if all may.
+
+        Only segment numbers come to the driver. Segments from before there were filters count as holding everything.
+        """
+        doc = list(replace_by or ())
+        if doc and "qid" not in doc:
+            return None
+        totals = self._totals()
+        counting = self.commits().filter(F.col("segment").between(totals.base, totals.last))
+        bare = counting.filter(F.col("filtered").isNull()).select("segment")
+        filters = self._stored("members", FILTER, totals)
+        held = may_hold(filters, written.select("id"), "id").select("segment")
+        if doc:
+            held = held.union(may_hold(filters, written.select("qid"), "qid").select("segment"))
+        return sorted(r["segment"] for r in bare.union(held).distinct().collect())
+
+    def _replaced(self, written: DataFrame, replace_by: Sequence[str] | None, within: Sequence[int] | None = None) -> DataFrame:
         """Ids of live points that the written ones replace; vectors are not read."""
         doc = list(replace_by or ())
-        live = self._live(["id", *doc]).drop("segment")
+        live = self._live(["id", *doc], within).drop("segment")
         gone = live.join(written.select("id"), "id", "left_semi").select("id")
         if doc:
             documents = written.select(*doc).distinct()
@@ -228,9 +263,10 @@ class Collection:
         written = self.spark.read.schema(POINTS).parquet(data)
         write_index(postings(written), f"{self.root}/text/segment={segment}")
         n_points = written.count()
+        self._write_members(written, segment, n_points)
         # The commit moves the base; until then readers see the former segments.
         self._commit(segment, segment, n_points, 0)
-        for name in ("data", "removed", "text"):
+        for name in ("data", "removed", "text", "members"):
             for old in range(totals.base, segment):
                 drop_path(self.spark, f"{self.root}/{name}/segment={old}")
 
