@@ -1,10 +1,12 @@
 """Listings, triples, pages and package files."""
 
+from pathlib import Path
+
 import pytest
 from pyspark.sql import functions as F
 
 from shelfmark.operators import joins
-from shelfmark.sources import graph, objects, packages, pages
+from shelfmark.sources import graph, listing, objects, packages, pages
 from tests.conftest import column
 
 
@@ -47,6 +49,38 @@ def test_listing_reads_no_content(spark, tree):
     assert "binaryFile [path" in plan and "content#" not in plan
 
 
+def test_listing_in_tasks_equals_the_listing(spark, tree, monkeypatch):
+    monkeypatch.setattr(listing, "LIST_FOLDERS", 2)
+    hidden = Path(tree) / "north" / "_temporary"
+    hidden.mkdir()
+    (hidden / "x.txt").write_text("x")
+    (Path(tree) / "south" / ".hidden.txt").write_text("x")
+    (Path(tree) / "south" / "dt=1" / "empty").mkdir(parents=True)
+    (Path(tree) / "south" / "dt=1" / "ü 1%.txt").write_text("y")
+    cut = F.date_trunc("second", "modified")
+    expected = rows(objects.list_objects(spark, tree), "key", "size", cut)
+    assert rows(listing.list_in_tasks(spark, tree), "key", "size", cut) == expected and len(expected) == 7
+    assert rows(listing.list_in_tasks(spark, f"file://{tree}/"), "key") == [r[:1] for r in expected]
+    (Path(tree) / "south" / "blank.txt").write_text("")
+    assert ("south/blank.txt", 0) in rows(listing.list_in_tasks(spark, tree), "key", "size")
+    with pytest.raises(Exception, match="FileNotFound"):
+        listing.list_in_tasks(spark, f"{tree}/nowhere")
+
+
+def test_stored_files_come_back(spark, tmp_path):
+    n = 3_000
+    key = F.concat(F.lit("a/Q"), F.col("id") % 5, F.lit("/"), F.col("id"), F.lit(".txt"))
+    made = spark.range(n).select(key.alias("key"), F.when(F.col("id") > 0, F.encode(F.col("id").cast("string"), "UTF-8")).alias("content"))
+    nobody = spark.createDataFrame([(None, b"x")], "key string, content binary")
+    for _ in range(2):  # a second run replaces the files
+        assert listing.store_contents(made.repartition(6).unionByName(nobody), str(tmp_path)) == n
+    found = listing.list_in_tasks(spark, str(tmp_path))
+    assert found.count() == n and found.agg(F.sum("size")).first()[0] == sum(len(str(i)) for i in range(1, n))
+    read = objects.fetch_contents(found.select(F.lit("Q").alias("qid"), F.col("key").alias("component")), objects.file_reader(str(tmp_path)))
+    assert read.filter("error is null").filter(F.concat(F.lit("/"), F.decode("content", "UTF-8"), F.lit(".txt")) == F.concat(F.lit("/"), F.substring_index("component", "/", -1))).count() == n - 1
+    assert listing.store_contents(nobody, str(tmp_path)) == 0
+
+
 def test_folder_is_not_searched_below(spark, tree):
     assert column(objects.read_folder(spark, tree), "key") == ["cover.pdf"]
     assert column(objects.read_folder(spark, f"{tree}/north/leaves/Q306"), "key") == []

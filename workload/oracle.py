@@ -348,6 +348,9 @@ decoded as (
 select page_id, nullif(regexp_replace(title, '^{_SPACE}+|{_SPACE}+$', '', 'g'), '') as title,
   md5(regexp_replace(regexp_replace(t, '{_SPACE}+', ' ', 'g'), '^ | $', '', 'g')) as text_md5
 from decoded"""
+    q["file_roundtrip"] = f"""
+select p.page_id, 'Q' || (p.page_id % 97) as qid, strlen(p.html) as size, md5(p.html) as content_md5, h.title, h.text_md5
+from pages p join ({q["html_pages"]}) h using (page_id)"""
     q["hash_embedding"] = f"""
 with {_hashed("v", "conversations", "conv_id, turn")}
 select conv_id, turn, b as bucket, round(w, 6) as weight from v"""

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shelfmark.functions import keys, vectors
-from shelfmark.functions.fingerprint import table_fingerprint
+from shelfmark.functions.fingerprint import content_md5, table_fingerprint
 from shelfmark.functions.text import embedding_prefix, html_title, prefix_rules, strip_html
 from shelfmark.operators import ann, chunking, context, knn, points, runlog, textindex
 from shelfmark.operators.arrays import unnest
@@ -31,8 +31,10 @@ from shelfmark.plans.state import StateStore
 from shelfmark.schemas import DOC_KEYS, PLAN, ChunkParams
 from shelfmark.session import new_work_path, ship, stage
 from shelfmark.sources.graph import items_from_bindings
-from shelfmark.sources.objects import index_files, index_summary, indexed, list_components
+from shelfmark.sources.listing import list_in_tasks, store_contents
+from shelfmark.sources.objects import fetch_contents, file_reader, index_files, index_summary, indexed, list_components
 from shelfmark.sources.packages import package_entries, read_entries
+from shelfmark.sources.pages import load_pages, split_errors
 from shelfmark.streaming import jobs
 from workload import views
 from workload.views import table
@@ -721,6 +723,25 @@ def _stored_files(spark, sf):
     )
 
 
+@query
+def file_roundtrip(spark, sf):
+    """Web pages written as files of an item, listed, indexed, fetched and parsed again."""
+    root = new_work_path(spark, "files")
+    item = F.concat(F.lit("Q"), F.pmod("page_id", F.lit(97)))
+    key = F.concat(F.lit("main/"), item, F.lit("/components/"), F.col("page_id"), F.lit(".html"))
+    store_contents(table(spark, sf, "pages").select(key.alias("key"), F.encode("html", "UTF-8").alias("content")), root)
+    listed = list_in_tasks(spark, root)
+    files = indexed(index_files(listed, distinct=False))
+    fetched = stage(fetch_contents(files, file_reader(root)), "fetched")
+    good, _ = split_errors(load_pages(fetched))
+    sums = fetched.select("component", content_md5(F.col("content")).alias("content_md5"))
+    sizes = listed.select(F.col("key").alias("component"), "size")
+    page_id = F.regexp_extract("component", "([0-9]+)[.]html$", 1).cast("bigint")
+    return good.join(sums, "component").join(sizes, "component").select(
+        page_id.alias("page_id"), "qid", "size", "content_md5", "title", F.md5("text").alias("text_md5")
+    )
+
+
 def _lines(content: bytes) -> list[str]:
     return content.decode("utf-8").split("\n")
 
