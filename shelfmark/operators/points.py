@@ -99,6 +99,7 @@ def to_points(
     rules: Mapping[str, tuple[str, str]] | None = None,
     isolate: bool = False,
     content_in_payload: bool = True,
+    known=None,
 ) -> DataFrame:
     """``id, qid, component, vector, page_content, payload`` for every chunk.
 
@@ -106,7 +107,8 @@ def to_points(
     into the payload of the points that it gives out.
 
     Ids are settled before embedding, so no text is embedded only to be
-    overwritten. With ``isolate`` there is also ``error``, set where the model
+    overwritten. ``known`` is a store of vectors by text, see ``plans.textvectors``:
+    its model is asked about texts that it does not hold only. With ``isolate`` there is also ``error``, set where the model
     failed on a text; otherwise that fails the job.
     """
     settled = identify(chunks, id_cols)
@@ -115,7 +117,13 @@ def to_points(
         fields["title"] = F.col("title")
     extra = F.col("extra") if "extra" in settled.columns else None
     text = embedding_text(settled, rules)
-    embedded = settled.withColumn("_e", (embed_column_safely if isolate else embed_column)(text, embedder))
+    if known is None:
+        embedded = settled.withColumn("_e", (embed_column_safely if isolate else embed_column)(text, embedder))
+    else:
+        embedded = known.embed(settled, text, "_e")
+        if not isolate:
+            failed = F.raise_error(F.col("_e.error")).cast("array<float>")
+            embedded = embedded.withColumn("_e", F.when(F.col("_e.error").isNull(), F.col("_e.vector")).otherwise(failed))
     return embedded.select(
         "id",
         "qid",

@@ -18,6 +18,7 @@ from shelfmark.operators.points import SOURCE, add_metadata, to_points
 from shelfmark.operators.runlog import run_summary
 from shelfmark.operators.upsert import upsert
 from shelfmark.plans.collection import Collection
+from shelfmark.plans.textvectors import TextVectors
 from shelfmark.schemas import CRAN_PACKAGE, DOC_KEYS, STATUS_OK, STATUS_TIMEOUT, ChunkParams
 from shelfmark.session import Steps
 from shelfmark.sources.objects import fetch_contents, select_contents
@@ -60,6 +61,7 @@ def embed_backlog(
     prefix_rules: Mapping[str, tuple[str, str]] | None = None,
     skip_statuses: Sequence[str] | None = None,
     replace_document: bool = False,
+    known: TextVectors | None = None,
     now: datetime | None = None,
 ) -> EmbedRun:
     """Embed the ``(qid, component)`` rows of ``todo``.
@@ -70,7 +72,7 @@ def embed_backlog(
     over the page or time limit gets a failure status. One that cannot be
     read, split or embedded goes to quarantine without a status, and one
     without any text gets no status either: both are tried again by the next
-    run.
+    run. With ``known``, texts of chunks that it holds are not embedded again.
 
     Pages, their pieces and the points are written to the work folder once
     each, since several later steps read them; points are stored before the status, and their ids
@@ -99,7 +101,7 @@ def embed_backlog(
 
     before = collection.size() if collection.exists() else 0
     collection.ensure(embedder.dim)
-    points = stage(to_points(chunks, embedder, id_cols, prefix_rules, True, False), "points")
+    points = stage(to_points(chunks, embedder, id_cols, prefix_rules, True, False, known), "points")
     unembedded = _failed(points)
     # A document gets all of its points or none.
     points = _without(points, unembedded, ["id"]).drop("error")

@@ -354,6 +354,12 @@ from pages p join ({q["html_pages"]}) h using (page_id)"""
     q["hash_embedding"] = f"""
 with {_hashed("v", "conversations", "conv_id, turn")}
 select conv_id, turn, b as bucket, round(w, 6) as weight from v"""
+    q["embed_repeated"] = f"""
+with {_hashed("v", "documents", "doc_id")},
+sums as (select doc_id, round(sum(w * (b + 1)), 4) as total from v group by 1),
+texts as (select coalesce(text, '') as t, bool_and(doc_id % 2 <> 0) as late from documents group by 1)
+select doc_id, (select count(*) from texts where late) as n_given, coalesce(total, 0) as vector_sum
+from documents left join sums using (doc_id)"""
     q["vector_normalize"] = """
 with vectors as (select vec_id, label, embedding::double[] as e from embeddings),
 scaled as (select vec_id, list_transform(e, lambda x: x * (label + 2)) as e from vectors)

@@ -28,6 +28,7 @@ from shelfmark.plans.rankedindex import RankedIndex
 from shelfmark.plans.retrieve import retrieve
 from shelfmark.plans.run import incremental_run, run_package
 from shelfmark.plans.state import StateStore
+from shelfmark.plans.textvectors import TextVectors
 from shelfmark.schemas import DOC_KEYS, PLAN, ChunkParams
 from shelfmark.session import new_work_path, ship, stage
 from shelfmark.sources.graph import items_from_bindings
@@ -393,6 +394,17 @@ def embed_user_model(spark, sf):
     return docs.select("doc_id", embed_column(F.col("text"), model)[0].cast("double").alias("value"))
 
 
+@query
+def embed_repeated(spark, sf):
+    """Half of the texts, then all of them: the model is given what it has not seen, and every row has its vector."""
+    docs = table(spark, sf, "documents").select("doc_id", "text")
+    known = TextVectors(spark, new_work_path(spark, "vectors"), HashedEmbedder(DIM))
+    known.learn(docs.filter("doc_id % 2 = 0"), F.col("text"))
+    given, _ = known.learn(docs, F.col("text"))
+    made = known.embed(docs, F.col("text")).select("doc_id", F.col("_e.vector").alias("vector"))
+    return made.select("doc_id", F.lit(given).cast("bigint").alias("n_given"), _vector_sum().alias("vector_sum"))
+
+
 @query
 def vector_normalize(spark, sf):
     scaled = F.transform("embedding", lambda x: (x.cast("double") * (F.col("label") + 2)))
