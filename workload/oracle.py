@@ -462,6 +462,13 @@ select 'Q' || doc_id as qid, n::varchar as lines, page::varchar as page, 'line '
     q["chunk_min_length"] = f"""with {_DOCS}, {_windows("docs", "qid, component", 1600, 30)}
 select qid, component, pos as chunk_index, md5(piece) as text_md5, length(piece) < 120 or length(piece) > 1600 as is_outlier
 from pieces"""
+    q["embed_no_text"] = """
+select 'Q' || doc_id as qid, case when has then 'ok' end as status, has as has_points, true as all_added
+from (select doc_id, doc_id % 3 <> 0 and coalesce(text, '') <> '' as has from documents)"""
+    q["stream_rate_limit"] = """
+select 'Q' || (page_id % 97) as qid, 'main/Q' || (page_id % 97) || '/components/' || page_id || '.html' as component,
+  (n + cap - 1) // cap as n_batches, least(n, cap) as largest
+from pages, (select count(*) as n, (count(*) + 3) // 4 as cap from pages)"""
     q["embed_second_run"] = """
 select 'Q' || doc_id as qid, case when lang = 'de' then 'quarantined' else 'ok' end as status,
   case when lang = 'de' then null when doc_id % 2 = 0 then '2024-01-01' else '2024-01-02' end as run_day

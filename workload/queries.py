@@ -735,13 +735,18 @@ def _stored_files(spark, sf):
     )
 
 
+def _store_pages(spark, sf, root):
+    """Every web page as a file of one of 97 items; how many there are."""
+    item = F.concat(F.lit("Q"), F.pmod("page_id", F.lit(97)))
+    key = F.concat(F.lit("main/"), item, F.lit("/components/"), F.col("page_id"), F.lit(".html"))
+    return store_contents(table(spark, sf, "pages").select(key.alias("key"), F.encode("html", "UTF-8").alias("content")), root)
+
+
 @query
 def file_roundtrip(spark, sf):
     """Web pages written as files of an item, listed, indexed, fetched and parsed again."""
     root = new_work_path(spark, "files")
-    item = F.concat(F.lit("Q"), F.pmod("page_id", F.lit(97)))
-    key = F.concat(F.lit("main/"), item, F.lit("/components/"), F.col("page_id"), F.lit(".html"))
-    store_contents(table(spark, sf, "pages").select(key.alias("key"), F.encode("html", "UTF-8").alias("content")), root)
+    _store_pages(spark, sf, root)
     listed = list_in_tasks(spark, root)
     files = indexed(index_files(listed, distinct=False))
     fetched = stage(fetch_contents(files, file_reader(root)), "fetched")
@@ -800,6 +805,23 @@ def incremental_run_(spark, sf):
     )
 
 
+@query
+def embed_no_text(spark, sf):
+    """The extractor finds no page in a third of the files: they get neither points nor a status, and the run counts what it added."""
+    bare = F.substring("qid", 2, 20).cast("bigint") % 3 == 0
+    as_pdf = F.regexp_replace("key", "[.][a-z]+$", ".pdf").alias("key")
+    content = F.when(bare, F.encode(F.lit(""), "UTF-8")).otherwise(F.col("content")).alias("content")
+    stored = stage(_stored_files(spark, sf).select("qid", as_pdf, content), "stored")
+    options = {"extractors": {"pdf": lambda content: _lines(content) if content else []}, "max_pages": None}
+    target = Collection(spark, new_work_path(spark, "points"))
+    todo = stored.select("qid", F.col("key").alias("component"))
+    run = embed_backlog(todo, stored.select("key", "content"), views.status(spark, sf).limit(0), target, HashedEmbedder(DIM), **options)
+    held = target.points().groupBy("qid").agg(F.count("*").alias("n"))
+    all_added = F.lit(run.points_added == target.size() > 0).alias("all_added")
+    joined = todo.join(run.status.select("qid", "status"), "qid", "left").join(held, "qid", "left")
+    return joined.select("qid", "status", F.col("n").isNotNull().alias("has_points"), all_added)
+
+
 @query
 def run_from_package(spark, sf):
     """Three packages are planned, one of them is run: its files are done, the others stay reserved."""
@@ -835,6 +857,19 @@ def stream_file_index(spark, sf):
     return log.current().select(*DOC_KEYS)
 
 
+@query
+def stream_rate_limit(spark, sf):
+    """Stored files come in as a stream, some hundred in a batch, and all of them come."""
+    root = new_work_path(spark, "stream")
+    n = _store_pages(spark, sf, f"{root}/files")
+    log = jobs.file_log(spark, f"{root}/log")
+    files = jobs.stream_files(spark, f"{root}/files", max_files=-(-n // 4))
+    jobs.index_stream(files, log, f"{root}/checkpoint").awaitTermination()
+    per_batch = log.rows().groupBy("batch").agg(F.count("*").alias("n"))
+    seen = per_batch.agg(F.count("*").alias("n_batches"), F.max("n").alias("largest")).first()
+    return log.current().select(*DOC_KEYS, F.lit(seen.n_batches).cast("bigint").alias("n_batches"), F.lit(seen.largest).cast("bigint").alias("largest"))
+
+
 @query
 def stream_status_latest(spark, sf):
     root = new_work_path(spark, "stream")
