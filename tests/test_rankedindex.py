@@ -111,3 +111,46 @@ def test_collection(spark, rows, tmp_path):
     found = target.search_hybrid(both, 5, depth=20).collect()
     assert sorted(r["rank"] for r in found) == [1, 2, 3, 4, 5]
     assert target.search_hybrid(both, 5, depth=20).collect() == found
+
+
+def test_texts_are_scored_where_their_window_is(spark, tmp_path, monkeypatch):
+    # What leaves the scoring is the best of each window, not every text that has a word of the query.
+    texts = [(i, " ".join(["common"] * (1 + i % 7) + [f"w{i % 3}"])) for i in range(300)]
+    index = RankedIndex(spark, f"{tmp_path}/e")
+    index.build(spark.createDataFrame(texts, CORPUS).repartition(3), window=300)
+    asked = [(f"q{i}", f"common w{i % 3}") for i in range(6)]
+    scored, handed = RankedIndex._scored, []
+
+    def counted(*given):
+        found = scored(*given)
+        handed.append(found.count())
+        return found
+
+    monkeypatch.setattr(RankedIndex, "_scored", staticmethod(counted))
+    found = index.search(spark.createDataFrame(asked, QUERIES), 20, rounds=())
+    assert got(found.hits) == brute(texts, asked, 20)
+    assert handed[0] < 6 * 300 / 2
+
+
+def test_windows_cut_in_parts(spark, rows, tmp_path, monkeypatch):
+    from shelfmark.plans import rankedindex
+
+    queries = [("a", "the w7"), ("d", "of"), ("f", rows[5][1])]
+    monkeypatch.setattr(rankedindex, "_CHUNK_WORDS", 40)
+    index = RankedIndex(spark, f"{tmp_path}/f")
+    index.build(spark.createDataFrame(rows, CORPUS).repartition(2), window=16)
+    assert got(index.search(spark.createDataFrame(queries, QUERIES), 10).hits) == brute(rows, queries, 10)
+
+
+def test_parts_end_where_windows_do():
+    import pyarrow as pa
+
+    from shelfmark.plans.rankedindex import _whole_windows
+
+    def batch(window, sizes):
+        return pa.RecordBatch.from_arrays([pa.array(window, pa.int64()), pa.array([["w"] * n if n is not None else None for n in sizes], pa.list_(pa.string()))], names=["window", "words"])
+
+    given = [batch([1, 1, 2], [3, 3, 1]), batch([2, 3], [2, None]), batch([], []), batch([3, 4, 4], [4, 9, 9]), batch([4], [30])]
+    parts = [t.column("window").to_pylist() for t in _whole_windows(iter(given), 5)]
+    assert [w for p in parts for w in p] == [1, 1, 2, 2, 3, 3, 4, 4, 4]
+    assert parts[0] == [1, 1] and parts[1] == [2, 2, 3, 3]
