@@ -12,6 +12,8 @@ from shelfmark.operators import joins
 from shelfmark.operators.arrays import unnest
 
 TOKEN_BUCKETS = 64
+# Texts that a task indexes at least, about, when a write has few.
+WRITER_TEXTS = 2_048
 SCORE_DIGITS = 9
 
 
@@ -28,16 +30,18 @@ def document_frequency(index: DataFrame) -> DataFrame:
     return index.groupBy("token").agg(F.count("*").alias("n_docs"))
 
 
-def write_index(index: DataFrame, path: str, id_col: str = "id") -> None:
-    """Store postings by token bucket, sorted by token, so a lookup reads few files.
+def write_index(index: DataFrame, path: str, id_col: str = "id", writers: int | None = None) -> None:
+    """Store postings by token bucket, sorted by token, so a lookup reads one bucket and skips most of it.
 
-    Cut by ranges of (bucket, token, id): writers get equal shares, and the
-    rows of a frequent token go to as many of them as they need.
+    Every task writes what it has, so no posting is moved, and the rows of a
+    frequent token stay with the tasks of their texts. ``writers`` bounds the
+    tasks, and thereby the files of a bucket.
     """
     bucket = F.pmod(F.xxhash64("token"), F.lit(TOKEN_BUCKETS)).cast("int")
     laid_out = index.select("token", id_col, bucket.alias("bucket"))
-    laid_out = laid_out.repartitionByRange("bucket", "token", id_col).sortWithinPartitions("bucket", "token")
-    laid_out.write.mode("overwrite").partitionBy("bucket").parquet(path)
+    if writers is not None:
+        laid_out = laid_out.coalesce(max(1, writers))
+    laid_out.sortWithinPartitions("bucket", "token").write.mode("overwrite").partitionBy("bucket").parquet(path)
 
 
 def lookup(index: DataFrame, tokens: list[str]) -> DataFrame:

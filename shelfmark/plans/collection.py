@@ -26,7 +26,7 @@ from shelfmark.functions.vectors import resolve_metric
 from shelfmark.operators.joins import narrow_join
 from shelfmark.operators.knn import keep_best, top_k
 from shelfmark.operators.points import with_content
-from shelfmark.operators.textindex import lexical_match, postings, write_index
+from shelfmark.operators.textindex import WRITER_TEXTS, lexical_match, postings, write_index
 from shelfmark.plans.membership import FILTER, build_filter, may_hold
 from shelfmark.plans.rankedindex import RankedIndex, fused
 from shelfmark.plans.vectorindex import RECALL, VectorIndex
@@ -196,8 +196,8 @@ class Collection:
         checked.write.mode("overwrite").parquet(data)
         written = self.spark.read.schema(POINTS).parquet(data)
         # The commit comes last: a reader sees points and postings of a segment together.
-        write_index(postings(written), f"{self.root}/text/segment={segment}")
         n_points = written.count()
+        write_index(postings(written), f"{self.root}/text/segment={segment}", writers=-(-n_points // WRITER_TEXTS))
         self._write_members(written, segment, n_points)
         n_removed = 0
         if totals.last >= 0:
@@ -261,8 +261,8 @@ class Collection:
         data = f"{self.root}/data/segment={segment}"
         self._live(POINTS.fieldNames()).drop("segment").write.mode("overwrite").parquet(data)
         written = self.spark.read.schema(POINTS).parquet(data)
-        write_index(postings(written), f"{self.root}/text/segment={segment}")
         n_points = written.count()
+        write_index(postings(written), f"{self.root}/text/segment={segment}", writers=-(-n_points // WRITER_TEXTS))
         self._write_members(written, segment, n_points)
         # The commit moves the base; until then readers see the former segments.
         self._commit(segment, segment, n_points, 0)

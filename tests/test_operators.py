@@ -11,6 +11,7 @@ from shelfmark.operators import context, counts, guard, items, joins, ordinals,
 from shelfmark.operators.backlog import backlog, item_overlap, known_items, status_kind, without_status
 from shelfmark.operators.joins import narrow_join, salted_join, skew_join
 from shelfmark.operators.upsert import latest_by_key, upsert
+from shelfmark.session import stage
 from tests.conftest import column
 
 NOW = datetime(2024, 1, 1, 12, tzinfo=timezone.utc)
@@ -233,3 +234,19 @@ def test_known_items_spreads_hot_item(table, monkeypatch):
     assert known_items(files, known).count() == 101
     monkeypatch.setattr(joins, "is_small", lambda df: False)
     assert known_items(files, known).count() == 101
+
+
+def test_postings_are_stored_where_their_texts_are(spark, tmp_path):
+    rows = spark.range(40).selectExpr("id", "concat('all of w', id % 3) as page_content").repartition(4)
+    made = stage(rows, "texts").withColumn("part", F.spark_partition_id())
+    home = {r.id: r.part for r in made.select("id", "part").collect()}
+    textindex.write_index(textindex.postings(made), str(tmp_path / "index"))
+    stored = spark.read.parquet(str(tmp_path / "index")).withColumn("file", F.input_file_name())
+    parts = {}
+    for r in stored.collect():
+        parts.setdefault(r.file, set()).add(home[r.id])
+    # No posting is moved: a file holds what one task read.
+    assert stored.count() == 120 and all(len(p) == 1 for p in parts.values())
+    textindex.write_index(textindex.postings(made), str(tmp_path / "few"), writers=1)
+    files = {r[0] for r in spark.read.parquet(str(tmp_path / "few")).select(F.input_file_name()).collect()}
+    assert len(files) == stored.select("bucket").distinct().count()
