@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from shelfmark.functions.vectors import resolve_metric
 from shelfmark.operators import knn
-from shelfmark.operators.knn import BestK
+from shelfmark.operators.knn import BestK, Part
 from shelfmark.session import Steps
 
 # Corpus rows that a code should stand for, when the number of bits is left open.
@@ -83,7 +83,7 @@ def approximate_top_k(
                 row_ids, rows = knn._labels(batch.column(0)), knn._matrix(batch.column(1))
                 if len(row_ids):
                     query, row = _matches(codes(rows, sides, tables), held, len(query_ids))
-                    best.add_pairs(row_ids, rows, query, row)
+                    best.add_pairs(Part(row_ids, rows, metric), query, row)
             query, found, scores = best.result()
             yield from knn._hit_batches([(query_ids[query], found, scores)], arrow_schema)
 

@@ -7,7 +7,7 @@ rows it read; pairs are never materialised as rows.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -28,16 +28,26 @@ MAX_SHARED_BYTES = 128 << 20
 BLOCK_SAMPLE = 16_384
 MAX_BLOCKS = 2_048
 BLOCK_ROWS = 2_048
-# Rows of a block that a task holds, and visits to a block that one copy of them serves, about.
-PIECE_ROWS = 65_536
+# Rows of blocks that a task holds, their bytes, and queries that one copy of them serves, about.
+PIECE_ROWS = 262_144
+PIECE_BYTES = 128 << 20
 GROUP_QUERIES = 131_072
+# Fewer queries a copy, as far as it takes to get this many tasks.
+TASKS = 64
+MAX_TASKS = 4_096
+_LEAST_QUERIES = 4_096
 
 SCORE_DIGITS = 6
 _QUERY_STEP = 512
 _PAIR_STEP = 500_000
 _ROUTE_STEP = 8_192
 _ROW_STEP = 8_192
+_TAXI_STEP = 1_024
+# Squared norms up to here are worked with in single precision.
+_NARROW = 1e12
 _MERGE_SALTS = 32
+# Pieces whose hits of a query may meet in one task.
+_FEW_PIECES = 256
 
 
 @dataclass(frozen=True)
@@ -70,6 +80,31 @@ def _labels(column: pa.ChunkedArray | pa.Array) -> np.ndarray:
     return np.asarray(column.to_pylist(), dtype=str)
 
 
+def _rounded_up(limit: np.ndarray, kind: np.dtype) -> np.ndarray:
+    if kind == np.float64:
+        return limit
+    with np.errstate(over="ignore"):
+        return np.nextafter(limit.astype(kind), kind.type(np.inf))
+
+
+class Part:
+    """Corpus rows made ready to be scored by any number of queries."""
+
+    def __init__(self, ids: np.ndarray, corpus: np.ndarray, metric: str) -> None:
+        self.ids = ids
+        self.corpus = unit(corpus) if metric == "COSINE" else corpus
+        squares = (self.corpus * self.corpus).sum(axis=1)
+        self.largest = squares.max(initial=0.0)
+        # Single precision sorts out; what is left is scored in double precision.
+        self.kind = np.float32 if self.largest < _NARROW else np.float64
+        if metric == "EUCLID":
+            side = np.column_stack([self.corpus, squares, np.ones(len(squares))])
+        else:
+            side = self.corpus
+        # By component for MANHATTAN, so that sums run along rows.
+        self.side = np.ascontiguousarray(side.T if metric == "MANHATTAN" else side, dtype=self.kind)
+
+
 class Scorer:
     """Costs (smaller is better) of corpus rows for a block of queries under one metric."""
 
@@ -78,29 +113,56 @@ class Scorer:
         self.queries = unit(queries) if metric == "COSINE" else queries
         self.sign = -1.0 if METRICS[metric] else 1.0
         self.squares = (self.queries * self.queries).sum(axis=1)
+        if metric == "EUCLID":
+            side = np.column_stack([-2.0 * self.queries, np.ones(len(queries)), self.squares])
+        else:
+            side = self.queries if metric == "MANHATTAN" else -self.queries
+        narrow = self.squares.max(initial=0.0) < _NARROW
+        self.sides = {np.float64: side, np.float32: side.astype(np.float32) if narrow else None}
 
-    def prepare(self, corpus: np.ndarray) -> np.ndarray:
-        return unit(corpus) if self.metric == "COSINE" else corpus
+    def kind(self, part: Part) -> type:
+        return part.kind if self.sides[part.kind] is not None else np.float64
 
-    def rough(self, corpus: np.ndarray) -> np.ndarray:
+    def rough(self, part: Part, some: np.ndarray | None = None) -> np.ndarray:
         """One row per query; in the order of the exact costs up to ``slack``. Squared for EUCLID."""
-        if self.metric == "MANHATTAN":
-            return np.stack([np.abs(corpus - q).sum(axis=1) for q in self.queries])
-        products = self.queries @ corpus.T
-        if self.metric == "EUCLID":
-            products *= -2.0
-            products += self.squares[:, None]
-            products += (corpus * corpus).sum(axis=1)
-            return products
-        return np.negative(products, out=products)
-
-    def rough_limit(self, cost: np.ndarray, corpus: np.ndarray) -> np.ndarray:
+        kind = self.kind(part)
+        asked, rows = self.sides[kind], part.side.astype(kind, copy=False)
+        if some is not None:
+            asked = asked[some]
+        if self.metric != "MANHATTAN":
+            return asked @ rows.T
+        found = np.empty((len(asked), rows.shape[1]), kind)
+        for at in range(0, rows.shape[1], _TAXI_STEP):
+            piece = np.ascontiguousarray(rows[:, at : at + _TAXI_STEP])
+            larger, twice = np.empty_like(piece), np.full(len(piece), 2, kind)
+            # |a - b| = 2 max(a, b) - a - b
+            for i, q in enumerate(asked[:, :, None]):
+                np.maximum(piece, q, out=larger)
+                found[i, at : at + _TAXI_STEP] = twice @ larger
+        found -= asked.sum(axis=1)[:, None]
+        found -= rows.sum(axis=0)
+        return found
+
+    def slack(self, part: Part) -> np.ndarray:
+        """Most that a rough cost of each query is off."""
+        size = 1.0 + self.squares + part.largest
+        if self.kind(part) is np.float64:
+            return 1e-9 * size
+        dim = self.queries.shape[1]
+        return 2.6e-7 * (dim + 4) * (np.sqrt(dim) if self.metric == "MANHATTAN" else 1.0) * size
+
+    def rough_limit(self, cost: np.ndarray, part: Part) -> np.ndarray:
         """Bound on rough costs that no row with an exact cost up to ``cost`` exceeds."""
         limit = cost + 2 * 10.0**-SCORE_DIGITS
+        return (limit * limit if self.metric == "EUCLID" else limit) + self.slack(part)
+
+    def kth_limit(self, rough: np.ndarray, part: Part, some: np.ndarray) -> np.ndarray:
+        """Bound on the rough costs of rows as good as one that has this rough cost."""
+        slack = self.slack(part)[some]
+        most = rough + slack
         if self.metric == "EUCLID":
-            limit = limit * limit
-        size = self.squares + (corpus * corpus).sum(axis=1).max(initial=0.0)
-        return limit + 1e-9 * (1.0 + size)
+            return (np.sqrt(np.maximum(most, 0.0)) + 2 * 10.0**-SCORE_DIGITS) ** 2 + slack
+        return most + 2 * 10.0**-SCORE_DIGITS + slack
 
     def exact(self, corpus: np.ndarray, query: np.ndarray) -> np.ndarray:
         """Rounded costs of (corpus row, query number) pairs."""
@@ -125,29 +187,46 @@ class BestK:
         self.query = np.zeros(0, dtype=np.int64)
         self.cost = np.zeros(0)
         self.id: np.ndarray | None = None
-
-    def add(self, ids: np.ndarray, corpus: np.ndarray) -> None:
-        corpus = self.scorer.prepare(corpus)
-        rough = self.scorer.rough(corpus)
-        near = rough <= self.scorer.rough_limit(self.worst, corpus)[:, None]
-        if len(ids) > self.k and np.count_nonzero(near) > 4 * self.k * len(self.worst):
+        self.waiting: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+        self.n_waiting = 0
+
+    def add(self, part: Part, some: np.ndarray | None = None, wanted: Callable[[np.ndarray, np.ndarray], np.ndarray] | None = None) -> None:
+        """Rows for all queries or ``some`` of them; ``wanted`` tells which pairs (query, row) count here."""
+        asked = np.arange(len(self.worst)) if some is None else some
+        rough = self.scorer.rough(part, some)
+        limit = self.scorer.rough_limit(self.worst, part)[asked]
+        near = rough <= _rounded_up(limit, rough.dtype)[:, None]
+        if len(part.ids) > self.k and np.count_nonzero(near) > 4 * self.k * len(asked):
             # Many rows would do so far: nothing worse than the batch's own k-th row can survive.
-            kth = np.partition(rough, self.k - 1, axis=1)[:, self.k - 1]
-            if self.scorer.metric == "EUCLID":
-                kth = np.sqrt(np.maximum(kth, 0.0)) + 1e-6 * (1.0 + np.sqrt(self.scorer.squares))
-            near &= rough <= self.scorer.rough_limit(kth, corpus)[:, None]
-        query, row = np.nonzero(near)
-        # Pairs go through in steps, so that very many ties do not blow up memory.
-        for at in range(0, len(row), _PAIR_STEP):
-            q, r = query[at : at + _PAIR_STEP], row[at : at + _PAIR_STEP]
-            self._merge(q, ids[r], self.scorer.exact(corpus[r], q))
-
-    def add_pairs(self, ids: np.ndarray, corpus: np.ndarray, query: np.ndarray, row: np.ndarray) -> None:
+            kth = np.partition(rough, self.k - 1, axis=1)[:, self.k - 1].astype(np.float64)
+            near &= rough <= _rounded_up(self.scorer.kth_limit(kth, part, asked), rough.dtype)[:, None]
+        query, row = np.divmod(np.flatnonzero(near), near.shape[1])
+        query = asked[query]
+        if wanted is not None and len(row):
+            good = wanted(query, row)
+            query, row = query[good], row[good]
+        self._pairs(part, query, row)
+
+    def add_pairs(self, part: Part, query: np.ndarray, row: np.ndarray) -> None:
         """The same for chosen pairs (query, row) only; no pair may come twice."""
-        corpus = self.scorer.prepare(corpus)
+        self._pairs(part, query, row)
+
+    def _pairs(self, part: Part, query: np.ndarray, row: np.ndarray) -> None:
+        # Pairs go through in steps, so that very many ties do not blow up memory.
         for at in range(0, len(row), _PAIR_STEP):
             q, r = query[at : at + _PAIR_STEP], row[at : at + _PAIR_STEP]
-            self._merge(q, ids[r], self.scorer.exact(corpus[r], q))
+            cost = self.scorer.exact(part.corpus[r], q)
+            good = cost <= self.worst[q]
+            self.waiting.append((q[good], part.ids[r[good]], cost[good]))
+            self.n_waiting += len(self.waiting[-1][0])
+            # A merge sorts all that is held, so it waits for as many.
+            if self.n_waiting > self.k * len(self.worst) or not np.isfinite(self.worst).all():
+                self._settle()
+
+    def _settle(self) -> None:
+        if self.n_waiting:
+            self._merge(*map(np.concatenate, zip(*self.waiting)))
+        self.waiting, self.n_waiting = [], 0
 
     def _merge(self, query: np.ndarray, ids: np.ndarray, cost: np.ndarray) -> None:
         query = np.concatenate([self.query, query])
@@ -159,9 +238,11 @@ class BestK:
         kept = order[rank < self.k]
         self.query, self.cost, self.id = query[rank < self.k], cost[kept], ids[kept]
         full = np.nonzero(np.bincount(self.query, minlength=len(self.worst)) == self.k)[0]
-        self.worst[full] = self.cost[np.searchsorted(self.query, full, side="right") - 1]
+        # A bound that was known before may be the better one.
+        self.worst[full] = np.minimum(self.worst[full], self.cost[np.searchsorted(self.query, full, side="right") - 1])
 
     def result(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        self._settle()
         ids = np.zeros(0, dtype=np.int64) if self.id is None else self.id
         return self.query, ids, self.scorer.sign * self.cost + 0.0
 
@@ -177,8 +258,9 @@ def _best_of(
     best = [BestK(query_vectors[at : at + _QUERY_STEP], k, metric) for at in steps]
     for ids, vectors in corpus_batches:
         if len(ids):
+            part = Part(ids, vectors, metric)
             for keeper in best:
-                keeper.add(ids, vectors)
+                keeper.add(part)
     found = []
     for at, keeper in zip(steps, best):
         query, ids, scores = keeper.result()
@@ -212,13 +294,16 @@ def _arrow_schema(schema: T.StructType) -> pa.Schema:
     return pa.schema([pa.field(f.name, kinds[f.dataType.simpleString()]) for f in schema.fields])
 
 
-def keep_best(hits: DataFrame, k: int, metric: str, id_col: str, query_col: str) -> DataFrame:
+def keep_best(hits: DataFrame, k: int, metric: str, id_col: str, query_col: str, few: bool = False) -> DataFrame:
     """The best ``k`` hits per query with ``rank`` from 1.
 
     In two rounds, so that the candidates of one query from very many tasks do
-    not meet in one task at first.
+    not meet in one task at first; in one if there are ``few`` of each query.
     """
     better = F.col("score").desc() if METRICS[metric] else F.col("score").asc()
+    if few:
+        final = Window.partitionBy(query_col).orderBy(better, F.col(id_col))
+        return hits.withColumn("rank", F.row_number().over(final)).filter(F.col("rank") <= k)
     salted = hits.withColumn("_salt", F.pmod(F.xxhash64(id_col), F.lit(_MERGE_SALTS)))
     first = Window.partitionBy(query_col, "_salt").orderBy(better, F.col(id_col))
     final = Window.partitionBy(query_col).orderBy(better, F.col(id_col))
@@ -252,8 +337,8 @@ def top_k(
         hits = _shared_queries(corpus, shared, k, metric, schema)
         max_rows = shared.num_rows * k
     else:
-        hits, compared = _blocked(corpus, queries, k, metric, schema)
-        return Found(keep_best(hits, k, metric, id_col, query_col), None, compared)
+        hits, compared, few = _blocked(corpus, queries, k, metric, schema)
+        return Found(keep_best(hits, k, metric, id_col, query_col, few), None, compared)
     return Found(keep_best(hits, k, metric, id_col, query_col), max_rows)
 
 
@@ -272,7 +357,7 @@ def _shared_queries(corpus: DataFrame, shared: pa.Table, k: int, metric: str, sc
     return corpus.mapInArrow(run, schema)
 
 
-def _blocked(corpus: DataFrame, queries: DataFrame, k: int, metric: str, schema: T.StructType) -> tuple[DataFrame, int]:
+def _blocked(corpus: DataFrame, queries: DataFrame, k: int, metric: str, schema: T.StructType) -> tuple[DataFrame, int, bool]:
     """Any number of queries: dealt to those blocks of the corpus that their bounds do not rule out.
 
     The corpus goes into blocks around centres learned from a sample, and every
@@ -285,18 +370,20 @@ def _blocked(corpus: DataFrame, queries: DataFrame, k: int, metric: str, schema:
     steps = Steps()
     blocks, dealt = _deal(corpus, metric, steps)
     if blocks is None:
-        return session.createDataFrame([], schema), 0
+        return session.createDataFrame([], schema), 0, True
+    # A query has up to k hits of each piece.
+    few = int(Shelves.of_blocks(blocks).pieces.sum()) <= _FEW_PIECES
     query_col, id_col = schema.names[:2]
     asked = steps.stage(queries.toDF(query_col, "vector"), "queries").withColumn("worst", F.lit(float("inf")))
     found, compared = _visit(dealt, asked, blocks, k, False, schema)
-    best = steps.stage(keep_best(found, k, metric, id_col, query_col), "best")
+    best = steps.stage(keep_best(found, k, metric, id_col, query_col, few), "best")
     sign = -1.0 if METRICS[metric] else 1.0
     reached = best.filter(F.col("rank") == k).select(query_col, (F.col("score") * sign).alias("worst"))
     bounded = asked.drop("worst").join(reached, query_col)
     rest, more = _visit(dealt, steps.stage(bounded, "bounded"), blocks, k, True, schema)
     hits = stage(best.drop("rank").unionByName(rest), "hits")
     steps.release()
-    return hits, compared + more
+    return hits, compared + more, few
 
 
 def _deal(corpus: DataFrame, metric: str, steps: Steps) -> tuple[Blocks | None, DataFrame]:
@@ -330,15 +417,43 @@ def _deal(corpus: DataFrame, metric: str, steps: Steps) -> tuple[Blocks | None,
     held, radius, norm = np.zeros(len(centres), np.int64), np.zeros(len(centres)), np.zeros(len(centres))
     for r in per_block.collect():
         held[r["block"]], radius[r["block"]], norm[r["block"]] = r["n"], r["radius"], r["norm"]
-    blocks = Blocks(metric, centres, held, radius, norm)
-    pieces = F.lit([int(p) for p in _pieces(held)])[F.col("block")]
-    piece = F.pmod(F.xxhash64("id"), pieces).cast("int")
-    return blocks, made.select("block", piece.alias("piece"), "id", "vector")
+    return Blocks(metric, centres, held, radius, norm), made.select("block", "id", "vector")
 
 
-def _pieces(rows: np.ndarray) -> np.ndarray:
-    """A block with very many rows, such as one of equal vectors, is held piece by piece."""
-    return np.maximum(1, -(-rows // PIECE_ROWS))
+@dataclass(frozen=True)
+class Shelves:
+    """Blocks that are held together: a query is sent to a shelf once, whichever of its blocks it visits.
+
+    ``order`` are the blocks by shelf, ``start`` where a shelf begins there, and
+    ``of`` and ``place`` the shelf of a block and its place within. A block with
+    very many rows, such as one of equal vectors, is a shelf of several pieces.
+    """
+
+    order: np.ndarray
+    start: np.ndarray
+    of: np.ndarray
+    place: np.ndarray
+    pieces: np.ndarray
+
+    @staticmethod
+    def of_blocks(blocks: Blocks) -> Shelves:
+        most = max(1, min(PIECE_ROWS, PIECE_BYTES // (8 * max(1, blocks.centres.shape[1]))))
+        # Near blocks stand together: in the order of their main direction.
+        gap = blocks.centres - blocks.centres.mean(axis=0)
+        order = np.argsort(gap @ np.linalg.eigh(gap.T @ gap)[1][:, -1], kind="stable")
+        of, place = np.zeros(len(order), np.int64), np.zeros(len(order), np.int64)
+        shelf, held, n = 0, 0, 0
+        for b in order:
+            if n and held + blocks.rows[b] > most:
+                shelf, held, n = shelf + 1, 0, 0
+            of[b], place[b] = shelf, n
+            held, n = held + blocks.rows[b], n + 1
+        rows = np.bincount(of, blocks.rows, shelf + 1)
+        return Shelves(order, np.flatnonzero(np.r_[True, np.diff(of[order]) > 0]), of, place, np.maximum(1, -(-rows // most)).astype(np.int64))
+
+    def visited(self, go: np.ndarray) -> np.ndarray:
+        """(queries, shelves) out of (queries, blocks)."""
+        return np.logical_or.reduceat(go[:, self.order], self.start, axis=1)
 
 
 def _prepared(vectors: np.ndarray, metric: str) -> np.ndarray:
@@ -348,13 +463,15 @@ def _prepared(vectors: np.ndarray, metric: str) -> np.ndarray:
 def _visit(dealt: DataFrame, asked: DataFrame, blocks: Blocks, k: int, later: bool, schema: T.StructType) -> tuple[DataFrame, int]:
     """Hits of the queries (id, vector, worst) in the blocks they visit first, or later on, and the pairs scored for it.
 
-    Pieces and the queries sent to them meet by a shuffle. A task holds one
-    piece, and the queries stream by; a block that very many queries ask has
-    copies of its pieces for groups of them.
+    Shelves and the queries sent to them meet by a shuffle, a query once per
+    shelf. A task holds one piece, and the queries stream by; a shelf that very
+    many queries ask has copies for groups of them.
     """
     query_col, id_col = schema.names[:2]
     sent = asked.sparkSession.sparkContext.broadcast(blocks)
     metric = blocks.metric
+    shelves = Shelves.of_blocks(blocks)
+    n_blocks, n_shelves = len(blocks.rows), len(shelves.pieces)
     arrow_schema = _arrow_schema(schema)
     id_kind, query_kind = schema[id_col].dataType, schema[query_col].dataType
 
@@ -367,50 +484,63 @@ def _visit(dealt: DataFrame, asked: DataFrame, blocks: Blocks, k: int, later: bo
             yield part, go
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(len(sent.value.rows), np.int64)
+        total = np.zeros(n_blocks + n_shelves, np.int64)
         for batch in batches:
             for _, go in routes(batch):
-                total += go.sum(axis=0)
+                total += np.r_[go.sum(axis=0), shelves.visited(go).sum(axis=0)]
         at = np.nonzero(total)[0]
-        yield pa.RecordBatch.from_arrays([pa.array(at.astype(np.int32)), pa.array(total[at])], names=["block", "n"])
+        yield pa.RecordBatch.from_arrays([pa.array(at.astype(np.int32)), pa.array(total[at])], names=["at", "n"])
 
-    visits = np.zeros(len(blocks.rows), np.int64)
-    for r in asked.mapInArrow(count, "block int, n bigint").groupBy("block").agg(F.sum("n").alias("n")).collect():
-        visits[r["block"]] = r["n"]
+    counted = np.zeros(n_blocks + n_shelves, np.int64)
+    for r in asked.mapInArrow(count, "at int, n bigint").groupBy("at").agg(F.sum("n").alias("n")).collect():
+        counted[r["at"]] = r["n"]
+    visits, calls = counted[:n_blocks], counted[n_blocks:]
     if not visits.any():
         return asked.sparkSession.createDataFrame([], schema), 0
 
     def route(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part, go in routes(batch):
-                query, block = np.nonzero(go)
+                query, shelf = np.nonzero(shelves.visited(go))
+                ends = np.r_[shelves.start[1:], n_blocks]
                 for at in range(0, len(query), _ROUTE_STEP):
-                    q, b = pa.array(query[at : at + _ROUTE_STEP]), block[at : at + _ROUTE_STEP].astype(np.int32)
-                    columns = [pa.array(b), *(c.take(q) for c in part.columns)]
-                    yield pa.RecordBatch.from_arrays(columns, names=["block", "query", "vector", "worst"])
-
-    vector_kind = "array<double>"
+                    q, s = query[at : at + _ROUTE_STEP], shelf[at : at + _ROUTE_STEP]
+                    # The blocks of the shelf that the query visits, a bit each.
+                    bits = [np.packbits(go[i, shelves.order[shelves.start[j] : ends[j]]]).tobytes() for i, j in zip(q, s)]
+                    columns = [pa.array(s.astype(np.int32)), pa.array(bits, pa.binary()), *(c.take(pa.array(q)) for c in part.columns)]
+                    yield pa.RecordBatch.from_arrays(columns, names=["shelf", "bits", "query", "vector", "worst"])
+
+    # Vectors of single precision are moved as such.
+    both = {dealt.schema["vector"].dataType.simpleString(), asked.schema["vector"].dataType.simpleString()}
+    vector_kind = "array<float>" if both == {"array<float>"} else "array<double>"
     routed = asked.select(query_col, F.col("vector").cast(vector_kind), "worst").mapInArrow(
-        route, f"block int, query {query_kind.simpleString()}, vector {vector_kind}, worst double"
+        route, f"shelf int, bits binary, query {query_kind.simpleString()}, vector {vector_kind}, worst double"
     )
-    groups = F.lit([int(g) for g in np.maximum(1, -(-visits // GROUP_QUERIES))])[F.col("block")]
-    pieces = F.lit([int(p) for p in _pieces(blocks.rows)])[F.col("block")]
+    copies = [_copies(int(n), int(shelves.pieces.sum())) for n in calls]
+    of_shelf = lambda values, at: F.lit([int(v) for v in values])[at]
+    groups, pieces = of_shelf(copies, F.col("shelf")), of_shelf(shelves.pieces, F.col("shelf"))
     queries = routed.select(
-        "block", F.explode(F.sequence(F.lit(0), pieces - 1)).alias("piece"),
+        "shelf", F.explode(F.sequence(F.lit(0), pieces - 1)).alias("piece"),
         F.pmod(F.xxhash64("query"), groups).cast("int").alias("group"), F.lit(1).alias("kind"),
-        F.lit(None).cast(id_kind).alias("id"), "query", "vector", "worst",
+        F.lit(None).cast("int").alias("place"), F.lit(None).cast(id_kind).alias("id"), "bits", "query", "vector", "worst",
     )
     wanted = F.lit([bool(v) for v in visits])[F.col("block")]
-    held = dealt.filter(wanted).select(
-        "block", "piece", F.explode(F.sequence(F.lit(0), groups - 1)).alias("group"), F.lit(0).alias("kind"),
-        "id", F.lit(None).cast(query_kind).alias("query"), F.col("vector").cast(vector_kind), F.lit(None).cast("double").alias("worst"),
+    held = dealt.filter(wanted).withColumn("shelf", of_shelf(shelves.of, F.col("block"))).select(
+        "shelf", F.pmod(F.xxhash64("id"), pieces).cast("int").alias("piece"),
+        F.explode(F.sequence(F.lit(0), groups - 1)).alias("group"), F.lit(0).alias("kind"),
+        of_shelf(shelves.place, F.col("block")).alias("place"), "id", F.lit(None).cast("binary").alias("bits"),
+        F.lit(None).cast(query_kind).alias("query"), F.col("vector").cast(vector_kind), F.lit(None).cast("double").alias("worst"),
     )
-    key = ["block", "piece", "group"]
-    # The rows of a piece come first, so that they are held when its queries come by.
-    together = held.unionByName(queries).repartition(*key).sortWithinPartitions(*key, "kind")
+    key = ["shelf", "piece", "group"]
+    # A task per key, as far as that goes; the rows of a piece come first, so that they are held when its queries come by.
+    keys_before = np.cumsum(np.r_[0, shelves.pieces * copies])
+    task = of_shelf(keys_before[:-1], F.col("shelf")) + F.col("piece") * of_shelf(copies, F.col("shelf")) + F.col("group")
+    tasks = int(min(keys_before[-1], MAX_TASKS))
+    dealt_out = held.unionByName(queries).withColumn("task", F.pmod(task, F.lit(tasks)).cast("int"))
+    together = dealt_out.repartitionById(tasks, "task").drop("task").sortWithinPartitions(*key, "kind", "place")
 
     def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        current, parts, piece = None, [], None
+        current, parts, held = None, [], None
         for batch in batches:
             if not batch.num_rows:
                 continue
@@ -419,26 +549,46 @@ def _visit(dealt: DataFrame, asked: DataFrame, blocks: Blocks, k: int, later: bo
             for start, stop in zip(edges[:-1], edges[1:]):
                 part, at = batch.slice(start, stop - start), tuple(keys[start])
                 if at[:3] != current:
-                    current, parts, piece = at[:3], [], None
+                    current, parts, held = at[:3], [], None
                 if at[3] == 0:
-                    parts.append((_labels(part.column(4)), _matrix(part.column(6))))
+                    parts.append((_labels(part.column(5)), _matrix(part.column(8)), part.column(4).to_numpy()))
                     continue
-                if not parts and piece is None:
-                    continue  # by chance no row of the block fell into this piece
-                if piece is None:
-                    piece, parts = tuple(map(np.concatenate, zip(*parts))), []
+                if not parts and held is None:
+                    continue  # by chance no row of the shelf fell into this piece
+                if held is None:
+                    held, parts = list(_by_place(parts, metric)), []
                 for first in range(0, part.num_rows, _QUERY_STEP):
                     some = part.slice(first, _QUERY_STEP)
-                    keeper = BestK(_matrix(some.column(6)), k, metric)
-                    keeper.worst = some.column(7).to_numpy().copy()
-                    for row in range(0, len(piece[0]), _ROW_STEP):
-                        keeper.add(piece[0][row : row + _ROW_STEP], piece[1][row : row + _ROW_STEP])
+                    keeper = BestK(_matrix(some.column(8)), k, metric)
+                    keeper.worst = some.column(9).to_numpy().copy()
+                    bits = np.frombuffer(b"".join(some.column(6).to_pylist()), np.uint8).reshape(some.num_rows, -1)
+                    go = np.unpackbits(bits, axis=1).astype(bool)
+                    for place, rows in held:
+                        asking = np.flatnonzero(go[:, place])
+                        if len(asking):
+                            keeper.add(rows, None if len(asking) == len(go) else asking)
                     query, ids, scores = keeper.result()
-                    yield from _hit_batches([(_labels(some.column(5))[query], ids, scores)], arrow_schema)
+                    yield from _hit_batches([(_labels(some.column(7))[query], ids, scores)], arrow_schema)
 
     return together.mapInArrow(meet, schema), int((visits * blocks.rows).sum())
 
 
+def _copies(queries: int, pieces: int) -> int:
+    """Copies of the pieces of a shelf, each for a group of its queries: few, but enough for some tasks."""
+    for_tasks = min(-(-TASKS // pieces), queries // _LEAST_QUERIES)
+    return max(1, -(-queries // GROUP_QUERIES), for_tasks)
+
+
+def _by_place(parts: list[tuple[np.ndarray, np.ndarray, np.ndarray]], metric: str) -> Iterator[tuple[int, Part]]:
+    """The rows of each block in steps; they come in the order of the blocks."""
+    ids, vectors, place = map(np.concatenate, zip(*parts))
+    edges = np.r_[0, np.flatnonzero(place[1:] != place[:-1]) + 1, len(place)]
+    for start, stop in zip(edges[:-1], edges[1:]):
+        for at in range(start, stop, _ROW_STEP):
+            rows = slice(at, min(at + _ROW_STEP, stop))
+            yield int(place[start]), Part(ids[rows], vectors[rows], metric)
+
+
 def with_payload(found: Found, corpus: DataFrame, id_col: str = "id", broadcast_rows: int = 500_000) -> DataFrame:
     """Hits joined with the corpus columns of their ids.
 

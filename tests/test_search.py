@@ -243,3 +243,55 @@ def test_retrieval(table):
     assert len(row.vector) == 256 and row.metadata == {"meta": "m", "page_content": "cats purr"}
     prompt = column(retrieve_prompts(points, queries.filter("query_id = 2"), embedder, n=1, template="{context}|{question}"), "prompt")
     assert prompt == ["rain falls|rain"]
+
+
+def _many(n, dim=8, seed=3):
+    rng = np.random.default_rng(seed)
+    return [(i, rng.standard_normal(dim).astype(np.float32).tolist()) for i in range(n)]
+
+
+def test_a_query_is_sent_to_a_shelf_once(table, monkeypatch):
+    # Directions are random: all blocks are visited, yet what is moved and handed on does not grow with the blocks.
+    monkeypatch.setattr(knn, "BLOCK_ROWS", 10)
+    rows = _many(400)
+    left, right = table(rows, "id int, vector array<float>"), table(rows, "query_id int, vector array<float>")
+    handed, visit = [], knn._visit
+
+    def counted(*given):
+        hits, compared = visit(*given)
+        handed.append(hits.count())
+        return hits, compared
+
+    monkeypatch.setattr(knn, "_visit", counted)
+    found = knn.top_k(left, right, 5, "DOT", max_shared_queries=0)
+    assert sorted(found.hits.collect()) == sorted(knn.top_k(left, right, 5, "DOT").hits.collect())
+    assert all(n <= 400 * 5 for n in handed)
+
+
+@pytest.mark.parametrize("metric", list(METRICS))
+@pytest.mark.parametrize("scale", [1.0, 1e-4, 1e9])
+def test_single_precision_only_sorts_out(metric, scale):
+    rng = np.random.default_rng(12)
+    rows, asked = scale * rng.standard_normal((900, 24)), scale * rng.standard_normal((7, 24))
+    rows[100:110] = rows[0]
+    keeper = knn.BestK(asked, 9, metric)
+    for at in range(0, 900, 100):
+        keeper.add(knn.Part(np.arange(at, at + 100), rows[at : at + 100], metric))
+    query, ids, _ = keeper.result()
+    scorer = knn.Scorer(metric, asked)
+    corpus = knn._prepared(rows, metric)
+    for q in range(7):
+        cost = scorer.exact(corpus, np.full(900, q))
+        assert ids[query == q].tolist() == np.lexsort((np.arange(900), cost))[:9].tolist()
+
+
+def test_queries_and_rows_meet_by_code(table, monkeypatch):
+    monkeypatch.setattr(knn, "PIECE_ROWS", 20)
+    monkeypatch.setattr(knn, "GROUP_QUERIES", 15)
+    rows = [*_many(300, 16), (1000, [0.0] * 16), (1001, [0.0] * 16)]
+    left, right = table(rows, "id int, vector array<float>"), table(rows, "query_id int, vector array<float>")
+    shared = ann.approximate_top_k(left, right, 6, dim=16, bits=3, tables=4)
+    by_code = ann.approximate_top_k(left, right, 6, dim=16, bits=3, tables=4, block=10)
+    assert sorted(by_code.collect()) == sorted(shared.collect())
+    # One pass, not one per block of queries.
+    assert by_code._jdf.queryExecution().analyzed().toString().count("RepartitionByExpression") == 1
