@@ -16,11 +16,11 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from shelfmark.functions.vectors import resolve_metric
 from shelfmark.operators import knn
 from shelfmark.operators.knn import BestK, Part
-from shelfmark.session import Steps
 
 # Corpus rows that a code should stand for, when the number of bits is left open.
 ROWS_PER_CODE = 64
@@ -57,8 +57,8 @@ def approximate_top_k(
     """``query_col, id_col, score, rank`` among the corpus rows that share the code of some table with the query.
 
     Recall grows with ``tables`` and falls with ``bits``, which follow from the
-    number of corpus rows unless given; the scores are exact. Queries are sent
-    to the tasks in blocks of ``block``, each with one pass over the corpus.
+    number of corpus rows unless given; the scores are exact. Up to ``block``
+    queries are sent to all tasks; more of them meet the rows by code.
     """
     if tables < 1 or (bits is not None and not 1 <= bits <= 62):
         raise ValueError("bits must be within 1..62 and tables positive")
@@ -89,22 +89,103 @@ def approximate_top_k(
 
         return corpus.mapInArrow(run, schema)
 
-    steps = Steps()
     first = queries.limit(block + 1).toArrow()
     if first.num_rows == 0:
         return corpus.sparkSession.createDataFrame([], schema).withColumn("rank", F.lit(0))
     if first.num_rows <= block and first.nbytes <= knn.MAX_SHARED_BYTES:
         return knn.keep_best(search(first), k, metric, id_col, query_col)
-    # Blocks by a hash of the id; each is read from the shared folder when its turn comes.
-    n = 2 * -(-queries.count() // block)
-    cut = steps.stage(queries.withColumn("_b", F.pmod(F.xxhash64(query_col), F.lit(n)).cast("int")), "queries")
-    hits = None
-    for b in range(n):
-        asked = cut.filter(F.col("_b") == b).drop("_b").toArrow()
-        if asked.num_rows:
-            part = knn.keep_best(search(asked), k, metric, id_col, query_col)
-            hits = part if hits is None else hits.unionByName(part)
-    return hits
+    return knn.keep_best(_by_bucket(corpus, queries, k, metric, sides, tables, schema), k, metric, id_col, query_col)
+
+
+def _by_bucket(
+    corpus: DataFrame, queries: DataFrame, k: int, metric: str, sides: np.ndarray, tables: int, schema: T.StructType
+) -> DataFrame:
+    """Rows and queries meet by (table, code), so each is moved once per table, whatever their number.
+
+    A bucket is scored by matrix products. A pair that agrees on several
+    tables counts in the first of them. Large buckets are held in pieces, and
+    have copies for groups of queries.
+    """
+    query_col, id_col = schema.names[:2]
+    id_kind, query_kind = schema[id_col].dataType, schema[query_col].dataType
+    arrow_schema = knn._arrow_schema(schema)
+    float_only = {corpus.dtypes[1][1], queries.dtypes[1][1]} == {"array<float>"}
+    vector_kind = "array<float>" if float_only else "array<double>"
+
+    def coded(rows: DataFrame) -> DataFrame:
+        """``key, vector, codes, table, code``: a row per table."""
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                if batch.num_rows:
+                    found = codes(knn._matrix(batch.column(1)), sides, tables)
+                    ends = pa.array(np.arange(0, found.size + 1, tables, dtype=np.int32))
+                    lists = pa.ListArray.from_arrays(ends, pa.array(found.ravel()))
+                    yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), lists], names=["key", "vector", "codes"])
+
+        named = rows.toDF("key", "vector").withColumn("vector", F.col("vector").cast(vector_kind))
+        kind = named.schema["key"].dataType.simpleString()
+        made = named.mapInArrow(run, f"key {kind}, vector {vector_kind}, codes array<bigint>")
+        return made.select("*", F.posexplode_outer("codes").alias("table", "code"))
+
+    on = ["table", "code"]
+    most = max(1, min(knn.PIECE_ROWS, knn.PIECE_BYTES // (8 * max(1, sides.shape[1]))))
+
+    def parts(rows: DataFrame, most: int, name: str) -> DataFrame:
+        """Buckets with more than ``most`` rows, and the parts they come in."""
+        return rows.groupBy(*on).agg(F.ceil(F.count("*") / F.lit(most)).cast("int").alias(name)).filter(F.col(name) > 1)
+
+    left, right = coded(corpus), coded(queries)
+    pieces, groups = parts(left, most, "pieces"), parts(right, knn.GROUP_QUERIES, "groups")
+    cut = pieces.join(groups, on, "full").cache()
+    one = lambda name: F.coalesce(F.col(name), F.lit(1))
+    all_of = lambda name: F.explode(F.sequence(F.lit(0), one(name) - 1))
+    mine = lambda name: F.pmod(F.xxhash64("key"), one(name)).cast("int")
+    held = left.join(F.broadcast(cut), on, "left").select(
+        *on, mine("pieces").alias("piece"), all_of("groups").alias("group"), F.lit(0).alias("kind"),
+        F.col("key").alias("id"), F.lit(None).cast(query_kind).alias("query"), "vector", "codes",
+    )
+    asked = right.join(F.broadcast(cut), on, "left").select(
+        *on, all_of("pieces").alias("piece"), mine("groups").alias("group"), F.lit(1).alias("kind"),
+        F.lit(None).cast(id_kind).alias("id"), F.col("key").alias("query"), "vector", "codes",
+    )
+    key = [*on, "piece", "group"]
+    together = held.unionByName(asked).repartition(*key).sortWithinPartitions(*key, "kind")
+
+    def listed(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
+        return knn._matrix(batch.column(7)), batch.column(8).flatten().to_numpy().reshape(-1, tables)
+
+    def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        current, parts, held = None, [], None
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            keys = np.stack([batch.column(i).to_numpy() for i in range(5)], axis=1)
+            edges = np.r_[0, np.nonzero((keys[1:] != keys[:-1]).any(axis=1))[0] + 1, len(keys)]
+            for start, stop in zip(edges[:-1], edges[1:]):
+                part, at = batch.slice(start, stop - start), tuple(keys[start])
+                if at[:4] != current:
+                    current, parts, held = at[:4], [], None
+                if at[4] == 0:
+                    parts.append((knn._labels(part.column(5)), *listed(part)))
+                    continue
+                if not parts and held is None:
+                    continue
+                if held is None:
+                    ids, rows, row_codes = map(np.concatenate, zip(*parts))
+                    steps = [slice(i, i + knn._ROW_STEP) for i in range(0, len(ids), knn._ROW_STEP)]
+                    held, parts = [(Part(ids[s], rows[s], metric), row_codes[s, : at[0]]) for s in steps], []
+                for first in range(0, part.num_rows, knn._QUERY_STEP):
+                    some = part.slice(first, knn._QUERY_STEP)
+                    vectors, query_codes = listed(some)
+                    best = BestK(vectors, k, metric)
+                    for rows, before in held:
+                        # In an earlier table the two have met already.
+                        best.add(rows, None, lambda q, r: (query_codes[q, : at[0]] != before[r]).all(axis=1))
+                    query, found, scores = best.result()
+                    yield from knn._hit_batches([(knn._labels(some.column(6))[query], found, scores)], arrow_schema)
+
+    return together.mapInArrow(meet, schema)
 
 
 def _by_code(column: np.ndarray) -> dict[int, np.ndarray]:
