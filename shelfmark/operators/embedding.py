@@ -9,13 +9,19 @@ from itertools import chain
 from typing import Protocol
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from shelfmark.functions.text import word_text
 
 
+# Texts that are Python strings at a time, about.
+SLICE_TEXTS = 256
+
+_VECTOR = pa.list_(pa.float32())
+
+
 class Embedder(Protocol):
     """What a model has to offer. ``embed`` runs inside Spark tasks."""
 
@@ -149,16 +155,28 @@ def _unit(vectors: np.ndarray) -> np.ndarray:
     return np.divide(vectors, lengths, out=np.zeros_like(vectors), where=lengths > 0)
 
 
+def _slices(texts: pa.Array, embedder: Embedder) -> Iterator[list[str]]:
+    """Texts of an Arrow batch in whole model batches, so that few of them are Python strings at a time."""
+    size = getattr(embedder, "batch_size", None) or SLICE_TEXTS
+    step = size * -(-SLICE_TEXTS // size)
+    for at in range(0, len(texts), step):
+        yield [t or "" for t in texts.slice(at, step).to_pylist()]
+
+
+def _lists(vectors: np.ndarray) -> pa.Array:
+    ends = np.arange(0, vectors.size + 1, vectors.shape[1], dtype=np.int32)
+    return pa.ListArray.from_arrays(pa.array(ends), pa.array(vectors.astype(np.float32).ravel()))
+
+
 def embed_column(text: Column, embedder: Embedder) -> Column:
     """``array<float>`` vectors of a text column; Arrow batches, one model per worker."""
 
-    @F.pandas_udf("array<float>")
-    def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for texts in batches:
-            vectors = embedder.embed(texts.fillna("").tolist()).astype(np.float32)
-            yield pd.Series(list(vectors))
+            parts = [_lists(embedder.embed(some)) for some in _slices(texts, embedder)]
+            yield pa.concat_arrays(parts) if parts else pa.array([], _VECTOR)
 
-    return run(embedder.prepare(text))
+    return F.arrow_udf(run, "array<float>")(embedder.prepare(text))
 
 
 def embed_column_safely(text: Column, embedder: Embedder) -> Column:
@@ -174,9 +192,13 @@ def embed_column_safely(text: Column, embedder: Embedder) -> Column:
         half = len(texts) // 2
         return isolated(texts[:half]) + isolated(texts[half:])
 
-    @F.pandas_udf("struct<vector: array<float>, error: string>")
-    def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for texts in batches:
-            yield pd.DataFrame(isolated(texts.fillna("").tolist()) if len(texts) else [], columns=["vector", "error"])
-
-    return run(embedder.prepare(text))
+            vectors, errors = [pa.array([], _VECTOR)], []
+            for some in _slices(texts, embedder):
+                found = isolated(some)
+                vectors.append(pa.array([v for v, _ in found], _VECTOR))
+                errors += [e for _, e in found]
+            yield pa.StructArray.from_arrays([pa.concat_arrays(vectors), pa.array(errors, pa.string())], names=["vector", "error"])
+
+    return F.arrow_udf(run, "struct<vector: array<float>, error: string>")(embedder.prepare(text))

@@ -5,7 +5,7 @@ import os
 import numpy as np
 from pyspark.sql import functions as F
 
-from shelfmark.operators.embedding import HashedEmbedder, ModelEmbedder, embed_column
+from shelfmark.operators.embedding import HashedEmbedder, ModelEmbedder, embed_column, embed_column_safely
 from shelfmark.operators.points import to_points
 from shelfmark.plans.textvectors import TextVectors
 
@@ -72,3 +72,20 @@ def test_points_from_known_vectors(spark, table, tmp_path):
     assert sorted(map(repr, to_points(chunks, model, known=known).collect())) == sorted(map(repr, to_points(chunks, model).collect()))
     again = to_points(chunks, model, isolate=True, known=known)
     assert again.filter("error is null").count() == 4 and known.stored().count() == 2
+
+
+def test_few_texts_are_held_at_a_time(spark):
+    class Bounded(HashedEmbedder):
+        """Fails if it is given all the texts of a batch at once."""
+
+        def embed(self, texts):
+            if len(texts) > 400:
+                raise ValueError(f"{len(texts)} texts")
+            return super().embed(texts)
+
+    rows = spark.range(0, 1500, 1, 1).selectExpr("id", "if(id % 7 = 0, null, concat('word', id % 11)) as text")
+    plain, safe = embed_column(F.col("text"), Bounded(8)).alias("v"), embed_column_safely(F.col("text"), Bounded(8)).alias("e")
+    wanted = HashedEmbedder(8).embed([f"word{i % 11}" if i % 7 else "" for i in range(1500)]).tolist()
+    made = rows.select("id", plain, safe).orderBy("id").collect()
+    assert [[round(x, 5) for x in r.v] for r in made] == [[round(x, 5) for x in w] for w in wanted]
+    assert all(r.e.vector == r.v and r.e.error is None for r in made)
