@@ -6,7 +6,7 @@ import time
 from collections.abc import Iterator, Sequence
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -24,6 +24,16 @@ DISTANCE_DIGITS = 9
 
 _SPAN = "struct<first: int, n: int, start_index: int>"
 _SPLIT = f"struct<spans: array<{_SPAN}>, seconds: double, timed_out: boolean, error: string>"
+_SPLIT_TYPE = pa.struct(
+    [
+        ("spans", pa.list_(pa.struct([("first", pa.int32()), ("n", pa.int32()), ("start_index", pa.int32())]))),
+        ("seconds", pa.float64()),
+        ("timed_out", pa.bool_()),
+        ("error", pa.string()),
+    ]
+)
+# Pages whose sentences are Python strings at a time.
+_SLICE_PAGES = 32
 
 
 def fixed_windows(text: Column, size: int, overlap: int) -> Column:
@@ -91,32 +101,36 @@ def _split_column(
         breaks = np.append(distances > limit, False)
         return merge_spans(sizes, breaks, params.min_chunk_size), time.monotonic() - began, False
 
-    @F.pandas_udf(_SPLIT)
-    def run(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
+    def rows_of(texts: pa.Array, sizes: pa.Array, limited: LimitedCalls) -> Iterator[tuple]:
+        # Few pages at a time are Python strings.
+        for at in range(0, len(texts), _SLICE_PAGES):
+            some = texts.slice(at, _SLICE_PAGES).to_pylist(), sizes.slice(at, _SLICE_PAGES).to_pylist()
+            for parts, counts in zip(*some):
+                if parts is None:
+                    yield None, 0.0, False, None
+                    continue
+                try:
+                    spans, spent, late = split(parts, counts, limited)
+                except Exception as exc:
+                    if not isolate:
+                        raise
+                    yield None, 0.0, False, f"{type(exc).__name__}: {exc}"
+                    continue
+                named = spans and [{"first": a, "n": n, "start_index": s} for a, n, s in spans]
+                yield named, spent, late, None
+
+    def run(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
         # With a limit, the model runs in a process of its own, which can be ended.
         limited = LimitedCalls(distances_of, getattr(embedder, "load", lambda: None))
         try:
             for texts, sizes in batches:
-                rows = []
-                for parts, counts in zip(texts, sizes):
-                    if parts is None:
-                        rows.append((None, 0.0, False, None))
-                        continue
-                    try:
-                        spans, spent, late = split(list(parts), counts.tolist(), limited)
-                    except Exception as exc:
-                        if not isolate:
-                            raise
-                        rows.append((None, 0.0, False, f"{type(exc).__name__}: {exc}"))
-                        continue
-                    named = spans and [{"first": a, "n": n, "start_index": s} for a, n, s in spans]
-                    rows.append((named, spent, late, None))
-                yield pd.DataFrame(rows, columns=["spans", "seconds", "timed_out", "error"])
+                rows = [dict(zip(_SPLIT_TYPE.names, row)) for row in rows_of(texts, sizes, limited)]
+                yield pa.array(rows, _SPLIT_TYPE)
         finally:
             limited.close()
 
     prepared = F.transform(found, lambda s: embedder.prepare(s))
-    return run(prepared, lengths)
+    return F.arrow_udf(run, _SPLIT)(prepared, lengths)
 
 
 def semantic_pieces(
