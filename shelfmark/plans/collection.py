@@ -6,7 +6,7 @@ Layout below one root, with a single writer:
     collection/            one row: vector size and distance
     commits/               one row per finished write; ``base`` is the first segment that counts
     data/segment=<n>/      points
-    text/segment=<n>/      full-text postings
+    words/segment=<n>/     full-text index; segments from before it have theirs in text/, a row per posting
     removed/segment=<n>/   ids whose points in earlier segments no longer count
     members/segment=<n>/   filters of its ids and items, so that a write opens only segments that may hold what it replaces
     cells/at=<n>/          vector index of the points that counted after segment n
@@ -15,7 +15,7 @@ Layout below one root, with a single writer:
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from datetime import datetime, timezone
 
 from pyspark.sql import Column, DataFrame, Row, SparkSession, Window
@@ -26,12 +26,12 @@ from shelfmark.functions.vectors import resolve_metric
 from shelfmark.operators.joins import narrow_join
 from shelfmark.operators.knn import keep_best, top_k
 from shelfmark.operators.points import with_content
-from shelfmark.operators.textindex import WRITER_TEXTS, lexical_match, postings, write_index
+from shelfmark.operators.textindex import LISTS, WRITER_TEXTS, lexical_match, open_lists, query_words, write_lists
 from shelfmark.plans.membership import FILTER, build_filter, may_hold
 from shelfmark.plans.rankedindex import RankedIndex, fused
 from shelfmark.plans.vectorindex import RECALL, VectorIndex
-from shelfmark.schemas import POINTS
-from shelfmark.session import drop_path, empty, list_names, path_exists
+from shelfmark.schemas import DOC_KEYS, POINTS
+from shelfmark.session import drop_path, empty, list_names, path_exists, stage
 
 _COLLECTION = "name string, vector_size int, distance string"
 _COMMITS = "segment bigint, base bigint, n_points bigint, n_removed bigint, created_at string, filtered boolean"
@@ -126,14 +126,24 @@ class Collection:
         live = self._live(POINTS.fieldNames()).drop("segment")
         return live.withColumn("payload", with_content(F.col("payload"), F.col("page_content")))
 
-    def text_index(self) -> DataFrame:
-        """Postings ``token, id, bucket`` of all current points; every write indexes what it brings."""
+    def text_index(self, wanted: DataFrame | None = None) -> DataFrame:
+        """Postings ``token, id, bucket`` of all current points; every write indexes what it brings.
+
+        With ``wanted`` (distinct ``token``) those of these words alone, which
+        is far cheaper: ids are looked up for them only.
+        """
         totals = self._totals()
-        return self._without_removed(self._stored("text", _POSTINGS, totals), totals).drop("segment")
+        found = open_lists(self._stored("words", f"{LISTS}, bucket int", totals), ["segment"], wanted)
+        if path_exists(self.spark, f"{self.root}/text"):
+            former = self._stored("text", _POSTINGS, totals)
+            if wanted is not None:
+                former = narrow_join(former, wanted, ["token"], ["id"], "left_semi")
+            found = found.unionByName(former)
+        return self._without_removed(found, totals).drop("segment")
 
     def search_text(self, queries: DataFrame, mode: str = "and", k: int | None = None) -> DataFrame:
         """Lexical matches among the current points, see ``lexical_match``."""
-        return lexical_match(self.text_index(), queries, mode, k=k)
+        return lexical_match(self.text_index(query_words(queries)), queries, mode, k=k)
 
     def index_vectors(self, cells: int | None = None, recall: float = RECALL) -> None:
         """Build the vector index of the current points; later writes are searched beside it until the next one."""
@@ -187,17 +197,53 @@ class Collection:
         """
         self.ensure_ready()
         totals = self._totals()
+        self._write_points(points, totals.last + 1)
+        return self._index_and_commit(totals, totals.last + 1, replace_by, now)
+
+    def upsert_sound(
+        self, points: DataFrame, replace_by: Sequence[str] | None = None, now: datetime | None = None,
+        keep: Callable[[DataFrame, str], DataFrame] = stage,
+    ) -> DataFrame:
+        """``upsert`` of points with an ``error``: a document with an error gets none of its points.
+
+        Returns these documents and one of their errors (``qid, component,
+        error``), written by ``keep``. The points are computed and written
+        once; only if there are such documents, the others are copied.
+        """
+        self.ensure_ready()
+        totals = self._totals()
         segment = totals.last + 1
-        checked = points.select(*[F.col(f.name).cast(f.dataType) for f in POINTS.fields])
-        checked = checked.withColumn("vector", self._checked_vector(F.col("vector")))
+        written = self._write_points(points, segment)
+        failed = written.filter(F.col("error").isNotNull()).groupBy(*DOC_KEYS).agg(F.min("error").alias("error"))
+        failed = keep(failed, "rejected")
+        if not failed.isEmpty():
+            sound = narrow_join(written, failed.select(*DOC_KEYS), DOC_KEYS, ["id"], "left_anti").drop("error")
+            self._write_points(sound, segment + 1)
+            drop_path(self.spark, self._data(segment))
+            segment += 1
+        self._index_and_commit(totals, segment, replace_by, now)
+        return failed
+
+    def _data(self, segment: int) -> str:
+        return f"{self.root}/data/segment={segment}"
+
+    def _write_points(self, points: DataFrame, segment: int) -> DataFrame:
+        """Points as written to a segment that does not count yet, with their ``error`` if they have one."""
+        fields = [*POINTS.fields, *[f for f in points.schema.fields if f.name == "error"]]
+        checked = points.select(*[F.col(f.name).cast(f.dataType) for f in fields])
+        vector = self._checked_vector(F.col("vector"))
+        if "error" in points.columns:
+            vector = F.when(F.col("error").isNull(), vector)
         bare = F.map_filter("payload", lambda key, _: key != "page_content")
-        checked = checked.withColumn("payload", bare)
-        data = f"{self.root}/data/segment={segment}"
-        checked.write.mode("overwrite").parquet(data)
-        written = self.spark.read.schema(POINTS).parquet(data)
+        checked = checked.withColumns({"vector": vector, "payload": bare})
+        checked.write.mode("overwrite").parquet(self._data(segment))
+        return self.spark.read.schema(T.StructType(fields)).parquet(self._data(segment))
+
+    def _index_and_commit(self, totals: Row, segment: int, replace_by: Sequence[str] | None, now: datetime | None) -> int:
+        written = self.spark.read.schema(POINTS).parquet(self._data(segment))
         # The commit comes last: a reader sees points and postings of a segment together.
         n_points = written.count()
-        write_index(postings(written), f"{self.root}/text/segment={segment}", writers=-(-n_points // WRITER_TEXTS))
+        self._write_words(written, segment, n_points)
         self._write_members(written, segment, n_points)
         n_removed = 0
         if totals.last >= 0:
@@ -209,6 +255,9 @@ class Collection:
         self._commit(segment, totals.base, n_points, n_removed, now)
         return n_points
 
+    def _write_words(self, written: DataFrame, segment: int, n_points: int) -> None:
+        write_lists(written, f"{self.root}/words/segment={segment}", writers=-(-n_points // WRITER_TEXTS))
+
     def _commit(self, segment: int, base: int, n_points: int, n_removed: int, now: datetime | None = None) -> None:
         row = (segment, base, n_points, n_removed, (now or datetime.now(timezone.utc)).isoformat(), True)
         self.spark.createDataFrame([row], _COMMITS).coalesce(1).write.mode("append").parquet(f"{self.root}/commits")
@@ -258,15 +307,15 @@ class Collection:
         """Rewrite the current points as one segment, so that readers have nothing to leave out."""
         totals = self._totals()
         segment = totals.last + 1
-        data = f"{self.root}/data/segment={segment}"
+        data = self._data(segment)
         self._live(POINTS.fieldNames()).drop("segment").write.mode("overwrite").parquet(data)
         written = self.spark.read.schema(POINTS).parquet(data)
         n_points = written.count()
-        write_index(postings(written), f"{self.root}/text/segment={segment}", writers=-(-n_points // WRITER_TEXTS))
+        self._write_words(written, segment, n_points)
         self._write_members(written, segment, n_points)
         # The commit moves the base; until then readers see the former segments.
         self._commit(segment, segment, n_points, 0)
-        for name in ("data", "removed", "text", "members"):
+        for name in ("data", "removed", "text", "words", "members"):
             for old in range(totals.base, segment):
                 drop_path(self.spark, f"{self.root}/{name}/segment={old}")
 

@@ -74,9 +74,10 @@ def embed_backlog(
     without any text gets no status either: both are tried again by the next
     run. With ``known``, texts of chunks that it holds are not embedded again.
 
-    Pages, their pieces and the points are written to the work folder once
-    each, since several later steps read them; points are stored before the status, and their ids
-    are deterministic, so a run that broke off can simply be started again.
+    Pages and their pieces are written to the work folder once each, since
+    several later steps read them, and points to the collection alone; points
+    are stored before the status, and their ids are deterministic, so a run
+    that broke off can simply be started again.
     """
     moment = now or datetime.now(timezone.utc)
     steps = Steps()
@@ -101,11 +102,9 @@ def embed_backlog(
 
     before = collection.size() if collection.exists() else 0
     collection.ensure(embedder.dim)
-    points = stage(to_points(chunks, embedder, id_cols, prefix_rules, True, False, known), "points")
-    unembedded = _failed(points)
+    points = to_points(chunks, embedder, id_cols, prefix_rules, True, False, known)
     # A document gets all of its points or none.
-    points = _without(points, unembedded, ["id"]).drop("error")
-    collection.upsert(points, id_cols if replace_document else None, moment)
+    unembedded = collection.upsert_sound(points, id_cols if replace_document else None, moment, stage)
 
     chunked = in_time.filter(F.size("pieces") > 0).select(*DOC_KEYS).distinct()
     done = _without(chunked, unembedded, DOC_KEYS).withColumn("status", F.lit(STATUS_OK))

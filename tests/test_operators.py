@@ -250,3 +250,29 @@ def test_postings_are_stored_where_their_texts_are(spark, tmp_path):
     textindex.write_index(textindex.postings(made), str(tmp_path / "few"), writers=1)
     files = {r[0] for r in spark.read.parquet(str(tmp_path / "few")).select(F.input_file_name()).collect()}
     assert len(files) == stored.select("bucket").distinct().count()
+
+
+def test_lists_hold_the_postings(spark, table, tmp_path):
+    made = [(f"d{i}", " ".join(f"w{j}" for j in range(i % 7))) for i in range(60)] + [("none", None), ("dots", "..."), ("twice", "w1"), ("twice", "w1")]
+    docs = table(made, "id string, page_content string").repartition(3)
+    path = str(tmp_path / "lists")
+    textindex.write_lists(docs, path, most=20)
+    stored = spark.read.schema(f"{textindex.LISTS}, bucket int").parquet(path)
+    plain = rows(textindex.postings(docs), "token", "id")
+    assert rows(textindex.open_lists(stored), "token", "id") == plain
+    some = table([("w1",), ("w5",), ("elsewhere",)], "token string")
+    assert rows(textindex.open_lists(stored, wanted=some), "token", "id") == [p for p in plain if p[0] in ("w1", "w5")]
+    # A part is bounded, an id is stored once per part, and a word once per part.
+    assert stored.groupBy("part").agg(F.sum(F.greatest(F.size("texts"), F.lit(0))).alias("n")).agg(F.max("n")).first()[0] <= 20
+    assert stored.filter("token is not null").groupBy("part", "token").count().filter("count > 1").count() == 0
+    assert stored.filter("ids is not null").selectExpr("explode(ids)").count() == sum(1 for _, t in made if t and t.strip("."))
+    textindex.write_lists(docs.filter("id = 'none'"), str(tmp_path / "empty"))
+    assert textindex.open_lists(spark.read.schema(f"{textindex.LISTS}, bucket int").parquet(str(tmp_path / "empty"))).count() == 0
+
+
+def test_a_text_of_many_words_stands_alone(table, spark, tmp_path):
+    docs = table([("a", "x y"), ("b", "p q r s t u"), ("c", "x")], "id string, page_content string").coalesce(1)
+    textindex.write_lists(docs, str(tmp_path / "lists"), most=3)
+    stored = spark.read.schema(f"{textindex.LISTS}, bucket int").parquet(str(tmp_path / "lists"))
+    assert [sorted(r.ids) for r in stored.filter("ids is not null").orderBy("part").collect()] == [["a"], ["b"], ["c"]]
+    assert rows(textindex.open_lists(stored), "token", "id") == rows(textindex.postings(docs), "token", "id")

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from shelfmark.operators.embedding import HashedEmbedder, ModelEmbedder, row_embedder
 from shelfmark.operators.limits import LimitedCalls, OverTime
-from shelfmark.operators.textindex import lookup
+from shelfmark.operators.textindex import lookup, postings, write_index
 from shelfmark.plans.collection import Collection, added_points
 from shelfmark.plans.embed import embed_backlog
 from shelfmark.plans.planning import plan_packages
@@ -120,6 +120,27 @@ def test_text_index_follows_the_points(spark, collection):
     assert rows(collection.search_text(asked, "or", 1), "query_id", "id", "rank") == [(1, "a", 1), (2, "b", 1)]
 
 
+def test_text_index_is_stored_as_lists(spark, collection):
+    collection.ensure(1)
+    collection.upsert(points(spark, [(f"p{i}", "Q1", "c", [1.0], "red fox") for i in range(50)]))
+    assert spark.read.parquet(f"{collection.root}/words").count() < collection.text_index().count() == 100
+
+
+def test_text_index_of_former_segments(spark, collection):
+    """A segment from before there were lists has a row per posting."""
+    collection.ensure(1)
+    collection.upsert(points(spark, [("a", "Q1", "c", [1.0], "red fox"), ("b", "Q1", "c", [1.0], "red hen")]))
+    os.rename(f"{collection.root}/words", f"{collection.root}/words-gone")
+    write_index(postings(collection.points()), f"{collection.root}/text/segment=0")
+    assert rows(collection.text_index(), "token", "id") == [("fox", "a"), ("hen", "b"), ("red", "a"), ("red", "b")]
+    collection.upsert(points(spark, [("a", "Q1", "c", [1.0], "blue fox")]))
+    asked = spark.createDataFrame([(1, "red"), (2, "fox")], "query_id int, text string")
+    assert rows(collection.search_text(asked), "query_id", "id") == [(1, "b"), (2, "a")]
+    assert rows(collection.text_index(), "token", "id") == [("blue", "a"), ("fox", "a"), ("hen", "b"), ("red", "b")]
+    collection.compact()
+    assert rows(collection.text_index(), "token", "id") == [("blue", "a"), ("fox", "a"), ("hen", "b"), ("red", "b")]
+
+
 def test_collection_distance(spark, tmp_path):
     made = Collection(spark, str(tmp_path), "c", "manhattan")
     made.ensure(3)
@@ -214,6 +235,23 @@ def test_documents_the_model_rejects(spark, collection):
     assert collection.points().count() == 1
 
 
+def test_points_are_written_once(spark, collection):
+    run = embed(spark, collection, [("a.txt", b"one\x0ctwo"), ("b.txt", b"three")], id_cols=("qid", "component"))
+    assert collection.size() == 3 and list_names(spark, f"{collection.root}/data") == ["segment=0"]
+    # No step holds vectors: they are in the collection alone.
+    assert not any("vector" in spark.read.parquet(path).columns for _, path in run.steps._staged)
+
+
+def test_documents_the_model_rejects_leave_nothing(spark, collection):
+    """The others are copied to a segment of their own, and the next write goes on from there."""
+    model = row_embedder(lambda text: [1.0, 1 / ("bad" not in text)], 2)
+    embed(spark, collection, [("a.txt", b"bad"), ("b.txt", b"good")], embedder=model, id_cols=("qid", "component"))
+    assert list_names(spark, f"{collection.root}/data") == ["segment=1"] and collection.size() == 1
+    run = embed(spark, collection, [("a.txt", b"better"), ("b.txt", b"good again")], embedder=model, id_cols=("qid", "component"))
+    assert rows(collection.points(), "page_content") == [("better",), ("good again",)] and run.points_added == 1
+    assert rows(collection.text_index(), "token") == [("again",), ("better",), ("good",)]
+
+
 def test_files_fetched_by_key(spark, collection, tmp_path):
     (tmp_path / "a.txt").write_text("Hello.")
     todo = spark.createDataFrame([("Q1", "a.txt"), ("Q1", "gone.txt")], "qid string, component string")
