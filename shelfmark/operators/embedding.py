@@ -43,6 +43,20 @@ def windows(sentences: Sequence[str], buffer_size: int) -> Iterator[str]:
         yield " ".join(sentences[max(0, i - buffer_size) : i + buffer_size + 1])
 
 
+class _Buckets(dict):
+    """The bucket of each word seen; worked out by being asked for."""
+
+    def __init__(self, dim: int) -> None:
+        super().__init__()
+        self.dim = dim
+
+    def __missing__(self, word: str) -> int:
+        if len(self) > 1_000_000:
+            self.clear()
+        found = self[word] = int.from_bytes(hashlib.md5(word.encode()).digest()[:4], "big") % self.dim
+        return found
+
+
 class HashedEmbedder:
     """Deterministic bag of words: word counts in md5 buckets, scaled to unit length."""
 
@@ -50,32 +64,25 @@ class HashedEmbedder:
         if dim <= 0:
             raise ValueError("dim must be positive")
         self.dim = dim
-        self._buckets: dict[str, int] = {}
+        self._buckets = _Buckets(dim)
 
     def __getstate__(self) -> dict:
-        return {"dim": self.dim, "_buckets": {}}
+        return {"dim": self.dim}
+
+    def __setstate__(self, state: dict) -> None:
+        self.__init__(state["dim"])
 
     def prepare(self, text: Column) -> Column:
         return word_text(text)
 
-    def _bucket(self, word: str) -> int:
-        found = self._buckets.get(word)
-        if found is None:
-            if len(self._buckets) > 1_000_000:
-                self._buckets.clear()
-            found = int.from_bytes(hashlib.md5(word.encode()).digest()[:4], "big") % self.dim
-            self._buckets[word] = found
-        return found
-
     def counts(self, texts: Sequence[str]) -> np.ndarray:
         """Word counts per bucket of prepared texts."""
-        bucket = self._bucket
-        hits = [[bucket(w) for w in text.split()] if text else [] for text in texts]
-        sizes = np.fromiter(map(len, hits), dtype=np.int64, count=len(hits))
-        rows = np.repeat(np.arange(len(hits)) * self.dim, sizes)
-        cells = np.fromiter(chain.from_iterable(hits), dtype=np.int64, count=int(sizes.sum()))
-        counted = np.bincount(rows + cells, minlength=len(hits) * self.dim)
-        return counted.reshape(len(hits), self.dim).astype(float)
+        words = [text.split() if text else [] for text in texts]
+        sizes = np.fromiter(map(len, words), dtype=np.int64, count=len(words))
+        rows = np.repeat(np.arange(len(words)) * self.dim, sizes)
+        cells = np.fromiter(map(self._buckets.__getitem__, chain.from_iterable(words)), dtype=np.int64, count=int(sizes.sum()))
+        counted = np.bincount(rows + cells, minlength=len(words) * self.dim)
+        return counted.reshape(len(words), self.dim).astype(float)
 
     def embed(self, texts: Sequence[str]) -> np.ndarray:
         return _unit(self.counts(texts))

@@ -40,6 +40,10 @@ _LEAST_QUERIES = 4_096
 SCORE_DIGITS = 6
 _QUERY_STEP = 512
 _PAIR_STEP = 500_000
+# Pairs whose vectors are side by side at a time, so that they stay in the processor's cache.
+_COST_STEP = 2_048
+# Of the queries scored together, one in so many says in which order the blocks come.
+_ORDER_STEP = 8
 _ROUTE_STEP = 8_192
 _ROW_STEP = 8_192
 _TAXI_STEP = 1_024
@@ -87,6 +91,17 @@ def _rounded_up(limit: np.ndarray, kind: np.dtype) -> np.ndarray:
         return np.nextafter(limit.astype(kind), kind.type(np.inf))
 
 
+def _places(near: np.ndarray) -> np.ndarray:
+    """``np.flatnonzero`` of a matrix with few true values, eight at a time."""
+    flat = near.reshape(-1)
+    whole = len(flat) // 8 * 8
+    words = np.flatnonzero(flat[:whole].view(np.uint64))
+    if len(words) > whole // 64:
+        return np.flatnonzero(flat)
+    found = (words[:, None] * 8 + np.arange(8)).reshape(-1)
+    return np.concatenate([found[flat[found]], whole + np.flatnonzero(flat[whole:])])
+
+
 class Part:
     """Corpus rows made ready to be scored by any number of queries."""
 
@@ -120,6 +135,17 @@ class Scorer:
         narrow = self.squares.max(initial=0.0) < _NARROW
         self.sides = {np.float64: side, np.float32: side.astype(np.float32) if narrow else None}
 
+    def near(self, part: Part, asked: np.ndarray, worst: np.ndarray, k: int) -> np.ndarray:
+        """Which rows may be among the best ``k`` of the ``asked`` queries and no worse than ``worst``: (queries, rows)."""
+        rough = self.rough(part, None if len(asked) == len(self.queries) else asked)
+        limit = self.rough_limit(worst, part)[asked]
+        near = rough <= _rounded_up(limit, rough.dtype)[:, None]
+        if len(part.ids) > k and np.count_nonzero(near) > 4 * k * len(asked):
+            # Many rows would do so far: nothing worse than the batch's own k-th row can survive.
+            kth = np.partition(rough, k - 1, axis=1)[:, k - 1].astype(np.float64)
+            near &= rough <= _rounded_up(self.kth_limit(kth, part, asked), rough.dtype)[:, None]
+        return near
+
     def kind(self, part: Part) -> type:
         return part.kind if self.sides[part.kind] is not None else np.float64
 
@@ -164,6 +190,12 @@ class Scorer:
             return (np.sqrt(np.maximum(most, 0.0)) + 2 * 10.0**-SCORE_DIGITS) ** 2 + slack
         return most + 2 * 10.0**-SCORE_DIGITS + slack
 
+    def exact_pairs(self, part: Part, query: np.ndarray, row: np.ndarray) -> np.ndarray:
+        """Rounded costs of (query number, row number) pairs, few vectors at a time."""
+        steps = range(0, len(row), _COST_STEP)
+        costs = [self.exact(part.corpus[row[at : at + _COST_STEP]], query[at : at + _COST_STEP]) for at in steps]
+        return np.concatenate(costs) if costs else np.zeros(0)
+
     def exact(self, corpus: np.ndarray, query: np.ndarray) -> np.ndarray:
         """Rounded costs of (corpus row, query number) pairs."""
         asked = self.queries[query]
@@ -193,14 +225,8 @@ class BestK:
     def add(self, part: Part, some: np.ndarray | None = None, wanted: Callable[[np.ndarray, np.ndarray], np.ndarray] | None = None) -> None:
         """Rows for all queries or ``some`` of them; ``wanted`` tells which pairs (query, row) count here."""
         asked = np.arange(len(self.worst)) if some is None else some
-        rough = self.scorer.rough(part, some)
-        limit = self.scorer.rough_limit(self.worst, part)[asked]
-        near = rough <= _rounded_up(limit, rough.dtype)[:, None]
-        if len(part.ids) > self.k and np.count_nonzero(near) > 4 * self.k * len(asked):
-            # Many rows would do so far: nothing worse than the batch's own k-th row can survive.
-            kth = np.partition(rough, self.k - 1, axis=1)[:, self.k - 1].astype(np.float64)
-            near &= rough <= _rounded_up(self.scorer.kth_limit(kth, part, asked), rough.dtype)[:, None]
-        query, row = np.divmod(np.flatnonzero(near), near.shape[1])
+        near = self.scorer.near(part, asked, self.worst, self.k)
+        query, row = np.divmod(_places(near), near.shape[1])
         query = asked[query]
         if wanted is not None and len(row):
             good = wanted(query, row)
@@ -215,7 +241,7 @@ class BestK:
         # Pairs go through in steps, so that very many ties do not blow up memory.
         for at in range(0, len(row), _PAIR_STEP):
             q, r = query[at : at + _PAIR_STEP], row[at : at + _PAIR_STEP]
-            cost = self.scorer.exact(part.corpus[r], q)
+            cost = self.scorer.exact_pairs(part, q, r)
             good = cost <= self.worst[q]
             self.waiting.append((q[good], part.ids[r[good]], cost[good]))
             self.n_waiting += len(self.waiting[-1][0])
@@ -278,14 +304,14 @@ def _hit_schema(corpus: DataFrame, queries: DataFrame, id_col: str, query_col: s
     )
 
 
+def _column(values: np.ndarray, kind: pa.DataType) -> pa.Array:
+    return pa.array(values if values.dtype.kind in "iU" else values.tolist(), type=kind)
+
+
 def _hit_batches(found, schema: pa.Schema) -> Iterator[pa.RecordBatch]:
     for query, ids, scores in found:
         if len(ids):
-            arrays = [
-                pa.array(query.tolist(), type=schema.field(0).type),
-                pa.array(ids.tolist(), type=schema.field(1).type),
-                pa.array(scores, type=pa.float64()),
-            ]
+            arrays = [_column(query, schema.field(0).type), _column(ids, schema.field(1).type), pa.array(scores, type=pa.float64())]
             yield pa.RecordBatch.from_arrays(arrays, schema=schema)
 
 
@@ -532,12 +558,13 @@ def _visit(dealt: DataFrame, asked: DataFrame, blocks: Blocks, k: int, later: bo
         F.lit(None).cast(query_kind).alias("query"), F.col("vector").cast(vector_kind), F.lit(None).cast("double").alias("worst"),
     )
     key = ["shelf", "piece", "group"]
-    # A task per key, as far as that goes; the rows of a piece come first, so that they are held when its queries come by.
+    # A task per key, as far as that goes; the rows of a piece come first, so that they are held when its queries come by,
+    # and queries of the same blocks follow each other, so that they are scored together.
     keys_before = np.cumsum(np.r_[0, shelves.pieces * copies])
     task = of_shelf(keys_before[:-1], F.col("shelf")) + F.col("piece") * of_shelf(copies, F.col("shelf")) + F.col("group")
     tasks = int(min(keys_before[-1], MAX_TASKS))
     dealt_out = held.unionByName(queries).withColumn("task", F.pmod(task, F.lit(tasks)).cast("int"))
-    together = dealt_out.repartitionById(tasks, "task").drop("task").sortWithinPartitions(*key, "kind", "place")
+    together = dealt_out.repartitionById(tasks, "task").drop("task").sortWithinPartitions(*key, "kind", "place", "bits")
 
     def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         current, parts, held = None, [], None
@@ -559,11 +586,14 @@ def _visit(dealt: DataFrame, asked: DataFrame, blocks: Blocks, k: int, later: bo
                     held, parts = list(_by_place(parts, metric)), []
                 for first in range(0, part.num_rows, _QUERY_STEP):
                     some = part.slice(first, _QUERY_STEP)
-                    keeper = BestK(_matrix(some.column(8)), k, metric)
+                    asked = _matrix(some.column(8))
+                    keeper = BestK(asked, k, metric)
                     keeper.worst = some.column(9).to_numpy().copy()
                     bits = np.frombuffer(b"".join(some.column(6).to_pylist()), np.uint8).reshape(some.num_rows, -1)
                     go = np.unpackbits(bits, axis=1).astype(bool)
-                    for place, rows in held:
+                    # What is near to most of them comes first, so that less of the rest is as good.
+                    bounds = sent.value.bounds(_prepared(asked[::_ORDER_STEP], metric)).mean(axis=0)[shelves.order[shelves.start[at[0]] :]]
+                    for place, rows in sorted(held, key=lambda one: bounds[one[0]]):
                         asking = np.flatnonzero(go[:, place])
                         if len(asking):
                             keeper.add(rows, None if len(asking) == len(go) else asking)

@@ -1,5 +1,8 @@
 """Embedding, nearest neighbours and retrieval."""
 
+import pickle
+import re
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -295,3 +298,37 @@ def test_queries_and_rows_meet_by_code(table, monkeypatch):
     assert sorted(by_code.collect()) == sorted(shared.collect())
     # One pass, not one per block of queries.
     assert by_code._jdf.queryExecution().analyzed().toString().count("RepartitionByExpression") == 1
+
+
+def test_queries_of_the_same_blocks_follow_each_other(table, monkeypatch):
+    monkeypatch.setattr(knn, "BLOCK_ROWS", 20)
+    rows = _many(200)
+    left, right = table(rows, "id int, vector array<float>"), table(rows, "query_id int, vector array<float>")
+    plans, visit = [], knn._visit
+
+    def seen(*given):
+        hits, compared = visit(*given)
+        plans.append(hits._jdf.queryExecution().optimizedPlan().toString())
+        return hits, compared
+
+    monkeypatch.setattr(knn, "_visit", seen)
+    found = knn.top_k(left, right, 5, max_shared_queries=0)
+    assert len(plans) == 2 and all(re.search(r"Sort \[shelf.*place#\d+ ASC NULLS FIRST, bits", p) for p in plans)
+    assert sorted(found.hits.collect()) == sorted(knn.top_k(left, right, 5).hits.collect())
+
+
+@pytest.mark.parametrize("share", [0.0, 0.003, 0.4, 1.0])
+@pytest.mark.parametrize("shape", [(7, 901), (16, 64), (1, 5), (3, 0)])
+def test_places_of_true_values(shape, share):
+    near = np.random.default_rng(4).random(shape) < share
+    assert knn._places(near).tolist() == np.flatnonzero(near).tolist()
+
+
+def test_buckets_of_words_are_worked_out_once(monkeypatch):
+    embedder = HashedEmbedder(16)
+    before = embedder.counts(["one two one", "", "two three"])
+    monkeypatch.setattr("shelfmark.operators.embedding.hashlib.md5", None)
+    assert embedder.counts(["one two one", "", "two three"]).tolist() == before.tolist()
+    assert before.sum(axis=1).tolist() == [3, 0, 2]
+    left = pickle.loads(pickle.dumps(embedder))
+    assert left.dim == 16 and not left._buckets
