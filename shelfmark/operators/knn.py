@@ -47,6 +47,14 @@ _ORDER_STEP = 8
 _ROUTE_STEP = 8_192
 _ROW_STEP = 8_192
 _TAXI_STEP = 1_024
+# Taxicab codes: levels of a component, components that add up to less than 256, most components, and rows and queries at a time.
+_LEVELS = 64
+_LANES = 4
+_CODED_DIM = 512
+_CODED_ROWS = 256
+_CODED_QUERIES = 32
+# Most of the mean distance to the centre that the rounding of codes may take up.
+_CODED_LOSS = 0.1
 # Squared norms up to here are worked with in single precision.
 _NARROW = 1e12
 _MERGE_SALTS = 32
@@ -102,6 +110,83 @@ def _places(near: np.ndarray) -> np.ndarray:
     return np.concatenate([found[flat[found]], whole + np.flatnonzero(flat[whole:])])
 
 
+class Grid:
+    """Components of vectors as levels of one step, so that taxicab distances can be bounded from below in bytes.
+
+    A component beyond the last level is taken to be there, which makes
+    distances smaller at most. What rounding to a level takes away is known for
+    each vector: ``off``, in steps.
+    """
+
+    def __init__(self, low: np.ndarray, step: float) -> None:
+        self.low = low
+        self.step = step
+
+    @staticmethod
+    def of(rows: np.ndarray) -> Grid | None:
+        """The grid of some rows; None if levels would tell little about their distances."""
+        if not len(rows) or not 0 < rows.shape[1] <= _CODED_DIM:
+            return None
+        centre = rows.mean(axis=0)
+        step = 6.0 * rows.std(axis=0).max() / (_LEVELS - 1)
+        # Not for infinite values, nor where a step is near to the precision of the values.
+        if not np.isfinite(step) or not step > 1e-9 * (1e-200 + np.abs(rows).max()):
+            return None
+        grid = Grid(centre - _LEVELS // 2 * step, step)
+        if grid.code(rows)[2].mean() > _CODED_LOSS * np.abs(rows - centre).sum(axis=1).mean() / step:
+            return None
+        return grid
+
+    def code(self, vectors: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Levels, their sums, and ``off`` of each vector. Levels are filled up to whole lanes of pairs."""
+        with np.errstate(invalid="ignore", over="ignore"):
+            at = np.clip((vectors - self.low) / self.step, 0, _LEVELS - 1)
+            levels = np.rint(at)
+            off = np.abs(at - levels).sum(axis=1)
+            width = -(-vectors.shape[1] // (2 * _LANES)) * 2 * _LANES
+            codes = np.zeros((len(vectors), width), np.uint8)
+            codes[:, : vectors.shape[1]] = levels
+        return codes, codes.sum(axis=1, dtype=np.int64), off
+
+
+class Codes:
+    """Rows by their levels, in pieces that stay in the processor's cache."""
+
+    def __init__(self, grid: Grid, rows: np.ndarray) -> None:
+        self.grid = grid
+        codes, total, off = grid.code(rows)
+        self.n = len(rows)
+        pieces = -(-self.n // _CODED_ROWS)
+        filled = np.zeros((pieces * _CODED_ROWS, codes.shape[1]), np.uint8)
+        filled[: self.n] = codes
+        # By pairs of components, the two of a pair side by side: (piece, pair, row, 2).
+        self.pieces = np.ascontiguousarray(filled.reshape(pieces, _CODED_ROWS, -1, 2).transpose(0, 2, 1, 3))
+        self.half = np.ceil((total + off) / 2).astype(np.int16)
+
+    def larger(self, asked: np.ndarray) -> np.ndarray:
+        """Sums of the larger level of each component (queries, rows), less half of the row's sum and what it is off."""
+        pairs = asked.shape[1] // 2
+        found = np.empty((len(asked), len(self.pieces) * _CODED_ROWS), np.int16)
+        for start in range(0, len(asked), _CODED_QUERIES):
+            some = np.ascontiguousarray(asked[start : start + _CODED_QUERIES])
+            n = len(some)
+            query = np.empty((n, pairs, _CODED_ROWS, 2), np.uint8)
+            query.view(np.uint16)[..., 0] = some.view(np.uint16)[:, :, None]
+            most = np.empty_like(query)
+            few = np.empty((n, pairs // _LANES, _CODED_ROWS, 2), np.uint8)
+            words = few.view(np.uint16)[..., 0]
+            high = np.empty_like(words)
+            for i, piece in enumerate(self.pieces):
+                np.maximum(query, piece, out=most)
+                np.add.reduce(most.reshape(n, _LANES, -1), axis=1, dtype=np.uint8, out=few.reshape(n, -1))
+                np.right_shift(words, 8, out=high)
+                np.bitwise_and(words, 255, out=words)
+                np.add(words, high, out=high)
+                place = found[start : start + n, i * _CODED_ROWS : (i + 1) * _CODED_ROWS]
+                np.add.reduce(high, axis=1, dtype=np.uint16, out=place.view(np.uint16))
+        return np.subtract(found[:, : self.n], self.half)
+
+
 class Part:
     """Corpus rows made ready to be scored by any number of queries."""
 
@@ -112,6 +197,10 @@ class Part:
         self.largest = squares.max(initial=0.0)
         # Single precision sorts out; what is left is scored in double precision.
         self.kind = np.float32 if self.largest < _NARROW else np.float64
+        grid = Grid.of(self.corpus) if metric == "MANHATTAN" else None
+        self.codes = None if grid is None else Codes(grid, self.corpus)
+        if self.codes is not None:
+            return
         if metric == "EUCLID":
             side = np.column_stack([self.corpus, squares, np.ones(len(squares))])
         else:
@@ -137,6 +226,8 @@ class Scorer:
 
     def near(self, part: Part, asked: np.ndarray, worst: np.ndarray, k: int) -> np.ndarray:
         """Which rows may be among the best ``k`` of the ``asked`` queries and no worse than ``worst``: (queries, rows)."""
+        if part.codes is not None:
+            return self._near_codes(part, asked, worst, k)
         rough = self.rough(part, None if len(asked) == len(self.queries) else asked)
         limit = self.rough_limit(worst, part)[asked]
         near = rough <= _rounded_up(limit, rough.dtype)[:, None]
@@ -146,6 +237,24 @@ class Scorer:
             near &= rough <= _rounded_up(self.kth_limit(kth, part, asked), rough.dtype)[:, None]
         return near
 
+    def _near_codes(self, part: Part, asked: np.ndarray, worst: np.ndarray, k: int) -> np.ndarray:
+        codes = part.codes
+        levels, total, off = codes.grid.code(self.queries[asked])
+        larger = codes.larger(levels)
+
+        def reached(cost: np.ndarray) -> np.ndarray:
+            # |a - b| = 2 max(a, b) - a - b, and the distance is that many steps less what both are off, at least.
+            most = (cost + 2 * 10.0**-SCORE_DIGITS) / codes.grid.step + total + off + 1e-3
+            most = np.clip(np.floor(most / 2), -32_768, 32_767)
+            return larger <= np.nan_to_num(most, nan=-32_768).astype(np.int16)[:, None]
+
+        near = reached(worst[asked])
+        if codes.n > k and np.count_nonzero(near) > 4 * k * len(asked):
+            # Many rows would do so far: none that is worse than k rows of this part can survive.
+            best = np.argpartition(larger, k - 1, axis=1)[:, :k]
+            near &= reached(self.exact_pairs(part, np.repeat(asked, k), best.reshape(-1)).reshape(-1, k).max(axis=1))
+        return near
+
     def kind(self, part: Part) -> type:
         return part.kind if self.sides[part.kind] is not None else np.float64
 

@@ -332,3 +332,47 @@ def test_buckets_of_words_are_worked_out_once(monkeypatch):
     assert before.sum(axis=1).tolist() == [3, 0, 2]
     left = pickle.loads(pickle.dumps(embedder))
     assert left.dim == 16 and not left._buckets
+
+
+@pytest.mark.parametrize(
+    "rows, coded",
+    [
+        (np.random.default_rng(5).standard_normal((1500, 24)), True),
+        (np.random.default_rng(5).standard_normal((1500, 24)) * 1e9 + 1e12, True),
+        (np.random.default_rng(5).standard_normal((1500, 5)) * 1e-5, True),
+        (np.random.default_rng(5).integers(-2, 3, (1500, 4)).astype(float), True),
+        (np.random.default_rng(5).standard_normal((1500, 9)) * [1.0] * 9 + np.eye(9)[0] * 1e3, True),
+        (np.random.default_rng(5).standard_cauchy((1500, 16)), False),
+        (np.ones((300, 3)), False),
+        (np.random.default_rng(5).standard_normal((100, 600)), False),
+        (np.random.default_rng(5).standard_normal((300, 4)) + 1e16, False),
+    ],
+)
+@pytest.mark.parametrize("k", [1, 9, 400])
+def test_taxicab_codes_lose_no_row(rows, coded, k):
+    rng = np.random.default_rng(6)
+    asked = np.concatenate([rows[:20], rows[:20] + rng.standard_normal((20, rows.shape[1])) * rows.std(), np.full((1, rows.shape[1]), 1e10)])
+    ids = rng.permutation(len(rows))
+    assert (knn.Part(ids, rows, "MANHATTAN").codes is not None) == coded
+    keeper = knn.BestK(asked, k, "MANHATTAN")
+    for at in range(0, len(rows), 700):
+        keeper.add(knn.Part(ids[at : at + 700], rows[at : at + 700], "MANHATTAN"), None if at else np.arange(len(asked)))
+    query, found, scores = keeper.result()
+    for q, vector in enumerate(asked):
+        cost = np.round(np.abs(rows - vector).sum(axis=1), 6)
+        best = np.lexsort((ids, cost))[:k]
+        assert found[query == q].tolist() == ids[best].tolist() and scores[query == q].tolist() == cost[best].tolist()
+
+
+def test_taxicab_codes_leave_few_rows():
+    rows = np.random.default_rng(7).standard_normal((6000, 64))
+    part, scorer = knn.Part(np.arange(6000), rows, "MANHATTAN"), knn.Scorer("MANHATTAN", rows[:50])
+    cost = np.stack([np.abs(rows - r).sum(axis=1) for r in rows[:50]])
+    worst = np.sort(cost, axis=1)[:, 29]
+    near = scorer.near(part, np.arange(50), worst, 30)
+    assert near[cost <= worst[:, None]].all() and near.mean() < 0.04
+    # Where no bound is known, the best rows of the part give one.
+    near = scorer.near(part, np.arange(50), np.full(50, np.inf), 30)
+    assert near[cost <= worst[:, None]].all() and near.mean() < 0.04
+    missing = knn.Scorer("MANHATTAN", np.full((1, 64), np.nan)).near(part, np.arange(1), np.array([np.inf]), 30)
+    assert not missing.any()
